@@ -69,14 +69,18 @@ def nearest(points: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.nda
 def assign(
     points: DataFrame, centers: Sequence[Sequence[float]], vector: str = "point"
 ) -> DataFrame:
-    """Every point row with its nearest ``cluster``; no shuffle."""
+    """Every point row with its nearest ``cluster`` (null for a null vector); no shuffle."""
     centers = np.asarray(centers, dtype=np.float64)
     shared = points.sparkSession.sparkContext.broadcast(centers)
 
     @F.arrow_udf("int")
     def cluster_of(vectors: pa.Array) -> pa.Array:
-        index, _ = nearest(matrix(vectors, shared.value.shape[1]), shared.value)
-        return pa.array(index, pa.int32())
+        given = vectors.is_valid().to_numpy(zero_copy_only=False)
+        cluster = np.zeros(len(vectors), dtype=np.int32)
+        cluster[given], _ = nearest(
+            matrix(vectors.drop_null(), shared.value.shape[1]), shared.value
+        )
+        return pa.array(cluster, mask=~given)
 
     return points.withColumn("cluster", cluster_of(F.col(vector)))
 
@@ -98,7 +102,8 @@ def lloyd_step(
         for i in np.unique(index):
             sums[i, :width] += values[index == i].sum(axis=0)
 
-    merged = slot_sums(points.select(vector), add, clusters, width + 1)
+    given = points.select(vector).filter(F.col(vector).isNotNull())
+    merged = slot_sums(given, add, clusters, width + 1)
     shared.unpersist()
     moved = centers.copy()
     sizes = np.zeros(clusters, dtype=np.int64)

@@ -18,7 +18,7 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     """Rows of a list column as a matrix of doubles; every row needs the same width."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    if len(column) and (column.null_count or not np.all(np.diff(column.offsets.to_numpy()) == width)):
+    if column.null_count or not np.all(np.diff(column.offsets.to_numpy()) == width):
         raise ValueError(f"every vector needs {width} numbers")
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
@@ -29,8 +29,9 @@ def slot_sums(
     """Total weight and weighted mean array per slot.
 
     ``add`` puts one batch into a task's ``slots`` weights and ``slots x width``
-    sums. A task sends at most one row per slot to the shuffle, and the driver
-    receives at most one per slot, whatever the number of input rows.
+    sums. A task sends at most one row per slot to the shuffle, where rows are
+    merged as they arrive, and the driver receives at most one row per slot,
+    whatever the number of input rows or the share one slot has of them.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -72,10 +72,10 @@ def tagged_union(
     )
 
 
-def supplier_lines(joined: DataFrame, carried: str = "s_phone") -> DataFrame:
-    """Joined rows as ``key|name|phone|nation`` text: ``s_suppkey, line``."""
+def supplier_line(carried: str = "s_phone") -> Column:
+    """A joined row as ``key|name|phone|nation`` text."""
     fields = [
         F.coalesce(F.col(name).cast("string"), F.lit(""))
         for name in ("s_suppkey", "s_name", carried, "n_name")
     ]
-    return joined.select("s_suppkey", F.concat_ws("|", *fields).alias("line"))
+    return F.concat_ws("|", *fields)

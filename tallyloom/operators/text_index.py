@@ -48,18 +48,11 @@ def term_average_frequency(counts: DataFrame) -> DataFrame:
     )
 
 
-def inverted_index_postings(
+def frequent_words(
     counts: DataFrame, postings_per_line: int = POSTINGS_PER_LINE
 ) -> DataFrame:
-    """Postings per word: ``word, line_no, documents, average, postings``.
-
-    ``postings`` reads ``doc:n; doc:n`` in document order. A word found in at
-    most ``postings_per_line`` documents has the single line 0. A more frequent
-    word gets as many lines as needed; a hash of the document picks the line, so
-    lines come out about equally long and together hold every posting.
-    ``documents`` and ``average`` always describe the whole word.
-    """
-    frequent = (
+    """Words whose postings need several lines, with their totals and line count."""
+    return (
         term_average_frequency(counts)
         .filter(F.col("documents") > postings_per_line)
         .select(
@@ -69,29 +62,46 @@ def inverted_index_postings(
             F.ceil(F.col("documents") / postings_per_line).alias("line_count"),
         )
     )
+
+
+def inverted_index_postings(
+    counts: DataFrame,
+    postings_per_line: int = POSTINGS_PER_LINE,
+    frequent: DataFrame | None = None,
+) -> DataFrame:
+    """Postings per word: ``word, line_no, documents, average, postings``.
+
+    ``postings`` reads ``doc:n; doc:n`` in document order. A word found in at
+    most ``postings_per_line`` documents has the single line 0. A more frequent
+    word gets as many lines as needed; a hash of the document picks the line, so
+    lines come out about equally long and together hold every posting.
+    ``documents`` and ``average`` always describe the whole word.
+
+    Over a large collection write ``counts`` and ``frequent_words`` as tables and
+    pass both: with the size of the second on file, Spark knows beforehand
+    whether it can be broadcast and need not move the counts for the join.
+    """
+    if frequent is None:
+        frequent = frequent_words(counts, postings_per_line)
     line_no = F.when(F.col("line_count").isNull(), F.lit(0).cast("long")).otherwise(
         F.pmod(F.xxhash64("doc"), F.col("line_count"))
     )
+    posting = F.concat(F.col("doc").cast("string"), F.lit(":"), F.col("tf").cast("string"))
     # The explicit exchange on both columns keeps the lines of one word apart
     # even where the join above already gathered that word in one place.
     placed = (
         counts.join(frequent, "word", "left")
         .withColumn("line_no", line_no)
+        .withColumn("posting", posting)
         .repartition("word", "line_no")
     )
     total = F.coalesce(F.max("word_total"), F.sum("tf"))
     documents = F.coalesce(F.max("word_documents"), F.count(F.lit(1)))
-    listed = F.array_sort(F.collect_list(F.struct("doc", "tf")))
+    listed = F.sort_array(F.collect_list(F.struct("doc", "posting")))
     return placed.groupBy("word", "line_no").agg(
         documents.alias("documents"),
         half_up_ratio(total, documents, 2).alias("average"),
-        F.array_join(
-            F.transform(
-                listed,
-                lambda p: F.concat(p["doc"].cast("string"), F.lit(":"), p["tf"].cast("string")),
-            ),
-            "; ",
-        ).alias("postings"),
+        F.array_join(listed["posting"], "; ").alias("postings"),
     )
 
 
@@ -127,3 +137,8 @@ def words_by_frequency(averages: DataFrame, descending: bool = False) -> DataFra
     """
     average = F.col("average").desc() if descending else F.col("average").asc()
     return averages.select("word", "average").orderBy(average, F.col("word").asc())
+
+
+def frequency_lines(ordered: DataFrame) -> DataFrame:
+    """Ordered words with their average as text of two decimals, order kept."""
+    return ordered.select("word", fixed_text(F.col("average"), 2).alias("average"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import clustering, playlog, relational, text_index, win_model
 from tallyloom.operators.lineage import settled
 from tallyloom.plans.plays import plays_from_events
+from tallyloom.sources import read_table, spread
 
 CLUSTERS = 10
 FIT_STEPS = 30
@@ -21,7 +22,7 @@ RATING_STEP = 1.0
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _rounded(value: Column) -> Column:
@@ -54,18 +55,22 @@ def supplier_partition_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = _joined(spark, sf_dir).withColumn("s_acctbal", F.floor("s_acctbal"))
-    return relational.supplier_lines(whole, carried="s_acctbal").select("line")
+    return whole.select(relational.supplier_line(carried="s_acctbal").alias("line"))
 
 
 # --- text index -------------------------------------------------------------
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_index.term_document_counts(_table(spark, sf_dir, "documents"))
+    return text_index.term_document_counts(_documents(spark, sf_dir))
 
 
 def word_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = text_index.word_rows(_table(spark, sf_dir, "documents"))
+    rows = text_index.word_rows(_documents(spark, sf_dir))
     return rows.groupBy("doc").agg(F.count(F.lit(1)).alias("words"))
 
 

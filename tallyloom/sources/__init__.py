@@ -12,7 +12,9 @@ from tallyloom.sources.readers import (
     read_play_log,
     read_points,
     read_suppliers,
+    read_table,
     read_team_profiles,
+    spread,
 )
 from tallyloom.sources.writers import (
     centers_frame,
@@ -36,7 +38,9 @@ __all__ = [
     "read_play_log",
     "read_points",
     "read_suppliers",
+    "read_table",
     "read_team_profiles",
+    "spread",
     "write_centers",
     "write_csv",
     "write_key_values",

@@ -26,6 +26,21 @@ def _delimited(
     )
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet table."""
+    return spark.read.parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain scan, dealt out over all cores if it comes in fewer pieces than that.
+
+    For work that is heavy per row on an input of few, unsplittable files. A
+    scan of many pieces is returned as it is, without an exchange.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per text line: ``line``."""
     return spark.read.text(path).select(F.col("value").alias("line"))
@@ -73,11 +88,12 @@ def read_pairs(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFr
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """Lines ``id x1 x2 …``: ``id, point``."""
+    """Lines ``id x1 x2 …``: ``id, point, line`` with the line as it was."""
     fields = F.split(F.trim(F.col("value")), " +")
     return spark.read.text(path).select(
         F.get(fields, F.lit(0)).cast("long").alias("id"),
         F.slice(fields, F.lit(2), F.size(fields) - 1).cast("array<double>").alias("point"),
+        F.col("value").alias("line"),
     )
 
 

@@ -1,0 +1,165 @@
+from decimal import Decimal
+
+import pytest
+
+from tallyloom import sources as io
+from tallyloom.operators import playlog
+from tallyloom.plans import file_jobs
+from tests.test_playlog import free, log, shot
+
+
+def write(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+    return str(path)
+
+
+def written(path):
+    return "".join(p.read_text() for p in sorted(path.glob("**/part-*")))
+
+
+def test_lines_with_file_names(spark, tmp_path):
+    write(tmp_path / "t" / "one.txt", "a b\nc\n")
+    write(tmp_path / "t" / "two.txt", "d\n")
+    assert io.read_lines(spark, str(tmp_path / "t")).count() == 3
+    assert {tuple(r) for r in io.read_named_lines(spark, str(tmp_path / "t")).collect()} == {
+        ("one.txt", "a b"), ("one.txt", "c"), ("two.txt", "d"),
+    }
+
+
+def test_key_values_split_at_the_first_tab(spark, tmp_path):
+    path = write(tmp_path / "kv", "a\t1, x\nb\tc\td\nno tab\n")
+    assert {tuple(r) for r in io.read_key_values(spark, path).collect()} == {
+        ("a", "1, x"), ("b", "c\td"), ("no tab", ""),
+    }
+
+
+def test_key_values_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("k", "v, w"), ("e", None)], "key STRING, value STRING")
+    for _ in range(2):
+        io.write_key_values(df, str(tmp_path / "out"), "key", "value")
+    assert {tuple(r) for r in io.read_key_values(spark, str(tmp_path / "out")).collect()} == {("k", "v, w"), ("e", "")}
+
+
+def test_pipe_tables(spark, tmp_path):
+    supplier = write(tmp_path / "s", '1|S "x"| a, \\b|7|27-9|5755.94|c\n')
+    assert tuple(io.read_suppliers(spark, supplier).first()) == (
+        1, 'S "x"', " a, \\b", 7, "27-9", Decimal("5755.94"), "c",
+    )
+    nation = write(tmp_path / "n", "7|PERU|1|text\n")
+    assert tuple(io.read_nations(spark, nation).first()) == (7, "PERU", 1, "text")
+    part = write(tmp_path / "p", "1|a|b|c|d|7|e|901.00|f\n")
+    assert io.read_parts(spark, part).first()["p_retailprice"] == Decimal("901.00")
+
+
+def test_bad_number_stops_unless_told_otherwise(spark, tmp_path):
+    path = write(tmp_path / "n", "7|PERU|1|a\nx|CHINA|1|b\n")
+    with pytest.raises(Exception):
+        io.read_nations(spark, path).collect()
+    assert io.read_nations(spark, path, mode="PERMISSIVE").count() == 2
+
+
+HEADER = ",".join(f"c{i}" for i in range(26))
+
+
+def test_play_log(spark, tmp_path):
+    row = "2,11-1,1,701,B,A,B,J B,2-pt layup,miss,,T S" + "," * 14
+    for name in ("a.csv", "b.csv"):
+        write(tmp_path / "log" / name, f"{HEADER}\n{row}\n")
+    rows = io.read_play_log(spark, str(tmp_path / "log")).collect()
+    assert len(rows) == 2 and len(rows[0]) == 26
+    assert (rows[0]["event_id"], rows[0]["sec_left"], rows[0]["blocker"]) == (2, 701, "T S")
+    assert rows[0]["assister"] is None and rows[0]["turnover_causer"] is None
+
+
+def test_points_and_centres(spark, tmp_path):
+    points = io.read_points(spark, write(tmp_path / "p", "1 4 1.5\n2 0 -3\n"))
+    assert [tuple(r) for r in points.orderBy("id").collect()] == [
+        (1, [4.0, 1.5], "1 4 1.5"), (2, [0.0, -3.0], "2 0 -3"),
+    ]
+    write(tmp_path / "c" / "part-0", "1\t3.0,4.5\n")
+    write(tmp_path / "c" / "part-1", "0 1,2\n")
+    centers = io.read_centers(spark, str(tmp_path / "c")).orderBy("cluster").collect()
+    assert [tuple(r) for r in centers] == [(0, [1.0, 2.0]), (1, [3.0, 4.5])]
+    io.write_centers(io.centers_frame(spark, [[0.1, 2.0]]), str(tmp_path / "w"))
+    assert written(tmp_path / "w") == "0\t0.1,2.0\n"
+
+
+def test_pairs(spark, tmp_path):
+    path = write(tmp_path / "pairs", "AwayTeam,HomeTeam\nx,y\n")
+    assert [tuple(r) for r in io.read_pairs(spark, path).collect()] == [("x", "y")]
+
+
+def test_profiles_round_trip(spark, tmp_path):
+    matches = playlog.match_features(log(spark, shot(2), shot(2, "miss"), shot(2, "miss"), free(play_by="B")))
+    io.write_lines(playlog.match_profile_lines(matches), str(tmp_path / "m"), "line")
+    assert written(tmp_path / "m").startswith("B:1,0.0,0.0,0.0,0.0,0.0,1.0,")
+    again = io.read_match_profiles(spark, str(tmp_path / "m"))
+    assert again.collect() == matches.select(*again.columns).collect()
+    profiles = playlog.team_profiles(matches)
+    io.write_lines(playlog.team_profile_lines(profiles), str(tmp_path / "t"), "line")
+    assert sorted(io.read_team_profiles(spark, str(tmp_path / "t")).collect()) == sorted(profiles.collect())
+
+
+def test_csv_and_parquet(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a,b", None), (2, 'q"', "x")], "id INT, t STRING, u STRING")
+    io.write_csv(df.coalesce(1), str(tmp_path / "csv"), sep="|", header=True)
+    assert written(tmp_path / "csv") == 'id|t|u\n1|a,b|\n2|q"|x\n'
+    io.write_parquet(df, str(tmp_path / "pq"), partition_by=["id"])
+    assert io.read_table(spark, str(tmp_path / "pq")).filter("id = 2").first()["t"] == 'q"'
+
+
+def test_spread_only_small_scans(spark, tmp_path):
+    io.write_parquet(spark.range(10).coalesce(1), str(tmp_path / "one"))
+    one = io.read_table(spark, str(tmp_path / "one"))
+    assert io.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert io.spread(spark.range(0, 10, 1, 50)).rdd.getNumPartitions() == 50
+
+
+def test_text_index_job(spark, tmp_path):
+    write(tmp_path / "in" / "f1", "to be or\nnot to be\n")
+    write(tmp_path / "in" / "f2", "be\n")
+    for _ in range(2):
+        file_jobs.text_index_job(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    index = dict(line.split("\t") for line in written(tmp_path / "out" / "index").splitlines())
+    assert index["be"] == "1.50, f1:2; f2:1" and index["to"] == "2.00, f1:2" and len(index) == 4
+    assert written(tmp_path / "out" / "sorted").splitlines() == ["to\t2.00", "be\t1.50", "not\t1.00", "or\t1.00"]
+
+
+def test_join_job(spark, tmp_path):
+    suppliers = "".join(f"{k}|S{k}|a|{k % 2}|p{k}|1.00|c\n" for k in range(1, 13))
+    paths = write(tmp_path / "s", suppliers), write(tmp_path / "n", "0|ZERO|0|x\n1|ONE|0|x\n")
+    file_jobs.join_job(spark, *paths, str(tmp_path / "out"))
+    assert written(tmp_path / "out" / "part_id=1").splitlines() == ["1|S1|p1|ONE", "5|S5|p5|ONE", "9|S9|p9|ONE"]
+    assert len(written(tmp_path / "out").splitlines()) == 12
+
+
+def test_kmeans_job(spark, tmp_path):
+    points = write(tmp_path / "p", "1 0 0\n2 0 2\n3 9 9\n")
+    centers = write(tmp_path / "c", "0 0,0\n1 8,8\n")
+    found = file_jobs.kmeans_job(spark, points, centers, str(tmp_path / "out"))
+    assert found.steps == 2 and written(tmp_path / "out" / "centers") == "0\t0.0,1.0\n1\t9.0,9.0\n"
+    assert sorted(written(tmp_path / "out" / "assigned").splitlines()) == ["0\t1 0 0", "0\t2 0 2", "1\t3 9 9"]
+
+
+def test_play_log_jobs(spark, tmp_path):
+    names = ["event_id", "11-1", "1", "9", "B", "A"]
+    rows = [
+        ["1"] + names[1:] + ["A", "p1", "2-pt layup", "make"] + [""] * 16,
+        ["2"] + names[1:] + ["B"] + [""] * 12 + ["p2", "make"] + [""] * 5,
+    ]
+    path = write(tmp_path / "log", "\n".join([HEADER] + [",".join(r) for r in rows]) + "\n")
+    out = tmp_path / "out"
+    file_jobs.outcome_job(spark, path, str(out / "labels"))
+    assert written(out / "labels").splitlines() == ["1,A 得 2 分", "2,B 得 1 分"]
+    file_jobs.score_job(spark, path, str(out / "scores"))
+    assert written(out / "scores") == "11-1,A,2,B,1\n"
+    file_jobs.leaderboard_job(spark, path, str(out / "board"))
+    assert written(out / "board" / "best").splitlines() == ["得分,1,p1,2", "得分,2,p2,1"]
+    assert sorted(written(out / "board" / "totals").splitlines()) == ["p1,score,2", "p2,score,1"]
+    file_jobs.head_to_head_job(spark, path, str(out / "shares"))
+    assert written(out / "shares") == "B,0.0000,A,1.0000\n"
+    pairs = write(tmp_path / "pairs", "AwayTeam,HomeTeam\nA,B\nA,Z\n")
+    scored = file_jobs.prediction_job(spark, path, pairs, str(out / "pred"), rounds=2, rating_rounds=1)
+    assert {r["home_team"]: r["p_away"] is None for r in scored.collect()} == {"B": False, "Z": True}
+    assert len(written(out / "pred" / "predictions").splitlines()) >= 3
