@@ -11,9 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import fixed_text, half_up_ratio, words
+from tallyloom.operators.lineage import settled
 
 POSTINGS_PER_LINE = 100_000
 
+# Frequent words up to this size together are sent to every task.
+BROADCAST_BYTES = 16 * 1024 * 1024
+
 
 def word_rows(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per word occurrence: ``word, doc``."""
@@ -35,6 +39,34 @@ def term_document_counts(
     )
 
 
+def whole_document_counts(
+    docs: DataFrame, doc: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``word, doc, tf`` without a shuffle, where every row is a whole document.
+
+    The words of a row are sorted, and the length of each run is its count. The
+    caller vouches that no document has a second row; otherwise use
+    ``term_document_counts``.
+    """
+    tokens = F.col("tokens")
+    # The null-safe tests keep the optimizer from splitting each text twice.
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size(tokens) - 1),
+        lambda i: (i == 0) | (F.get(tokens, i) != F.get(tokens, i - 1)),
+    )
+    runs = (
+        docs.select(F.col(doc).alias("doc"), F.sort_array(words(text)).alias("tokens"))
+        .select("doc", "tokens", starts.alias("starts"))
+        .select("doc", "tokens", "starts", F.posexplode_outer("starts").alias("run", "start"))
+    )
+    end = F.coalesce(F.get("starts", F.col("run") + 1), F.size(tokens))
+    return runs.select(
+        F.get(tokens, F.col("start")).alias("word"),
+        "doc",
+        (end - F.col("start")).cast("long").alias("tf"),
+    ).filter(F.coalesce("word", F.lit("")) != "")
+
+
 def term_average_frequency(counts: DataFrame) -> DataFrame:
     """Mean occurrences of a word over the documents that contain it.
 
@@ -68,6 +100,7 @@ def inverted_index_postings(
     counts: DataFrame,
     postings_per_line: int = POSTINGS_PER_LINE,
     frequent: DataFrame | None = None,
+    documents: int | None = None,
 ) -> DataFrame:
     """Postings per word: ``word, line_no, documents, average, postings``.
 
@@ -77,34 +110,44 @@ def inverted_index_postings(
     lines come out about equally long and together hold every posting.
     ``documents`` and ``average`` always describe the whole word.
 
-    Over a large collection write ``counts`` and ``frequent_words`` as tables and
-    pass both: with the size of the second on file, Spark knows beforehand
-    whether it can be broadcast and need not move the counts for the join.
+    The frequent words are looked up first, in a pass over ``counts``, unless
+    they are given (see ``frequent_words``) or the number of all documents is
+    given and fits into one line. They are broadcast if their measured size
+    allows it; otherwise they are joined by key, which splits heavy words.
     """
-    if frequent is None:
-        frequent = frequent_words(counts, postings_per_line)
-    line_no = F.when(F.col("line_count").isNull(), F.lit(0).cast("long")).otherwise(
-        F.pmod(F.xxhash64("doc"), F.col("line_count"))
-    )
     posting = F.concat(F.col("doc").cast("string"), F.lit(":"), F.col("tf").cast("string"))
-    # The explicit exchange on both columns keeps the lines of one word apart
-    # even where the join above already gathered that word in one place.
-    placed = (
-        counts.join(frequent, "word", "left")
-        .withColumn("line_no", line_no)
-        .withColumn("posting", posting)
-        .repartition("word", "line_no")
-    )
-    total = F.coalesce(F.max("word_total"), F.sum("tf"))
-    documents = F.coalesce(F.max("word_documents"), F.count(F.lit(1)))
+    rows = counts.withColumn("posting", posting)
+    total, found = F.sum("tf"), F.count(F.lit(1))
+    if frequent is None and documents is not None and documents <= postings_per_line:
+        placed = rows.withColumn("line_no", F.lit(0).cast("long"))
+    else:
+        if frequent is None:
+            frequent = settled(frequent_words(counts, postings_per_line))
+        line_no = F.when(F.col("line_count").isNull(), F.lit(0).cast("long")).otherwise(
+            F.pmod(F.xxhash64("doc"), F.col("line_count"))
+        )
+        small = _measured_bytes(frequent) <= BROADCAST_BYTES
+        placed = rows.join(F.broadcast(frequent) if small else frequent, "word", "left").withColumn(
+            "line_no", line_no
+        )
+        if not small:
+            # The join has put each word in one place; deal its lines out again.
+            placed = placed.repartition("word", "line_no")
+        total = F.coalesce(F.max("word_total"), total)
+        found = F.coalesce(F.max("word_documents"), found)
     listed = F.sort_array(F.collect_list(F.struct("doc", "posting")))
     return placed.groupBy("word", "line_no").agg(
-        documents.alias("documents"),
-        half_up_ratio(total, documents, 2).alias("average"),
+        found.alias("documents"),
+        half_up_ratio(total, found, 2).alias("average"),
         F.array_join(listed["posting"], "; ").alias("postings"),
     )
 
 
+def _measured_bytes(frequent: DataFrame) -> int:
+    """Size of the frequent words in memory, roughly: their letters and the numbers beside them."""
+    return frequent.agg(F.coalesce(F.sum(F.octet_length("word") + 64), F.lit(0))).first()[0]
+
+
 def index_lines(postings: DataFrame) -> DataFrame:
     """Postings as key and value text: ``word, value`` with ``average, doc:n; …``."""
     return postings.select(

@@ -67,6 +67,7 @@ tokens AS (
 TEXT = {
     "word_occurrences": f"WITH {COUNTS} SELECT doc, count(*) AS words FROM tokens WHERE word <> '' GROUP BY doc",
     "term_document_counts": f"WITH {COUNTS} SELECT word, doc, tf FROM counts",
+    "whole_document_counts": f"WITH {COUNTS} SELECT word, doc, tf FROM counts",
     "term_average_frequency": f"WITH {COUNTS} SELECT word, total, documents, average FROM averages",
     "inverted_index_postings": f"WITH {COUNTS} SELECT * FROM postings",
     "inverted_index_lines": f"""

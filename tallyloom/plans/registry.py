@@ -66,7 +66,8 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_index.term_document_counts(_documents(spark, sf_dir))
+    """Counts of the table of documents, which has one row per document."""
+    return text_index.whole_document_counts(_documents(spark, sf_dir))
 
 
 def word_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +76,10 @@ def word_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_index.term_document_counts(_documents(spark, sf_dir))
+
+
+def whole_document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counts(spark, sf_dir)
 
 
@@ -83,7 +88,8 @@ def term_average_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inverted_index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_index.inverted_index_postings(_counts(spark, sf_dir))
+    documents = _table(spark, sf_dir, "documents").count()
+    return text_index.inverted_index_postings(_counts(spark, sf_dir), documents=documents)
 
 
 def inverted_index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,6 +269,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         supplier_lines,
         word_occurrences,
         term_document_counts,
+        whole_document_counts,
         term_average_frequency,
         inverted_index_postings,
         inverted_index_lines,

@@ -53,6 +53,20 @@ def test_index_counts_shuffle_once_and_read_two_columns(spark, tables):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
 
 
+def test_whole_documents_are_counted_in_place(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    text = plan(text_index.whole_document_counts(docs))
+    assert "Exchange" not in text and text.count("split(") == 1
+
+
+def test_one_shuffle_for_averages_and_for_postings(spark, tables):
+    counts = text_index.whole_document_counts(spark.read.parquet(f"{tables}/documents.parquet"))
+    assert plan(text_index.term_average_frequency(counts)).count(" Exchange") == 1
+    frequent = text_index.frequent_words(counts, 50)
+    text = plan(text_index.inverted_index_postings(counts, 50, frequent=frequent))
+    assert text.count("Exchange hashpartitioning") == 2 and "BroadcastHashJoin" in text
+
+
 def test_filters_reach_the_scan(spark, tables):
     text = plan(registry.plays(spark, tables).filter("event_id < 10"))
     assert "LessThan(event_id,10)" in text
