@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import SparkSession
 
+# Shuffle data per task to aim at.
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_tasks(shuffle_bytes: int) -> int:
+    """Shuffle partitions to start with; adaptive execution merges what stays small."""
+    return max(200, math.ceil(shuffle_bytes / TASK_BYTES))
+
 
 def build_session(
     app_name: str = "tallyloom",
     master: str | None = None,
     extra: dict[str, str] | None = None,
+    shuffle_bytes: int | None = None,
 ) -> SparkSession:
-    """Build (or fetch) a session with adaptive execution and a fixed time zone."""
+    """Build (or fetch) a session with adaptive execution and a fixed time zone.
+
+    ``shuffle_bytes`` is the size of the largest shuffle to expect, for an index
+    about four times the text.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if shuffle_bytes:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_tasks(shuffle_bytes)))
     if master:
         builder = builder.master(master)
     for key, value in (extra or {}).items():
