@@ -115,11 +115,9 @@ def inverted_index_postings(
     given and fits into one line. They are broadcast if their measured size
     allows it; otherwise they are joined by key, which splits heavy words.
     """
-    posting = F.concat(F.col("doc").cast("string"), F.lit(":"), F.col("tf").cast("string"))
-    rows = counts.withColumn("posting", posting)
     total, found = F.sum("tf"), F.count(F.lit(1))
     if frequent is None and documents is not None and documents <= postings_per_line:
-        placed = rows.withColumn("line_no", F.lit(0).cast("long"))
+        placed = counts.withColumn("line_no", F.lit(0).cast("long"))
     else:
         if frequent is None:
             frequent = settled(frequent_words(counts, postings_per_line))
@@ -127,19 +125,23 @@ def inverted_index_postings(
             F.pmod(F.xxhash64("doc"), F.col("line_count"))
         )
         small = _measured_bytes(frequent) <= BROADCAST_BYTES
-        placed = rows.join(F.broadcast(frequent) if small else frequent, "word", "left").withColumn(
-            "line_no", line_no
-        )
+        placed = counts.join(
+            F.broadcast(frequent) if small else frequent, "word", "left"
+        ).withColumn("line_no", line_no)
         if not small:
             # The join has put each word in one place; deal its lines out again.
             placed = placed.repartition("word", "line_no")
         total = F.coalesce(F.max("word_total"), total)
         found = F.coalesce(F.max("word_documents"), found)
-    listed = F.sort_array(F.collect_list(F.struct("doc", "posting")))
+    # Text is made after the shuffle, which then carries each document id once.
+    listed = F.transform(
+        F.sort_array(F.collect_list(F.struct("doc", "tf"))),
+        lambda p: F.concat(p["doc"].cast("string"), F.lit(":"), p["tf"].cast("string")),
+    )
     return placed.groupBy("word", "line_no").agg(
         found.alias("documents"),
         half_up_ratio(total, found, 2).alias("average"),
-        F.array_join(listed["posting"], "; ").alias("postings"),
+        F.array_join(listed, "; ").alias("postings"),
     )
 
 

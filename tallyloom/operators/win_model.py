@@ -267,8 +267,8 @@ def fit_team_ratings(
     ratio = 1.0
     for _ in range(rounds):
         ratings = settled(_rating_round(pairs, ratings, ratio, step))
-        change = ratings.filter(F.col("team").isNull()).select("r_away").first()
-        ratio += (change[0] if change else 0.0) / max(total, 1)
+        change = ratings.filter(F.col("team").isNull()).select("r_away").collect()
+        ratio += (change[0]["r_away"] if change else 0.0) / max(total, 1)
     return TeamRatings(ratings.filter(F.col("team").isNotNull()), ratio)
 
 

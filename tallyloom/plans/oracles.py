@@ -73,6 +73,7 @@ TEXT = {
     "inverted_index_lines": f"""
 WITH {COUNTS} SELECT word, printf('%.2f', average) || ', ' || postings AS value FROM postings
 """,
+    "averages_from_index_lines": f"WITH {COUNTS} SELECT word, average FROM averages",
     "words_by_frequency_asc": f"WITH {COUNTS} SELECT word, average FROM averages ORDER BY average, word",
     "words_by_frequency_desc": f"WITH {COUNTS} SELECT word, average FROM averages ORDER BY average DESC, word",
 }
@@ -237,6 +238,13 @@ SELECT away_team || ',' || {_four("away_wins")} || ',' || home_team || ',' || {_
 FROM shares
 """,
     "match_features": f"WITH {MATCHES} SELECT * FROM matches",
+    "match_profile_lines": f"""
+WITH {MATCHES}
+SELECT concat_ws(':', away_team, concat_ws(',', away_score, {", ".join(f"away_r{i}" for i in FEATURES)}))
+       || ';' ||
+       concat_ws(':', home_team, concat_ws(',', home_score, {", ".join(f"home_r{i}" for i in FEATURES)})) AS line
+FROM matches
+""",
     "team_profiles": f"""
 WITH {MATCHES} SELECT team, {", ".join(f"round(r{i}, 6) + 0.0 AS r{i}" for i in FEATURES)} FROM profiles
 """,

@@ -96,6 +96,11 @@ def inverted_index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_index.index_lines(inverted_index_postings(spark, sf_dir))
 
 
+def averages_from_index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = inverted_index_lines(spark, sf_dir).withColumnRenamed("word", "key")
+    return text_index.averages_from_lines(lines)
+
+
 def words_by_frequency_asc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_index.words_by_frequency(term_average_frequency(spark, sf_dir))
 
@@ -155,6 +160,10 @@ def match_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return playlog.match_features(plays(spark, sf_dir))
 
 
+def match_profile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return playlog.match_profile_lines(match_features(spark, sf_dir))
+
+
 def team_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = playlog.team_profiles(match_features(spark, sf_dir))
     return profiles.select("team", *[_rounded(F.col(r)).alias(r) for r in playlog.PROFILE])
@@ -273,6 +282,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         term_average_frequency,
         inverted_index_postings,
         inverted_index_lines,
+        averages_from_index_lines,
         words_by_frequency_asc,
         words_by_frequency_desc,
         event_outcome_label,
@@ -286,6 +296,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         head_to_head_share,
         head_to_head_lines,
         match_features,
+        match_profile_lines,
         team_profiles,
         kmeans_assign,
         kmeans_step,
