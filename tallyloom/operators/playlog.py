@@ -24,9 +24,8 @@ STAT_NAMES = {
     "block": "盖帽",
 }
 
-# Wording of the outcome labels, after the event id.
-SCORED_LABEL = ",%s 得 %s 分"
-NO_SCORE_LABEL = ",不得分"
+# Wording of the outcome labels, "event,team 得 n 分" or "event,不得分".
+SCORES, POINTS, NO_SCORE = " 得 ", " 分", "不得分"
 
 # Fouls charged to the acting team; any other goes to its opponent.
 OWN_FOULS = ("offensive", "loose ball")
@@ -65,14 +64,14 @@ def outcome_labels(plays: DataFrame) -> DataFrame:
 
 def outcome_lines(plays: DataFrame) -> DataFrame:
     """Outcome labels as text in text order: ``event_id, label_line``."""
-    event = F.col("event_id").cast("string")
-    scored = F.format_string(
-        "%s" + SCORED_LABEL,
-        event,
-        F.coalesce(F.col("play_by"), F.lit("")),
+    scored = F.concat(
+        F.coalesce("play_by", F.lit("")),
+        F.lit(SCORES),
         F.col("points").cast("string"),
+        F.lit(POINTS),
     )
-    line = F.when(F.col("points").isNull(), F.concat(event, F.lit(NO_SCORE_LABEL))).otherwise(scored)
+    label = F.when(F.col("points").isNull(), F.lit(NO_SCORE)).otherwise(scored)
+    line = F.concat(F.col("event_id").cast("string"), F.lit(","), label)
     return outcome_labels(plays).select("event_id", line.alias("label_line")).orderBy("label_line")
 
 

@@ -6,7 +6,7 @@ one common table expression per step or round.
 
 from __future__ import annotations
 
-from tallyloom.operators.playlog import NO_SCORE_LABEL, OWN_FOULS, STAT_NAMES
+from tallyloom.operators.playlog import NO_SCORE, OWN_FOULS, POINTS, SCORES, STAT_NAMES
 from tallyloom.operators.win_model import RATING_COLUMNS
 from tallyloom.plans import registry as r
 
@@ -205,8 +205,8 @@ PLAYLOG = {
     "event_outcome_label": f"WITH {PLAYS} SELECT * FROM labels_per_event",
     "event_outcome_lines": f"""
 WITH {PLAYS}
-SELECT event_id, CASE WHEN points IS NULL THEN event_id || '{NO_SCORE_LABEL}'
-                      ELSE event_id || ',' || play_by || ' 得 ' || points || ' 分' END AS label_line
+SELECT event_id, event_id || ',' || CASE WHEN points IS NULL THEN '{NO_SCORE}'
+                                         ELSE play_by || '{SCORES}' || points || '{POINTS}' END AS label_line
 FROM labels_per_event ORDER BY label_line
 """,
     "match_scores": f"WITH {PLAYS} SELECT * FROM scores ORDER BY game_date, home_team, away_team",

@@ -53,3 +53,10 @@ def test_array_helpers(spark):
     assert value(spark, fn.outer_product(a, b)) == [3.0, 5.0, 6.0, 10.0]
     assert value(spark, fn.bilinear(a, [[1, 0], [0, 2]], b)) == 23.0
     assert value(spark, fn.logistic(F.lit(0.0))) == 0.5
+
+
+def test_shuffle_tasks():
+    from tallyloom.session import TASK_BYTES, shuffle_tasks
+
+    assert shuffle_tasks(1) == 200
+    assert shuffle_tasks(1000 * TASK_BYTES + 1) == 1001
