@@ -6,12 +6,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PARTIAL_SCHEMA = "slot INT, weight DOUBLE, mean ARRAY<DOUBLE>"
+PARTIAL_SCHEMA = "slot INT, share INT, weight DOUBLE, mean ARRAY<DOUBLE>"
+
+# Reducers per slot, so that a single slot is not merged by a single task.
+SHARES = 16
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -29,9 +33,9 @@ def slot_sums(
     """Total weight and weighted mean array per slot.
 
     ``add`` puts one batch into a task's ``slots`` weights and ``slots x width``
-    sums. A task sends at most one row per slot to the shuffle, where rows are
-    merged as they arrive, and the driver receives at most one row per slot,
-    whatever the number of input rows or the share one slot has of them.
+    sums. A task sends at most one row per slot to the shuffle, a few reducers per
+    slot merge them as they arrive, and the driver receives one row from each,
+    whatever the number of input rows or the part one slot has of them.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,22 +44,28 @@ def slot_sums(
         for batch in batches:
             add(batch, weights, sums)
         used = np.flatnonzero(weights)
+        share = TaskContext.get().partitionId() % SHARES
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(used, pa.int32()),
+                pa.array(np.full(len(used), share), pa.int32()),
                 pa.array(weights[used], pa.float64()),
                 pa.array((sums[used] / weights[used, None]).tolist(), pa.list_(pa.float64())),
             ],
-            names=["slot", "weight", "mean"],
+            names=["slot", "share", "weight", "mean"],
         )
 
     merged = (
         df.mapInArrow(partial, PARTIAL_SCHEMA)
-        .groupBy("slot")
+        .groupBy("slot", "share")
         .agg(
             F.sum("weight").alias("weight"),
             Summarizer.mean(array_to_vector("mean"), F.col("weight")).alias("mean"),
         )
         .select("slot", "weight", vector_to_array("mean").alias("mean"))
     )
-    return {r["slot"]: (r["weight"], np.array(r["mean"])) for r in merged.collect()}
+    weights, sums = np.zeros(slots), np.zeros((slots, width))
+    for row in merged.collect():
+        weights[row["slot"]] += row["weight"]
+        sums[row["slot"]] += row["weight"] * np.array(row["mean"])
+    return {int(s): (weights[s], sums[s] / weights[s]) for s in np.flatnonzero(weights)}
