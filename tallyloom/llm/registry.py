@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, packing, secret_scan, sharding
+from tallyloom.llm import decontamination, near_duplicates, packing, repeated_text, secret_scan, sharding
 from tallyloom.llm.oracles import ORACLES
 from tallyloom.sources import read_table
 
@@ -37,6 +37,16 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place_on_shards(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_duplicates.near_duplicate_classes(_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "class_size")
+
+
+def op6_repeated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return repeated_text.remove_repeats(docs, repeated_text.repeated_spans(docs))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         _table(spark, sf_dir, "documents"),
@@ -68,5 +78,13 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_decontamination, op3_sharding, op7_packing, op9_secrets)
+    query.__name__: query
+    for query in (
+        op1_decontamination,
+        op3_sharding,
+        op4_near_duplicates,
+        op6_repeated_text,
+        op7_packing,
+        op9_secrets,
+    )
 }

@@ -105,7 +105,7 @@ class Words:
 
 def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     """Words of the texts that lie in ``data`` between the ``offsets``."""
-    lowered = _CLASS[data]
+    lowered = np.frombuffer(data.tobytes().translate(_CLASS.tobytes()), np.uint8)
     inside = lowered > 0
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
