@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, near_duplicates, packing, repeated_text, secret_scan, sharding
+from tallyloom.llm import decontamination, edit_fingerprint, near_duplicates, packing, repeated_text, secret_scan, sharding
 from tallyloom.llm.oracles import ORACLES
 from tallyloom.sources import read_table
 
@@ -77,6 +77,10 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprint.compare_with_next(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -86,5 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_repeated_text,
         op7_packing,
         op9_secrets,
+        op10_fingerprints,
     )
 }
