@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, edit_fingerprint, near_duplicates, packing, repeated_text, secret_scan, sharding
+from tallyloom.llm import decontamination, edit_fingerprint, near_duplicates, packing, page_text, repeated_text, secret_scan, sharding
 from tallyloom.llm.oracles import ORACLES
 from tallyloom.sources import read_table
 
@@ -56,6 +56,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return page_text.extract_pages(pages, page_text.fit_page_weights(pages))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = secret_scan.find_secrets(docs, secret_scan.fit_random_model(docs))
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_near_duplicates,
         op6_repeated_text,
         op7_packing,
+        op8_page_text,
         op9_secrets,
         op10_fingerprints,
     )
