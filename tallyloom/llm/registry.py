@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, edit_fingerprint, near_duplicates, packing, page_text, repeated_text, secret_scan, sharding
+from tallyloom.llm import decontamination, edit_fingerprint, near_duplicates, packing, page_text, quality, repeated_text, secret_scan, sharding, toxicity
 from tallyloom.llm.oracles import ORACLES
 from tallyloom.sources import read_table
 
@@ -33,6 +33,22 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fold(folds: int) -> F.Column:
+    """Remainder of the CRC-32 of the id as text."""
+    return F.crc32(F.col("doc_id").cast("string")) % folds
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit_toxicity(docs, labels.filter(_fold(3) != 1))
+    return toxicity.score_texts(docs, model).select(
+        "doc_id",
+        F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place_on_shards(_table(spark, sf_dir, "documents"), SHARDS)
 
@@ -42,6 +58,17 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "class_size")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.fit_quality(docs, labels.filter(_fold(5) != 0))
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op6_repeated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return repeated_text.remove_repeats(docs, repeated_text.repeated_spans(docs))
@@ -90,8 +117,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_decontamination,
+        op2_toxicity,
         op3_sharding,
         op4_near_duplicates,
+        op5_quality,
         op6_repeated_text,
         op7_packing,
         op8_page_text,
