@@ -220,3 +220,14 @@ def decontaminate(
         F.coalesce(summed["items"], F.array().cast("array<string>")).alias("items"),
         ((n_hit > 0) & (n_hit * 20 >= every["n_words"])).alias("contaminated"),
     )
+
+
+def keep_clean(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """The documents that are not contaminated, columns as given.
+
+    Only ids and text digests of contaminated documents are joined; null ids are matched too.
+    """
+    bad = judged.filter("contaminated").select("doc_id", F.col("text_key").alias("__bad_key")).distinct()
+    keyed = docs.withColumn("__key", F.md5(F.coalesce("text", F.lit(""))))
+    same = keyed["doc_id"].eqNullSafe(bad["doc_id"]) & (keyed["__key"] == bad["__bad_key"])
+    return keyed.join(bad, same, "left_anti").select(docs.columns)
