@@ -44,7 +44,7 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
-_STRETCH = "a: BIGINT, e: BIGINT, lo: BIGINT, n: INT, j: INT"
+_STRETCH = "a: BIGINT, e: BIGINT, lo: BIGINT, n: INT, j: INT, times: INT"
 _RANGES = "a BIGINT, e BIGINT, ranges ARRAY<STRUCT<`from`: INT, `to`: INT>>"
 
 _cache: dict[int, np.ndarray] = {}
@@ -80,13 +80,14 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 def stretches(
     data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM
 ) -> tuple[np.ndarray, ...]:
-    """``owner, anchor, equal, lo, starts, before`` for every stretch of some texts.
+    """``owner, anchor, equal, lo, starts, before, times`` for every stretch of some texts.
 
     ``anchor`` hashes the anchor, ``equal`` the whole stretch; ``lo`` is its first start in the text,
-    ``starts`` the number of its starts, ``before`` the bytes from the first start to the anchor.
+    ``starts`` the number of its starts, ``before`` the bytes from the first start to the anchor. Equal stretches one
+    right after the other, as in text of a short period, are one entry with their number in ``times``.
     """
     if len(data) < length:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, *[np.int64] * 4))
     hashes = Hashes(data)
     places = np.arange(len(data) - gram + 1)
     grams = hashes.of(places, places + gram)
@@ -104,7 +105,14 @@ def stretches(
     before = anchors[first] - lo
     equal = mix(hashes.of(lo, lo + n - 1 + length) + before.astype(np.uint64) * _U(0xC2B2AE3D27D4EB4F))
     owner = np.searchsorted(offsets, lo, "right") - 1
-    return owner, grams[anchors[first]], equal, lo - offsets[owner], n, before
+    anchor = grams[anchors[first]]
+    goes_on = (
+        (anchor[1:] == anchor[:-1]) & (equal[1:] == equal[:-1]) & (owner[1:] == owner[:-1]) & (lo[1:] == lo[:-1] + n[:-1])
+    )
+    leads = np.flatnonzero(np.concatenate([[True], ~goes_on]))
+    times = np.diff(np.append(leads, len(lo)))
+    owner, anchor, equal, lo, n, before = (x[leads] for x in (owner, anchor, equal, lo, n, before))
+    return owner, anchor, equal, lo - offsets[owner], n, before, times
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -117,13 +125,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _all_stretches(keyed: DataFrame, length: int, gram: int) -> DataFrame:
     """``doc_id, node, found`` for the documents that have stretches."""
     entry = pa.struct(
-        [("a", pa.int64()), ("e", pa.int64()), ("lo", pa.int64()), ("n", pa.int32()), ("j", pa.int32())]
+        [("a", pa.int64()), ("e", pa.int64()), ("lo", pa.int64()), ("n", pa.int32()), ("j", pa.int32()), ("times", pa.int32())]
     )
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, offsets in text_chunks(batch.column(2)):
-                owner, anchor, equal, lo, n, before = stretches(data, offsets, length, gram)
+                owner, anchor, equal, lo, n, before, times = stretches(data, offsets, length, gram)
                 counts = np.bincount(owner, minlength=len(offsets) - 1)
                 used = np.flatnonzero(counts)
                 fields = [
@@ -132,6 +140,7 @@ def _all_stretches(keyed: DataFrame, length: int, gram: int) -> DataFrame:
                     pa.array(lo),
                     pa.array(n.astype(np.int32)),
                     pa.array(before.astype(np.int32)),
+                    pa.array(times.astype(np.int32)),
                 ]
                 listed = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(counts[used])]).astype(np.int32)),
@@ -282,11 +291,19 @@ def _hashed_ranges(pieces: DataFrame, length: int) -> DataFrame:
     strings = stored(single.mapInArrow(string_rows, "a BIGINT, e BIGINT, j INT, at INT, h BIGINT, c BIGINT"))
     twice = strings.groupBy("a", "j", "h").agg(F.sum("c").alias("n")).filter("n > 1")
     more = strings.join(twice, ["a", "j", "h"]).select("a", "e", F.col("at").alias("from"), F.col("at").alias("to"))
-    return (
-        repeated.unionByName(more)
-        .groupBy("a", "e")
-        .agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
-    )
+    listed = repeated.unionByName(more).groupBy("a", "e").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                flags = np.zeros(max(x["to"] for x in r["ranges"]) + 1, bool)
+                for x in r["ranges"]:
+                    flags[x["from"] : x["to"] + 1] = True
+                out.append(r | {"ranges": runs_of(flags)})
+            yield pa.RecordBatch.from_pylist(out, schema=_RANGES_SCHEMA)
+
+    return listed.mapInArrow(merge, _RANGES)
 
 
 def repeated_spans(
@@ -302,12 +319,12 @@ def repeated_spans(
     """
     keyed = _keyed(docs)
     found = stored(_all_stretches(keyed, length, gram)).select("doc_id", "node", F.inline("found"))
-    repeated = found.groupBy("a").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    repeated = found.groupBy("a").agg(F.sum("times").alias("times")).filter("times > 1")
     rows = stored(found.join(repeated.select("a"), "a"))
     place = F.struct("doc_id", "node", "lo")
     equal = stored(
         rows.groupBy("a", "e").agg(
-            F.count(F.lit(1)).alias("c"), F.min(place).alias("place"), F.first("n").alias("n"), F.first("j").alias("j")
+            F.sum("times").alias("c"), F.min(place).alias("place"), F.first("n").alias("n"), F.first("j").alias("j")
         )
     )
     kinds = equal.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"))
@@ -325,8 +342,10 @@ def repeated_spans(
         alone.unionByName(_sorted_ranges(pieces.filter("not hot"), length, part_bytes))
         .unionByName(_hashed_ranges(pieces.filter("hot"), length))
     )
-    spans = rows.join(ranges, ["a", "e"]).select("doc_id", "node", "lo", F.inline("ranges"))
-    return spans.groupBy("doc_id", "node").agg(
+    # Stretches that follow their like are repeated as they stand.
+    several = rows.filter("times > 1").select("doc_id", "node", "lo", F.lit(0).alias("from"), F.expr("n * times - 1").alias("to"))
+    single = rows.filter("times = 1").join(ranges, ["a", "e"]).select("doc_id", "node", "lo", F.inline("ranges"))
+    return several.unionByName(single).groupBy("doc_id", "node").agg(
         F.collect_list(
             F.struct((F.col("lo") + F.col("from")).alias("from"), (F.col("lo") + F.col("to") + length).alias("to"))
         ).alias("spans")
