@@ -13,10 +13,11 @@ carries one of ``k`` coordinates, and the least rank per coordinate is the signa
 with an empty coordinate looks further up. The work for a document
 follows the larger of its length and ``k ln k``, whatever the weights.
 
-*Links.* Signatures are cut into bands. In every bucket, each text is compared with the least text
-(a star, not all pairs). Texts of a bucket that are in different classes afterwards
-are then compared with each other, so no pair that shares a bucket and is
-similar is lost. All comparisons count shingles of the whole texts.
+*Links.* Signatures are cut into bands. In every bucket, each text is compared with one centre (a star, not all
+pairs): the text that meets most others in all its buckets, which is the likely original of a
+group of edited copies. Where a bucket still holds several classes, its texts are dealt into blocks of
+bounded size and blocks are compared pair by pair inside tasks, which return links only; so no
+pair that shares a bucket and is similar is lost. All comparisons count shingles of the whole texts.
 
 Null and empty texts are classes of their own. A null ``doc_id`` never names a class that has
 another one. Repeated rows each get their row. Extra columns are ignored.
@@ -40,6 +41,11 @@ SHINGLE, THRESHOLD = 5, 0.8
 # A pair at the threshold shares no band with a probability of 5e-6.
 BANDS, ROWS = 40, 6
 
+# Texts, and bytes of text, in a block of a bucket with several classes.
+BLOCK_TEXTS, BLOCK_BYTES = 512, 4 * 1024 * 1024
+# Bytes of text that a task compares at once, and distinct cells of a step of a comparison.
+UNIT_BYTES, COLUMNS = 8 * 1024 * 1024, 8192
+
 _U = np.uint64
 _STEP, _STRIP, _CELL = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
 
@@ -114,12 +120,12 @@ def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signed_texts(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, node, empty, bands`` per document; ``node`` stands for the text, texts without words have no bands."""
+    """``doc_id, node, empty, size, bands`` per document; ``node`` stands for the text, texts without words have no bands."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             listed: list = [[]] * batch.num_rows
-            for first, data, offsets in text_chunks(batch.column(3)):
+            for first, data, offsets in text_chunks(batch.column(4)):
                 words = split_words(data, offsets)
                 n = len(words.counts)
                 owner, tokens, weights = weighted_shingles(words, shingle)
@@ -128,11 +134,11 @@ def signed_texts(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle:
                 for k in np.flatnonzero(words.counts).tolist():
                     listed[first + k] = hashes[k]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(listed, pa.list_(pa.int64()))],
-                names=["doc_id", "node", "empty", "bands"],
+                [*batch.columns[:4], pa.array(listed, pa.list_(pa.int64()))],
+                names=["doc_id", "node", "empty", "size", "bands"],
             )
 
-    return _keyed(docs).mapInArrow(sign, "doc_id BIGINT, node BINARY, empty BOOLEAN, bands ARRAY<BIGINT>")
+    return _keyed(docs).mapInArrow(sign, "doc_id BIGINT, node BINARY, empty BOOLEAN, size INT, bands ARRAY<BIGINT>")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -141,6 +147,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.unhex(F.md5(text)).alias("node"),
         (text == "").alias("empty"),
+        F.octet_length(text).alias("size"),
         text.alias("text"),
     )
 
@@ -194,29 +201,109 @@ def near_duplicate_links(
 ) -> DataFrame:
     """Enough verified links ``a, b`` between the nodes to join all similar texts that share a bucket."""
     placed = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = placed.groupBy("band").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stored(placed.join(buckets.select("band", "least"), "band"))
+    buckets = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = stored(placed.join(buckets, "band"))
 
-    stars = settled(members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
+    met = members.groupBy("node").agg(F.sum("n").alias("met"))
+    centres = members.select("band", "node").join(met, "node").groupBy("band").agg(
+        F.max(F.struct("met", "node"))["node"].alias("centre")
+    )
+    stars = members.join(centres, "band").filter("node <> centre")
+    stars = settled(stars.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
     links = settled(_verified(stars, _needed_texts(docs, nodes, stars), threshold, shingle))
 
     classes = components(links)
     labelled = members.join(classes, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    sizes = labelled.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    sized = nodes.select("node", "size")
     mixed = (
-        sizes.groupBy("band")
-        .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-        .filter("roots > 1")
+        labelled.join(sized, "node")
+        .groupBy("band")
+        .agg(
+            F.min("root").alias("one"),
+            F.max("root").alias("other"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum("size").alias("bytes"),
+        )
+        .filter("one <> other")
+        .select("band", F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("bytes") / BLOCK_BYTES)).alias("blocks"))
     )
-    labelled = settled(labelled.join(mixed.select("band", "main"), "band"))
-    minor = labelled.filter("root <> main").select("band", F.col("node").alias("x"), F.col("root").alias("x_root"))
-    across = labelled.join(minor, "band").filter("root <> x_root")
-    across = across.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
-    across = settled(across.join(stars, ["a", "b"], "left_anti"))
-    more = _verified(across, _needed_texts(docs, nodes, across), threshold, shingle)
+    several = stored(labelled.join(mixed, "band"))
+    wanted = several.select(F.col("node").alias("a"), F.col("node").alias("b")).distinct()
+    more = _links_across(several, _needed_texts(docs, nodes, wanted), threshold, shingle)
     return links.unionByName(more)
 
 
+def _cells(text: str, shingle: int) -> np.ndarray:
+    """A text's weighted set as plain numbers: one for each occurrence of each shingle."""
+    tokens, weights = _text_set(text, shingle)
+    element, cell = _repeat_count(weights.astype(np.int64))
+    return mix(tokens[element] + cell.astype(np.uint64) * _CELL)
+
+
+def similar_across(
+    left: list[np.ndarray], right: list[np.ndarray], differ: np.ndarray, threshold: float
+) -> list[tuple[int, int]]:
+    """Numbers of the pairs of a left and a right set of cells that are similar enough, among those that ``differ`` admits."""
+    sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+    owners = [np.repeat(np.arange(len(side)), n) for side, n in zip((left, right), sizes)]
+    cells, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    places = [place[: sizes[0].sum()], place[sizes[0].sum() :]]
+    common = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, len(cells), COLUMNS):
+        tables = []
+        for owner, at, side in zip(owners, places, (left, right)):
+            here = (at >= first) & (at < first + COLUMNS)
+            table = np.zeros((len(side), min(COLUMNS, len(cells) - first)), np.float32)
+            table[owner[here], at[here] - first] = 1
+            tables.append(table)
+        common += tables[0] @ tables[1].T
+    total = sizes[0][:, None] + sizes[1][None, :] - common
+    x, y = np.nonzero(differ & (common >= threshold * total) & (total > 0))
+    return list(zip(x.tolist(), y.tolist()))
+
+
+def _links_across(several: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
+    """Links between texts of different classes that share a bucket: ``band, node, root, blocks`` of all its members.
+
+    A member is sent to as many pairs of blocks as its bucket has blocks; a task gets whole pairs of blocks of bounded size.
+    """
+    block = F.pmod(F.xxhash64("node", "band"), F.col("blocks"))
+    dealt = (
+        several.withColumn("block", block)
+        .withColumn("partner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("band", "node", "root", "block", F.least("block", "partner").alias("x"), F.greatest("block", "partner").alias("y"))
+        .join(texts, "node")
+    )
+    total = dealt.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+    unit = F.pmod(F.xxhash64("band", "x", "y"), F.lit(max(1, -(-total // UNIT_BYTES))))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("band", "ascending"), ("x", "ascending"), ("y", "ascending"), ("node", "ascending")])
+        band, x, y, block = (table[c].to_numpy() for c in ("band", "x", "y", "block"))
+        nodes, roots, text = (table[c].combine_chunks() for c in ("node", "root", "text"))
+        known: dict[bytes, np.ndarray] = {}
+        found: set[tuple[bytes, bytes]] = set()
+        cuts = np.flatnonzero((band[1:] != band[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1
+        for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), len(band)]):
+            here = np.arange(first, last)
+            sides = [here[block[here] == x[first]], here[block[here] == y[first]]]
+            names = [[nodes[k].as_py() for k in side.tolist()] for side in sides]
+            classes = [np.array([roots[k].as_py() for k in side.tolist()], object) for side in sides]
+            differ = classes[0][:, None] != classes[1][None, :]
+            if not differ.any():
+                continue
+            for name, k in zip(names[0] + names[1], np.concatenate(sides).tolist()):
+                if name not in known:
+                    known[name] = _cells(text[k].as_py(), shingle)
+            sets = [[known[n] for n in side] for side in names]
+            for i, j in similar_across(*sets, differ, threshold):
+                found.add((min(names[0][i], names[1][j]), max(names[0][i], names[1][j])))
+        columns = list(zip(*sorted(found))) or [[], []]
+        return pa.table({"a": pa.array(columns[0], pa.binary()), "b": pa.array(columns[1], pa.binary())})
+
+    return dealt.withColumn("unit", unit).groupBy("unit").applyInArrow(compare, "a BINARY, b BINARY").distinct()
+
+
 def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """One row per document: ``doc_id, node, class_id, class_size``.
 
@@ -226,7 +313,7 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, shingl
     nodes = stored(
         signed.filter("not empty")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("docs"), F.first("bands").alias("bands"))
+        .agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("docs"), F.first("size").alias("size"), F.first("bands").alias("bands"))
     )
     classes = settled(components(near_duplicate_links(docs, nodes, threshold, shingle)))
     rooted = nodes.select("node", "first_doc", "docs").join(classes, "node", "left")
