@@ -4,6 +4,9 @@ Only the vector column is read for a step. Each task adds up its points per
 cluster, so a step shuffles one row per task and cluster, and the driver sees
 one row per cluster. Centres are ordered by cluster id, never by position in a
 file, and a cluster that loses all its points keeps its centre.
+
+A vector with a null or NaN coordinate counts as not given, like a null vector: it
+has no cluster and is in no sum. ``points_left_out`` counts such rows.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.partials import matrix, slot_sums
@@ -28,6 +31,7 @@ class Clustering:
 
     centers: np.ndarray
     shifts: list[float]
+    converged: bool
 
     @property
     def steps(self) -> int:
@@ -82,7 +86,18 @@ def assign(
         )
         return pa.array(cluster, mask=~given)
 
-    return points.withColumn("cluster", cluster_of(F.col(vector)))
+    known = F.when(usable(F.col(vector)), F.col(vector))
+    return points.withColumn("cluster", cluster_of(known))
+
+
+def usable(vector: Column) -> Column:
+    """Whether a vector is given in full: no null, no coordinate that is null or NaN."""
+    return vector.isNotNull() & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x))
+
+
+def points_left_out(points: DataFrame, vector: str = "point") -> int:
+    """Rows that are in no cluster because their vector is not given in full."""
+    return points.filter(~usable(F.col(vector))).count()
 
 
 def lloyd_step(
@@ -90,6 +105,8 @@ def lloyd_step(
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """One step: new centres, points per cluster, and the squared error of the old centres."""
     centers = np.asarray(centers, dtype=np.float64)
+    if not np.all(np.isfinite(centers)):
+        raise ValueError("a starting centre has a coordinate that is not finite")
     clusters, width = centers.shape
     context = points.sparkSession.sparkContext
     shared = context.broadcast(centers)
@@ -102,9 +119,9 @@ def lloyd_step(
         for i in np.unique(index):
             sums[i, :width] += values[index == i].sum(axis=0)
 
-    given = points.select(vector).filter(F.col(vector).isNotNull())
+    given = points.select(vector).filter(usable(F.col(vector)))
     merged = slot_sums(given, add, clusters, width + 1)
-    shared.unpersist()
+    shared.destroy()
     moved = centers.copy()
     sizes = np.zeros(clusters, dtype=np.int64)
     error = 0.0
@@ -130,6 +147,9 @@ def fit(
 ) -> Clustering:
     """Repeat steps until the total squared shift falls below the threshold.
 
+    A caller who passes ``max_steps`` learns from ``converged`` whether it did. A shift that
+    is not finite is an error.
+
     ``snapshot_dir`` keeps the centres of each step in ``center_0``,
     ``center_1``, …; a lost driver can go on from the last of them.
     """
@@ -143,6 +163,8 @@ def fit(
             )
         shifts.append(squared_shift(current, moved))
         current = moved
+        if not np.isfinite(shifts[-1]):
+            raise ValueError("the centres have moved beyond all numbers")
         if shifts[-1] < threshold:
             break
-    return Clustering(current, shifts)
+    return Clustering(current, shifts, bool(shifts) and shifts[-1] < threshold)

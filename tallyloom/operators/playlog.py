@@ -34,6 +34,12 @@ OWN_FOULS = ("offensive", "loose ball")
 TEAM_REBOUNDER = "Team"
 
 
+def _joined(mark: str, *fields: Column | str) -> Column:
+    """Fields as text with a mark between them; a null is an empty field, so none moves up."""
+    texts = [F.coalesce((F.col(f) if isinstance(f, str) else f).cast("string"), F.lit("")) for f in fields]
+    return F.concat_ws(mark, *texts)
+
+
 def _free_throw_made() -> Column:
     return F.coalesce(F.col("free_throw_outcome") == "make", F.lit(False))
 
@@ -109,7 +115,7 @@ def scores_in_order(scores: DataFrame) -> DataFrame:
 def match_score_lines(scores: DataFrame) -> DataFrame:
     """Match scores as ``date,home,home score,away,away score`` text: ``line``."""
     return scores.select(
-        F.concat_ws(",", "game_date", "home_team", "home_score", "away_team", "away_score").alias("line")
+        _joined(",", "game_date", "home_team", "home_score", "away_team", "away_score").alias("line")
     )
 
 
@@ -176,7 +182,7 @@ def leaderboard_lines(board: DataFrame) -> DataFrame:
     return (
         board.withColumn("shown", shown[F.col("stat")])
         .orderBy("shown", "rank", "player")
-        .select(F.concat_ws(",", "shown", "rank", "player", "n").alias("line"))
+        .select(_joined(",", "shown", "rank", "player", "n").alias("line"))
     )
 
 
@@ -200,7 +206,7 @@ def head_to_head_lines(shares: DataFrame) -> DataFrame:
     away = half_up_ratio(F.col("away_wins"), F.col("matches"), 4)
     home = half_up_ratio(F.col("matches") - F.col("away_wins"), F.col("matches"), 4)
     return shares.select(
-        F.concat_ws(",", "away_team", fixed_text(away, 4), "home_team", fixed_text(home, 4)).alias("line")
+        _joined(",", "away_team", fixed_text(away, 4), "home_team", fixed_text(home, 4)).alias("line")
     )
 
 
@@ -290,12 +296,12 @@ def match_profile_lines(matches: DataFrame) -> DataFrame:
     """Match profiles as ``away:score,r0,…;home:score,r0,…`` text: ``line``."""
 
     def half(name: str) -> Column:
-        numbers = F.concat_ws(",", f"{name}_score", *[f"{name}_{r}" for r in PROFILE])
-        return F.concat_ws(":", F.col(f"{name}_team"), numbers)
+        numbers = _joined(",", f"{name}_score", *[f"{name}_{r}" for r in PROFILE])
+        return _joined(":", F.col(f"{name}_team"), numbers)
 
-    return matches.select(F.concat_ws(";", half("away"), half("home")).alias("line"))
+    return matches.select(_joined(";", half("away"), half("home")).alias("line"))
 
 
 def team_profile_lines(profiles: DataFrame) -> DataFrame:
     """Team profiles as ``team,r0,…,r8`` text: ``line``."""
-    return profiles.select(F.concat_ws(",", "team", *PROFILE).alias("line"))
+    return profiles.select(_joined(",", "team", *PROFILE).alias("line"))

@@ -1,22 +1,19 @@
 """Inverted index over a text collection.
 
 The long table ``word, doc, tf`` is the index at any size. Rendered postings
-are cut into lines of bounded length, so that a word found in a large share of
+are cut into lines by blocks of documents, so that a word found in a large share of
 all documents never has to fit into one row or one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import fixed_text, half_up_ratio, words
-from tallyloom.operators.lineage import settled
+from tallyloom.operators.lineage import stored
 
-POSTINGS_PER_LINE = 100_000
-
-# Frequent words up to this size together are sent to every task.
-BROADCAST_BYTES = 16 * 1024 * 1024
+DOCUMENTS_PER_LINE = 100_000
 
 
 def word_rows(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -26,6 +23,12 @@ def word_rows(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataF
     ).filter(F.col("word") != "")
 
 
+def word_occurrences(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Number of word occurrences on every row: ``doc, words``; counted in place."""
+    found = F.size(F.filter(words(text), lambda w: w != ""))
+    return docs.select(F.col(doc).alias("doc"), F.when(F.col(text).isNull(), 0).otherwise(found).cast("long").alias("words"))
+
+
 def term_document_counts(
     docs: DataFrame, doc: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -80,74 +83,51 @@ def term_average_frequency(counts: DataFrame) -> DataFrame:
     )
 
 
-def frequent_words(
-    counts: DataFrame, postings_per_line: int = POSTINGS_PER_LINE
-) -> DataFrame:
-    """Words whose postings need several lines, with their totals and line count."""
-    return (
-        term_average_frequency(counts)
-        .filter(F.col("documents") > postings_per_line)
-        .select(
-            "word",
-            F.col("total").alias("word_total"),
-            F.col("documents").alias("word_documents"),
-            F.ceil(F.col("documents") / postings_per_line).alias("line_count"),
-        )
-    )
-
-
 def inverted_index_postings(
-    counts: DataFrame,
-    postings_per_line: int = POSTINGS_PER_LINE,
-    frequent: DataFrame | None = None,
-    documents: int | None = None,
+    counts: DataFrame, block: Column | None = None, documents_per_line: int = DOCUMENTS_PER_LINE
 ) -> DataFrame:
     """Postings per word: ``word, line_no, documents, average, postings``.
 
-    ``postings`` reads ``doc:n; doc:n`` in document order. A word found in at
-    most ``postings_per_line`` documents has the single line 0. A more frequent
-    word gets as many lines as needed; a hash of the document picks the line, so
-    lines come out about equally long and together hold every posting.
-    ``documents`` and ``average`` always describe the whole word.
+    ``postings`` reads ``doc:n; doc:n`` in document order. Every word is cut by blocks of
+    documents, ``block``, so a line never holds more postings than a block has documents, however
+    frequent the word. By default ``doc`` is a number, and a block is a range of
+    ``documents_per_line`` of them; the lines of a word, taken by ``line_no``, are then in document order. ``documents``
+    and ``average`` always describe the whole word.
 
-    The frequent words are looked up first, in a pass over ``counts``, unless
-    they are given (see ``frequent_words``) or the number of all documents is
-    given and fits into one line. They are broadcast if their measured size
-    allows it; otherwise they are joined by key, which splits heavy words.
+    The lines are written once to the shared folder; the totals of the words are read from
+    their narrow columns.
     """
-    total, found = F.sum("tf"), F.count(F.lit(1))
-    if frequent is None and documents is not None and documents <= postings_per_line:
-        placed = counts.withColumn("line_no", F.lit(0).cast("long"))
-    else:
-        if frequent is None:
-            frequent = settled(frequent_words(counts, postings_per_line))
-        line_no = F.when(F.col("line_count").isNull(), F.lit(0).cast("long")).otherwise(
-            F.pmod(F.xxhash64("doc"), F.col("line_count"))
-        )
-        small = _measured_bytes(frequent) <= BROADCAST_BYTES
-        placed = counts.join(
-            F.broadcast(frequent) if small else frequent, "word", "left"
-        ).withColumn("line_no", line_no)
-        if not small:
-            # The join has put each word in one place; deal its lines out again.
-            placed = placed.repartition("word", "line_no")
-        total = F.coalesce(F.max("word_total"), total)
-        found = F.coalesce(F.max("word_documents"), found)
+    if block is None:
+        block = F.floor(F.col("doc") / documents_per_line).cast("long")
     # Text is made after the shuffle, which then carries each document id once.
     listed = F.transform(
         F.sort_array(F.collect_list(F.struct("doc", "tf"))),
         lambda p: F.concat(p["doc"].cast("string"), F.lit(":"), p["tf"].cast("string")),
     )
-    return placed.groupBy("word", "line_no").agg(
-        found.alias("documents"),
-        half_up_ratio(total, found, 2).alias("average"),
-        F.array_join(listed, "; ").alias("postings"),
+    lines = stored(
+        counts.withColumn("line_no", block)
+        .groupBy("word", "line_no")
+        .agg(
+            F.sum("tf").alias("line_total"),
+            F.count(F.lit(1)).alias("line_documents"),
+            F.array_join(listed, "; ").alias("postings"),
+        )
     )
+    total, found = F.sum("line_total"), F.sum("line_documents")
+    words_found = lines.groupBy("word").agg(
+        found.alias("documents"), half_up_ratio(total, found, 2).alias("average")
+    )
+    return lines.join(words_found, "word").select("word", "line_no", "documents", "average", "postings")
+
+
+def document_blocks(doc: str = "doc", blocks: int = 1) -> Column:
+    """Block number for documents named by text: a hash into as many blocks as the caller wants, the same for every word."""
+    return F.pmod(F.xxhash64(doc), F.lit(blocks))
 
 
-def _measured_bytes(frequent: DataFrame) -> int:
-    """Size of the frequent words in memory, roughly: their letters and the numbers beside them."""
-    return frequent.agg(F.coalesce(F.sum(F.octet_length("word") + 64), F.lit(0))).first()[0]
+def repeated_documents(docs: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Ids found on more than one row, with their number of rows: empty where ``whole_document_counts`` may be used."""
+    return docs.groupBy(doc).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
 def index_lines(postings: DataFrame) -> DataFrame:

@@ -22,6 +22,10 @@ from tallyloom.operators.playlog import PROFILE, away_win, team_rows
 SIZE = len(PROFILE)
 WEIGHTS = SIZE + SIZE + SIZE * SIZE
 
+# A fit ends when a round changes the mean loss, or any rating, by less than this.
+LOSS_TOLERANCE = 1e-3
+RATING_TOLERANCE = 2e-2
+
 # Number of rotation pairs in a team's rating.
 ROTATIONS = 2
 ROTATION_COLUMNS = tuple(f"rot{i}" for i in range(2 * ROTATIONS))
@@ -39,6 +43,12 @@ class WinModel:
     scale: np.ndarray
     weights: np.ndarray = field(default_factory=lambda: np.zeros(WEIGHTS))
     losses: list[float] = field(default_factory=list)
+    converged: bool = False
+
+    @property
+    def last_change(self) -> float:
+        """Change of the mean loss in the last round."""
+        return abs(self.losses[-1] - self.losses[-2]) if len(self.losses) > 1 else float("inf")
 
     @property
     def w_away(self) -> np.ndarray:
@@ -96,10 +106,16 @@ def feature_scale(matches: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_win_model(
-    matches: DataFrame, rounds: int = 100, step: float = 0.5
+    matches: DataFrame,
+    step: float = 0.5,
+    tolerance: float = LOSS_TOLERANCE,
+    max_rounds: int | None = None,
 ) -> WinModel:
     """Fit the bilinear model by full-batch gradient rounds from zero weights.
 
+    Rounds go on until the mean loss, taken before each round, changes by less than ``tolerance``; a caller
+    who passes ``max_rounds`` learns from ``converged`` whether it did.
+
     ``matches`` is read once per round; pass a settled frame (see
     ``lineage.settled``) or a table, not a plan over the whole play log.
     """
@@ -109,10 +125,15 @@ def fit_win_model(
         F.array(*[f"away_{r}" for r in PROFILE]).alias("away"),
         F.array(*[f"home_{r}" for r in PROFILE]).alias("home"),
     )
-    for _ in range(rounds):
+    while max_rounds is None or len(model.losses) < max_rounds:
         loss, gradient = _win_gradient(prepared, model)
+        if not np.isfinite(loss):
+            raise ValueError("the loss is not finite")
         model.losses.append(loss)
         model.weights = model.weights + step * gradient
+        if model.last_change < tolerance:
+            model.converged = True
+            break
     return model
 
 
@@ -145,6 +166,8 @@ class TeamRatings:
 
     teams: DataFrame
     ratio: float
+    changes: list[float] = field(default_factory=list)
+    converged: bool = False
 
 
 def pair_results(matches: DataFrame) -> DataFrame:
@@ -241,10 +264,18 @@ def _rating_round(pairs: DataFrame, ratings: DataFrame, ratio: float, step: floa
 
 
 def fit_team_ratings(
-    matches: DataFrame, profiles: DataFrame, model: WinModel, rounds: int = 20, step: float = 1.0
+    matches: DataFrame,
+    profiles: DataFrame,
+    model: WinModel,
+    step: float = 1.0,
+    tolerance: float = RATING_TOLERANCE,
+    max_rounds: int | None = None,
 ) -> TeamRatings:
     """Fit team ratings on top of the model's logit, starting from level ratings.
 
+    Rounds go on until none changes any rating by as much as ``tolerance``; a caller who passes
+    ``max_rounds`` learns from ``converged`` whether that came about.
+
     Ratings stay a frame, joined to the pairings in each round and written out
     at its end, so the number of teams is not bounded by the driver's memory.
     """
@@ -264,12 +295,28 @@ def fit_team_ratings(
         )
     )
     ratings = settled(ratings)
-    ratio = 1.0
-    for _ in range(rounds):
+    ratio, changes = 1.0, []
+    while max_rounds is None or len(changes) < max_rounds:
+        before = ratings
         ratings = settled(_rating_round(pairs, ratings, ratio, step))
-        change = ratings.filter(F.col("team").isNull()).select("r_away").collect()
-        ratio += (change[0]["r_away"] if change else 0.0) / max(total, 1)
-    return TeamRatings(ratings.filter(F.col("team").isNotNull()), ratio)
+        largest, ratio_change = _changes(before, ratings)
+        ratio += ratio_change / max(total, 1)
+        changes.append(largest)
+        if not np.isfinite(changes[-1]):
+            raise ValueError("a rating is not finite")
+        if changes[-1] < tolerance:
+            break
+    done = bool(changes) and changes[-1] < tolerance
+    return TeamRatings(ratings.filter(F.col("team").isNotNull()), ratio, changes, done)
+
+
+def _changes(before: DataFrame, after: DataFrame) -> tuple[float, float]:
+    """Largest change of any rating of any team in a round, and the change held by the row without a team."""
+    old = before.select("team", *[F.col(c).alias(f"old_{c}") for c in RATING_COLUMNS])
+    moved = F.greatest(*[F.abs(F.col(c) - F.col(f"old_{c}")) for c in RATING_COLUMNS])
+    rest = F.when(F.col("team").isNull(), F.col("r_away"))
+    found = after.join(old, "team", "left").agg(F.max(moved), F.max(rest)).first()
+    return float(found[0] or 0.0), float(found[1] or 0.0)
 
 
 def predict_pairs(

@@ -14,7 +14,6 @@ from tallyloom.operators import clustering, playlog, relational, text_index, win
 from tallyloom.operators.lineage import settled
 from tallyloom.sources import (
     read_centers,
-    read_match_profiles,
     read_named_lines,
     read_nations,
     read_pairs,
@@ -30,21 +29,18 @@ from tallyloom.sources import (
 )
 
 
-def text_index_job(spark: SparkSession, texts: str, out: str, descending: bool = True) -> None:
+def text_index_job(spark: SparkSession, texts: str, out: str, descending: bool = True, blocks: int = 1) -> None:
     """Index of a folder of text files under ``index``, its words by frequency under ``sorted``.
 
-    The counts and the few words that need several lines are kept as tables
-    under ``counts`` and ``frequent``; both outputs start from them.
+    The counts are kept as a table under ``counts``; both outputs start from it. Documents are named by
+    their paths, so they are dealt into ``blocks`` by a hash; a word has a line for each block it is found in.
     """
     lines = read_named_lines(spark, texts)
     write_parquet(
         text_index.term_document_counts(lines, doc="file_name", text="line"), f"{out}/counts"
     )
     counts = read_table(spark, f"{out}/counts")
-    write_parquet(text_index.frequent_words(counts), f"{out}/frequent")
-    postings = text_index.inverted_index_postings(
-        counts, frequent=read_table(spark, f"{out}/frequent")
-    )
+    postings = text_index.inverted_index_postings(counts, text_index.document_blocks(blocks=int(blocks)))
     write_key_values(text_index.index_lines(postings), f"{out}/index", "word", "value")
     ordered = text_index.words_by_frequency(text_index.term_average_frequency(counts), descending)
     write_key_values(text_index.frequency_lines(ordered), f"{out}/sorted", "word", "average")
@@ -63,8 +59,12 @@ def join_job(spark: SparkSession, suppliers: str, nations: str, out: str, parts:
 def kmeans_job(
     spark: SparkSession, points: str, centers: str, out: str, threshold: float = 0.001
 ) -> clustering.Clustering:
-    """Centres of every step under ``temp``, the last under ``centers``, points under ``assigned``."""
-    vectors = read_points(spark, points)
+    """Centres of every step under ``temp``, the last under ``centers``, points under ``assigned``.
+
+    The points are parsed once, into the table ``points``.
+    """
+    write_parquet(read_points(spark, points), f"{out}/points")
+    vectors = read_table(spark, f"{out}/points")
     start = clustering.collect_centers(read_centers(spark, centers))
     found = clustering.fit(
         vectors, start, threshold=float(threshold), snapshot_dir=f"{out}/temp"
@@ -89,7 +89,10 @@ def score_job(spark: SparkSession, log: str, out: str) -> None:
 
 def leaderboard_job(spark: SparkSession, log: str, out: str, places: int = 5) -> None:
     """Player totals under ``totals`` and the best per statistic under ``best``."""
-    totals = playlog.player_totals(playlog.player_facts(read_play_log(spark, log)))
+    write_parquet(
+        playlog.player_totals(playlog.player_facts(read_play_log(spark, log))), f"{out}/totals_table"
+    )
+    totals = read_table(spark, f"{out}/totals_table")
     write_csv(totals.select("player", "stat", "n"), f"{out}/totals")
     board = playlog.leaderboard(totals, int(places))
     write_lines(playlog.leaderboard_lines(board), f"{out}/best", "line")
@@ -102,19 +105,24 @@ def head_to_head_job(spark: SparkSession, log: str, out: str) -> None:
 
 
 def prediction_job(
-    spark: SparkSession, log: str, pairs: str, out: str, rounds: int = 100, rating_rounds: int = 20
+    spark: SparkSession,
+    log: str,
+    pairs: str,
+    out: str,
+    tolerance: float = win_model.LOSS_TOLERANCE,
+    rating_tolerance: float = win_model.RATING_TOLERANCE,
 ) -> DataFrame:
-    """Match and team profiles, then win probabilities for the listed pairs."""
-    write_lines(
-        playlog.match_profile_lines(playlog.match_features(read_play_log(spark, log))),
-        f"{out}/matches",
-        "line",
-    )
-    matches = settled(read_match_profiles(spark, f"{out}/matches"))
+    """Match and team profiles, then win probabilities for the listed pairs.
+
+    The log is read once, into the table ``matches_table``; text and models start from it.
+    """
+    write_parquet(playlog.match_features(read_play_log(spark, log)), f"{out}/matches_table")
+    matches = read_table(spark, f"{out}/matches_table")
+    write_lines(playlog.match_profile_lines(matches), f"{out}/matches", "line")
     profiles = settled(playlog.team_profiles(matches))
     write_lines(playlog.team_profile_lines(profiles), f"{out}/teams", "line")
-    model = win_model.fit_win_model(matches, rounds=int(rounds))
-    ratings = win_model.fit_team_ratings(matches, profiles, model, rounds=int(rating_rounds))
+    model = win_model.fit_win_model(matches, tolerance=float(tolerance))
+    ratings = win_model.fit_team_ratings(matches, profiles, model, tolerance=float(rating_tolerance))
     scored = win_model.predict_pairs(read_pairs(spark, pairs), profiles, ratings, model)
     write_csv(scored, f"{out}/predictions", header=True)
     return scored

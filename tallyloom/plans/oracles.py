@@ -1,16 +1,13 @@
 """The registered queries in SQL, over the same tables.
 
-The strings are written for an independent engine. Iterations are unrolled:
-one common table expression per step or round.
+The strings are written for an independent engine and share no constants with the code
+they check. Iterations are recursive: a row holds the state after a step as one list.
 """
 
 from __future__ import annotations
 
-from tallyloom.operators.playlog import NO_SCORE, OWN_FOULS, POINTS, SCORES, STAT_NAMES
-from tallyloom.operators.win_model import RATING_COLUMNS
-from tallyloom.plans import registry as r
-
 FEATURES = range(9)
+RATING_COLUMNS = ("r_away", "r_home", "rot0", "rot1", "rot2", "rot3")
 
 # --- join -------------------------------------------------------------------
 
@@ -41,7 +38,7 @@ SELECT *, CAST(s_suppkey % 4 AS INTEGER) AS part_id FROM joined ORDER BY part_id
 """,
     "supplier_lines": f"""
 WITH {SUPPLIERS}
-SELECT s_suppkey || '|' || s_name || '|' || CAST(floor(s_acctbal) AS BIGINT) || '|' || n_name AS line
+SELECT s_suppkey || '|' || s_name || '|' || CAST(CAST(s_acctbal AS DECIMAL(12, 2)) AS VARCHAR) || '|' || n_name AS line
 FROM joined
 """,
 }
@@ -58,9 +55,9 @@ tokens AS (
          CAST((200 * sum(tf) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS average
   FROM counts GROUP BY word
 ), postings AS (
-  SELECT word, CAST(0 AS BIGINT) AS line_no, count(*) AS documents, any_value(average) AS average,
-         string_agg(doc || ':' || tf, '; ' ORDER BY doc) AS postings
-  FROM counts JOIN (SELECT word, average FROM averages) USING (word) GROUP BY word
+  SELECT word, CAST(doc // 100000 AS BIGINT) AS line_no, any_value(documents) AS documents,
+         any_value(average) AS average, string_agg(doc || ':' || tf, '; ' ORDER BY doc) AS postings
+  FROM counts JOIN (SELECT word, documents, average FROM averages) USING (word) GROUP BY word, line_no
 )
 """
 
@@ -73,7 +70,6 @@ TEXT = {
     "inverted_index_lines": f"""
 WITH {COUNTS} SELECT word, printf('%.2f', average) || ', ' || postings AS value FROM postings
 """,
-    "averages_from_index_lines": f"WITH {COUNTS} SELECT word, average FROM averages",
     "words_by_frequency_asc": f"WITH {COUNTS} SELECT word, average FROM averages ORDER BY average, word",
     "words_by_frequency_desc": f"WITH {COUNTS} SELECT word, average FROM averages ORDER BY average DESC, word",
 }
@@ -145,7 +141,7 @@ numbered AS (
 
 
 def _side(name: str, acts: str, opposes: str) -> str:
-    fouls = ", ".join(f"'{f}'" for f in OWN_FOULS)
+    fouls = "'offensive', 'loose ball'"
     own = f"foul_type IN ({fouls})"
 
     def count(condition: str) -> str:
@@ -194,7 +190,11 @@ MATCHES = f"""
 )
 """
 
-STAT_CASE = "CASE stat " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STAT_NAMES.items()) + " END"
+# Display names of the player statistics.
+STAT_CASE = (
+    "CASE stat WHEN 'score' THEN '得分' WHEN 'rebound' THEN '篮板' WHEN 'assist' THEN '助攻' "
+    "WHEN 'steal' THEN '抢断' WHEN 'block' THEN '盖帽' END"
+)
 
 
 def _four(part: str) -> str:
@@ -205,8 +205,8 @@ PLAYLOG = {
     "event_outcome_label": f"WITH {PLAYS} SELECT * FROM labels_per_event",
     "event_outcome_lines": f"""
 WITH {PLAYS}
-SELECT event_id, event_id || ',' || CASE WHEN points IS NULL THEN '{NO_SCORE}'
-                                         ELSE play_by || '{SCORES}' || points || '{POINTS}' END AS label_line
+SELECT event_id, event_id || ',' || CASE WHEN points IS NULL THEN '不得分'
+                                         ELSE play_by || ' 得 ' || points || ' 分' END AS label_line
 FROM labels_per_event ORDER BY label_line
 """,
     "match_scores": f"WITH {PLAYS} SELECT * FROM scores ORDER BY game_date, home_team, away_team",
@@ -252,82 +252,77 @@ WITH {MATCHES} SELECT team, {", ".join(f"round(r{i}, 6) + 0.0 AS r{i}" for i in
 
 # --- clustering -------------------------------------------------------------
 
-CENTERS = f"""
-coordinates AS MATERIALIZED (
-  SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS x,
-         generate_subscripts(embedding, 1) - 1 AS dim
-  FROM embeddings
+# Vectors with a null or NaN coordinate take no part.
+STEPS = """
+usable AS MATERIALIZED (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) = 0
+), coordinates AS MATERIALIZED (
+  SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS dim FROM usable
 ), start_ids AS (
-  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS cluster
-  FROM embeddings ORDER BY vec_id LIMIT {r.CLUSTERS}
-), center0 AS MATERIALIZED (
-  SELECT cluster, dim, x AS value FROM coordinates JOIN start_ids USING (vec_id)
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS cluster FROM usable ORDER BY vec_id LIMIT 10
+), steps AS (
+  SELECT 0 AS step, list({'cluster': cluster, 'dim': dim, 'value': x}) AS centers, CAST(NULL AS DOUBLE) AS shift
+  FROM coordinates JOIN start_ids USING (vec_id)
+  UNION ALL
+  SELECT step + 1, list({'cluster': cluster, 'dim': dim, 'value': moved}), sum((moved - value) * (moved - value))
+  FROM (
+    SELECT old.step, old.cluster, old.dim, old.value, coalesce(new.value, old.value) AS moved
+    FROM (
+      SELECT step, c.cluster AS cluster, c.dim AS dim, c.value AS value
+      FROM (SELECT step, unnest(centers) AS c FROM steps WHERE shift IS NULL OR shift >= 0.001)
+    ) old LEFT JOIN (
+      SELECT cluster, dim, avg(x) AS value FROM coordinates JOIN (
+        SELECT vec_id, cluster FROM (
+          SELECT vec_id, c.cluster AS cluster, sum((x - c.value) * (x - c.value)) AS distance
+          FROM coordinates JOIN (
+            SELECT unnest(centers) AS c FROM steps WHERE shift IS NULL OR shift >= 0.001
+          ) ON dim = c.dim GROUP BY ALL)
+        QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1
+      ) USING (vec_id) GROUP BY cluster, dim
+    ) new ON old.cluster = new.cluster AND old.dim = new.dim
+  ) GROUP BY step
+), center AS MATERIALIZED (
+  SELECT step, c.cluster AS cluster, c.dim AS dim, c.value AS value FROM (SELECT step, unnest(centers) AS c FROM steps)
 )
 """
 
 
-def _assignment(step: int) -> str:
-    """Nearest centre of every point to the centres after ``step`` steps."""
-    return f"""assigned{step} AS MATERIALIZED (
-  SELECT vec_id, cluster FROM (
-    SELECT vec_id, cluster, sum((x - value) * (x - value)) AS distance
-    FROM coordinates JOIN center{step} USING (dim) GROUP BY vec_id, cluster)
-  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1
-)"""
-
-
-def _fit_steps(steps: int) -> str:
-    """Centres after each step, and the shift; centres stay once a shift was small enough."""
-    parts = [CENTERS.strip()]
-    for step in range(1, steps + 1):
-        done = f"(SELECT shift < 0.001 FROM shift{step - 1})" if step > 1 else "FALSE"
-        parts.append(_assignment(step - 1))
-        parts.append(f"""center{step} AS MATERIALIZED (
-  SELECT old.cluster, old.dim,
-         CASE WHEN {done} THEN old.value ELSE coalesce(moved.value, old.value) END AS value
-  FROM center{step - 1} old LEFT JOIN (
-    SELECT cluster, dim, avg(x) AS value
-    FROM coordinates JOIN assigned{step - 1} USING (vec_id) GROUP BY cluster, dim) moved
-  ON old.cluster = moved.cluster AND old.dim = moved.dim
-)""")
-        parts.append(f"""shift{step} AS MATERIALIZED (
-  SELECT sum((a.value - b.value) * (a.value - b.value)) AS shift, {done} AS done
-  FROM center{step} a JOIN center{step - 1} b ON a.cluster = b.cluster AND a.dim = b.dim
-)""")
-    return ", ".join(parts)
-
-
-def _centers_out(step: int) -> str:
+def _centers_out(step: str) -> str:
     return (
-        "SELECT CAST(cluster AS INTEGER) AS cluster, CAST(dim AS INTEGER) AS dim, "
-        f"round(value, 6) + 0.0 AS value FROM center{step}"
+        f"WITH RECURSIVE {STEPS} SELECT CAST(cluster AS INTEGER) AS cluster, CAST(dim AS INTEGER) AS dim, "
+        f"round(value, 6) + 0.0 AS value FROM center WHERE step = {step}"
     )
 
 
-def _assigned_out(step: int) -> str:
-    return (
-        "SELECT vec_id, label, CAST(cluster AS INTEGER) AS cluster "
-        f"FROM embeddings JOIN assigned{step} USING (vec_id)"
-    )
+def _assigned_out(step: str) -> str:
+    return f"""
+WITH RECURSIVE {STEPS}, assigned AS (
+  SELECT vec_id, cluster FROM (
+    SELECT vec_id, cluster, sum((x - value) * (x - value)) AS distance
+    FROM coordinates JOIN (SELECT * FROM center WHERE step = {step}) USING (dim) GROUP BY vec_id, cluster)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1
+)
+SELECT vec_id, label, CAST(cluster AS INTEGER) AS cluster FROM embeddings LEFT JOIN assigned USING (vec_id)
+"""
+
 
+_LAST = "(SELECT max(step) FROM steps)"
 
 CLUSTERING = {
-    "kmeans_assign": f"WITH {CENTERS.strip()}, {_assignment(0)} {_assigned_out(0)}",
-    "kmeans_step": f"WITH {_fit_steps(1)} {_centers_out(1)}",
-    "kmeans_fit": f"WITH {_fit_steps(r.FIT_STEPS)} {_centers_out(r.FIT_STEPS)}",
-    "kmeans_shift_by_step": f"WITH {_fit_steps(r.FIT_STEPS)} "
-    + " UNION ALL ".join(
-        f"SELECT CAST({s} AS INTEGER) AS step, round(shift, 6) + 0.0 AS shift FROM shift{s} WHERE NOT done"
-        for s in range(1, r.FIT_STEPS + 1)
-    ),
-    "kmeans_final_assign": f"WITH {_fit_steps(r.FIT_STEPS)}, {_assignment(r.FIT_STEPS)} {_assigned_out(r.FIT_STEPS)}",
+    "kmeans_assign": _assigned_out("0"),
+    "kmeans_step": _centers_out("1"),
+    "kmeans_fit": _centers_out(_LAST),
+    "kmeans_shift_by_step": f"WITH RECURSIVE {STEPS} SELECT CAST(step AS INTEGER) AS step, "
+    "round(shift, 6) + 0.0 AS shift FROM steps WHERE step > 0",
+    "kmeans_final_assign": _assigned_out(_LAST),
 }
 
 # --- win model --------------------------------------------------------------
 
 
-def _model_rounds(rounds: int, step: float) -> str:
-    """Weights after each round as one list: 9 away, 9 home, then 81 products."""
+def _model_rounds() -> str:
+    """Weights after each round as one list: 9 away, 9 home, then 81 products; until the mean loss settles."""
 
     def scaled(prefix: str, i: int) -> str:
         return f"({prefix}r{i} - m{i}) / s{i}"
@@ -349,21 +344,27 @@ def _model_rounds(rounds: int, step: float) -> str:
         + ", ".join(f"{scaled('away_', i)} AS a{i}, {scaled('home_', i)} AS h{i}" for i in FEATURES)
         + " FROM matches, scales)",
         f"inputs AS MATERIALIZED (SELECT won, [{', '.join(inputs)}] AS x FROM scaled)",
-        f"weights0 AS (SELECT list_transform(range({size}), lambda i: 0.0::DOUBLE) AS w)",
+        f"""model AS (
+  SELECT 0 AS round, list_transform(range({size}), lambda i: 0.0::DOUBLE) AS w,
+         CAST(NULL AS DOUBLE) AS loss, CAST(NULL AS DOUBLE) AS change
+  UNION ALL
+  SELECT round + 1, list(value ORDER BY i), any_value(new_loss), any_value(abs(new_loss - loss))
+  FROM (
+    SELECT round, loss, i, any_value(w[i]) + 0.5 * avg((won - 1 / (1 + exp(-z))) * x[i]) AS value,
+           avg(ln(1 + exp(z)) - won * z) AS new_loss
+    FROM (
+      SELECT round, loss, w, x, won, list_dot_product(x, w) AS z
+      FROM inputs, (SELECT * FROM model WHERE change IS NULL OR change >= 0.001)
+    ), range(1, {size + 1}) AS positions(i)
+    GROUP BY round, loss, i
+  ) GROUP BY round, loss
+)""",
+        "weights AS (SELECT w FROM model ORDER BY round DESC LIMIT 1)",
     ]
-    for k in range(1, rounds + 1):
-        parts.append(f"""residuals{k} AS MATERIALIZED (
-  SELECT x, won - 1 / (1 + exp(-list_dot_product(x, w))) AS residual FROM inputs, weights{k - 1}
-)""")
-        parts.append(f"""weights{k} AS MATERIALIZED (
-  SELECT list(value ORDER BY i) AS w FROM (
-    SELECT i, any_value(w[i]) + {step} * avg(residual * x[i]) AS value
-    FROM residuals{k}, weights{k - 1}, range(1, {size + 1}) AS positions(i) GROUP BY i)
-)""")
     return ", ".join(parts)
 
 
-def _profile_lists(rounds: int) -> str:
+def _profile_lists() -> str:
     """Team profiles as model inputs, and the model's logit per pair of teams."""
     away = ", ".join(f"(a.r{i} - m{i}) / s{i}" for i in FEATURES)
     home = ", ".join(f"(h.r{i} - m{i}) / s{i}" for i in FEATURES)
@@ -375,65 +376,73 @@ def _profile_lists(rounds: int) -> str:
 ), kernels AS MATERIALIZED (
   SELECT away_team, home_team,
          list_dot_product(list_concat(pa, [{negative}], [{cross}]), w) AS kernel
-  FROM all_pairs, weights{rounds}
+  FROM all_pairs, weights
 )"""
 
 
-def _probability(round_no: int) -> str:
+def _probability(ratio: str) -> str:
     return (
-        f"1 / (1 + exp(-(kernel * (SELECT ratio FROM ratio{round_no}) + a.r_away - h.r_home"
+        f"1 / (1 + exp(-(kernel * {ratio} + a.r_away - h.r_home"
         " + a.rot0 * h.rot1 - a.rot1 * h.rot0 + a.rot2 * h.rot3 - a.rot3 * h.rot2)))"
     )
 
 
-def _rating_rounds(rounds: int, step: float) -> str:
+def _rating_rounds() -> str:
+    """Ratings after each round as one list of teams; until no rating changes much."""
+    state = "{'team': team, 'matches': matches, " + ", ".join(f"'{c}': {c}" for c in RATING_COLUMNS) + "}"
+    moved = "{'team': team, 'matches': matches, " + ", ".join(f"'{c}': new_{c}" for c in RATING_COLUMNS) + "}"
+    unpacked = ", ".join(f"t.{c} AS {c}" for c in ("team", "matches", *RATING_COLUMNS))
     parts = [
-        _model_rounds(r.MODEL_ROUNDS, r.MODEL_STEP),
-        _profile_lists(r.MODEL_ROUNDS),
+        _model_rounds(),
+        _profile_lists(),
         """pairs AS MATERIALIZED (
   SELECT away_team, home_team, n, wins, kernel FROM (
     SELECT away_team, home_team, count(*) AS n, count(*) FILTER (WHERE away_score > home_score) AS wins
     FROM matches GROUP BY away_team, home_team) JOIN kernels USING (away_team, home_team)
 )""",
-        """ratings0 AS MATERIALIZED (
-  SELECT team, count(*) AS matches, 0.0::DOUBLE AS r_away, 0.0::DOUBLE AS r_home,
-         1.0::DOUBLE AS rot0, 1.0::DOUBLE AS rot1, 1.0::DOUBLE AS rot2, 1.0::DOUBLE AS rot3
-  FROM team_rows GROUP BY team
+        f"""ratings AS (
+  SELECT 0 AS round, list({state}) AS teams, 1.0::DOUBLE AS ratio, CAST(NULL AS DOUBLE) AS change
+  FROM (SELECT team, count(*) AS matches, 0.0::DOUBLE AS r_away, 0.0::DOUBLE AS r_home,
+               1.0::DOUBLE AS rot0, 1.0::DOUBLE AS rot1, 1.0::DOUBLE AS rot2, 1.0::DOUBLE AS rot3
+        FROM team_rows GROUP BY team)
+  UNION ALL
+  SELECT any_value(round) + 1, list({moved}), any_value(new_ratio),
+         max(greatest({", ".join(f"abs(new_{c} - {c})" for c in RATING_COLUMNS)}))
+  FROM (
+    WITH current AS (SELECT * FROM ratings WHERE change IS NULL OR change >= 0.02),
+    old AS (SELECT round, ratio, {unpacked} FROM (SELECT round, ratio, unnest(teams) AS t FROM current)),
+    rated AS (
+      SELECT away_team, home_team, n, kernel, wins - n * ({_probability("a.ratio")}) AS residual,
+             a.ratio AS ratio, a.matches AS am, h.matches AS hm,
+             {", ".join(f"a.rot{i} AS a{i}, h.rot{i} AS h{i}" for i in range(4))}
+      FROM pairs JOIN old a ON a.team = away_team JOIN old h ON h.team = home_team
+    ), changes AS (
+      SELECT away_team AS team, residual / am AS r_away, 0 AS r_home,
+             residual / am * h1 AS rot0, -residual / am * h0 AS rot1,
+             residual / am * h3 AS rot2, -residual / am * h2 AS rot3
+      FROM rated
+      UNION ALL
+      SELECT home_team, 0, -residual / hm, -residual / hm * a1, residual / hm * a0,
+             -residual / hm * a3, residual / hm * a2
+      FROM rated
+    ), summed AS (
+      SELECT team, {", ".join(f"sum({c}) AS {c}" for c in RATING_COLUMNS)} FROM changes GROUP BY team
+    )
+    SELECT old.round, old.team, old.matches, {", ".join(f"old.{c}" for c in RATING_COLUMNS)},
+           {", ".join(f"old.{c} + coalesce(summed.{c}, 0) AS new_{c}" for c in RATING_COLUMNS)},
+           old.ratio + (SELECT sum(residual * kernel) / sum(n) FROM rated) AS new_ratio
+    FROM old LEFT JOIN summed ON old.team = summed.team
+  ) HAVING count(*) > 0
+)""",
+        f"""final AS MATERIALIZED (
+  SELECT ratio, {unpacked}
+  FROM (SELECT ratio, unnest(teams) AS t FROM (SELECT * FROM ratings ORDER BY round DESC LIMIT 1))
 )""",
-        "ratio0 AS (SELECT 1.0::DOUBLE AS ratio)",
     ]
-    for k in range(1, rounds + 1):
-        parts.append(f"""rated{k} AS MATERIALIZED (
-  SELECT away_team, home_team, kernel, wins - n * ({_probability(k - 1)}) AS residual,
-         a.matches AS am, h.matches AS hm,
-         {", ".join(f"a.rot{i} AS a{i}, h.rot{i} AS h{i}" for i in range(4))}
-  FROM pairs JOIN ratings{k - 1} a ON a.team = away_team JOIN ratings{k - 1} h ON h.team = home_team
-)""")
-        parts.append(f"""changes{k} AS (
-  SELECT away_team AS team, residual / am AS r_away, 0 AS r_home,
-         residual / am * h1 AS rot0, -residual / am * h0 AS rot1,
-         residual / am * h3 AS rot2, -residual / am * h2 AS rot3
-  FROM rated{k}
-  UNION ALL
-  SELECT home_team, 0, -residual / hm, -residual / hm * a1, residual / hm * a0,
-         -residual / hm * a3, residual / hm * a2
-  FROM rated{k}
-)""")
-        updates = ", ".join(
-            f"any_value(old.{c}) + {step} * coalesce(sum(c.{c}), 0) AS {c}" for c in RATING_COLUMNS
-        )
-        parts.append(f"""ratings{k} AS MATERIALIZED (
-  SELECT old.team, any_value(old.matches) AS matches, {updates}
-  FROM ratings{k - 1} old LEFT JOIN changes{k} c ON old.team = c.team GROUP BY old.team
-)""")
-        parts.append(f"""ratio{k} AS MATERIALIZED (
-  SELECT (SELECT ratio FROM ratio{k - 1})
-         + {step} * (SELECT sum(residual * kernel) FROM rated{k}) / (SELECT sum(n) FROM pairs) AS ratio
-)""")
     return ", ".join(parts)
 
 
-def _weight_rows(rounds: int) -> str:
+def _weight_rows() -> str:
     rows = (
         [("away", i, -1) for i in FEATURES]
         + [("home", i, -1) for i in FEATURES]
@@ -441,24 +450,24 @@ def _weight_rows(rounds: int) -> str:
     )
     values = ", ".join(f"({n}, '{p}', {i}, {j})" for n, (p, i, j) in enumerate(rows, start=1))
     return f"""SELECT part, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(w[n], 6) + 0.0 AS weight
-FROM weights{rounds}, (VALUES {values}) AS slots(n, part, i, j)"""
+FROM weights, (VALUES {values}) AS slots(n, part, i, j)"""
 
 
 WIN_MODEL = {
-    "win_model_fit": f"WITH {_model_rounds(r.MODEL_ROUNDS, r.MODEL_STEP)} {_weight_rows(r.MODEL_ROUNDS)}",
+    "win_model_fit": f"WITH RECURSIVE {_model_rounds()} {_weight_rows()}",
     "team_ratings_fit": f"""
-WITH {_rating_rounds(r.RATING_ROUNDS, r.RATING_STEP)}
+WITH RECURSIVE {_rating_rounds()}
 SELECT team, matches, {", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in RATING_COLUMNS)},
-       (SELECT round(ratio, 6) + 0.0 FROM ratio{r.RATING_ROUNDS}) AS ratio
-FROM ratings{r.RATING_ROUNDS}
+       round(ratio, 6) + 0.0 AS ratio
+FROM final
 """,
     "predict_pairs": f"""
-WITH {_rating_rounds(r.RATING_ROUNDS, r.RATING_STEP)}
-SELECT s.away_team, s.home_team, round({_probability(r.RATING_ROUNDS)}, 6) + 0.0 AS p_away
+WITH RECURSIVE {_rating_rounds()}
+SELECT s.away_team, s.home_team, round({_probability("a.ratio")}, 6) + 0.0 AS p_away
 FROM (SELECT DISTINCT home_team AS away_team, away_team AS home_team FROM matches) s
 JOIN kernels USING (away_team, home_team)
-JOIN ratings{r.RATING_ROUNDS} a ON a.team = s.away_team
-JOIN ratings{r.RATING_ROUNDS} h ON h.team = s.home_team
+JOIN final a ON a.team = s.away_team
+JOIN final h ON h.team = s.home_team
 """,
 }
 

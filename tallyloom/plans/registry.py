@@ -14,11 +14,6 @@ from tallyloom.plans.plays import plays_from_events
 from tallyloom.sources import read_table, spread
 
 CLUSTERS = 10
-FIT_STEPS = 30
-MODEL_ROUNDS = 5
-MODEL_STEP = 0.5
-RATING_ROUNDS = 3
-RATING_STEP = 1.0
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +49,7 @@ def supplier_partition_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    whole = _joined(spark, sf_dir).withColumn("s_acctbal", F.floor("s_acctbal"))
+    whole = _joined(spark, sf_dir).withColumn("s_acctbal", F.col("s_acctbal").cast("decimal(12,2)"))
     return whole.select(relational.supplier_line(carried="s_acctbal").alias("line"))
 
 
@@ -66,13 +61,13 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of the table of documents, which has one row per document."""
+    """Counts of the table of documents, which has one row per ``doc_id`` (``text_index.repeated_documents`` checks it)."""
     return text_index.whole_document_counts(_documents(spark, sf_dir))
 
 
 def word_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = text_index.word_rows(_documents(spark, sf_dir))
-    return rows.groupBy("doc").agg(F.count(F.lit(1)).alias("words"))
+    found = text_index.word_occurrences(_documents(spark, sf_dir))
+    return found.filter("words > 0")
 
 
 def term_document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,19 +83,13 @@ def term_average_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inverted_index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents").count()
-    return text_index.inverted_index_postings(_counts(spark, sf_dir), documents=documents)
+    return text_index.inverted_index_postings(_counts(spark, sf_dir))
 
 
 def inverted_index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_index.index_lines(inverted_index_postings(spark, sf_dir))
 
 
-def averages_from_index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = inverted_index_lines(spark, sf_dir).withColumnRenamed("word", "key")
-    return text_index.averages_from_lines(lines)
-
-
 def words_by_frequency_asc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_index.words_by_frequency(term_average_frequency(spark, sf_dir))
 
@@ -177,14 +166,15 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _starting_centers(points: DataFrame) -> np.ndarray:
-    first = points.select("vec_id", "embedding").orderBy("vec_id").limit(CLUSTERS).collect()
+    """The usable vectors with the lowest ids; only these are read in full."""
+    given = points.filter(clustering.usable(F.col("embedding")))
+    ids = [r["vec_id"] for r in given.select("vec_id").orderBy("vec_id").limit(CLUSTERS).collect()]
+    first = given.filter(F.col("vec_id").isin(ids)).select("vec_id", "embedding").orderBy("vec_id").collect()
     return np.array([r["embedding"] for r in first], dtype=np.float64)
 
 
 def _fit(points: DataFrame) -> clustering.Clustering:
-    return clustering.fit(
-        points, _starting_centers(points), vector="embedding", max_steps=FIT_STEPS
-    )
+    return clustering.fit(points, _starting_centers(points), vector="embedding")
 
 
 def _long_centers(spark: SparkSession, centers: np.ndarray) -> DataFrame:
@@ -229,15 +219,13 @@ def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model(matches: DataFrame) -> win_model.WinModel:
-    return win_model.fit_win_model(matches, rounds=MODEL_ROUNDS, step=MODEL_STEP)
+    return win_model.fit_win_model(matches)
 
 
 def _ratings(
     matches: DataFrame, profiles: DataFrame, model: win_model.WinModel
 ) -> win_model.TeamRatings:
-    return win_model.fit_team_ratings(
-        matches, profiles, model, rounds=RATING_ROUNDS, step=RATING_STEP
-    )
+    return win_model.fit_team_ratings(matches, profiles, model)
 
 
 def win_model_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,7 +270,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         term_average_frequency,
         inverted_index_postings,
         inverted_index_lines,
-        averages_from_index_lines,
         words_by_frequency_asc,
         words_by_frequency_desc,
         event_outcome_label,

@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 import math
+import os
+import shutil
+import sys
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+import tallyloom
+
 # Shuffle data per task to aim at.
 TASK_BYTES = 128 * 1024 * 1024
 
@@ -40,4 +47,23 @@ def build_session(
         builder = builder.master(master)
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Make this package known to the session's workers, unless their path already leads to it.
+
+    The archive is handed to Spark, which serves it to every executor.
+    """
+    root = Path(tallyloom.__file__).resolve().parent.parent
+    known = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    installed = [Path(p).resolve() for p in (sys.prefix, sys.base_prefix)]
+    context = spark.sparkContext
+    if root in known or any(p in root.parents for p in installed) or getattr(context, "_tallyloom", False):
+        return spark
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="tallyloom-"), "tallyloom"), "zip", root, tallyloom.__name__
+    )
+    context.addPyFile(archive)
+    context._tallyloom = True
+    return spark

@@ -6,6 +6,8 @@ inferred, so no extra pass over the data is made.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,9 +49,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_named_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per text line with the name of its file: ``file_name, line``."""
+    """One row per text line with its file: ``file_name, line``.
+
+    The name is the path below the folder given, so files of one name in different folders stay apart; for a
+    pattern or a single file it is the whole path.
+    """
+    whole = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    folder = "^.*?" + re.escape(path.rstrip("/").split(":", 1)[-1]) + "/"
     return spark.read.text(path).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("line")
+        F.regexp_replace(whole, folder, "").alias("file_name"), F.col("value").alias("line")
     )
 
 

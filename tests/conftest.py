@@ -15,12 +15,13 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
         {
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -87,3 +87,25 @@ def test_one_cluster_with_nearly_all_points(spark):
     moved, sizes, _ = clustering.lloyd_step(points_frame(spark, matrix), [[0.0, 0.0], [10.0, 10.0]])
     assert sizes.tolist() == [3000, 5]
     np.testing.assert_allclose(moved, [[1.0, 1.0], [9.0, 9.0]])
+
+
+def test_vectors_with_gaps_take_no_part(spark):
+    nan = float("nan")
+    rows = [(1, [0.0, 0.0]), (2, [nan, 1.0]), (3, [None, 1.0]), (4, [9.0, 9.0]), (5, None), (6, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "id LONG, point ARRAY<DOUBLE>")
+    start = [[0.0, 1.0], [8.0, 8.0]]
+    assert {r["id"]: r["cluster"] for r in clustering.assign(df, start).collect()} == {1: 0, 2: None, 3: None, 4: 1, 5: None, 6: 0}
+    assert clustering.points_left_out(df) == 3
+    found = clustering.fit(df, start)
+    assert found.converged and found.steps == 2
+    np.testing.assert_allclose(found.centers, [[0.5, 0.0], [9.0, 9.0]])
+
+
+def test_a_start_that_is_no_number_is_an_error(spark):
+    with pytest.raises(ValueError, match="not finite"):
+        clustering.fit(points_frame(spark, [[1.0, 2.0]]), [[float("nan"), 0.0]])
+
+
+def test_a_limited_fit_says_so(spark):
+    matrix = np.arange(40, dtype=float).reshape(20, 2) ** 1.3
+    assert not clustering.fit(points_frame(spark, matrix), matrix[:3], max_steps=1).converged

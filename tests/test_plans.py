@@ -59,12 +59,9 @@ def test_whole_documents_are_counted_in_place(spark, tables):
     assert "Exchange" not in text and text.count("split(") == 1
 
 
-def test_one_shuffle_for_averages_and_for_postings(spark, tables):
+def test_one_shuffle_for_averages(spark, tables):
     counts = text_index.whole_document_counts(spark.read.parquet(f"{tables}/documents.parquet"))
     assert plan(text_index.term_average_frequency(counts)).count(" Exchange") == 1
-    frequent = text_index.frequent_words(counts, 50)
-    text = plan(text_index.inverted_index_postings(counts, 50, frequent=frequent))
-    assert text.count("Exchange hashpartitioning") == 2 and "BroadcastHashJoin" in text
 
 
 def test_filters_reach_the_scan(spark, tables):

@@ -151,3 +151,8 @@ def test_both_ways_to_the_match_score_agree(spark, tables):
     keys = ["game_date", "home_team", "away_team"]
     both = playlog.match_scores(plays).alias("s").join(playlog.match_features(plays).alias("f"), keys)
     assert both.filter("s.home_score <> f.home_score OR s.away_score <> f.away_score").count() == 0
+
+
+def test_a_null_field_leaves_its_place(spark):
+    scores = spark.createDataFrame([("11-1", None, 3, "B", 2)], "game_date STRING, home_team STRING, home_score BIGINT, away_team STRING, away_score BIGINT")
+    assert playlog.match_score_lines(scores).first()["line"] == "11-1,,3,B,2"

@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tallyloom.plans.oracles import ORACLES
+from tallyloom.plans.registry import QUERIES
 from tests.compare import connect, difference
 
 
@@ -12,12 +14,12 @@ def connection(tables):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows_as_sql(spark, tables, connection, name):
-    assert difference(queries()[name](spark, tables), connection, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, tables), connection, ORACLES[name]) is None
 
 
 def test_entry_is_ordered(spark, tables):

@@ -27,6 +27,16 @@ def test_lines_with_file_names(spark, tmp_path):
     }
 
 
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    write(tmp_path / "t" / "a+b" / "part 1.txt", "x\n")
+    write(tmp_path / "t" / "c" / "part 1.txt", "x x\n")
+    lines = io.read_named_lines(spark.newSession(), str(tmp_path / "t" / "*"))
+    assert lines.select("file_name").distinct().count() == 2
+    spark.conf.set("mapreduce.input.fileinputformat.input.dir.recursive", "true")
+    names = {r["file_name"] for r in io.read_named_lines(spark, str(tmp_path / "t" / "a+b")).collect()}
+    assert names == {"part 1.txt"}
+
+
 def test_key_values_split_at_the_first_tab(spark, tmp_path):
     path = write(tmp_path / "kv", "a\t1, x\nb\tc\td\nno tab\n")
     assert {tuple(r) for r in io.read_key_values(spark, path).collect()} == {
@@ -160,6 +170,6 @@ def test_play_log_jobs(spark, tmp_path):
     file_jobs.head_to_head_job(spark, path, str(out / "shares"))
     assert written(out / "shares") == "B,0.0000,A,1.0000\n"
     pairs = write(tmp_path / "pairs", "AwayTeam,HomeTeam\nA,B\nA,Z\n")
-    scored = file_jobs.prediction_job(spark, path, pairs, str(out / "pred"), rounds=2, rating_rounds=1)
+    scored = file_jobs.prediction_job(spark, path, pairs, str(out / "pred"), tolerance=0.5, rating_tolerance=10.0)
     assert {r["home_team"]: r["p_away"] is None for r in scored.collect()} == {"B": False, "Z": True}
     assert len(written(out / "pred" / "predictions").splitlines()) >= 3

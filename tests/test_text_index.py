@@ -38,17 +38,17 @@ def test_average_rounds_halves_up(spark):
 
 
 def test_postings_in_document_order(spark):
-    postings = ti.inverted_index_postings(counts_of(spark, [("f2", "b a"), ("f1", "a a"), ("f10", "a")]))
+    counts = counts_of(spark, [("f2", "b a"), ("f1", "a a"), ("f10", "a")])
+    postings = ti.inverted_index_postings(counts, ti.document_blocks())
     lines = {r["word"]: r["value"] for r in ti.index_lines(postings).collect()}
     assert lines == {"a": "1.33, f1:2; f10:1; f2:1", "b": "1.00, f2:1"}
 
 
-@pytest.mark.parametrize("per_line, broadcast_bytes", [(1, 10**6), (3, 10**6), (3, -1), (1000, 10**6)])
-def test_lines_of_a_frequent_word_hold_every_posting(spark, monkeypatch, per_line, broadcast_bytes):
-    monkeypatch.setattr(ti, "BROADCAST_BYTES", broadcast_bytes)
+@pytest.mark.parametrize("per_line", [1, 3, 50, 1000])
+def test_lines_of_a_word_hold_every_posting_in_order(spark, per_line):
     rng = random.Random(5)
     rows = [
-        (f"d{i}", " ".join(["the"] + [rng.choice("abcdefgh") for _ in range(rng.randint(0, 9))]))
+        (i, " ".join(["the"] + [rng.choice("abcdefgh") for _ in range(rng.randint(0, 9))]))
         for i in range(120)
     ]
     expected, total = defaultdict(dict), Counter()
@@ -56,36 +56,44 @@ def test_lines_of_a_frequent_word_hold_every_posting(spark, monkeypatch, per_lin
         for word, n in Counter(text.split()).items():
             expected[word][doc] = n
             total[word] += n
-    found, lines = defaultdict(dict), Counter()
-    for r in ti.inverted_index_postings(counts_of(spark, rows), per_line).collect():
-        lines[r["word"]] += 1
-        docs = [p.rsplit(":", 1) for p in r["postings"].split("; ")]
-        assert [d for d, _ in docs] == sorted(d for d, _ in docs)
-        assert not found[r["word"]].keys() & {d for d, _ in docs}
-        found[r["word"]].update({d: int(n) for d, n in docs})
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    found = defaultdict(list)
+    lines = ti.inverted_index_postings(ti.whole_document_counts(docs), documents_per_line=per_line)
+    for r in sorted(lines.collect(), key=lambda r: (r["word"], r["line_no"])):
+        pairs = [tuple(map(int, p.split(":"))) for p in r["postings"].split("; ")]
+        assert {d // per_line for d, _ in pairs} == {r["line_no"]}
         assert r["documents"] == len(expected[r["word"]])
         assert r["average"] == pytest.approx(total[r["word"]] / r["documents"], abs=0.0051)
-    assert found == expected
-    for word in expected:
-        if len(expected[word]) <= per_line:
-            assert lines[word] == 1
-    if per_line < 100:
-        assert lines["the"] > 1
+        found[r["word"]] += pairs
+    assert {w: list(sorted(d.items())) for w, d in expected.items()} == found
 
 
-def test_stored_frequent_words_give_the_same_lines(spark, tmp_path):
+def test_documents_named_by_text_share_blocks(spark):
     counts = counts_of(spark, [(f"d{i}", "a b" if i % 2 else "a") for i in range(40)])
-    ti.frequent_words(counts, 10).write.parquet(str(tmp_path / "frequent"))
-    stored = spark.read.parquet(str(tmp_path / "frequent"))
-    direct = ti.inverted_index_postings(counts, 10).collect()
-    assert sorted(ti.inverted_index_postings(counts, 10, stored).collect()) == sorted(direct)
+    lines = ti.inverted_index_postings(counts, ti.document_blocks(blocks=3)).collect()
+    names = [p.split(":")[0] for r in lines if r["word"] == "a" for p in r["postings"].split("; ")]
+    assert sorted(names) == sorted(f"d{i}" for i in range(40)) and len(lines) <= 6
+    assert {r["documents"] for r in lines if r["word"] == "b"} == {20}
 
 
-def test_known_number_of_documents_saves_the_lookup(spark, monkeypatch):
-    counts = counts_of(spark, [(f"d{i}", "a b" if i % 2 else "a") for i in range(40)])
-    expected = sorted(ti.inverted_index_postings(counts, 40).collect())
-    monkeypatch.setattr(ti, "frequent_words", None)
-    assert sorted(ti.inverted_index_postings(counts, 40, documents=40).collect()) == expected
+def test_same_sql_with_short_lines(spark, tables):
+    from tallyloom.plans.oracles import TEXT
+    from tests.compare import connect, difference
+
+    sql = TEXT["inverted_index_postings"].replace("doc // 100000", "doc // 50")
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    lines = ti.inverted_index_postings(ti.whole_document_counts(docs), documents_per_line=50)
+    assert difference(lines, connect(tables), sql) is None
+
+
+def test_second_rows_of_a_document_are_found(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (1, "c")], "doc_id BIGINT, text STRING")
+    assert [tuple(r) for r in ti.repeated_documents(docs).collect()] == [(1, 2)]
+
+
+def test_words_counted_in_place(spark):
+    docs = spark.createDataFrame([(1, " a b  a "), (2, ""), (3, None)], "doc_id BIGINT, text STRING")
+    assert {tuple(r) for r in ti.word_occurrences(docs).collect()} == {(1, 3), (2, 0), (3, 0)}
 
 
 def test_both_ways_to_count_agree(spark, tables):
@@ -101,7 +109,8 @@ def test_order_both_ways(spark):
 
 
 def test_averages_read_back_from_lines(spark):
-    postings = ti.inverted_index_postings(counts_of(spark, [("f1", "a a b"), ("f2", "a")]), 1)
+    counts = counts_of(spark, [("f1", "a a b"), ("f2", "a")])
+    postings = ti.inverted_index_postings(counts, ti.document_blocks(blocks=2))
     lines = ti.index_lines(postings).withColumnRenamed("word", "key")
     assert {tuple(r) for r in ti.averages_from_lines(lines).collect()} == {("a", 1.5), ("b", 1.0)}
 

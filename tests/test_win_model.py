@@ -41,20 +41,20 @@ def brute_force_weights(local, rounds, step):
 
 
 def test_weights_equal_brute_force(matches, local):
-    model = win_model.fit_win_model(matches, rounds=4, step=0.5)
+    model = win_model.fit_win_model(matches, tolerance=0.0, max_rounds=4, step=0.5)
     np.testing.assert_allclose(model.weights, brute_force_weights(local, 4, 0.5), atol=1e-9)
     assert len(model.rows()) == 99
 
 
 def test_loss_falls(matches):
-    losses = win_model.fit_win_model(matches, rounds=6, step=0.2).losses
+    losses = win_model.fit_win_model(matches, tolerance=0.0, max_rounds=6, step=0.2).losses
     assert losses[0] == pytest.approx(np.log(2))
     assert all(after < before for before, after in zip(losses, losses[1:]))
 
 
 def test_row_order_does_not_matter(matches):
-    one = win_model.fit_win_model(matches, rounds=3).weights
-    two = win_model.fit_win_model(matches.repartition(5).sortWithinPartitions(F.desc("home_score")), rounds=3).weights
+    one = win_model.fit_win_model(matches, tolerance=0.0, max_rounds=3).weights
+    two = win_model.fit_win_model(matches.repartition(5).sortWithinPartitions(F.desc("home_score")), tolerance=0.0, max_rounds=3).weights
     np.testing.assert_allclose(one, two, atol=1e-9)
 
 
@@ -102,9 +102,9 @@ def brute_force_ratings(local, profiles, model, rounds, step):
 
 
 def test_ratings_equal_match_by_match_brute_force(matches, local):
-    model = win_model.fit_win_model(matches, rounds=3)
+    model = win_model.fit_win_model(matches, tolerance=0.0, max_rounds=3)
     profiles = playlog.team_profiles(matches)
-    fitted = win_model.fit_team_ratings(matches, profiles, model, rounds=3, step=0.7)
+    fitted = win_model.fit_team_ratings(matches, profiles, model, tolerance=0.0, max_rounds=3, step=0.7)
     as_local = {r["team"]: [r[f"r{i}"] for i in range(9)] for r in profiles.collect()}
     expected, ratio = brute_force_ratings(local, as_local, model, 3, 0.7)
     found = {r["team"]: [r[c] for c in win_model.RATING_COLUMNS] for r in fitted.teams.collect()}
@@ -115,9 +115,9 @@ def test_ratings_equal_match_by_match_brute_force(matches, local):
 
 
 def test_every_pair_keeps_its_row(spark, matches):
-    model = win_model.fit_win_model(matches, rounds=2)
+    model = win_model.fit_win_model(matches, tolerance=0.0, max_rounds=2)
     profiles = playlog.team_profiles(matches)
-    ratings = win_model.fit_team_ratings(matches, profiles, model, rounds=1)
+    ratings = win_model.fit_team_ratings(matches, profiles, model, tolerance=0.0, max_rounds=1)
     pairs = spark.createDataFrame(
         [("team1", "team2"), ("team2", "team1"), ("team1", "nobody")], "away_team STRING, home_team STRING"
     )
@@ -127,5 +127,5 @@ def test_every_pair_keeps_its_row(spark, matches):
 
 
 def test_no_matches(matches):
-    model = win_model.fit_win_model(matches.limit(0), rounds=2)
+    model = win_model.fit_win_model(matches.limit(0), max_rounds=2)
     assert not model.weights.any()
