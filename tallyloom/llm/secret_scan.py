@@ -1,8 +1,8 @@
 """Secrets in text: fixed patterns, and strings that look random to a character model.
 
 The patterns (kinds ``assign``, ``access``, ``hex``) are applied as given. Their matches are also the
-labelled samples of random strings; the other runs of identifier
-characters in the corpus are the samples of ordinary ones. A first-order Markov
+labelled samples of random strings; runs of identifier
+characters too short to be reported are the samples of ordinary ones. A first-order Markov
 model of characters is counted for each kind over all documents, and a run of
 identifier characters outside the pattern matches is reported as ``random`` if its
 log-likelihood ratio is high enough in all and per character.
@@ -34,6 +34,7 @@ _WORDS = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey", b"
 
 # A random-looking run needs so many characters, and so much evidence in all and for each.
 RUN_LEAST, LLR_LEAST, LLR_EACH = 16, 16.0, 0.7
+BACK_OFF = 5.0
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % RUN_LEAST)
 
 _ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -111,11 +112,17 @@ class RandomModel:
 
 
 def ratio_from_counts(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-    """Log-ratio of two transition tables of counts, with half a count added to each cell."""
+    """Log-ratio of two transition tables of counts.
+
+    To the counts of each row, ``BACK_OFF`` draws from the frequencies of single symbols are added (half a
+    count for each symbol), so symbols that are rare as such stay rare after an unseen one.
+    """
 
     def log_probability(counts: np.ndarray) -> np.ndarray:
-        table = counts.reshape(SYMBOLS, SYMBOLS).astype(np.float64) + 0.5
-        table[:, 0] = 0
+        table = counts.reshape(SYMBOLS, SYMBOLS).astype(np.float64)
+        single = table.sum(axis=0) + 0.5
+        single[0] = 0
+        table = table + BACK_OFF * single / single.sum()
         return np.log(np.maximum(table, 1e-300) / table.sum(axis=1, keepdims=True)).ravel()
 
     return log_probability(random) - log_probability(ordinary)
@@ -130,6 +137,8 @@ def fit_random_model(docs: DataFrame) -> RandomModel:
         for batch in batches:
             for _, data, offsets in text_chunks(batch.column(0)):
                 codes = _CODE[data]
+                for start, end in zip(*_runs(codes > 0, RUN_LEAST)):
+                    codes[start:end] = 0
                 ordinary += np.bincount(_pairs(codes), minlength=len(ordinary))
                 for k in _base_candidates(data, offsets).tolist():
                     text = _text(data, offsets, k)
@@ -137,10 +146,9 @@ def fit_random_model(docs: DataFrame) -> RandomModel:
                         value = text[start:end]
                         if kind == "assign":
                             value = _ASSIGN.fullmatch(value).group(2).replace(".", "")
-                        pairs = np.bincount(_pairs(_CODE[np.frombuffer(value.encode(), np.uint8)]), minlength=len(random))
-                        random += pairs
-                        ordinary -= pairs
-        for model, counts in ((1, random), (0, np.maximum(ordinary, 0))):
+                        codes = _CODE[np.frombuffer(value.encode(), np.uint8)]
+                        random += np.bincount(_pairs(codes), minlength=len(random))
+        for model, counts in ((1, random), (0, ordinary)):
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(used), model), pa.int32()), pa.array(used, pa.int32()), pa.array(counts[used])],
