@@ -255,11 +255,16 @@ def _rating_round(pairs: DataFrame, ratings: DataFrame, ratio: float, step: floa
             )
         )
     )
+    # What a round adds is summed beside the ratings, so its size is read without a join.
+    before = ratings.filter(F.col("team").isNotNull()).select(
+        "team", "matches", *RATING_COLUMNS, *[zero.alias(f"d_{c}") for c in RATING_COLUMNS]
+    )
+    added = changes.select("*", *[F.col(c).alias(f"d_{c}") for c in RATING_COLUMNS])
+    summed = (*RATING_COLUMNS, *[f"d_{c}" for c in RATING_COLUMNS])
     return (
-        ratings.filter(F.col("team").isNotNull())
-        .unionByName(changes)
+        before.unionByName(added)
         .groupBy("team")
-        .agg(F.sum("matches").alias("matches"), *[F.sum(c).alias(c) for c in RATING_COLUMNS])
+        .agg(F.sum("matches").alias("matches"), *[F.sum(c).alias(c) for c in summed])
     )
 
 
@@ -297,9 +302,8 @@ def fit_team_ratings(
     ratings = settled(ratings)
     ratio, changes = 1.0, []
     while max_rounds is None or len(changes) < max_rounds:
-        before = ratings
         ratings = settled(_rating_round(pairs, ratings, ratio, step))
-        largest, ratio_change = _changes(before, ratings)
+        largest, ratio_change = _changes(ratings)
         ratio += ratio_change / max(total, 1)
         changes.append(largest)
         if not np.isfinite(changes[-1]):
@@ -307,15 +311,15 @@ def fit_team_ratings(
         if changes[-1] < tolerance:
             break
     done = bool(changes) and changes[-1] < tolerance
-    return TeamRatings(ratings.filter(F.col("team").isNotNull()), ratio, changes, done)
+    teams = ratings.filter(F.col("team").isNotNull()).select("team", "matches", *RATING_COLUMNS)
+    return TeamRatings(teams, ratio, changes, done)
 
 
-def _changes(before: DataFrame, after: DataFrame) -> tuple[float, float]:
+def _changes(after: DataFrame) -> tuple[float, float]:
     """Largest change of any rating of any team in a round, and the change held by the row without a team."""
-    old = before.select("team", *[F.col(c).alias(f"old_{c}") for c in RATING_COLUMNS])
-    moved = F.greatest(*[F.abs(F.col(c) - F.col(f"old_{c}")) for c in RATING_COLUMNS])
-    rest = F.when(F.col("team").isNull(), F.col("r_away"))
-    found = after.join(old, "team", "left").agg(F.max(moved), F.max(rest)).first()
+    moved = F.greatest(*[F.abs(F.col(f"d_{c}")) for c in RATING_COLUMNS])
+    alone = F.col("team").isNull()
+    found = after.agg(F.max(F.when(~alone, moved)), F.max(F.when(alone, F.col("r_away")))).first()
     return float(found[0] or 0.0), float(found[1] or 0.0)
 
 
