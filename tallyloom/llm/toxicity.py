@@ -231,7 +231,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
                 x[own] = shared.value[h].features(batch.column(2).take(pa.array(own)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["y", "x"])
 
-    sample = rows.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(CALIBRATION_ROWS) if sum(n.values()) > CALIBRATION_ROWS else rows
+    # The bound on the hash is found on hashes alone, so no texts meet in one task.
+    drawn = F.xxhash64("doc_id", F.lit(1))
+    hashes = rows.select(drawn.alias("drawn")).orderBy("drawn").limit(CALIBRATION_ROWS)
+    last = hashes.agg(F.max("drawn")).first()[0]
+    sample = rows.filter(drawn <= F.lit(last if last is not None else 0))
     described = sample.select("y", "half", "text").mapInArrow(describe, "y INT, x ARRAY<DOUBLE>").collect()
     x = np.array([r["x"] for r in described], float).reshape(-1, 5)
     return ToxicityModel(scorers[2], fit_logistic(x, np.array([float(r["y"] > 0) for r in described])))
