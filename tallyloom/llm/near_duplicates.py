@@ -305,9 +305,11 @@ def _links_across(several: DataFrame, texts: DataFrame, threshold: float, shingl
 
 
 def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
-    """One row per document: ``doc_id, node, class_id, class_size``.
+    """One row per document: ``doc_id, node, root, class_id, class_size``.
 
-    ``class_id`` is the least ``doc_id`` of the class, ``class_size`` its number of documents.
+    ``root`` identifies the class: the least digest of its texts, null for an empty text, which is a class of its own.
+    ``class_id`` is the least ``doc_id`` of the class, ``class_size`` its number of documents. Classes
+    of null ids only have no ``class_id``, and classes share it where different texts share an id.
     """
     signed = stored(signed_texts(docs, shingle=shingle))
     nodes = stored(
@@ -319,11 +321,12 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, shingl
     rooted = nodes.select("node", "first_doc", "docs").join(classes, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     summed = rooted.groupBy("root").agg(F.min("first_doc").alias("class_id"), F.sum("docs").alias("class_size"))
-    named = rooted.select("node", "root").join(summed, "root").select("node", "class_id", "class_size")
+    named = rooted.select("node", "root").join(summed, "root").select("node", "root", "class_id", "class_size")
     joined = signed.select("doc_id", "node", "empty").join(named, "node", "left")
     return joined.select(
         "doc_id",
         "node",
+        "root",
         F.when(F.col("empty"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(F.col("empty"), F.lit(1).cast("long")).otherwise(F.col("class_size")).alias("class_size"),
     )
@@ -333,9 +336,9 @@ def keep_one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The documents that stand for their class, columns as given.
 
     The document with the least ``doc_id`` stays; of several rows with that id, the one whose
-    text has the least digest. Null and empty texts stay.
+    text has the least digest. Null and empty texts stay. Classes are told apart by ``root``, since ids may be null or repeated.
     """
-    best = classes.groupBy("class_id").agg(
+    best = classes.filter("root is not null").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("best")
     )
     chosen = best.select("best.doc_id", "best.node")

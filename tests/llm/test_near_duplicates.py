@@ -75,6 +75,22 @@ def test_classes_against_all_pairs(spark, monkeypatch):
     assert sum(1 for r in kept.collect() if not r["text"]) == sum(1 for _, t in rows if not t)
 
 
+def test_unrelated_texts_with_a_null_or_repeated_id_stay(spark):
+    draw = random.Random(12)
+    texts = [family(draw, 1, edits=(0,))[0] for _ in range(9)]
+    near = texts[0].rsplit(" ", 1)[0] + " other"
+    rows = [(None, t) for t in texts[:4]] + [(None, near), (None, ""), (None, None)]
+    rows += [(7, t) for t in texts[4:7]] + [(7, ""), (7, texts[4]), (8, texts[7]), (None, texts[7]), (9, texts[8])]
+    frame = spark.createDataFrame([(i, t, "n", 1) for i, t in rows], DOCS)
+    classes = nd.near_duplicate_classes(frame)
+    kept = [(r["doc_id"], r["text"]) for r in nd.keep_one_of_each(frame, classes).collect()]
+    one = [t for _, t in kept if t in (texts[0], near)]
+    assert len(one) == 1 and all(i is None for i, t in kept if t in one)
+    expected = [(None, t) for t in texts[1:4]] + [(None, ""), (None, None)] + [(7, t) for t in texts[4:7]] + [(7, ""), (8, texts[7]), (9, texts[8])]
+    assert sorted(map(str, (k for k in kept if k[1] not in one))) == sorted(map(str, expected))
+    assert classes.filter("root is not null").select("root").distinct().count() == 9
+
+
 def test_no_rows(spark):
     frame = spark.createDataFrame([], DOCS)
     assert nd.near_duplicate_classes(frame).count() == 0
