@@ -6,8 +6,10 @@ widened to whole blocks. The weights are log-odds counted on labelled pages: pag
 that mark their content with ``article`` or ``main`` label themselves, words and tags
 inside against those outside. They hold for all pages, marked or not.
 
-Elements that are no content by their kind (scripts, styles, menus, forms, page headers and footers, …)
-or by what their class or id says (adverts, notices, comments, …) are left out first.
+Elements that are no content by their kind (scripts, styles, menus, forms, page headers and footers, …) are left out
+first. What a class, id or role says (adverts, notices, comments, …) is a hint: it is judged once the whole page is
+read, and does not hold for an element around the page's only content, or with most of its words (see ``_stands``). A page that has no text
+without its hinted elements is read with them. Elements end as HTML says, also where their end tags are omitted.
 
 Character references are decoded; white space inside a block becomes one space; blocks are
 joined by two line breaks. A null page is empty. Repeated rows each get their row. Extra
@@ -41,12 +43,23 @@ LEFT_OUT = frozenset(
     "select svg template video".split()
 )
 CONTENT = frozenset(("article", "main"))
-_HINTS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|copyright|disqus|"
-    r"footer|gdpr|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notices|notification|overlay|"
-    r"pager|pagination|popup|promo|promotion|related|replies|respond|responses|share|sharing|sidebar|signup|social|sponsor|sponsored|"
-    r"subscribe|toolbar|topbar|widget)(?:$|[\s_-])",
-    re.I,
+_HINTS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie "
+    "cookies copyright disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay "
+    "pager pagination popup promo promotion related replies respond response responses share sharing sidebar signup social sponsor sponsored "
+    "subscribe toolbar topbar widget".split()
+)
+_COMMENTS = frozenset("comment comments commentlist disqus replies respond response responses".split())
+# Hints that say nothing inside of marked content: titles and call-outs.
+_INSIDE = frozenset("header notice notices".split())
+# Before these words, a hint says that something else has it ("has-sidebar").
+_ABOUT = frozenset("has have no not with without".split())
+# Hints that have a plain meaning before another word ("share-price"), and the words before which they keep theirs.
+_PLAIN = frozenset("related share social notice promotion response responses sponsor comment".split())
+_FURNITURE = frozenset(
+    "and area article articles bar block body bottom box btn button buttons container content contents count counter form group icon icons inner "
+    "item items left link links list meta media message module more networks news panel post posts reading right row section stories story "
+    "tags text title tools top topics videos wrap wrapper".split()
 )
 _ROLES = re.compile(r"\b(?:navigation|banner|contentinfo|complementary|search|form|dialog|alert)\b", re.I)
 _NEVER_HINTED = frozenset(("html", "body", "main"))
@@ -54,8 +67,22 @@ _NEVER_HINTED = frozenset(("html", "body", "main"))
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*(?:>|\Z))""", re.S
 )
-_NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\shidden(?:[\s=>]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
+
+# Elements whose end tags may be omitted: what a start tag ends, up to which elements around.
+_ENDS = (
+    {n: (frozenset(("li",)), frozenset("ul ol menu dir".split())) for n in ("li",)}
+    | {n: (frozenset(("dt", "dd")), frozenset(("dl",))) for n in ("dt", "dd")}
+    | {n: (frozenset(("td", "th")), frozenset(("table", "tr"))) for n in ("td", "th")}
+    | {n: (frozenset("tr td th".split()), frozenset(("table",))) for n in ("tr", "tbody", "tfoot", "thead")}
+    | {n: (frozenset(("option",)), frozenset(("select", "datalist"))) for n in ("option", "optgroup")}
+)
+_OMITTED = frozenset("p li dt dd td th tr option".split())
+_ENDS_P = BLOCKS - frozenset("body caption dd dt head html legend li tbody td tfoot th thead title tr".split())
+_AROUND_P = frozenset("article aside blockquote body button caption dd details div dl dt fieldset figure footer form header li main nav object ol section table td th ul".split())
+_WALLS = frozenset("caption html object table td template th".split())
+_TABLE = frozenset("caption table tbody td tfoot th thead tr".split())
 
 LEAST, WORD_MOST, TAG_MOST = 0.1, 3.0, 4.0
 
@@ -75,35 +102,114 @@ class Token:
         return 0 if self.tag else len(self.text.split())
 
 
-def _hinted(name: str, attributes: str) -> bool:
+@dataclass
+class Region:
+    """An element with a hint: its place among elements and what it holds."""
+
+    around: int
+    kind: str
+    marked: int
+    links: int
+    context: str
+    words: int = 0
+    content: bool = False
+    closed: bool = False
+
+
+def _named_hint(value: str, known: frozenset[str], marked: bool) -> str:
+    """The hint that a class or id holds, or nothing."""
+    for name in value.lower().split():
+        parts = re.split("[_-]+", name)
+        for k, part in enumerate(parts):
+            if part not in known or marked and part in _INSIDE or not _ABOUT.isdisjoint(parts[:k]):
+                continue
+            after = parts[k + 1] if k + 1 < len(parts) else ""
+            if part in _PLAIN and after and not (after in _FURNITURE or after in _HINTS or after.isdigit()):
+                continue
+            return part
+    return ""
+
+
+def _hinted(name: str, attributes: str, marked: bool) -> str:
+    """What says that the element is no content, or nothing."""
     if len(attributes) < 4 or name in _NEVER_HINTED:
-        return False
-    for m in _NAMED.finditer(attributes):
-        value = m[2] or m[3] or m[4] or ""
-        if m[1].lower() == "role":
+        return ""
+    for m in _ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if key == "role":
             if _ROLES.search(value):
-                return True
-        elif name in CONTENT:
-            if re.search(r"(?:^|[\s_-])(?:comments?|replies)(?:$|[\s_-])", value, re.I):
-                return True
-        elif _HINTS.search(value):
-            return True
-    return bool(_HIDDEN.search(attributes))
+                return "role"
+        elif key in ("class", "id"):
+            found = _named_hint(value, _COMMENTS if name in CONTENT else _HINTS, marked)
+            if found:
+                return found
+        elif key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true" or key == "style" and _UNSEEN.search(value):
+            return "hidden"
+    return ""
+
+
+def _find_open(opened: list[tuple[str, int]], names: frozenset[str] | tuple[str, ...], walls: frozenset[str]) -> int:
+    """Place of the outermost of ``names`` above the last open one of ``walls``, or -1."""
+    found = -1
+    for k in range(len(opened) - 1, -1, -1):
+        if opened[k][0] in names:
+            found = k
+        elif opened[k][0] in walls:
+            break
+    return found
+
+
+def _closed_by(opened: list[tuple[str, int]], name: str) -> int:
+    """Place of the element that an end tag ends, or -1."""
+    walls = frozenset(("table",)) if name in _TABLE else _WALLS
+    for k in range(len(opened) - 1, -1, -1):
+        if opened[k][0] == name:
+            return k
+        if opened[k][0] in walls:
+            return -1
+    return -1
+
+
+def _stands(region: Region, total: int, elsewhere: bool) -> bool:
+    """Whether a hint holds: not for what has the page's only marked content, nor for most of the words, unless these are comments
+    or the page has its marked content elsewhere. An element that never ends has no hint, unless its end may be omitted.
+    """
+    if not region.closed:
+        return False
+    if region.content and not elsewhere:
+        return False
+    most = 2 * region.words > total and region.kind not in _COMMENTS
+    return not (most and (region.marked > 0 or not elsewhere))
 
 
-def read_page(page: str) -> list[Token]:
+def read_page(page: str, hints: bool = True) -> list[Token]:
     """Runs of text and tags of a page in order, without what is left out."""
     out: list[Token] = []
-    at, block, links, marked = 0, 0, 0, 0
-    around = "other"
+    places: list[int] = []
+    regions: list[Region] = []
+    opened: list[tuple[str, int]] = []
+    at, block, links, marked, region = 0, 0, 0, 0, -1
+    around, elsewhere = "other", False
     skipping, depth = "", 0
+
+    def close(first: int, by: str) -> None:
+        """End the open elements from a place on; the end of the whole page does not tell where an element ends."""
+        nonlocal region, marked, links, around
+        for element, own in reversed(opened[first:]):
+            if own >= 0:
+                r = regions[own]
+                r.closed = by not in ("body", "html") or element in _OMITTED
+                region, marked, links, around = r.around, r.marked, r.links, r.context
+        del opened[first:]
+
     while True:
         m = _TOKEN.search(page, at)
         end = m.start() if m else len(page)
         if end > at and not skipping:
             out.append(Token("", page[at:end], block, "link" if links else around, marked > 0))
+            places.append(region)
         if not m:
-            return out
+            break
         at = m.end()
         if m[2] is None:
             continue
@@ -121,12 +227,33 @@ def read_page(page: str) -> list[Token]:
             if not own_end:
                 at = _raw_end(page, at, name)
             continue
-        leave = name in LEFT_OUT or (name == "header" and not marked) or (not closing and _hinted(name, m[3]))
-        if leave and not closing:
+        if not closing:
+            ended = _find_open(opened, *_ENDS[name]) if name in _ENDS else -1
+            if ended < 0 and name in _ENDS_P:
+                ended = _find_open(opened, ("p",), _AROUND_P)
+            if ended >= 0:
+                close(ended, name)
+        kind = name in LEFT_OUT or (name == "header" and not marked)
+        if kind and not closing and name != "option":
             block += 1
             if name not in VOID and not own_end and _is_closed(page, at, name):
                 skipping, depth = name, 1
             continue
+        hint = ""
+        if not closing and (hints or name == "option"):
+            hint = "option" if name == "option" else _hinted(name, m[3], marked > 0)
+        ended = _closed_by(opened, name) if closing else -1
+        if hint:
+            block += 1
+            if name in VOID or own_end:
+                continue
+            regions.append(Region(region, hint, marked, links, around))
+            region = len(regions) - 1
+        if name in CONTENT and not closing and not hint:
+            if region < 0:
+                elsewhere = True
+            for r in _up(regions, region):
+                r.content = True
         if name in CONTENT:
             marked = max(0, marked + (-1 if closing else 1))
         if name == "a":
@@ -136,6 +263,36 @@ def read_page(page: str) -> list[Token]:
             links = 0
             around = "other" if closing else name
         out.append(Token(name, " " if name == "br" else "", block, "", marked > 0 and name not in CONTENT))
+        places.append(region)
+        if ended >= 0:
+            inner = marked
+            close(ended, name)
+            if name in CONTENT:
+                marked = min(marked, inner)
+        elif not closing and name not in VOID and not own_end:
+            opened.append((name, region if hint else -1))
+    if not regions:
+        return out
+    # The end of the page ends what may end so.
+    for name, own in opened:
+        if own >= 0 and name in _OMITTED:
+            regions[own].closed = True
+    total = 0
+    for token, place in zip(out, places):
+        total += token.words
+        for r in _up(regions, place):
+            r.words += token.words
+    gone = [r.kind == "option" or _stands(r, total, elsewhere) for r in regions]
+    # Regions are listed from the outside in.
+    for k, r in enumerate(regions):
+        gone[k] = gone[k] or r.around >= 0 and gone[r.around]
+    return [token for token, place in zip(out, places) if place < 0 or not gone[place]]
+
+
+def _up(regions: list[Region], place: int) -> Iterator[Region]:
+    while place >= 0:
+        yield regions[place]
+        place = regions[place].around
 
 
 def _raw_end(page: str, at: int, name: str) -> int:
@@ -215,9 +372,12 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str, weights: PageWeights) -> str:
     """Blocks of the best run, joined by two line breaks."""
-    tokens = read_page(page)
-    first, last = best_run([weights.score(t) for t in tokens])
-    if first == last:
+    for hints in (True, False):
+        tokens = read_page(page, hints)
+        first, last = best_run([weights.score(t) for t in tokens])
+        if first < last:
+            break
+    else:
         return ""
     while first > 0 and tokens[first - 1].block == tokens[first].block:
         first -= 1

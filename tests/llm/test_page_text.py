@@ -47,6 +47,30 @@ def test_shapes(spark):
     assert pt.extract_pages(frame.limit(0), pt.fit_page_weights(frame.limit(0))).count() == 0
 
 
+def texts_of(*bodies):
+    weights = pt.PageWeights({"link": 0.1}, {})
+    return [pt.main_text(page(b), weights) for b in bodies]
+
+
+def test_hints_do_not_take_the_content():
+    text = WORDS.strip()
+    wrapped = [
+        f'<div class="content no-sidebar"><article><p>{WORDS}</p></article></div>',
+        f'<div id=page class="has-sidebar"><p>{WORDS}</p><p>{WORDS}</p></div>',
+        f'<div class="with-banner"><p>{WORDS}</p></div>',
+        f'<div class="layout-sidebar"><main><p>{WORDS}</p></main><div class="sidebar">x y</div></div>',
+        f'<div class="sidebar"><p>{WORDS}</p><p>{WORDS}</p></div><p>a b</p>',
+        f'<div class="overflow hidden x"><p>{WORDS}</p></div><div class="c"><p>{WORDS}</p></div>',
+    ]
+    for found in texts_of(*wrapped):
+        assert text in found and "x y" not in found
+    blocks = "".join(f'<div class="{c}">{c} {WORDS}</div>' for c in ("entry-header", "related-work", "share-price", "notice"))
+    inside = texts_of(f"<article><p>{WORDS * 9}</p>{blocks}<div class='related-posts'>gone</div><p hidden>gone</p></article>")[0]
+    assert all(c in inside for c in ("entry-header", "related-work", "share-price", "notice")) and "gone" not in inside
+    comments = "reader words " * 40
+    assert comments.strip() not in texts_of(f"<article><p>{WORDS}</p></article><div class=comments><article class=comment><p>{comments}</p></article></div>")[0]
+
+
 def test_best_run():
     assert pt.best_run([]) == (0, 0) and pt.best_run([-1.0, -2.0]) == (0, 0)
     assert pt.best_run([-1.0, 3.0, -1.0, 4.0, -9.0, 5.0]) == (1, 4)
