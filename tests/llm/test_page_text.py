@@ -71,6 +71,19 @@ def test_hints_do_not_take_the_content():
     assert comments.strip() not in texts_of(f"<article><p>{WORDS}</p></article><div class=comments><article class=comment><p>{comments}</p></article></div>")[0]
 
 
+def test_hinted_elements_without_end_tags():
+    for body in (
+        f"<p class=notice>gone<p>{WORDS}</p><p>{WORDS}</p><p>{WORDS}</p>",
+        f"<ul><li class=share>gone<li>{WORDS}</ul><div><p>{WORDS}</p></div><ul><li>{WORDS}</li></ul>",
+        f"<dl><dt class=ad>gone<dd>{WORDS}</dl><div>{WORDS}</div><dl><dt>{WORDS}</dt></dl>",
+        f"<table><tr><td class=ad>gone<td>{WORDS}<tr><td>{WORDS}</table><div>{WORDS}</div><table><tr><td></td></tr></table>",
+        f"<div><p class=notice>gone</div><p>{WORDS}</p><p>{WORDS}</p><p>{WORDS}</p>",
+        f"<p>{WORDS}</p><div class=ad><p>{WORDS}</p><p>{WORDS}</p>",
+    ):
+        found = texts_of(body)[0]
+        assert found.count(WORDS.strip()) == 3 and "gone" not in found, body
+
+
 def test_best_run():
     assert pt.best_run([]) == (0, 0) and pt.best_run([-1.0, -2.0]) == (0, 0)
     assert pt.best_run([-1.0, 3.0, -1.0, 4.0, -9.0, 5.0]) == (1, 4)
