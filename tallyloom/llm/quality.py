@@ -12,7 +12,10 @@ left out of that fit.
 
 A text is described by the shares of kinds of characters and marks, repeated and distinct words, and lengths.
 
-Fits use at most ``POSITIVES`` and ``UNLABELLED`` rows (least hashes of their ids). Null and empty texts are
+The prior counts all documents. Two first classifiers are fitted, each on a half of the drawn rows, and score the other
+half of the documents. The network is fitted on at most ``POSITIVES`` and ``UNLABELLED`` distinct rows (least hashes of id and text) with
+their number of copies; unlabelled ones are weighted by the exact number of documents in their range of scores, so beyond the
+bound the risk is that of a weighted sample. Null and empty texts are
 described by zeros. Extra columns are ignored.
 """
 
@@ -26,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.linear import fit_logistic, sigmoid
+from tallyloom.llm.linear import Logistic, fit_logistic, sigmoid
 from tallyloom.llm.toxicity import labelled_rows
 from tallyloom.llm.words import split_words, text_chunks
+from tallyloom.operators.lineage import stored
 
 POSITIVES, UNLABELLED = 20_000, 40_000
+POSITIVE_SALT, UNLABELLED_SALT = 11, 12
 HIDDEN, ROUNDS, RATE, DECAY = 16, 1500, 0.01, 1e-4
 
 _MARKS = np.frombuffer(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", np.uint8)
@@ -88,26 +93,51 @@ class QualityModel:
         return sigmoid(np.tanh(z @ self.inner + self.inner_bias) @ self.outer + self.outer_bias)
 
 
+def score_cuts(positive: np.ndarray, least: float = 0.05) -> np.ndarray:
+    """Thresholds, ascending: quantiles of the positive scores."""
+    return np.quantile(positive, np.linspace(0, 1 - least, 200))
+
+
+def shares_above(cuts: np.ndarray, scores: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Share of the weights whose scores reach each threshold."""
+    ranges = np.bincount(np.searchsorted(cuts, scores, "right"), weights, len(cuts) + 1)
+    return ranges[::-1].cumsum()[::-1][1:] / ranges.sum()
+
+
+def least_ratio(p: np.ndarray, u: np.ndarray, n_p: float, n_u: float, least: float = 0.05) -> float:
+    """The least ratio of the shares ``u`` to ``p`` over thresholds, each with a margin of two standard errors."""
+    margin = 2 * (np.sqrt(u * (1 - u) / n_u) + np.sqrt(p * (1 - p) / n_p))
+    best = int(np.argmin(np.where(p >= least - 1e-9, (u + margin) / np.maximum(p, 1e-9), np.inf)))
+    return float(np.clip(u[best] / max(p[best], 1e-9), 0.01, 0.99))
+
+
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.05) -> float:
     """Share of positives among unlabelled rows, from scores on rows not fitted.
 
-    The least ratio over thresholds, each with a margin of two standard errors; thresholds that fewer than ``least`` of
-    the positives pass say too little.
+    Thresholds that fewer than ``least`` of the positives pass say too little.
     """
     if not len(positive) or not len(unlabelled):
         return 0.5
-    cuts = np.quantile(positive, np.linspace(0, 1 - least, 200))
-    p = 1 - np.searchsorted(np.sort(positive), cuts, "left") / len(positive)
-    u = 1 - np.searchsorted(np.sort(unlabelled), cuts, "left") / len(unlabelled)
-    margin = 2 * (np.sqrt(u * (1 - u) / len(unlabelled)) + np.sqrt(p * (1 - p) / len(positive)))
-    best = int(np.argmin((u + margin) / np.maximum(p, 1e-9)))
-    return float(np.clip(u[best] / max(p[best], 1e-9), 0.01, 0.99))
-
-
-def fit_network(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = ROUNDS, seed: int = 7) -> QualityModel:
-    """Minimise the non-negative unbiased risk with adaptive gradient steps over all given rows."""
+    cuts = score_cuts(positive, least)
+    p, u = (shares_above(cuts, x, np.ones(len(x))) for x in (positive, unlabelled))
+    return least_ratio(p, u, len(positive), len(unlabelled), least)
+
+
+def fit_network(
+    positive: np.ndarray,
+    unlabelled: np.ndarray,
+    prior: float,
+    rounds: int = ROUNDS,
+    seed: int = 7,
+    weights: tuple[np.ndarray, np.ndarray] | None = None,
+) -> QualityModel:
+    """Minimise the non-negative unbiased risk with adaptive gradient steps over all given rows, each with its weight."""
     both = np.concatenate([positive, unlabelled])
-    mean, scale = both.mean(axis=0), both.std(axis=0)
+    wp, wu = weights or (np.ones(len(positive)), np.ones(len(unlabelled)))
+    wp, wu = (wp / wp.sum()).astype(np.float32), (wu / wu.sum()).astype(np.float32)
+    every = np.concatenate([wp * len(positive), wu * len(unlabelled)]) / len(both)
+    mean = every @ both
+    scale = np.sqrt(every @ (both - mean) ** 2)
     scale[scale < 1e-6] = 1.0
     xp, xu = (np.clip((x - mean) / scale, -6, 6) for x in (positive, unlabelled))
     draw = np.random.default_rng(seed)
@@ -127,13 +157,13 @@ def fit_network(positive: np.ndarray, unlabelled: np.ndarray, prior: float, roun
         hp, hu = np.tanh(xp @ parts[0] + parts[1]), np.tanh(xu @ parts[0] + parts[1])
         fp, fu = hp @ parts[2] + parts[3], hu @ parts[2] + parts[3]
         sp, su = sigmoid(fp), sigmoid(fu)
-        hidden_risk = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+        hidden_risk = wu @ np.logaddexp(0, fu) - prior * (wp @ np.logaddexp(0, fp))
         if hidden_risk >= 0:
-            slope_p = (prior * (sp - 1) - prior * sp) / len(xp)
-            slope_u = su / len(xu)
+            slope_p = (prior * (sp - 1) - prior * sp) * wp
+            slope_u = su * wu
         else:
             # The part that cannot be negative has become so: step back on it alone.
-            slope_p, slope_u = prior * sp / len(xp), -su / len(xu)
+            slope_p, slope_u = prior * sp * wp, -su * wu
         moves = [a + b for a, b in zip(gradient(xp, hp, slope_p), gradient(xu, hu, slope_u))]
         for k, move in enumerate(moves):
             move = move + DECAY * parts[k]
@@ -144,19 +174,64 @@ def fit_network(positive: np.ndarray, unlabelled: np.ndarray, prior: float, roun
     return QualityModel(mean, scale, parts[0], parts[1], parts[2], float(parts[3][0]), prior)
 
 
-def _described(rows: DataFrame, most: int, salt: int) -> np.ndarray:
-    """Descriptions of at most ``most`` rows, those with the least hashes of their ids."""
+def _drawn(rows: DataFrame, salt: int) -> DataFrame:
+    """``drawn, half, text``: a hash of id and text, and one of two halves by it."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    drawn = F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull(), text, F.lit(salt))
+    return rows.select(drawn.alias("drawn"), text.alias("text")).withColumn("half", F.pmod(F.xxhash64("drawn"), F.lit(2)).cast("int"))
+
+
+def _described(rows: DataFrame, most: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Descriptions, copies and halves of at most about ``most`` distinct rows, those with the least hashes; copies are exact."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = describe_texts(batch.column(1))
+            x = describe_texts(batch.column(2))
             listed = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), WIDTH).cast(pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), listed], names=["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], listed], names=["drawn", "half", "x"])
+
+    keyed = _drawn(rows, salt)
+    copies = stored(keyed.groupBy("drawn").agg(F.count(F.lit(1)).alias("n")))
+    # The bound is found on counts by the first bits of the hashes, so no rows meet in one task.
+    bucket = F.shiftrightunsigned("drawn", 48)
+    sizes = sorted((r["bucket"], r["count"]) for r in copies.groupBy(bucket.alias("bucket")).count().collect())
+    fits = np.cumsum([n for _, n in sizes]) <= most
+    last = sizes[max(1, int(fits.sum())) - 1][0] if sizes else -1
+    taken = keyed.filter(bucket <= last).dropDuplicates(["drawn"]).select("drawn", "half", "text")
+    described = taken.mapInArrow(describe, "drawn BIGINT, half INT, x ARRAY<FLOAT>")
+    found = sorted(described.join(copies, "drawn").collect(), key=lambda r: r["drawn"])
+    return (
+        np.array([r["x"] for r in found], np.float32).reshape(-1, WIDTH),
+        np.array([r["n"] for r in found], np.float64),
+        np.array([r["half"] for r in found], np.int64),
+    )
+
+
+def _rough_scores(rough: list[Logistic], x: np.ndarray, half: np.ndarray) -> np.ndarray:
+    """Scores of rows by the classifier that was fitted on the other half."""
+    z = x.astype(np.float64)
+    z = np.column_stack([z, z**2])
+    return np.where(half == 0, rough[1].predict(z), rough[0].predict(z))
+
+
+def _count_ranges(docs: DataFrame, rough: list[Logistic], cuts: np.ndarray) -> np.ndarray:
+    """Documents between each two thresholds, all of them counted; a task sends one row."""
+    shared = docs.sparkSession.sparkContext.broadcast((rough, cuts))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rough, cuts = shared.value
+        counts = np.zeros(len(cuts) + 1, np.int64)
+        for batch in batches:
+            scores = _rough_scores(rough, describe_texts(batch.column(1)), batch.column(0).to_numpy())
+            counts += np.bincount(np.searchsorted(cuts, scores, "right"), minlength=len(counts))
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["range", "n"])
 
-    text = F.coalesce(F.col("text"), F.lit(""))
-    described = rows.select("doc_id", text.alias("text")).mapInArrow(describe, "doc_id BIGINT, x ARRAY<FLOAT>")
-    taken = described.orderBy(F.xxhash64("doc_id", F.lit(salt)), "doc_id").limit(most).select("x").collect()
-    return np.array([r["x"] for r in taken], np.float32).reshape(-1, WIDTH)
+    rows = _drawn(docs, UNLABELLED_SALT).select("half", "text").mapInArrow(count, "range BIGINT, n BIGINT")
+    counts = np.zeros(len(cuts) + 1)
+    for r in rows.groupBy("range").agg(F.sum("n").alias("n")).collect():
+        counts[r["range"]] = r["n"]
+    return counts
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
@@ -165,17 +240,27 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
     ``labels`` has ``doc_id, quality``; only rows with quality 1 are used.
     """
     good = labelled_rows(docs, labels, "quality").filter("y = 1")
-    all_rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    positive, unlabelled = _described(good, POSITIVES, 11), _described(all_rows, UNLABELLED, 12)
+    positive, copies_p, half_p = _described(good, POSITIVES, POSITIVE_SALT)
+    if len(positive):
+        unlabelled, copies_u, half_u = _described(docs, UNLABELLED, UNLABELLED_SALT)
     if not len(positive) or not len(unlabelled):
         zeros = np.zeros(WIDTH)
         return QualityModel(zeros, zeros + 1, np.zeros((WIDTH, 1)), np.zeros(1), np.zeros(1), 0.0, 0.5)
-    # The first classifier sees every other row; the prior is read off the rest.
-    x = np.concatenate([positive[::2], unlabelled[::2]]).astype(np.float64)
-    y = np.concatenate([np.ones(len(positive[::2])), np.zeros(len(unlabelled[::2]))])
-    rough = fit_logistic(np.column_stack([x, x**2]), y)
-    left = [rough.predict(np.column_stack([r, r**2])) for r in (positive[1::2].astype(float), unlabelled[1::2].astype(float))]
-    return fit_network(positive, unlabelled, estimate_prior(*left))
+    rough = []
+    for half in (0, 1):
+        x = np.concatenate([positive[half_p == half], unlabelled[half_u == half]]).astype(np.float64)
+        y = np.concatenate([np.ones((half_p == half).sum()), np.zeros((half_u == half).sum())])
+        rough.append(fit_logistic(np.column_stack([x, x**2]), y))
+    scores_p = _rough_scores(rough, positive, half_p)
+    cuts = np.unique(score_cuts(scores_p))
+    ranges = _count_ranges(docs, rough, cuts)
+    above = ranges[::-1].cumsum()[::-1][1:] / ranges.sum()
+    prior = least_ratio(shares_above(cuts, scores_p, copies_p), above, copies_p.sum(), ranges.sum())
+    # Rows drawn stand for all documents in their range of scores.
+    place = np.searchsorted(cuts, _rough_scores(rough, unlabelled, half_u), "right")
+    drawn = np.bincount(place, copies_u, len(ranges))
+    weights = copies_u * (ranges / np.maximum(drawn, 1))[place]
+    return fit_network(positive, unlabelled, prior, weights=(copies_p, weights))
 
 
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:

@@ -83,6 +83,24 @@ def test_prior_is_near_the_share_of_positives():
         assert abs(quality.estimate_prior(positive, unlabelled) - share) < 0.06
 
 
+def test_prior_counts_all_documents_whatever_their_ids(spark, monkeypatch):
+    rows, labels = corpus(900)
+    # A third of the rows shares the null id; all of these are bad.
+    rows += [(None, r[1].replace(" ", "!! $$ ") + f" {k}", "y", "h") for k, r in enumerate(rows[:450])]
+    docs = spark.createDataFrame(rows, DOCS)
+    known = spark.createDataFrame(labels, "doc_id BIGINT, quality INT, toxic INT")
+    whole = quality.fit_quality(docs, known)
+    monkeypatch.setattr(quality, "UNLABELLED", 400)
+    part = quality.fit_quality(docs, known)
+    assert abs(whole.prior - 0.5) < 0.12 and abs(part.prior - 0.5) < 0.12
+
+
+def test_copies_count_by_weight(spark):
+    frame = spark.createDataFrame([(5, "same words", "y", "h")] * 40 + [(k, f"w{k}", "y", "h") for k in range(3)], DOCS)
+    x, copies, _ = quality._described(frame, 100, 1)
+    assert len(x) == 4 and sorted(copies.tolist()) == [1, 1, 1, 40]
+
+
 def test_risk_never_goes_below_zero_for_long():
     draw = np.random.default_rng(5)
     good, bad = draw.normal(1, 1, (400, 4)), draw.normal(-1, 1, (400, 4))
