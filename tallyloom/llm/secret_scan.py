@@ -136,7 +136,8 @@ def fit_random_model(docs: DataFrame) -> RandomModel:
         ordinary = np.zeros(SYMBOLS * SYMBOLS, np.int64)
         for batch in batches:
             for _, data, offsets in text_chunks(batch.column(0)):
-                codes = _CODE[data]
+                # Texts stand apart, so no run or pair reaches over the end of one.
+                codes = np.insert(_CODE[data], offsets[1:-1], 0)
                 for start, end in zip(*_runs(codes > 0, RUN_LEAST)):
                     codes[start:end] = 0
                 ordinary += np.bincount(_pairs(codes), minlength=len(ordinary))

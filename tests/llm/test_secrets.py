@@ -76,6 +76,13 @@ def test_spans_of_a_corpus(spark):
                 assert r["text"] == original
 
 
+def test_the_model_does_not_depend_on_how_rows_are_dealt(spark):
+    rows = [(k, t, "", 0) for k, t in enumerate(["abcdefghijkl", "mnopqrstuvwx", "", "yz", "some words", None, "next ones"] * 3)]
+    frame = spark.createDataFrame(rows, DOCS)
+    together, apart = (sc.fit_random_model(frame.repartition(n)).ratio for n in (1, 30))
+    assert (together == apart).all()
+
+
 def test_nothing_to_learn_from(spark):
     frame = spark.createDataFrame([], DOCS)
     assert sc.find_secrets(frame, sc.fit_random_model(frame)).count() == 0
