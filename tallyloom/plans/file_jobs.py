@@ -29,17 +29,20 @@ from tallyloom.sources import (
 )
 
 
-def text_index_job(spark: SparkSession, texts: str, out: str, descending: bool = True, blocks: int = 1) -> None:
+def text_index_job(spark: SparkSession, texts: str, out: str, descending: bool = True, blocks: int | None = None) -> None:
     """Index of a folder of text files under ``index``, its words by frequency under ``sorted``.
 
     The counts are kept as a table under ``counts``; both outputs start from it. Documents are named by
-    their paths, so they are dealt into ``blocks`` by a hash; a word has a line for each block it is found in.
+    their paths, so they are dealt into ``blocks`` by a hash; a word has a line for each block it is found in. By default
+    a block has about ``DOCUMENTS_PER_LINE`` of the documents counted.
     """
     lines = read_named_lines(spark, texts)
     write_parquet(
         text_index.term_document_counts(lines, doc="file_name", text="line"), f"{out}/counts"
     )
     counts = read_table(spark, f"{out}/counts")
+    if blocks is None:
+        blocks = max(1, -(-counts.select("doc").distinct().count() // text_index.DOCUMENTS_PER_LINE))
     postings = text_index.inverted_index_postings(counts, text_index.document_blocks(blocks=int(blocks)))
     write_key_values(text_index.index_lines(postings), f"{out}/index", "word", "value")
     ordered = text_index.words_by_frequency(text_index.term_average_frequency(counts), descending)

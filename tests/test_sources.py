@@ -126,6 +126,16 @@ def test_spread_only_small_scans(spark, tmp_path):
     assert io.spread(spark.range(0, 10, 1, 50)).rdd.getNumPartitions() == 50
 
 
+def test_text_index_job_bounds_its_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(file_jobs.text_index, "DOCUMENTS_PER_LINE", 4)
+    (tmp_path / "in").mkdir()
+    for k in range(24):
+        (tmp_path / "in" / f"f{k}.txt").write_text("common words\n")
+    file_jobs.text_index_job(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    lines = [r["value"] for r in spark.read.text(str(tmp_path / "out" / "index")).collect() if r["value"].startswith("common")]
+    assert 1 < len(lines) <= 6 and sum(v.count(".txt:") for v in lines) == 24
+
+
 def test_text_index_job(spark, tmp_path):
     write(tmp_path / "in" / "f1", "to be or\nnot to be\n")
     write(tmp_path / "in" / "f2", "be\n")
