@@ -34,3 +34,50 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """,
 }
+
+
+def _collocations() -> str:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), '{letters}', '{letters.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+), sizes AS (
+  SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang
+), often AS MATERIALIZED (
+  SELECT lang, w[i : i + m - 1] AS g, any_value(m) AS m, count(*) AS f
+  FROM (
+    SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(w) >= m
+  ) GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT c.lang AS lang, c.g AS g, c.f AS a, k, x.f AS l, y.f AS r,
+         (1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f) AS score, n
+  FROM (SELECT lang, g, m, f, unnest(range(1, m)) AS k FROM often WHERE m > 1) c
+  JOIN often x ON x.lang = c.lang AND x.g = c.g[1 : k]
+  JOIN often y ON y.lang = c.lang AND y.g = c.g[k + 1 :]
+  JOIN sizes ON sizes.lang = c.lang
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), held AS (
+  SELECT lang, g, max(f) AS f FROM (
+    SELECT lang, g[s : s + size - 1] AS g, f
+    FROM (SELECT lang, g, f, m, size, unnest(range(1, m - size + 2)) AS s
+          FROM often, (SELECT unnest([2, 3, 4]) AS size) WHERE size < m)
+  ) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (
+  SELECT lowest.*, array_to_string(lowest.g, ' ') AS phrase
+  FROM lowest LEFT JOIN held ON held.lang = lowest.lang AND held.g = lowest.g
+  WHERE held.f IS NULL OR 100 * held.f < 100 * a
+)
+QUALIFY rank <= 2000
+"""
+
+
+ORACLES["op13_collocations"] = _collocations()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, edit_fingerprint, near_duplicates, packing, page_text, quality, repeated_text, secret_scan, sharding, toxicity
+from tallyloom.llm import collocations, decontamination, edit_fingerprint, near_duplicates, packing, page_text, quality, repeated_text, secret_scan, sharding, toxicity
 from tallyloom.llm.oracles import ORACLES
 from tallyloom.sources import read_table
 
@@ -113,6 +113,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprint.compare_with_next(_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(_table(spark, sf_dir, "documents"))
+    return collocations.best_collocations(found).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -126,5 +131,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_page_text,
         op9_secrets,
         op10_fingerprints,
+        op13_collocations,
     )
 }
