@@ -11,6 +11,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Name, up to a random part, of the folders of intermediate tables.
+STORED = "stored-"
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables."""
@@ -36,6 +39,22 @@ def stored(df: DataFrame) -> DataFrame:
     Better than a checkpoint where the rows are wide or read by single columns.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/{STORED}{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Remove the files of a frame that came from ``stored``, once all that reads it has been written.
+
+    Frames that still read the table fail afterwards. A frame from elsewhere is an error and stays untouched.
+    """
+    folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+    if not folders:
+        return
+    folder = folders.pop()
+    if folders or not folder.rsplit("/", 1)[-1].startswith(STORED):
+        raise ValueError("only a whole stored table can be discarded")
+    context = table.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
