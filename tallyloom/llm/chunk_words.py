@@ -12,11 +12,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 23
 
 # Code of a break (end of a piece or of a text) in a chunk's sequence; words count from 1.
 BREAK = 0
@@ -45,13 +46,31 @@ def coded(data: np.ndarray, offsets: np.ndarray, table: bytes) -> tuple[pa.Array
     return words.cast(pa.large_string()).cast(pa.string()), codes
 
 
-def packed(codes: np.ndarray) -> bytes:
-    """Codes as little-endian unsigned 32-bit numbers."""
-    return codes.astype("<u4").tobytes()
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<u4").astype(np.int64)
+def packed(*columns: np.ndarray) -> bytes:
+    """Arrays of small numbers, each as differences in as few bytes as hold them, compressed together."""
+    out = []
+    for values in columns:
+        steps = np.diff(np.asarray(values, np.int64), prepend=0)
+        plain = np.asarray(values, np.int64)
+        # Rising numbers are small as differences, others as they are.
+        stepped = len(steps) > 0 and np.abs(steps).max() < np.abs(plain).max()
+        body = steps if stepped else plain
+        least, most = (int(body.min()), int(body.max())) if len(body) else (0, 0)
+        kind = next(k for k in ("<i1", "<i2", "<i4", "<i8") if np.iinfo(k).min <= least and most <= np.iinfo(k).max)
+        out.append(bytes([int(stepped), np.dtype(kind).itemsize]) + len(body).to_bytes(8, "little") + body.astype(kind).tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(out))
+
+
+def unpacked(data: bytes) -> list[np.ndarray]:
+    """The arrays of ``packed``."""
+    plain = zstandard.ZstdDecompressor().decompress(data)
+    out, at = [], 0
+    while at < len(plain):
+        stepped, width, size = plain[at], plain[at + 1], int.from_bytes(plain[at + 2 : at + 10], "little")
+        body = np.frombuffer(plain, f"<i{width}", size, at + 10).astype(np.int64)
+        out.append(np.cumsum(body) if stepped else body)
+        at += 10 + width * size
+    return out
 
 
 def dictionary_rows(chunks: DataFrame, keys: Sequence[str], others: Sequence[Column] = ()) -> DataFrame:

@@ -21,13 +21,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.llm.bitmap import build_bitmap, may_contain
 from tallyloom.llm.chunk_words import BREAK, CHUNK_BYTES, byte_table, coded, look_up, one_row, packed, struct_columns, unpacked
-from tallyloom.llm.words import text_chunks
-from tallyloom.operators.lineage import stored
+from tallyloom.llm.words import mix, text_chunks
+from tallyloom.operators.lineage import discard, settled, stored
 
 # A phrase is a candidate if it occurs so often, and has so many words at most.
 LEAST, LONGEST = 100, 5
@@ -42,7 +43,7 @@ TILE, CELLS_EACH = 256, 8
 PIECE_ENDS, BETWEEN = ".,;:!?\n\x0b\x0c\r", " \t"
 
 _CHUNK = "chunk LONG, lang STRING, words ARRAY<STRING>, counts ARRAY<LONG>, codes BINARY"
-_START = "chunk LONG, lang STRING, words ARRAY<STRING>, ids ARRAY<LONG>, f ARRAY<LONG>, codes BINARY"
+_STATE = "chunk LONG, lang STRING, words ARRAY<STRING>, codes BINARY, levels ARRAY<BINARY>"
 _PAIR = "chunk LONG, key LONG, left LONG, right LONG, n LONG"
 _REPORT = "lang STRING, phrase STRING, a LONG, firsts ARRAY<LONG>, rests ARRAY<LONG>"
 _MARKS = ("key", "id", "f", "mine")
@@ -103,28 +104,29 @@ class _Levels:
     ``ids``, ``f`` and ``mine`` have, by rank, its id, its count, and whether this chunk reports it.
     """
 
-    def __init__(self, row: dict, marks: list[pa.Array]) -> None:
-        codes = unpacked(row["codes"])
-        self.rank = [codes - 1]
-        self.ids = [np.asarray(row["ids"], np.int64)]
-        self.f = [np.asarray(row["f"], np.int64)]
-        self.mine = [np.zeros(len(self.ids[0]), bool)]
-        for rows in marks:
-            key, number, f, mine = struct_columns(rows, _MARKS)
-            by_id = np.argsort(number)
+    def __init__(self, codes: np.ndarray, ids: np.ndarray, f: np.ndarray) -> None:
+        self.rank, self.ids, self.f, self.mine = [codes - 1], [ids], [f], [np.zeros(len(ids), bool)]
+
+    @staticmethod
+    def of_row(codes: bytes, levels: list[bytes]) -> _Levels:
+        found = _Levels(unpacked(codes)[0], *unpacked(levels[0]))
+        for level in levels[1:]:
+            found.add(*unpacked(level))
+        return found
+
+    def add(self, key: np.ndarray, number: np.ndarray, f: np.ndarray, mine: np.ndarray) -> None:
+        """Take in the frequent phrases of one more word, in order of their ids, by the keys they have here."""
+        at, here = self.pairs()
+        rank = np.full(len(self.rank[0]), -1, np.int64)
+        if len(key):
             by_key = np.argsort(key)
-            place = np.empty(len(key), np.int64)
-            place[by_id] = np.arange(len(key))
-            at, here = self.pairs()
-            rank = np.full(len(codes), -1, np.int64)
-            if len(key):
-                slot = np.minimum(np.searchsorted(key[by_key], here), len(key) - 1)
-                hit = key[by_key][slot] == here
-                rank[at[hit]] = place[by_key][slot[hit]]
-            self.rank.append(rank)
-            self.ids.append(number[by_id])
-            self.f.append(f[by_id])
-            self.mine.append(np.asarray(mine, bool)[by_id])
+            slot = np.minimum(np.searchsorted(key, here, sorter=by_key), len(key) - 1)
+            hit = key[by_key[slot]] == here
+            rank[at[hit]] = by_key[slot[hit]]
+        self.rank.append(rank)
+        self.ids.append(number)
+        self.f.append(f)
+        self.mine.append(mine.astype(bool))
 
     def next_word(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places, phrase and next word, where a phrase of one more word may be frequent.
@@ -148,12 +150,11 @@ class _Levels:
         return np.where(rank >= 0, np.append(self.f[size - 1], 0)[rank], 0)
 
 
-def _levels(batch: pa.RecordBatch, size: int) -> Iterator[tuple[dict, _Levels]]:
-    """Rows of a batch with the levels below ``size`` words."""
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[dict, _Levels]]:
+    """Rows of a batch of chunks with their levels."""
     for i in range(batch.num_rows):
-        row = {name: batch.column(name)[i].as_py() for name in ("chunk", "lang", "codes")}
-        row |= {name: batch.column(name)[i].values for name in ("words", "ids", "f")}
-        yield row, _Levels(row, [batch.column(f"marks{m}")[i].values for m in range(2, size)])
+        row = {name: batch.column(name)[i] for name in batch.schema.names}
+        yield row, _Levels.of_row(row["codes"].as_py(), row["levels"].as_py())
 
 
 def _start(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -167,56 +168,86 @@ def _start(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
                 words = batch.column("words")[i].values
                 rank = np.zeros(len(words) + 1, np.int64)
                 rank[at[by_id].astype(np.int64) + 1] = np.arange(1, len(at) + 1)
-                codes = rank[unpacked(batch.column("codes")[i].as_py())]
+                codes = rank[unpacked(batch.column("codes")[i].as_py())[0]]
                 kept = codes != BREAK
                 kept[1:] |= codes[:-1] != BREAK
                 yield one_row(
                     chunk=batch.column("chunk")[i].as_py(),
                     lang=batch.column("lang")[i].as_py(),
                     words=words.take(pa.array(at[by_id])),
-                    ids=number[by_id],
-                    f=f[by_id],
                     codes=packed(codes[kept]),
+                    levels=pa.array([packed(number[by_id], f[by_id])], pa.binary()),
                 )
 
     found = look_up(chunks, vocabulary, ["lang", "word"], ["id", "f"])
-    return chunks.drop("counts").join(found, "chunk").mapInArrow(recode, _START)
+    return chunks.drop("counts").join(found, "chunk").mapInArrow(recode, _STATE)
 
 
-def _pairs(state: DataFrame, size: int) -> DataFrame:
-    """Possible phrases of ``size`` words per chunk, with their counts there."""
+def _token(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mix(mix(left.astype(np.uint64)) + right.astype(np.uint64))
+
+
+def _pairs(state: DataFrame, bits: Broadcast | None = None) -> DataFrame:
+    """Possible phrases of one more word per chunk, with their counts there; with a bitmap, those that may be in it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, levels in _levels(batch, size):
+            for row, levels in _rows(batch):
                 _, left, right = levels.next_word()
                 width = len(levels.ids[0])
                 keys, counts = count_pairs(left, right, len(levels.ids[-1]), width)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "chunk": np.full(len(keys), row["chunk"], np.int64),
-                        "key": keys,
-                        "left": levels.ids[-1][keys // max(width, 1)],
-                        "right": levels.ids[0][keys % max(width, 1)],
-                        "n": counts,
-                    }
-                )
+                left, right = levels.ids[-1][keys // max(width, 1)], levels.ids[0][keys % max(width, 1)]
+                if bits is not None:
+                    found = may_contain(bits.value, _token(left, right))
+                    keys, counts, left, right = keys[found], counts[found], left[found], right[found]
+                chunk = np.full(len(keys), row["chunk"].as_py(), np.int64)
+                yield pa.RecordBatch.from_pydict({"chunk": chunk, "key": keys, "left": left, "right": right, "n": counts})
 
     return state.mapInArrow(count, _PAIR)
 
 
-def _with_phrases(state: DataFrame, size: int, least: int) -> DataFrame:
-    """The chunks with the frequent phrases of ``size`` words they hold."""
-    pairs = _pairs(state, size)
-    totals = pairs.groupBy("left", "right").agg(F.sum("n").alias("f"), F.min("chunk").alias("teller"))
+def _bitmap(phrases: DataFrame) -> np.ndarray:
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            yield pa.RecordBatch.from_pydict({"token": _token(left, right).view(np.int64)})
+
+    return build_bitmap(phrases.select("left", "right").mapInArrow(tokens, "token LONG"), "token", phrases.count())
+
+
+def _with_phrases(state: DataFrame, least: int) -> DataFrame:
+    """The chunks with the frequent phrases of one more word they hold."""
+
+    def take_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i] for name in batch.schema.names}
+                key, number, f, mine = struct_columns(row["marks"].values, _MARKS)
+                by_id = np.argsort(number)
+                level = packed(key[by_id], number[by_id], f[by_id], mine[by_id])
+                yield one_row(
+                    chunk=row["chunk"].as_py(),
+                    lang=row["lang"].as_py(),
+                    words=row["words"].values,
+                    codes=row["codes"].as_py(),
+                    levels=pa.array(row["levels"].as_py() + [level], pa.binary()),
+                )
+
+    totals = _pairs(state).groupBy("left", "right").agg(F.sum("n").alias("f"), F.min("chunk").alias("teller"))
     phrases = ranked(totals.filter(F.col("f") >= least), F.desc("f"), "left", "right")
+    bits = state.sparkSession.sparkContext.broadcast(_bitmap(phrases))
+    mine = (F.col("chunk") == F.col("teller")).alias("mine")
     marks = (
-        pairs.select("chunk", "key", "left", "right")
+        _pairs(state, bits)
+        .select("chunk", "key", "left", "right")
         .join(phrases, ["left", "right"])
         .groupBy("chunk")
-        .agg(F.collect_list(F.struct("key", "id", "f", (F.col("chunk") == F.col("teller")).alias("mine"))).alias(f"marks{size}"))
+        .agg(F.collect_list(F.struct("key", "id", "f", mine)).alias("marks"))
     )
-    return stored(state.join(marks, "chunk", "left"))
+    grown = stored(state.join(marks, "chunk", "left").mapInArrow(take_in, _STATE))
+    bits.destroy()
+    discard(phrases)
+    return grown
 
 
 def _reports(state: DataFrame, longest: int) -> DataFrame:
@@ -224,10 +255,10 @@ def _reports(state: DataFrame, longest: int) -> DataFrame:
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, levels in _levels(batch, longest + 1):
+            for row, levels in _rows(batch):
                 counts = [levels.count(size) for size in range(1, longest + 1)]
                 counts.append(np.zeros_like(counts[0]))
-                codes, words = levels.rank[0], np.array(row["words"].to_pylist(), dtype=object)
+                codes, words = levels.rank[0], np.array(row["words"].as_py(), dtype=object)
                 out: dict[str, list] = {"phrase": [], "a": [], "firsts": [], "rests": []}
                 for size in range(2, longest + 1):
                     ranks, first = np.unique(levels.rank[size - 1], return_index=True)
@@ -241,7 +272,7 @@ def _reports(state: DataFrame, longest: int) -> DataFrame:
                         out["firsts"].append([counts[k - 1][i] for k in range(1, size)])
                         out["rests"].append([counts[size - k - 1][i + k] for k in range(1, size)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["lang"]] * len(out["a"]), pa.string()), pa.array(out["phrase"], pa.string())]
+                    [pa.array([row["lang"].as_py()] * len(out["a"]), pa.string()), pa.array(out["phrase"], pa.string())]
                     + [pa.array(out["a"], pa.int64())]
                     + [pa.array(out[name], pa.list_(pa.int64())) for name in ("firsts", "rests")],
                     names=["lang", "phrase", "a", "firsts", "rests"],
@@ -264,8 +295,12 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, ch
     sizes = chunks.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda t, x: t + x).alias("n"))
     vocabulary = ranked(totals.filter(F.col("f") >= least), F.desc("f"), "lang", "word")
     state = stored(_start(chunks, vocabulary))
-    for size in range(2, longest + 1):
-        state = _with_phrases(state, size, least)
+    sizes = settled(sizes.groupBy("lang").agg(F.sum("n").alias("n")))
+    discard(chunks)
+    discard(vocabulary)
+    for _ in range(2, longest + 1):
+        before, state = state, _with_phrases(state, least)
+        discard(before)
     cuts = F.transform(
         F.arrays_zip("firsts", "rests"),
         lambda cut, k: F.struct(
@@ -281,7 +316,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, ch
     )
     return (
         _reports(state, longest)
-        .join(sizes.groupBy("lang").agg(F.sum("n").alias("n")), "lang")
+        .join(sizes, "lang")
         .withColumn("cut", F.array_min(scores))
         .select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
     )
