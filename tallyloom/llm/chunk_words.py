@@ -13,7 +13,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Bytes of text in a chunk; a longer text is a chunk of its own.
@@ -73,17 +73,11 @@ def unpacked(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def dictionary_rows(chunks: DataFrame, keys: Sequence[str], others: Sequence[Column] = ()) -> DataFrame:
-    """One row per word of each chunk's dictionary: ``chunk, at`` (from 0), the keys, ``word`` and other columns."""
-    return chunks.select("chunk", *keys, *others, F.posexplode("words").alias("at", "word"))
-
-
-def look_up(chunks: DataFrame, table: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """``chunk, found``: for each word of a dictionary that ``table`` holds, its place and the columns asked for.
+def look_up(rows: DataFrame, table: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``chunk, found``: for each of the rows ``chunk, at, keys`` that ``table`` holds, its place and the columns asked for.
 
     ``table`` has one row for each value of ``keys``. A chunk gathers no more rows than its dictionary has words.
     """
-    rows = dictionary_rows(chunks, [k for k in keys if k != "word"])
     return (
         rows.join(table.select(*keys, *columns), list(keys))
         .groupBy("chunk")

@@ -16,7 +16,8 @@ empty table gives no rows. Other columns are not read. A document of any length
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from tallyloom.llm.bitmap import build_bitmap, may_contain
 from tallyloom.llm.chunk_words import BREAK, CHUNK_BYTES, byte_table, coded, look_up, one_row, packed, struct_columns, unpacked
@@ -39,13 +41,20 @@ PLACES = 2000
 # Rows and columns of a tile; a tile is counted densely if an occurrence comes to so many cells.
 TILE, CELLS_EACH = 256, 8
 
+# The most frequent words that every task holds, and the most bytes of one; all other words are joined.
+HEAD_WORDS, HEAD_BYTES = 1 << 16, 64
+
 # Signs that end a piece, and signs between words.
 PIECE_ENDS, BETWEEN = ".,;:!?\n\x0b\x0c\r", " \t"
 
 _CHUNK = "chunk LONG, lang STRING, words ARRAY<STRING>, counts ARRAY<LONG>, codes BINARY"
-_STATE = "chunk LONG, lang STRING, words ARRAY<STRING>, codes BINARY, levels ARRAY<BINARY>"
+_REPORTS = "ARRAY<STRUCT<phrase: STRING, a: LONG, firsts: ARRAY<LONG>, rests: ARRAY<LONG>>>"
+_STATE = f"chunk LONG, lang STRING, words ARRAY<STRING>, codes BINARY, levels ARRAY<BINARY>, reports {_REPORTS}"
+_THIN = "chunk LONG, lang STRING, words ARRAY<STRING>, ids ARRAY<LONG>, f ARRAY<LONG>, codes BINARY"
 _PAIR = "chunk LONG, key LONG, left LONG, right LONG, n LONG"
-_REPORT = "lang STRING, phrase STRING, a LONG, firsts ARRAY<LONG>, rests ARRAY<LONG>"
+_REPORT_TYPE = pa.struct(
+    [("phrase", pa.string()), ("a", pa.int64()), ("firsts", pa.list_(pa.int64())), ("rests", pa.list_(pa.int64()))]
+)
 _MARKS = ("key", "id", "f", "mine")
 
 
@@ -106,6 +115,7 @@ class _Levels:
 
     def __init__(self, codes: np.ndarray, ids: np.ndarray, f: np.ndarray) -> None:
         self.rank, self.ids, self.f, self.mine = [codes - 1], [ids], [f], [np.zeros(len(ids), bool)]
+        self.keys: list[np.ndarray] = []
 
     @staticmethod
     def of_row(codes: bytes, levels: list[bytes]) -> _Levels:
@@ -124,6 +134,7 @@ class _Levels:
             hit = key[by_key[slot]] == here
             rank[at[hit]] = by_key[slot[hit]]
         self.rank.append(rank)
+        self.keys.append(key)
         self.ids.append(number)
         self.f.append(f)
         self.mine.append(mine.astype(bool))
@@ -150,6 +161,59 @@ class _Levels:
         return np.where(rank >= 0, np.append(self.f[size - 1], 0)[rank], 0)
 
 
+    def covered(self) -> np.ndarray:
+        """Places that belong to a frequent phrase of the longest size so far."""
+        starts = (self.rank[-1] >= 0).astype(np.int64)
+        reach = np.cumsum(starts)
+        reach[len(self.rank) :] -= reach[: -len(self.rank)].copy()
+        return reach > 0
+
+    def pruned(self) -> tuple[np.ndarray, _Levels]:
+        """Ranks of the words that are left, and the levels without the places that are not ``covered``."""
+        kept = self.covered()
+        breaks = ~kept
+        kept[1:] |= kept[:-1]
+        kept = np.flatnonzero(kept)
+        words = np.where(breaks[kept], -1, self.rank[0][kept])
+        used = np.unique(words[words >= 0])
+        codes = np.where(words >= 0, np.searchsorted(used, words) + 1, BREAK)
+        new = _Levels(codes, self.ids[0][used], self.f[0][used])
+        for rank, ids, f, mine in zip(self.rank[1:], self.ids[1:], self.f[1:], self.mine[1:]):
+            at, keys = new.pairs()
+            old = rank[kept[at]]
+            found, first = np.unique(old, return_index=True)
+            found, first = found[found >= 0], first[found >= 0]
+            new.add(keys[first], ids[found], f[found], mine[found])
+        return used, new
+
+    def level_bytes(self) -> list[bytes]:
+        """The levels as ``of_row`` reads them."""
+        higher = zip(self.keys, self.ids[1:], self.f[1:], self.mine[1:])
+        return [packed(self.ids[0], self.f[0]), *(packed(*columns) for columns in higher)]
+
+    def reports(self, words: np.ndarray, size: int, longer: np.ndarray) -> list[dict]:
+        """Phrases of ``size`` words that this chunk reports, but for those that a phrase of one more word stands for.
+
+        A phrase has the count of a longer one around it only if every occurrence lies in one of the longer, so any
+        place where it occurs tells, and one more word is enough to look at.
+        """
+        counts = [self.count(k) for k in range(1, size + 1)]
+        ranks, first = np.unique(self.rank[size - 1], return_index=True)
+        at = first[(ranks >= 0) & np.append(self.mine[size - 1], False)[ranks]]
+        a = counts[-1]
+        before = np.where(at > 0, longer[at - 1], 0)
+        at = at[(longer[at] < a[at]) & (before < a[at])]
+        return [
+            {
+                "phrase": " ".join(words[self.rank[0][i : i + size]]),
+                "a": int(a[i]),
+                "firsts": [int(counts[k - 1][i]) for k in range(1, size)],
+                "rests": [int(counts[size - k - 1][i + k]) for k in range(1, size)],
+            }
+            for i in at.tolist()
+        ]
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[dict, _Levels]]:
     """Rows of a batch of chunks with their levels."""
     for i in range(batch.num_rows):
@@ -157,30 +221,91 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple[dict, _Levels]]:
         yield row, _Levels.of_row(row["codes"].as_py(), row["levels"].as_py())
 
 
+def _hashes(langs: list, words: list) -> np.ndarray:
+    return np.array([xxh3_64_intdigest(f"{lang}\t{word}") for lang, word in zip(langs, words)], np.uint64)
+
+
+def _tokens(table: DataFrame, *columns: str, token: Callable[..., np.ndarray]) -> DataFrame:
+    """``token`` of each row, as a signed number."""
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"token": token(*batch.columns).view(np.int64)})
+
+    return table.select(*columns).mapInArrow(tokens, "token LONG")
+
+
 def _start(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Chunks in which only frequent words are left, coded by rank; others are breaks."""
+    """Chunks in which only frequent words are left, coded by rank; others are breaks.
+
+    The head of the vocabulary, bounded in words and bytes, is known to every task; what may be in the rest by a
+    bitmap of bounded size is joined.
+    """
+    context = chunks.sparkSession.sparkContext
+    short = F.octet_length("word") + F.octet_length("lang") <= HEAD_BYTES
+    head = vocabulary.filter(short).orderBy("id").limit(HEAD_WORDS).toArrow()
+    last = max(head.column("id").to_pylist(), default=-1)
+    rest = vocabulary.filter(~short | (F.col("id") > last))
+    bits = build_bitmap(_tokens(rest, "lang", "word", token=lambda a, b: _hashes(a.to_pylist(), b.to_pylist())), "token", rest.count())
+    known = context.broadcast({lang: head.filter(pc.equal(head["lang"], lang)).combine_chunks() for lang in head["lang"].unique().to_pylist()})
+    shared = context.broadcast(bits)
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Only words that are or may be frequent stay; those of the head get id and count, others -1 at first."""
+        for batch in batches:
+            for i in range(batch.num_rows):
+                lang, words = batch.column("lang")[i].as_py(), batch.column("words")[i].values
+                number, f = np.full(len(words), -1, np.int64), np.full(len(words), -1, np.int64)
+                if lang in known.value:
+                    table = known.value[lang]
+                    place = pc.index_in(words, value_set=table["word"].combine_chunks())
+                    hit = place.is_valid().to_numpy(zero_copy_only=False)
+                    place = place.drop_null()
+                    number[hit] = table["id"].combine_chunks().take(place).to_numpy()
+                    f[hit] = table["f"].combine_chunks().take(place).to_numpy()
+                kept = number >= 0
+                unknown = np.flatnonzero(~kept)
+                tokens = _hashes([lang] * len(unknown), words.take(pa.array(unknown)).to_pylist())
+                kept[unknown] = may_contain(shared.value, tokens)
+                used = np.flatnonzero(kept)
+                code = np.zeros(len(words) + 1, np.int64)
+                code[used + 1] = np.arange(1, len(used) + 1)
+                codes = code[unpacked(batch.column("codes")[i].as_py())[0]]
+                stay = codes != BREAK
+                stay[1:] |= codes[:-1] != BREAK
+                yield one_row(
+                    chunk=batch.column("chunk")[i].as_py(), lang=lang, words=words.take(pa.array(used)),
+                    ids=number[used], f=f[used], codes=packed(codes[stay]),
+                )
 
     def recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                at, number, f = struct_columns(batch.column("found")[i].values, ("at", "id", "f"))
-                by_id = np.argsort(number)
-                words = batch.column("words")[i].values
+                at, more, more_f = struct_columns(batch.column("found")[i].values, ("at", "id", "f"))
+                number, f = (batch.column(name)[i].values.to_numpy().copy() for name in ("ids", "f"))
+                number[at.astype(np.int64)], f[at.astype(np.int64)] = more, more_f
+                words, used = batch.column("words")[i].values, np.flatnonzero(number >= 0)
+                used = used[np.argsort(number[used])]
                 rank = np.zeros(len(words) + 1, np.int64)
-                rank[at[by_id].astype(np.int64) + 1] = np.arange(1, len(at) + 1)
+                rank[used + 1] = np.arange(1, len(used) + 1)
                 codes = rank[unpacked(batch.column("codes")[i].as_py())[0]]
-                kept = codes != BREAK
-                kept[1:] |= codes[:-1] != BREAK
                 yield one_row(
                     chunk=batch.column("chunk")[i].as_py(),
                     lang=batch.column("lang")[i].as_py(),
-                    words=words.take(pa.array(at[by_id])),
-                    codes=packed(codes[kept]),
-                    levels=pa.array([packed(number[by_id], f[by_id])], pa.binary()),
+                    words=words.take(pa.array(used)),
+                    codes=packed(codes),
+                    levels=pa.array([packed(number[used], f[used])], pa.binary()),
+                    reports=pa.array([], _REPORT_TYPE),
                 )
 
-    found = look_up(chunks, vocabulary, ["lang", "word"], ["id", "f"])
-    return chunks.drop("counts").join(found, "chunk").mapInArrow(recode, _STATE)
+    thinned = stored(chunks.drop("counts").mapInArrow(thin, _THIN))
+    unknown = thinned.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "ids")).alias("at", "w"))
+    found = look_up(unknown.filter("w.ids < 0").select("chunk", "lang", "at", F.col("w.words").alias("word")), rest, ["lang", "word"], ["id", "f"])
+    state = stored(thinned.join(found, "chunk", "left").mapInArrow(recode, _STATE))
+    shared.destroy()
+    known.destroy()
+    discard(thinned)
+    return state
 
 
 def _token(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -206,81 +331,51 @@ def _pairs(state: DataFrame, bits: Broadcast | None = None) -> DataFrame:
     return state.mapInArrow(count, _PAIR)
 
 
-def _bitmap(phrases: DataFrame) -> np.ndarray:
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            yield pa.RecordBatch.from_pydict({"token": _token(left, right).view(np.int64)})
-
-    return build_bitmap(phrases.select("left", "right").mapInArrow(tokens, "token LONG"), "token", phrases.count())
-
+def _with_phrases(state: DataFrame, least: int, last: bool) -> DataFrame:
+    """The chunks with the frequent phrases of one more word they hold.
 
-def _with_phrases(state: DataFrame, least: int) -> DataFrame:
-    """The chunks with the frequent phrases of one more word they hold."""
+    Phrases of the size before are reported, since it is now known which of them a longer one stands for; after
+    that only words in frequent phrases of the new size matter. In the ``last`` round the new ones are reported too.
+    """
 
     def take_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = {name: batch.column(name)[i] for name in batch.schema.names}
+            for row, levels in _rows(batch):
                 key, number, f, mine = struct_columns(row["marks"].values, _MARKS)
                 by_id = np.argsort(number)
-                level = packed(key[by_id], number[by_id], f[by_id], mine[by_id])
+                levels.add(key[by_id], number[by_id], f[by_id], mine[by_id])
+                size, words = len(levels.rank), np.array(row["words"].as_py(), dtype=object)
+                reports = levels.reports(words, size - 1, levels.count(size)) if size > 2 else []
+                if last:
+                    reports += levels.reports(words, size, np.zeros(len(levels.rank[0]), np.int64))
+                used, levels = levels.pruned()
                 yield one_row(
                     chunk=row["chunk"].as_py(),
                     lang=row["lang"].as_py(),
-                    words=row["words"].values,
-                    codes=row["codes"].as_py(),
-                    levels=pa.array(row["levels"].as_py() + [level], pa.binary()),
+                    words=row["words"].values.take(pa.array(used)),
+                    codes=packed(levels.rank[0] + 1),
+                    levels=pa.array(levels.level_bytes(), pa.binary()),
+                    reports=pa.array(reports, _REPORT_TYPE),
                 )
 
     totals = _pairs(state).groupBy("left", "right").agg(F.sum("n").alias("f"), F.min("chunk").alias("teller"))
     phrases = ranked(totals.filter(F.col("f") >= least), F.desc("f"), "left", "right")
-    bits = state.sparkSession.sparkContext.broadcast(_bitmap(phrases))
+    bits = build_bitmap(_tokens(phrases, "left", "right", token=lambda a, b: _token(a.to_numpy(), b.to_numpy())), "token", phrases.count())
+    shared = state.sparkSession.sparkContext.broadcast(bits)
     mine = (F.col("chunk") == F.col("teller")).alias("mine")
     marks = (
-        _pairs(state, bits)
+        _pairs(state, shared)
         .select("chunk", "key", "left", "right")
         .join(phrases, ["left", "right"])
         .groupBy("chunk")
         .agg(F.collect_list(F.struct("key", "id", "f", mine)).alias("marks"))
     )
-    grown = stored(state.join(marks, "chunk", "left").mapInArrow(take_in, _STATE))
-    bits.destroy()
+    grown = stored(state.drop("reports").join(marks, "chunk", "left").mapInArrow(take_in, _STATE))
+    shared.destroy()
     discard(phrases)
     return grown
 
 
-def _reports(state: DataFrame, longest: int) -> DataFrame:
-    """Each candidate that no longer one stands for, with the counts of the parts of every cut."""
-
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, levels in _rows(batch):
-                counts = [levels.count(size) for size in range(1, longest + 1)]
-                counts.append(np.zeros_like(counts[0]))
-                codes, words = levels.rank[0], np.array(row["words"].as_py(), dtype=object)
-                out: dict[str, list] = {"phrase": [], "a": [], "firsts": [], "rests": []}
-                for size in range(2, longest + 1):
-                    ranks, first = np.unique(levels.rank[size - 1], return_index=True)
-                    at = first[(ranks >= 0) & np.append(levels.mine[size - 1], False)[ranks]]
-                    a, longer = counts[size - 1], counts[size]
-                    before = np.where(at > 0, longer[at - 1], 0)
-                    at = at[(longer[at] < a[at]) & (before < a[at])]
-                    for i in at.tolist():
-                        out["phrase"].append(" ".join(words[codes[i : i + size]]))
-                        out["a"].append(a[i])
-                        out["firsts"].append([counts[k - 1][i] for k in range(1, size)])
-                        out["rests"].append([counts[size - k - 1][i + k] for k in range(1, size)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["lang"].as_py()] * len(out["a"]), pa.string()), pa.array(out["phrase"], pa.string())]
-                    + [pa.array(out["a"], pa.int64())]
-                    + [pa.array(out[name], pa.list_(pa.int64())) for name in ("firsts", "rests")],
-                    names=["lang", "phrase", "a", "firsts", "rests"],
-                )
-
-    return state.mapInArrow(report, _REPORT)
-
-
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Candidates with their lowest-scoring cut: ``lang, phrase, a, l, r, n, score``.
 
@@ -294,13 +389,17 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, ch
     totals = counted.groupBy("lang", F.col("words").alias("word")).agg(F.sum("counts").alias("f"))
     sizes = chunks.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda t, x: t + x).alias("n"))
     vocabulary = ranked(totals.filter(F.col("f") >= least), F.desc("f"), "lang", "word")
-    state = stored(_start(chunks, vocabulary))
+    state = _start(chunks, vocabulary)
     sizes = settled(sizes.groupBy("lang").agg(F.sum("n").alias("n")))
     discard(chunks)
     discard(vocabulary)
-    for _ in range(2, longest + 1):
-        before, state = state, _with_phrases(state, least)
-        discard(before)
+    reports = []
+    for size in range(2, longest + 1):
+        before, state = state, _with_phrases(state, least, size == longest)
+        if size <= 3:
+            discard(before)
+        if size > 2 or size == longest:
+            reports.append(state.select("lang", F.inline("reports")))
     cuts = F.transform(
         F.arrays_zip("firsts", "rests"),
         lambda cut, k: F.struct(
@@ -315,7 +414,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, ch
         cuts, lambda c: F.struct(F.call_function("div", c["top"], c["under"]).alias("score"), c["k"].alias("k"), c["l"], c["r"])
     )
     return (
-        _reports(state, longest)
+        reduce(DataFrame.unionAll, reports)
         .join(sizes, "lang")
         .withColumn("cut", F.array_min(scores))
         .select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
