@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import collocations, decontamination, edit_fingerprint, near_duplicates, packing, page_text, quality, repeated_text, secret_scan, sharding, spelling_variants, toxicity
+from tallyloom.llm import collocations, decontamination, edit_fingerprint, hidden_markov, near_duplicates, packing, page_text, quality, repeated_text, secret_scan, sharding, spelling_variants, toxicity
 from tallyloom.llm.oracles import ORACLES
 from tallyloom.sources import read_table
 
@@ -113,6 +113,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprint.compare_with_next(_table(spark, sf_dir, "documents"))
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.score_corpus(_table(spark, sf_dir, "documents"), _fold(7) == 2)
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.spelling_variants(_table(spark, sf_dir, "documents"))
 
@@ -135,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_page_text,
         op9_secrets,
         op10_fingerprints,
+        op11_language_model,
         op12_spelling_variants,
         op13_collocations,
     )
