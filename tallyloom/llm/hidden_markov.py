@@ -19,33 +19,33 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.chunk_words import BREAK, byte_table, coded, look_up, one_row, packed, struct_columns, unpacked
+from tallyloom.llm.chunk_words import BREAK, byte_table, coded, one_row, packed, struct_columns, unpacked
 from tallyloom.llm.words import text_chunks
 from tallyloom.operators.lineage import discard, stored
 
 # Shape of a model: states, words with a class of their own (of so many bytes at most, and at least so frequent that states can
 # be told apart by them), classes of other words by their ending.
 STATES = 16
-HEAD_WORDS, HEAD_BYTES, HEAD_LEAST = 1 << 15, 64, 20
-ENDINGS, ENDING_LENGTH = 1 << 13, 3
+HEAD_WORDS, HEAD_BYTES, HEAD_LEAST = 1 << 14, 64, 20
+ENDINGS, ENDING_LENGTH = 1 << 12, 3
 
 # Parts of the first pass, and rounds over all training texts after it.
-PARTS, FULL_ROUNDS = 8, 2
+PARTS, FULL_ROUNDS = 4, 2
 
 # Taken from each count of a word that shares its class, and pseudo-counts of a state's classes and moves.
 DISCOUNT, CLASS_WEIGHT, MOVE_WEIGHT = 0.75, 100.0, 1.0
 
-# Bytes of text in a chunk; words of a text that go in step, and of its blocks if it has more; words in work at once.
-CHUNK_BYTES = 1 << 22
-LONG_TEXT, BLOCK, GROUP = 1 << 14, 1 << 11, 1 << 18
+# Bytes of text in a chunk; words of a text that go in step, and of its blocks if it has more; words in work at once, of those
+# held to choose texts of like lengths from.
+CHUNK_BYTES = 1 << 24
+LONG_TEXT, BLOCK, GROUP, HELD = 1 << 14, 1 << 11, 1 << 19, 1 << 22
 
 # Fixed value: signs between words.
 BETWEEN = " \t\n\x0b\x0c\r"
@@ -86,7 +86,7 @@ class Counts:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """What training texts say on words: the frame ``word, c, class`` and small tables by class."""
+    """What training texts say on words: each chunk's words as ``chunk, at, c, class``, and small tables by class."""
 
     words: DataFrame
     tokens: int
@@ -125,33 +125,37 @@ def _chunks(docs: DataFrame, held_out: Column) -> DataFrame:
     return docs.select("doc_id", held.alias("held_out"), part.alias("part"), "text").mapInArrow(cut, schema)
 
 
-def _ending_class(word: str) -> int:
-    return 1 + HEAD_WORDS + crc32(word[-ENDING_LENGTH:].encode()) % ENDINGS
-
-
 def count_words(chunks: DataFrame) -> Vocabulary:
-    """Counts of all words of training texts, and their classes."""
+    """Counts of all words of training texts, and their classes.
+
+    Rows of the dictionaries meet once by word: a word has one row for each chunk it is in, and all get its count.
+    """
     spark = chunks.sparkSession
     texts = chunks.select(F.size(F.filter("docs", lambda d: ~d["held_out"])).alias("n")).agg(F.sum("n")).first()[0] or 0
-    counted = stored(
-        chunks.select(F.inline(F.arrays_zip("words", "counts")))
-        .filter("counts > 0")
-        .groupBy(F.col("words").alias("word"))
-        .agg(F.sum("counts").alias("c"))
+    rows = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
+    alike = Window.partitionBy("word")
+    ending = F.crc32(F.substring("word", -ENDING_LENGTH, ENDING_LENGTH).cast("binary")) % ENDINGS + (1 + HEAD_WORDS)
+    words = stored(
+        rows.select("chunk", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+        .select("chunk", "at", "word", F.sum("n").over(alike).alias("c"), (F.col("chunk") == F.min("chunk").over(alike)).alias("once"))
+        .withColumn("ending", ending.cast("int"))
     )
-    head = counted.filter((F.octet_length("word") <= HEAD_BYTES) & (F.col("c") >= HEAD_LEAST)).orderBy(F.desc("c"), "word").limit(HEAD_WORDS).collect()
-    rows = [(r["word"], i) for i, r in enumerate(head, start=1)]
-    # A bounded number of short words.
-    own = F.broadcast(spark.createDataFrame(rows, "word STRING, own INT"))
-    ending = F.lit(1 + HEAD_WORDS) + F.crc32(F.substring("word", -ENDING_LENGTH, ENDING_LENGTH).cast("binary")) % ENDINGS
-    words = stored(counted.join(own, "word", "left").select("word", "c", F.coalesce("own", ending).cast("int").alias("class")))
-    discard(counted)
+    each = words.filter("once AND c > 0")
+    frequent = each.filter((F.octet_length("word") <= HEAD_BYTES) & (F.col("c") >= HEAD_LEAST))
+    head = frequent.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).select("word", "c", "ending").collect()
     class_counts, class_words = np.zeros((2, 1 + HEAD_WORDS + ENDINGS))
-    # One row per class.
-    for r in words.groupBy("class").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect():
-        class_counts[r["class"]], class_words[r["class"]] = r["c"], r["n"]
+    # One row per ending, without the words that have a class of their own.
+    for r in each.groupBy("ending").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect():
+        class_counts[r["ending"]], class_words[r["ending"]] = r["c"], r["n"]
     class_counts[END_CLASS] = texts
-    return Vocabulary(words, int(class_counts.sum()), int(class_words.sum()) + (texts > 0), texts, class_counts, class_words)
+    for i, r in enumerate(head, start=1):
+        class_counts[i], class_words[i] = r["c"], 1
+        class_counts[r["ending"]] -= r["c"]
+        class_words[r["ending"]] -= 1
+    # A bounded number of short words.
+    own = F.broadcast(spark.createDataFrame([(r["word"], i) for i, r in enumerate(head, start=1)], "word STRING, own INT"))
+    classed = words.join(own, "word", "left").select("chunk", "at", "c", F.coalesce("own", "ending").alias("class"))
+    return Vocabulary(classed, int(class_counts.sum()), int(class_words.sum()) + (texts > 0), texts, class_counts, class_words)
 
 
 def encode(chunks: DataFrame, known: Vocabulary) -> DataFrame:
@@ -166,15 +170,12 @@ def encode(chunks: DataFrame, known: Vocabulary) -> DataFrame:
         class_counts, class_words = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
-                words, docs = batch.column("words")[i].values, batch.column("docs")[i].values
+                docs = batch.column("docs")[i].values
                 codes = unpacked(batch.column("codes")[i].as_py())[0]
                 at, c, klass = struct_columns(batch.column("found")[i].values, ("at", "c", "class"))
-                count, number = np.zeros(len(words) + 1, np.int64), np.zeros(len(words) + 1, np.int64)
+                count, number = np.zeros((2, len(at) + 1), np.int64)
                 count[at.astype(np.int64) + 1], number[at.astype(np.int64) + 1] = c, klass
                 count[BREAK], number[BREAK] = texts, END_CLASS
-                new = np.flatnonzero(count == 0)
-                new = new[new != BREAK]
-                number[new] = [_ending_class(w) for w in words.take(pa.array(new - 1)).to_pylist()]
                 total = class_counts[number] + 1
                 within = np.log10(np.where(count > 0, count - DISCOUNT, DISCOUNT * class_words[number] + 1) / total, where=number > HEAD_WORDS, out=np.zeros(len(number)))
                 base = np.log10((count + 1) / (tokens + distinct + 1))
@@ -186,9 +187,8 @@ def encode(chunks: DataFrame, known: Vocabulary) -> DataFrame:
                 rows = pa.StructArray.from_arrays(plain + columns, names=["doc_id", "held_out", "part", *names])
                 yield one_row(docs=rows, classes=packed(number[codes]))
 
-    rows = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
-    found = look_up(rows, known.words, ["word"], ["c", "class"])
-    encoded = stored(chunks.drop("counts").join(found, "chunk", "left").mapInArrow(recode, f"docs ARRAY<STRUCT<{fields}>>, classes BINARY"))
+    found = known.words.groupBy("chunk").agg(F.collect_list(F.struct("at", "c", "class")).alias("found"))
+    encoded = stored(chunks.drop("words", "counts").join(found, "chunk", "left").mapInArrow(recode, f"docs ARRAY<STRUCT<{fields}>>, classes BINARY"))
     shared.destroy()
     return encoded
 
@@ -324,9 +324,23 @@ def expected_counts(chain: Chain, classes: np.ndarray, lengths: np.ndarray) -> C
 # --- fit and score ------------------------------------------------------------
 
 
-def _texts(batch: pa.RecordBatch, i: int) -> tuple[pa.StructArray, np.ndarray, np.ndarray]:
-    docs = batch.column("docs")[i].values
-    return docs, docs.field("n_tokens").to_numpy(), unpacked(batch.column("classes")[i].as_py())[0]
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.StructArray, np.ndarray, np.ndarray]]:
+    """Texts of some chunks at a time, with their lengths and their classes: enough to find many of like lengths."""
+    docs, sequences = [], []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            docs.append(batch.column("docs")[i].values)
+            sequences.append(unpacked(batch.column("classes")[i].as_py())[0].astype(np.int32))
+            if sum(map(len, sequences)) >= HELD:
+                yield _together(docs, sequences)
+                docs, sequences = [], []
+    if docs:
+        yield _together(docs, sequences)
+
+
+def _together(docs: list[pa.StructArray], sequences: list[np.ndarray]) -> tuple[pa.StructArray, np.ndarray, np.ndarray]:
+    joined = pa.concat_arrays(docs)
+    return joined, joined.field("n_tokens").to_numpy(), np.concatenate(sequences)
 
 
 def corpus_counts(encoded: DataFrame, chain: Chain, part: int | None = None) -> Counts:
@@ -340,26 +354,24 @@ def corpus_counts(encoded: DataFrame, chain: Chain, part: int | None = None) ->
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, likelihood = Counts.none(states, classes), 0.0
-        for batch in batches:
-            for i in range(batch.num_rows):
-                docs, lengths, sequence = _texts(batch, i)
-                chosen = ~docs.field("held_out").to_numpy(zero_copy_only=False)
-                if part is not None:
-                    chosen &= docs.field("part").to_numpy() == part
-                if not chosen.any():
-                    continue
-                found = expected_counts(shared.value, sequence[np.repeat(chosen, lengths)], lengths[chosen])
-                for name in ("start", "moves", "emits"):
-                    getattr(sums, name)[:] += getattr(found, name)
-                likelihood += found.likelihood
+        for docs, lengths, sequence in _texts(batches):
+            chosen = ~docs.field("held_out").to_numpy(zero_copy_only=False)
+            if part is not None:
+                chosen &= docs.field("part").to_numpy() == part
+            if not chosen.any():
+                continue
+            found = expected_counts(shared.value, sequence[np.repeat(chosen, lengths)], lengths[chosen])
+            for name in ("start", "moves", "emits"):
+                getattr(sums, name)[:] += getattr(found, name)
+            likelihood += found.likelihood
         used = np.flatnonzero(sums.emits.any(axis=1))
         values = np.vstack([sums.emits[used], sums.moves, sums.start, np.full(states, likelihood)])
         slots = np.concatenate([used, classes + np.arange(states + 2)])
-        flat = pa.array(values.ravel())
+        flat = pa.array(values.ravel().astype(np.float32))
         offsets = pa.array(np.arange(0, values.size + 1, states), pa.int32())
         yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.ListArray.from_arrays(offsets, flat)], names=["slot", "v"])
 
-    summed = encoded.mapInArrow(add, "slot INT, v ARRAY<DOUBLE>").groupBy("slot").agg(*[F.sum(F.col("v")[s]).alias(f"s{s}") for s in range(states)])
+    summed = encoded.mapInArrow(add, "slot INT, v ARRAY<FLOAT>").groupBy("slot").agg(*[F.sum(F.col("v")[s].cast("double")).alias(f"s{s}") for s in range(states)])
     table = summed.toArrow()
     shared.destroy()
     whole = np.zeros((classes + states + 2, states))
@@ -408,15 +420,13 @@ def score_encoded(encoded: DataFrame, chain: Chain, known: Vocabulary) -> DataFr
     tokens = known.tokens
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                docs, lengths, sequence = _texts(batch, i)
-                likelihood = text_likelihoods(shared.value, sequence, lengths) / np.log(10)
-                columns = {name: docs.field(name) for name in ("doc_id", "held_out", "n_tokens", "n_known")}
-                columns["train_tokens"] = pa.array(np.full(len(docs), tokens, np.int64))
-                columns["base_score"] = docs.field("base")
-                columns["score"] = pa.array(likelihood + docs.field("within").to_numpy())
-                yield pa.RecordBatch.from_pydict(columns)
+        for docs, lengths, sequence in _texts(batches):
+            likelihood = text_likelihoods(shared.value, sequence, lengths) / np.log(10)
+            columns = {name: docs.field(name) for name in ("doc_id", "held_out", "n_tokens", "n_known")}
+            columns["train_tokens"] = pa.array(np.full(len(docs), tokens, np.int64))
+            columns["base_score"] = docs.field("base")
+            columns["score"] = pa.array(likelihood + docs.field("within").to_numpy())
+            yield pa.RecordBatch.from_pydict(columns)
 
     return encoded.mapInArrow(
         score, f"doc_id {id_type}, held_out BOOLEAN, n_tokens LONG, n_known LONG, train_tokens LONG, base_score DOUBLE, score DOUBLE"
@@ -429,6 +439,5 @@ def score_corpus(docs: DataFrame, held_out: Column, states: int = STATES) -> Dat
     known = count_words(chunks)
     encoded = encode(chunks, known)
     discard(chunks)
-    discard(known.words)
     chain, _ = fit_chain(encoded, known, states)
     return score_encoded(encoded, chain, known)
