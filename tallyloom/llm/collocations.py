@@ -50,7 +50,7 @@ PIECE_ENDS, BETWEEN = ".,;:!?\n\x0b\x0c\r", " \t"
 _CHUNK = "chunk LONG, lang STRING, words ARRAY<STRING>, counts ARRAY<LONG>, codes BINARY"
 _REPORTS = "ARRAY<STRUCT<phrase: STRING, a: LONG, firsts: ARRAY<LONG>, rests: ARRAY<LONG>>>"
 _STATE = f"chunk LONG, lang STRING, words ARRAY<STRING>, codes BINARY, levels ARRAY<BINARY>, reports {_REPORTS}"
-_THIN = "chunk LONG, lang STRING, words ARRAY<STRING>, ids ARRAY<LONG>, f ARRAY<LONG>, codes BINARY"
+_THIN = "chunk LONG, lang STRING, words ARRAY<STRING>, ids ARRAY<LONG>, f ARRAY<LONG>, codes BINARY, open ARRAY<STRUCT<at: INT, word: STRING>>"
 _PAIR = "chunk LONG, key LONG, left LONG, right LONG, n LONG"
 _REPORT_TYPE = pa.struct(
     [("phrase", pa.string()), ("a", pa.int64()), ("firsts", pa.list_(pa.int64())), ("rests", pa.list_(pa.int64()))]
@@ -273,9 +273,11 @@ def _start(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
                 codes = code[unpacked(batch.column("codes")[i].as_py())[0]]
                 stay = codes != BREAK
                 stay[1:] |= codes[:-1] != BREAK
+                at = np.flatnonzero(number[used] < 0)
                 yield one_row(
                     chunk=batch.column("chunk")[i].as_py(), lang=lang, words=words.take(pa.array(used)),
                     ids=number[used], f=f[used], codes=packed(codes[stay]),
+                    open=pa.StructArray.from_arrays([pa.array(at, pa.int32()), words.take(pa.array(used[at]))], names=["at", "word"]),
                 )
 
     def recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,9 +301,8 @@ def _start(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
                 )
 
     thinned = stored(chunks.drop("counts").mapInArrow(thin, _THIN))
-    unknown = thinned.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "ids")).alias("at", "w"))
-    found = look_up(unknown.filter("w.ids < 0").select("chunk", "lang", "at", F.col("w.words").alias("word")), rest, ["lang", "word"], ["id", "f"])
-    state = stored(thinned.join(found, "chunk", "left").mapInArrow(recode, _STATE))
+    found = look_up(thinned.select("chunk", "lang", F.inline("open")), rest, ["lang", "word"], ["id", "f"])
+    state = stored(thinned.drop("open").join(found, "chunk", "left").mapInArrow(recode, _STATE))
     shared.destroy()
     known.destroy()
     discard(thinned)
