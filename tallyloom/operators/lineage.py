@@ -8,6 +8,7 @@ three are folders that the driver and the executors share.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,14 +34,20 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """The frame as a Parquet table in the shared folder; compressed and column by column.
 
-    Better than a checkpoint where the rows are wide or read by single columns.
+    Better than a checkpoint where the rows are wide or read by single columns, and in loops: a checkpoint keeps the size
+    estimated for the plan it came from, which grows by a factor with every join of every round, while a table has the size it has. With
+    ``partition_by`` there is a folder for each value of these columns, which come last.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{STORED}{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if partition_by:
+        df = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
+        df.write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -49,11 +56,14 @@ def discard(table: DataFrame) -> None:
 
     Frames that still read the table fail afterwards. A frame from elsewhere is an error and stays untouched.
     """
-    folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+    folders = set()
+    for file in table.inputFiles():
+        head, found, tail = file.rpartition(f"/{STORED}")
+        folders.add(f"{head}{found}{tail.split('/', 1)[0]}" if found else "")
     if not folders:
         return
     folder = folders.pop()
-    if folders or not folder.rsplit("/", 1)[-1].startswith(STORED):
+    if folders or not folder:
         raise ValueError("only a whole stored table can be discarded")
     context = table.sparkSession.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(folder)

@@ -3,6 +3,9 @@
 Each round uses all matches at once, so results do not depend on row order.
 Features are standardised, and a step is the mean gradient times a step size,
 so neither depends on the number of matches.
+
+``fit_win_model_newton`` finds the optimum of the model with a small ridge in a few passes, by curvature.
+``ratings_in_order`` is the other way to rate teams: one pass over the dates, each against the ratings before it.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import bilinear, dot, logistic
-from tallyloom.operators.lineage import settled
+from tallyloom.operators.lineage import discard, stored
 from tallyloom.operators.partials import matrix, slot_sums
 from tallyloom.operators.playlog import PROFILE, away_win, team_rows
 
@@ -26,6 +29,15 @@ WEIGHTS = SIZE + SIZE + SIZE * SIZE
 LOSS_TOLERANCE = 1e-3
 RATING_TOLERANCE = 2e-2
 
+# Newton's method ends when the gradient's norm is below this; weight of the penalty on half the squared weights.
+GRADIENT_TOLERANCE, WEIGHT_RIDGE = 1e-6, 1e-3
+
+# What a match moves the ratings of its teams by, per unit of residual, where dates are taken in order.
+ORDER_RATE = 0.1
+
+# Up to so many teams, ratings go from round to round as rows in the plan (under a megabyte); beyond, as a stored table.
+LOCAL_TEAMS = 10_000
+
 # Number of rotation pairs in a team's rating.
 ROTATIONS = 2
 ROTATION_COLUMNS = tuple(f"rot{i}" for i in range(2 * ROTATIONS))
@@ -43,6 +55,7 @@ class WinModel:
     scale: np.ndarray
     weights: np.ndarray = field(default_factory=lambda: np.zeros(WEIGHTS))
     losses: list[float] = field(default_factory=list)
+    gradients: list[float] = field(default_factory=list)
     converged: bool = False
 
     @property
@@ -120,11 +133,7 @@ def fit_win_model(
     ``lineage.settled``) or a table, not a plan over the whole play log.
     """
     model = WinModel(*feature_scale(matches))
-    prepared = matches.select(
-        F.when(away_win(), 1.0).otherwise(0.0).alias("won"),
-        F.array(*[f"away_{r}" for r in PROFILE]).alias("away"),
-        F.array(*[f"home_{r}" for r in PROFILE]).alias("home"),
-    )
+    prepared = _prepared(matches)
     while max_rounds is None or len(model.losses) < max_rounds:
         loss, gradient = _win_gradient(prepared, model)
         if not np.isfinite(loss):
@@ -137,6 +146,15 @@ def fit_win_model(
     return model
 
 
+def _prepared(matches: DataFrame) -> DataFrame:
+    """Outcome and both profiles of every match."""
+    return matches.select(
+        F.when(away_win(), 1.0).otherwise(0.0).alias("won"),
+        F.array(*[f"away_{r}" for r in PROFILE]).alias("away"),
+        F.array(*[f"home_{r}" for r in PROFILE]).alias("home"),
+    )
+
+
 def _win_gradient(prepared: DataFrame, model: WinModel) -> tuple[float, np.ndarray]:
     """Mean loss and mean gradient of the log likelihood at the current weights."""
     mean, scale, weights = model.mean, model.scale, model.weights
@@ -160,6 +178,74 @@ def _win_gradient(prepared: DataFrame, model: WinModel) -> tuple[float, np.ndarr
     return float(total[WEIGHTS]), total[:WEIGHTS]
 
 
+def fit_win_model_newton(
+    matches: DataFrame,
+    ridge: float = WEIGHT_RIDGE,
+    tolerance: float = GRADIENT_TOLERANCE,
+    max_rounds: int | None = None,
+) -> WinModel:
+    """Fit the bilinear model with a ridge by Newton steps from zero weights.
+
+    The penalised mean loss is ``loss + ridge / 2 * |weights|**2``. A pass over the matches gives loss, gradient and
+    curvature (99 x 99 numbers); the driver solves for the step. A step that does not lower the penalised loss
+    is halved, which costs a pass. The fit ends when the gradient's norm is below ``tolerance``; a caller who passes ``max_rounds`` (passes
+    over the matches) learns from ``converged`` whether it is.
+
+    ``matches`` is read once per pass; pass a table or a settled frame (see ``lineage``), not a plan over the whole play log.
+    """
+    model = WinModel(*feature_scale(matches))
+    prepared = _prepared(matches)
+    best, step = np.inf, np.zeros(WEIGHTS)
+    while max_rounds is None or len(model.losses) < max_rounds:
+        loss, gradient, curvature = _win_curvature(prepared, model)
+        penalised = loss + ridge / 2 * float(model.weights @ model.weights)
+        if not np.isfinite(penalised):
+            raise ValueError("the loss is not finite")
+        model.losses.append(loss)
+        if penalised > best + 1e-12:
+            step = step / 2
+            model.weights = model.weights - step
+            model.gradients.append(np.inf)
+            continue
+        best = penalised
+        gradient = gradient - ridge * model.weights
+        model.gradients.append(float(np.linalg.norm(gradient)))
+        if model.gradients[-1] < tolerance:
+            model.converged = True
+            break
+        step = np.linalg.solve(curvature + ridge * np.eye(WEIGHTS), gradient)
+        model.weights = model.weights + step
+    return model
+
+
+def _win_curvature(prepared: DataFrame, model: WinModel) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean loss, mean gradient of the log likelihood and mean curvature of the loss at the current weights."""
+    mean, scale, weights = model.mean, model.scale, model.weights
+    upper = np.triu_indices(WEIGHTS)
+
+    def add(batch: pa.RecordBatch, counts: np.ndarray, sums: np.ndarray) -> None:
+        won = batch.column(0).to_numpy(zero_copy_only=False)
+        away = (matrix(batch.column(1), SIZE) - mean) / scale
+        home = (matrix(batch.column(2), SIZE) - mean) / scale
+        cross = (away[:, :, None] * home[:, None, :]).reshape(len(won), SIZE * SIZE)
+        inputs = np.hstack([away, -home, cross])
+        logit = inputs @ weights
+        p = 1.0 / (1.0 + np.exp(-logit))
+        counts[0] += len(won)
+        sums[0, :WEIGHTS] += (won - p) @ inputs
+        sums[0, WEIGHTS] += np.sum(np.logaddexp(0.0, logit) - won * logit)
+        sums[0, WEIGHTS + 1 :] += ((inputs * (p * (1 - p))[:, None]).T @ inputs)[upper]
+
+    merged = slot_sums(prepared, add, 1, WEIGHTS + 1 + len(upper[0]))
+    curvature = np.zeros((WEIGHTS, WEIGHTS))
+    if not merged:
+        return 0.0, np.zeros(WEIGHTS), curvature
+    _, total = merged[0]
+    curvature[upper] = total[WEIGHTS + 1 :]
+    curvature = curvature + curvature.T - np.diag(np.diag(curvature))
+    return float(total[WEIGHTS]), total[:WEIGHTS], curvature
+
+
 @dataclass
 class TeamRatings:
     """Ratings per team (``team, matches, r_away, r_home, rot0 …``) and the weight of the model's logit."""
@@ -220,13 +306,18 @@ def _rating_logit(ratio: float) -> Column:
     return total
 
 
-def _rating_round(pairs: DataFrame, ratings: DataFrame, ratio: float, step: float) -> DataFrame:
-    """Ratings after one round, with the change of ``ratio`` in the row without a team."""
+def _rating_round(
+    pairs: DataFrame, ratings: DataFrame, ratio: float, step: float, shares: tuple[Column, Column]
+) -> DataFrame:
+    """Ratings after one round, with the change of ``ratio`` in the row without a team.
+
+    A residual counts by the given shares for the away team and for the home team.
+    """
     scored = _rated_pairs(pairs, ratings).withColumn(
         "residual", F.col("wins") - F.col("n") * logistic(_rating_logit(ratio))
     )
-    away_share = F.lit(step) * F.col("residual") / F.col("a_matches")
-    home_share = F.lit(step) * F.col("residual") / F.col("h_matches")
+    away_share = F.lit(step) * F.col("residual") * shares[0]
+    home_share = F.lit(step) * F.col("residual") * shares[1]
     zero = F.lit(0.0)
 
     def change(team: Column, r_away: Column, r_home: Column, rotations: list[Column]) -> Column:
@@ -268,6 +359,53 @@ def _rating_round(pairs: DataFrame, ratings: DataFrame, ratio: float, step: floa
     )
 
 
+def level_ratings(matches: DataFrame) -> DataFrame:
+    """All teams with the number of their matches and the ratings they start from."""
+    teams = team_rows(matches).groupBy("team").agg(F.count(F.lit(1)).alias("matches"))
+    return teams.select(
+        "team", "matches", *[F.lit(1.0 if c in ROTATION_COLUMNS else 0.0).alias(c) for c in RATING_COLUMNS]
+    )
+
+
+class _Rounds:
+    """Ratings that go from round to round, with a plan that does not grow.
+
+    A checkpoint would cut the history, but keep the size estimated for the plan it came from, and two joins a round square
+    that estimate. Few teams (the number is counted) become rows in the plan, others a table that replaces the
+    one before; both have the size they have, and a round's joins are planned by it.
+    """
+
+    def __init__(self, ratings: DataFrame, local_teams: int = LOCAL_TEAMS) -> None:
+        self.frame = stored(ratings)
+        self.local = self.frame.count() <= local_teams
+        if self.local:
+            self._keep(self.frame)
+
+    def _keep(self, after: DataFrame) -> tuple[float, float]:
+        table = after.toArrow()
+        if "d_r_away" not in table.column_names:
+            moved = (0.0, 0.0)
+        else:
+            alone = np.array([t is None for t in table["team"].to_pylist()], bool)
+            moves = np.abs(np.column_stack([table[f"d_{c}"].to_numpy() for c in RATING_COLUMNS]))
+            largest = moves[~alone].max(initial=0.0)
+            ratio = table["r_away"].to_numpy()[alone].sum()
+            moved = (float(largest), float(ratio))
+        self.frame = after.sparkSession.createDataFrame(table, after.schema)
+        return moved
+
+    def advance(self, after: DataFrame) -> tuple[float, float]:
+        """Take the ratings after a round; the largest change of a team's rating, and the change of the ratio."""
+        if self.local:
+            return self._keep(after)
+        before, self.frame = self.frame, stored(after)
+        discard(before)
+        return _changes(self.frame)
+
+    def teams(self) -> DataFrame:
+        return self.frame.filter(F.col("team").isNotNull()).select("team", "matches", *RATING_COLUMNS)
+
+
 def fit_team_ratings(
     matches: DataFrame,
     profiles: DataFrame,
@@ -275,35 +413,23 @@ def fit_team_ratings(
     step: float = 1.0,
     tolerance: float = RATING_TOLERANCE,
     max_rounds: int | None = None,
+    local_teams: int = LOCAL_TEAMS,
 ) -> TeamRatings:
     """Fit team ratings on top of the model's logit, starting from level ratings.
 
     Rounds go on until none changes any rating by as much as ``tolerance``; a caller who passes
     ``max_rounds`` learns from ``converged`` whether that came about.
 
-    Ratings stay a frame, joined to the pairings in each round and written out
-    at its end, so the number of teams is not bounded by the driver's memory.
+    Ratings stay a frame, joined to the pairings in each round, so the number of teams is not bounded by the driver's
+    memory: more than ``local_teams`` are written out in each round.
     """
-    pairs = settled(pair_kernel(pair_results(matches), profiles, model))
+    pairs = stored(pair_kernel(pair_results(matches), profiles, model))
     total = pairs.agg(F.sum("n")).first()[0] or 0
-    ratings = (
-        team_rows(matches)
-        .groupBy("team")
-        .agg(F.count(F.lit(1)).alias("matches"))
-        .select(
-            "team",
-            "matches",
-            *[
-                F.lit(1.0 if c in ROTATION_COLUMNS else 0.0).alias(c)
-                for c in RATING_COLUMNS
-            ],
-        )
-    )
-    ratings = settled(ratings)
+    ratings = _Rounds(level_ratings(matches), local_teams)
+    shares = (F.lit(1.0) / F.col("a_matches"), F.lit(1.0) / F.col("h_matches"))
     ratio, changes = 1.0, []
     while max_rounds is None or len(changes) < max_rounds:
-        ratings = settled(_rating_round(pairs, ratings, ratio, step))
-        largest, ratio_change = _changes(ratings)
+        largest, ratio_change = ratings.advance(_rating_round(pairs, ratings.frame, ratio, step, shares))
         ratio += ratio_change / max(total, 1)
         changes.append(largest)
         if not np.isfinite(changes[-1]):
@@ -311,8 +437,43 @@ def fit_team_ratings(
         if changes[-1] < tolerance:
             break
     done = bool(changes) and changes[-1] < tolerance
-    teams = ratings.filter(F.col("team").isNotNull()).select("team", "matches", *RATING_COLUMNS)
-    return TeamRatings(teams, ratio, changes, done)
+    discard(pairs)
+    return TeamRatings(ratings.teams(), ratio, changes, done)
+
+
+def ratings_in_order(
+    matches: DataFrame,
+    profiles: DataFrame,
+    model: WinModel,
+    rate: float = ORDER_RATE,
+    date: str = "game_date",
+    local_teams: int = LOCAL_TEAMS,
+) -> TeamRatings:
+    """Ratings after one pass over the dates in their order, starting from level ratings.
+
+    All matches of a date are judged by the ratings before it, and each moves the ratings of both its teams by ``rate``
+    times its residual. The model's logit keeps the weight one. With one match a date this is the plain
+    sequential update. ``changes`` has the largest move of each date; matches without a date are left out.
+
+    The pairings are written by date, so that a date reads its own folder only; their date is kept as text there, in whose
+    order dates of one form (year first) come as they do in time.
+    """
+    dated = matches.filter(F.col(date).isNotNull())
+    results = dated.groupBy(F.col(date).cast("string").alias("played"), "away_team", "home_team").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(away_win()).alias("wins")
+    )
+    pairs = stored(pair_kernel(results, profiles, model), partition_by=("played",))
+    # One row per date; the calendar bounds them.
+    days = [r["played"] for r in pairs.select("played").distinct().orderBy("played").collect()]
+    ratings, changes = _Rounds(level_ratings(matches), local_teams), []
+    even = (F.lit(1.0), F.lit(1.0))
+    for day in days:
+        today = pairs.filter(F.col("played") == F.lit(day))
+        changes.append(ratings.advance(_rating_round(today, ratings.frame, 1.0, rate, even))[0])
+        if not np.isfinite(changes[-1]):
+            raise ValueError("a rating is not finite")
+    discard(pairs)
+    return TeamRatings(ratings.teams(), 1.0, changes, True)
 
 
 def _changes(after: DataFrame) -> tuple[float, float]:

@@ -442,6 +442,55 @@ def _rating_rounds() -> str:
     return ", ".join(parts)
 
 
+def _ratings_by_date() -> str:
+    """Ratings after each date as one list of teams; all matches of a date against the ratings before it."""
+    state = "{'team': team, 'matches': matches, " + ", ".join(f"'{c}': {c}" for c in RATING_COLUMNS) + "}"
+    moved = "{'team': team, 'matches': matches, " + ", ".join(f"'{c}': new_{c}" for c in RATING_COLUMNS) + "}"
+    unpacked = ", ".join(f"t.{c} AS {c}" for c in ("team", "matches", *RATING_COLUMNS))
+    parts = [
+        _model_rounds(),
+        _profile_lists(),
+        """played AS MATERIALIZED (
+  SELECT dense_rank() OVER (ORDER BY game_date) AS day, away_team, home_team, n, wins, kernel FROM (
+    SELECT game_date, away_team, home_team, count(*) AS n, count(*) FILTER (WHERE away_score > home_score) AS wins
+    FROM matches GROUP BY ALL) JOIN kernels USING (away_team, home_team)
+)""",
+        f"""dated AS (
+  SELECT 0 AS day, list({state}) AS teams
+  FROM (SELECT team, count(*) AS matches, 0.0::DOUBLE AS r_away, 0.0::DOUBLE AS r_home,
+               1.0::DOUBLE AS rot0, 1.0::DOUBLE AS rot1, 1.0::DOUBLE AS rot2, 1.0::DOUBLE AS rot3
+        FROM team_rows GROUP BY team)
+  UNION ALL
+  SELECT any_value(day) + 1, list({moved})
+  FROM (
+    WITH current AS (SELECT * FROM dated WHERE day < (SELECT max(day) FROM played)),
+    old AS (SELECT day, {unpacked} FROM (SELECT day, unnest(teams) AS t FROM current)),
+    rated AS (
+      SELECT away_team, home_team, 0.1 * (wins - n * ({_probability("1.0")})) AS residual,
+             {", ".join(f"a.rot{i} AS a{i}, h.rot{i} AS h{i}" for i in range(4))}
+      FROM played JOIN old a ON a.team = away_team AND played.day = a.day + 1 JOIN old h ON h.team = home_team
+    ), changes AS (
+      SELECT away_team AS team, residual AS r_away, 0 AS r_home,
+             residual * h1 AS rot0, -residual * h0 AS rot1, residual * h3 AS rot2, -residual * h2 AS rot3
+      FROM rated
+      UNION ALL
+      SELECT home_team, 0, -residual, -residual * a1, residual * a0, -residual * a3, residual * a2
+      FROM rated
+    ), summed AS (
+      SELECT team, {", ".join(f"sum({c}) AS {c}" for c in RATING_COLUMNS)} FROM changes GROUP BY team
+    )
+    SELECT old.day, old.team, old.matches,
+           {", ".join(f"old.{c} + coalesce(summed.{c}, 0) AS new_{c}" for c in RATING_COLUMNS)}
+    FROM old LEFT JOIN summed ON old.team = summed.team
+  ) HAVING count(*) > 0
+)""",
+        f"""last_day AS (
+  SELECT {unpacked} FROM (SELECT unnest(teams) AS t FROM (SELECT * FROM dated ORDER BY day DESC LIMIT 1))
+)""",
+    ]
+    return ", ".join(parts)
+
+
 def _weight_rows() -> str:
     rows = (
         [("away", i, -1) for i in FEATURES]
@@ -460,6 +509,10 @@ WITH RECURSIVE {_rating_rounds()}
 SELECT team, matches, {", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in RATING_COLUMNS)},
        round(ratio, 6) + 0.0 AS ratio
 FROM final
+""",
+    "team_ratings_in_order": f"""
+WITH RECURSIVE {_ratings_by_date()}
+SELECT team, matches, {", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in RATING_COLUMNS)} FROM last_day
 """,
     "predict_pairs": f"""
 WITH RECURSIVE {_rating_rounds()}

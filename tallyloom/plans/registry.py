@@ -245,6 +245,18 @@ def team_ratings_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def win_model_newton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = win_model.fit_win_model_newton(_matches(spark, sf_dir))
+    weights = spark.createDataFrame(model.rows(), "part STRING, i INT, j INT, weight DOUBLE")
+    return weights.withColumn("weight", _rounded(F.col("weight")))
+
+
+def team_ratings_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matches = _matches(spark, sf_dir)
+    fitted = win_model.ratings_in_order(matches, playlog.team_profiles(matches), _model(matches))
+    return fitted.teams.select("team", "matches", *[_rounded(F.col(c)).alias(c) for c in win_model.RATING_COLUMNS])
+
+
 def predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     matches = _matches(spark, sf_dir)
     profiles = settled(playlog.team_profiles(matches))
@@ -291,7 +303,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         kmeans_shift_by_step,
         kmeans_final_assign,
         win_model_fit,
+        win_model_newton,
         team_ratings_fit,
+        team_ratings_in_order,
         predict_pairs,
     )
 }

@@ -13,11 +13,15 @@ def connection(tables):
     return connect(tables)
 
 
-def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+# Newton's method needs a linear solver; test_win_model.py holds it against a dense fit.
+WITHOUT_SQL = {"win_model_newton"}
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_every_other_query_has_sql():
+    assert set(QUERIES) - WITHOUT_SQL == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(spark, tables, connection, name):
     assert difference(QUERIES[name](spark, tables), connection, ORACLES[name]) is None
 
