@@ -11,7 +11,7 @@ has no cluster and is in no sum. ``points_left_out`` counts such rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators.lineage import path_exists
 from tallyloom.operators.partials import matrix, slot_sums
+from tallyloom.sources.readers import read_centers
 from tallyloom.sources.writers import centers_frame, write_centers
 
 SHIFT_THRESHOLD = 0.001
@@ -144,18 +146,30 @@ def fit(
     threshold: float = SHIFT_THRESHOLD,
     max_steps: int | None = None,
     snapshot_dir: str | None = None,
+    resume: bool = False,
 ) -> Clustering:
     """Repeat steps until the total squared shift falls below the threshold.
 
     A caller who passes ``max_steps`` learns from ``converged`` whether it did. A shift that
     is not finite is an error.
 
-    ``snapshot_dir`` keeps the centres of each step in ``center_0``,
-    ``center_1``, …; a lost driver can go on from the last of them.
+    ``snapshot_dir`` keeps the centres of each step in ``center_0``, ``center_1``, …. With ``resume`` a
+    fit of the same points and starting centres goes on from the last of the steps that are there without a gap
+    (``completed_steps``) and gives the shifts and centres of a fit that was never broken off; ``max_steps`` counts
+    all steps.
     """
+    if resume and not snapshot_dir:
+        raise ValueError("a fit is resumed from its snapshots")
     current = np.asarray(centers, dtype=np.float64)
     shifts: list[float] = []
-    while max_steps is None or len(shifts) < max_steps:
+    for moved in completed_steps(points.sparkSession, snapshot_dir) if resume else ():
+        if moved.shape != current.shape:
+            raise ValueError("the snapshots belong to other starting centres")
+        if (max_steps is not None and len(shifts) >= max_steps) or (shifts and shifts[-1] < threshold):
+            break
+        shifts.append(squared_shift(current, moved))
+        current = moved
+    while (max_steps is None or len(shifts) < max_steps) and not (shifts and shifts[-1] < threshold):
         moved, _, _ = lloyd_step(points, current, vector)
         if snapshot_dir:
             write_centers(
@@ -165,6 +179,12 @@ def fit(
         current = moved
         if not np.isfinite(shifts[-1]):
             raise ValueError("the centres have moved beyond all numbers")
-        if shifts[-1] < threshold:
-            break
     return Clustering(current, shifts, bool(shifts) and shifts[-1] < threshold)
+
+
+def completed_steps(spark: SparkSession, snapshot_dir: str) -> Iterator[np.ndarray]:
+    """Centres of the steps whose snapshots are complete, from the first to the first that is missing."""
+    step = 0
+    while path_exists(spark, f"{snapshot_dir}/center_{step}/_SUCCESS"):
+        yield collect_centers(read_centers(spark, f"{snapshot_dir}/center_{step}"))
+        step += 1

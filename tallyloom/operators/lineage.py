@@ -68,3 +68,10 @@ def discard(table: DataFrame) -> None:
     context = table.sparkSession.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system Spark reads."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)

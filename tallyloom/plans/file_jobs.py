@@ -11,9 +11,10 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.operators import clustering, playlog, relational, text_index, win_model
-from tallyloom.operators.lineage import settled
+from tallyloom.operators.lineage import path_exists, settled
 from tallyloom.sources import (
     read_centers,
+    read_checked,
     read_named_lines,
     read_nations,
     read_pairs,
@@ -24,11 +25,22 @@ from tallyloom.sources import (
     write_centers,
     write_csv,
     write_key_values,
+    write_line_parts,
     write_lines,
     write_parquet,
 )
 
 
+def _play_log(spark: SparkSession, log: str, refused: str | None) -> DataFrame:
+    """The play log; with a folder for ``refused`` lines they go there and their number is told, else the first one stops the job."""
+    if refused is None:
+        return read_play_log(spark, log)
+    found = read_checked(spark, log, "play_log")
+    write_csv(found.refused, refused, sep="\t")
+    print(f"{spark.read.text(refused).count()} lines refused", file=sys.stderr)
+    return found.rows
+
+
 def text_index_job(spark: SparkSession, texts: str, out: str, descending: bool = True, blocks: int | None = None) -> None:
     """Index of a folder of text files under ``index``, its words by frequency under ``sorted``.
 
@@ -56,21 +68,23 @@ def join_job(spark: SparkSession, suppliers: str, nations: str, out: str, parts:
     )
     ordered = relational.sorted_parts(joined, "s_suppkey", parts)
     lines = ordered.select(relational.supplier_line().alias("line"), "part_id")
-    lines.write.mode("overwrite").partitionBy("part_id").text(out)
+    write_line_parts(lines, out, "line", "part_id")
 
 
 def kmeans_job(
-    spark: SparkSession, points: str, centers: str, out: str, threshold: float = 0.001
+    spark: SparkSession, points: str, centers: str, out: str, threshold: float = 0.001, resume: bool = False
 ) -> clustering.Clustering:
     """Centres of every step under ``temp``, the last under ``centers``, points under ``assigned``.
 
-    The points are parsed once, into the table ``points``.
+    The points are parsed once, into the table ``points``. With ``resume`` a job that was broken off goes on from the last
+    complete step under ``temp``, and the points are parsed anew only if that was not done.
     """
-    write_parquet(read_points(spark, points), f"{out}/points")
+    if not (resume and path_exists(spark, f"{out}/points/_SUCCESS")):
+        write_parquet(read_points(spark, points), f"{out}/points")
     vectors = read_table(spark, f"{out}/points")
     start = clustering.collect_centers(read_centers(spark, centers))
     found = clustering.fit(
-        vectors, start, threshold=float(threshold), snapshot_dir=f"{out}/temp"
+        vectors, start, threshold=float(threshold), snapshot_dir=f"{out}/temp", resume=bool(resume)
     )
     write_centers(found.centers_frame(spark), f"{out}/centers")
     write_key_values(
@@ -79,21 +93,21 @@ def kmeans_job(
     return found
 
 
-def outcome_job(spark: SparkSession, log: str, out: str) -> None:
+def outcome_job(spark: SparkSession, log: str, out: str, refused: str | None = None) -> None:
     """Outcome label of every event."""
-    write_lines(playlog.outcome_lines(read_play_log(spark, log)), out, "label_line")
+    write_lines(playlog.outcome_lines(_play_log(spark, log, refused)), out, "label_line")
 
 
-def score_job(spark: SparkSession, log: str, out: str) -> None:
+def score_job(spark: SparkSession, log: str, out: str, refused: str | None = None) -> None:
     """Match scores by date and home team."""
-    scores = playlog.scores_in_order(playlog.match_scores(read_play_log(spark, log)))
+    scores = playlog.scores_in_order(playlog.match_scores(_play_log(spark, log, refused)))
     write_lines(playlog.match_score_lines(scores), out, "line")
 
 
-def leaderboard_job(spark: SparkSession, log: str, out: str, places: int = 5) -> None:
+def leaderboard_job(spark: SparkSession, log: str, out: str, places: int = 5, refused: str | None = None) -> None:
     """Player totals under ``totals`` and the best per statistic under ``best``."""
     write_parquet(
-        playlog.player_totals(playlog.player_facts(read_play_log(spark, log))), f"{out}/totals_table"
+        playlog.player_totals(playlog.player_facts(_play_log(spark, log, refused))), f"{out}/totals_table"
     )
     totals = read_table(spark, f"{out}/totals_table")
     write_csv(totals.select("player", "stat", "n"), f"{out}/totals")
@@ -101,9 +115,9 @@ def leaderboard_job(spark: SparkSession, log: str, out: str, places: int = 5) ->
     write_lines(playlog.leaderboard_lines(board), f"{out}/best", "line")
 
 
-def head_to_head_job(spark: SparkSession, log: str, out: str) -> None:
+def head_to_head_job(spark: SparkSession, log: str, out: str, refused: str | None = None) -> None:
     """Win shares per pairing."""
-    shares = playlog.head_to_head(playlog.match_scores(read_play_log(spark, log)))
+    shares = playlog.head_to_head(playlog.match_scores(_play_log(spark, log, refused)))
     write_lines(playlog.head_to_head_lines(shares), out, "line")
 
 
@@ -114,12 +128,13 @@ def prediction_job(
     out: str,
     tolerance: float = win_model.LOSS_TOLERANCE,
     rating_tolerance: float = win_model.RATING_TOLERANCE,
+    refused: str | None = None,
 ) -> DataFrame:
     """Match and team profiles, then win probabilities for the listed pairs.
 
     The log is read once, into the table ``matches_table``; text and models start from it.
     """
-    write_parquet(playlog.match_features(read_play_log(spark, log)), f"{out}/matches_table")
+    write_parquet(playlog.match_features(_play_log(spark, log, refused)), f"{out}/matches_table")
     matches = read_table(spark, f"{out}/matches_table")
     write_lines(playlog.match_profile_lines(matches), f"{out}/matches", "line")
     profiles = settled(playlog.team_profiles(matches))

@@ -1,7 +1,10 @@
 """Typed readers and overwriting writers."""
 
 from tallyloom.sources.readers import (
+    LAYOUTS,
+    Checked,
     read_centers,
+    read_checked,
     read_key_values,
     read_lines,
     read_match_profiles,
@@ -18,16 +21,21 @@ from tallyloom.sources.readers import (
 )
 from tallyloom.sources.writers import (
     centers_frame,
+    replace_output,
     write_centers,
     write_csv,
     write_key_values,
+    write_line_parts,
     write_lines,
     write_parquet,
 )
 
 __all__ = [
+    "LAYOUTS",
+    "Checked",
     "centers_frame",
     "read_centers",
+    "read_checked",
     "read_key_values",
     "read_lines",
     "read_match_profiles",
@@ -40,10 +48,12 @@ __all__ = [
     "read_suppliers",
     "read_table",
     "read_team_profiles",
+    "replace_output",
     "spread",
     "write_centers",
     "write_csv",
     "write_key_values",
+    "write_line_parts",
     "write_lines",
     "write_parquet",
 ]

@@ -7,6 +7,7 @@ inferred, so no extra pass over the data is made.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ from tallyloom.sources import schemas
 
 PROFILE_SIZE = 9
 
+# Column that holds a malformed line while it is told apart.
+_REFUSED = "_refused_line"
+
 
 def _delimited(
     spark: SparkSession, path: str, schema: str, sep: str, header: bool, mode: str
@@ -28,6 +32,59 @@ def _delimited(
     )
 
 
+# Delimited layouts by name: schema, separator, whether files begin with a header.
+LAYOUTS = {
+    "suppliers": (schemas.SUPPLIER, "|", False),
+    "nations": (schemas.NATION, "|", False),
+    "parts": (schemas.PART, "|", False),
+    "play_log": (schemas.PLAY_LOG, ",", True),
+    "pairs": (schemas.PAIRS, ",", True),
+}
+
+
+@dataclass(frozen=True)
+class Checked:
+    """Rows that were read, and the lines that were refused: ``file_name, line``. Together they are all lines."""
+
+    rows: DataFrame
+    refused: DataFrame
+
+
+def read_checked(spark: SparkSession, path: str, layout: str) -> Checked:
+    """Read a layout of ``LAYOUTS``, or ``points``, without stopping at malformed lines.
+
+    A line is refused if a number does not parse or it has too few or too many fields; for ``points`` also if it has
+    no id or no coordinates. Every column is parsed whichever are used later, so the same lines are refused by every query.
+    Blank lines of delimited files are neither rows nor refused, as in the other readers.
+    """
+    if layout == "points":
+        return _checked_points(spark, path)
+    schema, sep, header = LAYOUTS[layout]
+    found = spark.read.csv(
+        path, schema=f"{schema}, {_REFUSED} STRING", sep=sep, header=header, quote="", mode="PERMISSIVE",
+        columnNameOfCorruptRecord=_REFUSED,
+    )
+    # Columns that are not used are not parsed, so all of them are used to tell whether there is a malformed line.
+    told = F.concat(F.col(_REFUSED), F.concat_ws("", *[F.col(c).cast("string") for c in found.columns]))
+    refused = found.filter(told.isNotNull())
+    return Checked(
+        found.filter(told.isNull()).drop(_REFUSED),
+        refused.select(F.col("_metadata.file_path").alias("file_name"), F.col(_REFUSED).alias("line")),
+    )
+
+
+def _checked_points(spark: SparkSession, path: str) -> Checked:
+    fields = F.split(F.trim(F.col("value")), " +")
+    parsed = spark.read.text(path).select(
+        F.get(fields, F.lit(0)).try_cast("long").alias("id"),
+        F.transform(F.slice(fields, F.lit(2), F.greatest(F.size(fields) - 1, F.lit(0))), lambda x: x.try_cast("double")).alias("point"),
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file_name"),
+    )
+    good = F.col("id").isNotNull() & (F.size("point") > 0) & ~F.exists("point", lambda x: x.isNull())
+    return Checked(parsed.filter(good).drop("file_name"), parsed.filter(~good).select("file_name", "line"))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Parquet table."""
     return spark.read.parquet(path)

@@ -109,3 +109,32 @@ def test_a_start_that_is_no_number_is_an_error(spark):
 def test_a_limited_fit_says_so(spark):
     matrix = np.arange(40, dtype=float).reshape(20, 2) ** 1.3
     assert not clustering.fit(points_frame(spark, matrix), matrix[:3], max_steps=1).converged
+
+
+@pytest.mark.parametrize("left", [0, 1, 2, "all"])
+def test_resumed_fit_equals_an_unbroken_one(spark, tmp_path, left):
+    """Broken off after any step, with a snapshot that is not complete and others behind the gap."""
+    draw = np.random.default_rng(4)
+    points = points_frame(spark, draw.normal(size=(120, 3)).round(3))
+    start = draw.normal(size=(4, 3))
+    folder = tmp_path / "steps"
+    whole = clustering.fit(points, start, threshold=1e-9, snapshot_dir=str(folder))
+    assert whole.converged and whole.steps > 3
+    if left != "all":
+        (folder / f"center_{left}" / "_SUCCESS").unlink()
+    resumed = clustering.fit(points, start, threshold=1e-9, snapshot_dir=str(folder), resume=True)
+    np.testing.assert_allclose(resumed.centers, whole.centers, atol=1e-12)
+    np.testing.assert_allclose(resumed.shifts, whole.shifts, atol=1e-12)
+    assert resumed.converged and len(list(clustering.completed_steps(spark, str(folder)))) == whole.steps
+
+
+def test_resume_refuses_other_centres_and_counts_all_steps(spark, tmp_path):
+    points = points_frame(spark, np.random.default_rng(5).normal(size=(60, 2)))
+    start = np.array([[0.0, 0.0], [1.0, 1.0]])
+    one = clustering.fit(points, start, threshold=0.0, max_steps=2, snapshot_dir=str(tmp_path / "s"))
+    again = clustering.fit(points, start, threshold=0.0, max_steps=1, snapshot_dir=str(tmp_path / "s"), resume=True)
+    assert again.shifts == one.shifts[:1]
+    with pytest.raises(ValueError):
+        clustering.fit(points, start[:, :1], snapshot_dir=str(tmp_path / "s"), resume=True)
+    with pytest.raises(ValueError):
+        clustering.fit(points, start, resume=True)

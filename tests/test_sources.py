@@ -183,3 +183,92 @@ def test_play_log_jobs(spark, tmp_path):
     scored = file_jobs.prediction_job(spark, path, pairs, str(out / "pred"), tolerance=0.5, rating_tolerance=10.0)
     assert {r["home_team"]: r["p_away"] is None for r in scored.collect()} == {"B": False, "Z": True}
     assert len(written(out / "pred" / "predictions").splitlines()) >= 3
+
+
+GOOD = {
+    "suppliers": "1|a|x|3|p|1.50|c",
+    "nations": "1|a|2|c",
+    "parts": "1|a|m|b|t|5|c|1.00|x",
+    "play_log": ",".join(["7", "11-1", "1", "60", "a", "h", "a"] + [""] * 19),
+    "points": "1 2.5 3",
+}
+BAD = {
+    "suppliers": ["x|a|x|3|p|1.50|c", "1|a", "1|a|x|3|p|1.50|c|more", "1|a|x|3|p|much|c"],
+    "nations": ["1|a|two|c", "1"],
+    "parts": ["1|a|m|b|t|five|c|1.00|x"],
+    "play_log": [",".join(["7", "11-1", "one"] + [""] * 23), "7,11-1"],
+    "points": ["one 2.5 3", "1 2.5 x", "1", ""],
+}
+
+
+@pytest.mark.parametrize("layout", sorted(GOOD))
+def test_rows_and_refused_lines_are_all_lines(spark, tmp_path, layout):
+    header = ["header"] if io.LAYOUTS.get(layout, (0, 0, False))[2] else []
+    for name, good in (("one", 3), ("two", 1)):
+        (tmp_path / name).write_text("\n".join(header + [GOOD[layout]] * good + BAD[layout]) + "\n")
+    found = io.read_checked(spark, str(tmp_path), layout)
+    assert found.rows.count() == 4
+    refused = found.refused.collect()
+    assert sorted(r["line"] for r in refused) == sorted(BAD[layout] * 2)
+    assert {r["file_name"].rsplit("/", 1)[-1] for r in refused} == {"one", "two"}
+    # The same lines are refused whichever columns are used.
+    first = found.rows.columns[1]
+    assert found.rows.select(first).count() == len(found.rows.select(first).collect()) == 4
+
+
+def test_pairs_refused_by_their_fields(spark, tmp_path):
+    (tmp_path / "pairs").write_text("AwayTeam,HomeTeam\na,b\na\na,b,c\n")
+    found = io.read_checked(spark, str(tmp_path / "pairs"), "pairs")
+    assert [tuple(r) for r in found.rows.collect()] == [("a", "b")]
+    assert sorted(r["line"] for r in found.refused.collect()) == ["a", "a,b,c"]
+
+
+def test_job_goes_on_beyond_refused_lines(spark, tmp_path):
+    lines = ["header", GOOD["play_log"], *BAD["play_log"]]
+    (tmp_path / "log").write_text("\n".join(lines) + "\n")
+    file_jobs.outcome_job(spark, str(tmp_path / "log"), str(tmp_path / "out"), refused=str(tmp_path / "refused"))
+    assert spark.read.text(str(tmp_path / "out")).count() == 1
+    assert spark.read.text(str(tmp_path / "refused")).count() == 2
+    with pytest.raises(Exception):
+        file_jobs.outcome_job(spark, str(tmp_path / "log"), str(tmp_path / "out"))
+    assert spark.read.text(str(tmp_path / "out")).count() == 1
+
+
+@pytest.mark.parametrize("writer", ["lines", "key_values", "csv", "parquet", "parts"])
+def test_failed_write_leaves_the_old_output(spark, tmp_path, writer):
+    write = {
+        "lines": lambda df, path: io.write_lines(df, path, "v"),
+        "key_values": lambda df, path: io.write_key_values(df, path, "k", "v"),
+        "csv": io.write_csv,
+        "parquet": io.write_parquet,
+        "parts": lambda df, path: io.write_line_parts(df, path, "v", "k"),
+    }[writer]
+    path = tmp_path / "out"
+    write(spark.createDataFrame([(1, "old")], "k INT, v STRING"), str(path))
+    before = {f.relative_to(path): f.read_bytes() for f in path.rglob("*") if f.is_file()}
+    failing = spark.range(100).selectExpr("CAST(id AS INT) AS k", "IF(id = 99, raise_error('stop'), 'new') AS v")
+    with pytest.raises(Exception, match="stop"):
+        write(failing, str(path))
+    assert {f.relative_to(path): f.read_bytes() for f in path.rglob("*") if f.is_file()} == before
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    write(spark.createDataFrame([(2, "newer")], "k INT, v STRING"), str(path))
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    texts = b"".join(f.read_bytes() for f in path.rglob("part-*"))
+    assert b"newer" in texts and b"old" not in texts
+
+
+def test_output_may_be_read_by_the_job_that_replaces_it(spark, tmp_path):
+    path = str(tmp_path / "table")
+    io.write_parquet(spark.range(5), path)
+    io.write_parquet(spark.read.parquet(path).selectExpr("id + 1 AS id"), path)
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_kmeans_job_resumes(spark, tmp_path):
+    (tmp_path / "points").write_text("".join(f"{i} {i % 7} {i % 3}\n" for i in range(50)))
+    (tmp_path / "centers").write_text("0 0,0\n1 6,2\n")
+    out = tmp_path / "out"
+    whole = file_jobs.kmeans_job(spark, str(tmp_path / "points"), str(tmp_path / "centers"), str(out))
+    (out / "temp" / "center_1" / "_SUCCESS").unlink()
+    again = file_jobs.kmeans_job(spark, str(tmp_path / "points"), str(tmp_path / "centers"), str(out), resume=True)
+    assert again.shifts == pytest.approx(whole.shifts) and again.centers.ravel().tolist() == pytest.approx(whole.centers.ravel().tolist())
