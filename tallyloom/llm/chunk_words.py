@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 # Bytes of text in a chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 23
 
+# Bytes of text that are split at once.
+SLICE_BYTES = 1 << 20
+
 # Code of a break (end of a piece or of a text) in a chunk's sequence; words count from 1.
 BREAK = 0
 
@@ -37,9 +40,15 @@ def byte_table(spaces: str, breaks: str) -> bytes:
 def coded(data: np.ndarray, offsets: np.ndarray, table: bytes) -> tuple[pa.Array, np.ndarray]:
     """Distinct words of the texts between the ``offsets``, and the texts as codes with a break after each."""
     plain = data.tobytes().translate(table)
-    spaced = b"\n".join(plain[a:b] for a, b in zip(offsets[:-1], offsets[1:])) + b"\n"
-    tokens = pa.array([t for t in spaced.replace(b"\n", b" \n ").split(b" ") if t], pa.large_binary()).dictionary_encode()
-    codes = tokens.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    parts, first = [], 0
+    while first < len(offsets) - 1:
+        # Some texts at a time, since a word is far larger as an object than as bytes.
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1)
+        spaced = b"\n".join(plain[a:b] for a, b in zip(offsets[first:last], offsets[first + 1 : last + 1])) + b"\n"
+        parts.append(pa.array([t for t in spaced.replace(b"\n", b" \n ").split(b" ") if t], pa.large_binary()))
+        first = last
+    tokens = pa.chunked_array(parts).combine_chunks().dictionary_encode()
+    del parts
     at = tokens.dictionary.index(pa.scalar(_BREAK_BYTE, pa.large_binary())).as_py()
     codes = np.where(codes == at, BREAK, codes + (codes < at))
     words = pa.concat_arrays([tokens.dictionary[:at], tokens.dictionary[at + 1 :]])
