@@ -283,9 +283,9 @@ def pair_kernel(pairs: DataFrame, profiles: DataFrame, model: WinModel) -> DataF
     )
 
 
-def _rated_pairs(pairs: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Pairs with the ratings of both teams under ``a_`` and ``h_``."""
-    columns = ("matches", *RATING_COLUMNS)
+def _rated_pairs(pairs: DataFrame, ratings: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs with the ratings of both teams, and more columns if asked for, under ``a_`` and ``h_``."""
+    columns = ("matches", *RATING_COLUMNS, *more)
     away = ratings.select(
         F.col("team").alias("away_team"), *[F.col(c).alias(f"a_{c}") for c in columns]
     )
@@ -295,8 +295,8 @@ def _rated_pairs(pairs: DataFrame, ratings: DataFrame) -> DataFrame:
     return pairs.join(away, "away_team", "left").join(home, "home_team", "left")
 
 
-def _rating_logit(ratio: float) -> Column:
-    total = F.col("kernel") * F.lit(float(ratio)) + F.col("a_r_away") - F.col("h_r_home")
+def _rating_logit(ratio: Column) -> Column:
+    total = F.col("kernel") * ratio + F.col("a_r_away") - F.col("h_r_home")
     for i in range(0, len(ROTATION_COLUMNS), 2):
         total = (
             total
@@ -307,14 +307,15 @@ def _rating_logit(ratio: float) -> Column:
 
 
 def _rating_round(
-    pairs: DataFrame, ratings: DataFrame, ratio: float, step: float, shares: tuple[Column, Column]
+    pairs: DataFrame, ratings: DataFrame, step: float, shares: tuple[Column, Column]
 ) -> DataFrame:
     """Ratings after one round, with the change of ``ratio`` in the row without a team.
 
+    The ratio before the round comes as a column of the ratings, so that all rounds run the same code.
     A residual counts by the given shares for the away team and for the home team.
     """
-    scored = _rated_pairs(pairs, ratings).withColumn(
-        "residual", F.col("wins") - F.col("n") * logistic(_rating_logit(ratio))
+    scored = _rated_pairs(pairs, ratings, ("ratio",)).withColumn(
+        "residual", F.col("wins") - F.col("n") * logistic(_rating_logit(F.col("a_ratio")))
     )
     away_share = F.lit(step) * F.col("residual") * shares[0]
     home_share = F.lit(step) * F.col("residual") * shares[1]
@@ -375,32 +376,40 @@ class _Rounds:
     one before; both have the size they have, and a round's joins are planned by it.
     """
 
-    def __init__(self, ratings: DataFrame, local_teams: int = LOCAL_TEAMS) -> None:
-        self.frame = stored(ratings)
-        self.local = self.frame.count() <= local_teams
+    def __init__(self, ratings: DataFrame, total: int | None, local_teams: int) -> None:
+        """``total`` is the number of matches over which the ratio moves; without it the ratio stays one."""
+        self.total, self.ratio = total, 1.0
+        self.table = stored(ratings)
+        self.local = self.table.count() <= local_teams
         if self.local:
-            self._keep(self.frame)
+            self._keep(self.table.toArrow(), self.table)
+        else:
+            self.frame = self.table.withColumn("ratio", F.lit(self.ratio))
+
+    def _keep(self, rows: pa.Table, like: DataFrame) -> None:
+        rows = rows.append_column("ratio", pa.array(np.full(len(rows), self.ratio)))
+        self.frame = like.sparkSession.createDataFrame(rows, like.withColumn("ratio", F.lit(1.0)).schema)
 
-    def _keep(self, after: DataFrame) -> tuple[float, float]:
-        table = after.toArrow()
-        if "d_r_away" not in table.column_names:
-            moved = (0.0, 0.0)
+    def advance(self, after: DataFrame) -> float:
+        """Take the ratings after a round; the largest change of a team's rating."""
+        if self.local:
+            rows = after.toArrow()
+            alone = np.array([t is None for t in rows["team"].to_pylist()], bool)
+            moves = np.abs(np.column_stack([rows[f"d_{c}"].to_numpy() for c in RATING_COLUMNS]))
+            largest, change = moves[~alone].max(initial=0.0), rows["r_away"].to_numpy()[alone].sum()
         else:
-            alone = np.array([t is None for t in table["team"].to_pylist()], bool)
-            moves = np.abs(np.column_stack([table[f"d_{c}"].to_numpy() for c in RATING_COLUMNS]))
-            largest = moves[~alone].max(initial=0.0)
-            ratio = table["r_away"].to_numpy()[alone].sum()
-            moved = (float(largest), float(ratio))
-        self.frame = after.sparkSession.createDataFrame(table, after.schema)
-        return moved
-
-    def advance(self, after: DataFrame) -> tuple[float, float]:
-        """Take the ratings after a round; the largest change of a team's rating, and the change of the ratio."""
+            before, self.table = self.table, stored(after)
+            discard(before)
+            largest, change = _changes(self.table)
+        if self.total is not None:
+            self.ratio += float(change) / max(self.total, 1)
         if self.local:
-            return self._keep(after)
-        before, self.frame = self.frame, stored(after)
-        discard(before)
-        return _changes(self.frame)
+            self._keep(rows, after)
+        else:
+            self.frame = self.table.withColumn("ratio", F.lit(self.ratio))
+        if not np.isfinite(largest):
+            raise ValueError("a rating is not finite")
+        return float(largest)
 
     def teams(self) -> DataFrame:
         return self.frame.filter(F.col("team").isNotNull()).select("team", "matches", *RATING_COLUMNS)
@@ -425,20 +434,16 @@ def fit_team_ratings(
     """
     pairs = stored(pair_kernel(pair_results(matches), profiles, model))
     total = pairs.agg(F.sum("n")).first()[0] or 0
-    ratings = _Rounds(level_ratings(matches), local_teams)
+    ratings = _Rounds(level_ratings(matches), total, local_teams)
     shares = (F.lit(1.0) / F.col("a_matches"), F.lit(1.0) / F.col("h_matches"))
-    ratio, changes = 1.0, []
+    changes: list[float] = []
     while max_rounds is None or len(changes) < max_rounds:
-        largest, ratio_change = ratings.advance(_rating_round(pairs, ratings.frame, ratio, step, shares))
-        ratio += ratio_change / max(total, 1)
-        changes.append(largest)
-        if not np.isfinite(changes[-1]):
-            raise ValueError("a rating is not finite")
+        changes.append(ratings.advance(_rating_round(pairs, ratings.frame, step, shares)))
         if changes[-1] < tolerance:
             break
     done = bool(changes) and changes[-1] < tolerance
     discard(pairs)
-    return TeamRatings(ratings.teams(), ratio, changes, done)
+    return TeamRatings(ratings.teams(), ratings.ratio, changes, done)
 
 
 def ratings_in_order(
@@ -465,13 +470,11 @@ def ratings_in_order(
     pairs = stored(pair_kernel(results, profiles, model), partition_by=("played",))
     # One row per date; the calendar bounds them.
     days = [r["played"] for r in pairs.select("played").distinct().orderBy("played").collect()]
-    ratings, changes = _Rounds(level_ratings(matches), local_teams), []
+    ratings, changes = _Rounds(level_ratings(matches), None, local_teams), []
     even = (F.lit(1.0), F.lit(1.0))
     for day in days:
         today = pairs.filter(F.col("played") == F.lit(day))
-        changes.append(ratings.advance(_rating_round(today, ratings.frame, 1.0, rate, even))[0])
-        if not np.isfinite(changes[-1]):
-            raise ValueError("a rating is not finite")
+        changes.append(ratings.advance(_rating_round(today, ratings.frame, rate, even)))
     discard(pairs)
     return TeamRatings(ratings.teams(), 1.0, changes, True)
 
@@ -493,5 +496,5 @@ def predict_pairs(
     """
     rated = _rated_pairs(pair_kernel(pairs, profiles, model), ratings.teams)
     return rated.select(
-        "away_team", "home_team", logistic(_rating_logit(ratings.ratio)).alias("p_away")
+        "away_team", "home_team", logistic(_rating_logit(F.lit(float(ratings.ratio)))).alias("p_away")
     )
