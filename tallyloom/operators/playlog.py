@@ -305,3 +305,30 @@ def match_profile_lines(matches: DataFrame) -> DataFrame:
 def team_profile_lines(profiles: DataFrame) -> DataFrame:
     """Team profiles as ``team,r0,…,r8`` text: ``line``."""
     return profiles.select(_joined(",", "team", *PROFILE).alias("line"))
+
+
+def parse_match_profiles(lines: DataFrame, line: str = "line", strict: bool = False) -> DataFrame:
+    """Lines ``away:score,r0,…,r8;home:score,r0,…,r8`` as the columns of ``match_features`` but those of the match.
+
+    Works on lines from anywhere: a file, a table, or the step before. A name may hold any character but ``;``, since
+    the last colon of a half ends it. A half, a field or a number that is missing or cannot be read is null, so a bad line keeps its row;
+    with ``strict``, a number that cannot be read ends the job.
+    """
+    halves = F.split(line, ";")
+
+    def half(name: str, k: int) -> list[Column]:
+        text = F.get(halves, F.lit(k))
+        numbers = F.split(F.substring_index(text, ":", -1), ",")
+        team = F.when(text.contains(":"), F.regexp_extract(text, "(?s)^(.*):", 1))
+
+        def number(i: int, kind: str) -> Column:
+            value = F.get(numbers, F.lit(i))
+            return F.when(text.contains(":"), value.cast(kind) if strict else value.try_cast(kind))
+
+        return [
+            team.alias(f"{name}_team"),
+            number(0, "long").alias(f"{name}_score"),
+            *[number(i, "double").alias(f"{name}_{r}") for i, r in enumerate(PROFILE, start=1)],
+        ]
+
+    return lines.select(*half("away", 0), *half("home", 1))

@@ -249,6 +249,8 @@ FROM matches
 WITH {MATCHES} SELECT team, {", ".join(f"round(r{i}, 6) + 0.0 AS r{i}" for i in FEATURES)} FROM profiles
 """,
 }
+# The lines hold every number in full, so reading them again changes nothing.
+PLAYLOG["team_profiles_from_lines"] = PLAYLOG["team_profiles"]
 
 # --- clustering -------------------------------------------------------------
 
@@ -313,6 +315,7 @@ CLUSTERING = {
     "kmeans_assign": _assigned_out("0"),
     "kmeans_step": _centers_out("1"),
     "kmeans_fit": _centers_out(_LAST),
+    "kmeans_bounded_fit": _centers_out(_LAST),
     "kmeans_shift_by_step": f"WITH RECURSIVE {STEPS} SELECT CAST(step AS INTEGER) AS step, "
     "round(shift, 6) + 0.0 AS shift FROM steps WHERE step > 0",
     "kmeans_final_assign": _assigned_out(_LAST),

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators import clustering, playlog, relational, text_index, win_model
+from tallyloom.operators import bounded_clustering, clustering, playlog, relational, text_index, win_model
 from tallyloom.operators.lineage import settled
 from tallyloom.plans.plays import plays_from_events
 from tallyloom.sources import read_table, spread
@@ -158,6 +158,12 @@ def team_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.select("team", *[_rounded(F.col(r)).alias(r) for r in playlog.PROFILE])
 
 
+def team_profiles_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matches = playlog.parse_match_profiles(match_profile_lines(spark, sf_dir))
+    profiles = playlog.team_profiles(matches)
+    return profiles.select("team", *[_rounded(F.col(r)).alias(r) for r in playlog.PROFILE])
+
+
 # --- clustering -------------------------------------------------------------
 
 
@@ -199,6 +205,12 @@ def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long_centers(spark, _fit(_points(spark, sf_dir)).centers)
 
 
+def kmeans_bounded_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = _points(spark, sf_dir)
+    fitted = bounded_clustering.fit_bounded(points, _starting_centers(points), vector="embedding")
+    return _long_centers(spark, fitted.centers)
+
+
 def kmeans_shift_by_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     shifts = _fit(_points(spark, sf_dir)).shifts_frame(spark)
     return shifts.select("step", _rounded(F.col("shift")).alias("shift"))
@@ -296,10 +308,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         head_to_head_lines,
         match_features,
         match_profile_lines,
+        team_profiles_from_lines,
         team_profiles,
         kmeans_assign,
         kmeans_step,
         kmeans_fit,
+        kmeans_bounded_fit,
         kmeans_shift_by_step,
         kmeans_final_assign,
         win_model_fit,

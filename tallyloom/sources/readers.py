@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators.playlog import parse_match_profiles
 from tallyloom.sources import schemas
 
 PROFILE_SIZE = 9
@@ -174,26 +175,9 @@ def read_centers(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _side_of(record: Column, side: str) -> list[Column]:
-    name_and_numbers = F.split(record, ":")
-    numbers = F.split(F.get(name_and_numbers, F.lit(1)), ",").cast("array<double>")
-    return [
-        F.get(name_and_numbers, F.lit(0)).alias(f"{side}_team"),
-        F.get(numbers, F.lit(0)).cast("long").alias(f"{side}_score"),
-        *[
-            F.get(numbers, F.lit(i + 1)).alias(f"{side}_r{i}")
-            for i in range(PROFILE_SIZE)
-        ],
-    ]
-
-
 def read_match_profiles(spark: SparkSession, path: str) -> DataFrame:
-    """Lines ``away:score,r0,…,r8;home:score,r0,…,r8`` as typed columns."""
-    records = F.split("value", ";")
-    return spark.read.text(path).select(
-        *_side_of(F.get(records, F.lit(0)), "away"),
-        *_side_of(F.get(records, F.lit(1)), "home"),
-    )
+    """Lines ``away:score,r0,…,r8;home:score,r0,…,r8`` as typed columns; a number that cannot be read ends the job."""
+    return parse_match_profiles(read_lines(spark, path), strict=True)
 
 
 def read_team_profiles(spark: SparkSession, path: str) -> DataFrame:

@@ -156,3 +156,31 @@ def test_both_ways_to_the_match_score_agree(spark, tables):
 def test_a_null_field_leaves_its_place(spark):
     scores = spark.createDataFrame([("11-1", None, 3, "B", 2)], "game_date STRING, home_team STRING, home_score BIGINT, away_team STRING, away_score BIGINT")
     assert playlog.match_score_lines(scores).first()["line"] == "11-1,,3,B,2"
+
+
+def test_profile_lines_are_parsed_where_they_are(spark):
+    good = "a:b:3," + ",".join(f"0.{i}" for i in range(9)) + ";c:4," + ",".join(f"1.{i}" for i in range(9))
+    lines = [(1, good, "x"), (2, "a:3,oops;", None), (3, None, None), (4, "", None), (5, "no colon;b:x", None)]
+    frame = spark.createDataFrame(lines, "id INT, line STRING, away_team STRING")
+    parsed = playlog.parse_match_profiles(frame)
+    assert parsed.columns == [
+        f"{s}_{c}" for s in ("away", "home") for c in ("team", "score", *playlog.PROFILE)
+    ]
+    rows = [tuple(r) for r in parsed.collect()]
+    assert len(rows) == len(lines)
+    whole = ("a:b", 3, *[i / 10 for i in range(9)], "c", 4, *[1 + i / 10 for i in range(9)])
+    assert whole in rows
+    assert ("a", 3, *[None] * 20) in rows and rows.count((None,) * 22) == 2
+    assert (None,) * 11 + ("b",) + (None,) * 10 in rows
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        playlog.parse_match_profiles(frame, strict=True).collect()
+
+
+def test_profiles_from_lines_equal_those_from_columns(spark, tables):
+    from tallyloom.plans import registry
+
+    matches = registry.match_features(spark, tables)
+    again = playlog.parse_match_profiles(playlog.match_profile_lines(matches))
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= matches._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    assert sorted(again.collect()) == sorted(matches.select(*again.columns).collect())
