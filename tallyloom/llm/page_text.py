@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -148,26 +149,49 @@ def _hinted(name: str, attributes: str, marked: bool) -> str:
     return ""
 
 
-def _find_open(opened: list[tuple[str, int]], names: frozenset[str] | tuple[str, ...], walls: frozenset[str]) -> int:
-    """Place of the outermost of ``names`` above the last open one of ``walls``, or -1."""
-    found = -1
-    for k in range(len(opened) - 1, -1, -1):
-        if opened[k][0] in names:
-            found = k
-        elif opened[k][0] in walls:
-            break
-    return found
+class OpenElements:
+    """The open elements of a page, with the places of each name, so that none is searched for from the top."""
+
+    def __init__(self) -> None:
+        self.opened: list[tuple[str, int]] = []
+        self._places: dict[str, list[int]] = {}
+
+    def open(self, name: str, region: int) -> None:
+        self._places.setdefault(name, []).append(len(self.opened))
+        self.opened.append((name, region))
+
+    def close(self, first: int) -> list[tuple[str, int]]:
+        """Remove the elements from a place on and return them, the innermost first."""
+        gone = self.opened[first:][::-1]
+        del self.opened[first:]
+        for name, _ in gone:
+            self._places[name].pop()
+        return gone
 
+    def _last(self, name: str) -> int:
+        places = self._places.get(name)
+        return places[-1] if places else -1
 
-def _closed_by(opened: list[tuple[str, int]], name: str) -> int:
-    """Place of the element that an end tag ends, or -1."""
-    walls = frozenset(("table",)) if name in _TABLE else _WALLS
-    for k in range(len(opened) - 1, -1, -1):
-        if opened[k][0] == name:
-            return k
-        if opened[k][0] in walls:
+    def find(self, names: frozenset[str] | tuple[str, ...], walls: frozenset[str]) -> int:
+        """Place of the outermost of ``names`` above the last open one of ``walls``, or -1."""
+        if all(self._last(n) < 0 for n in names):
             return -1
-    return -1
+        wall = max((self._last(w) for w in walls if w not in names), default=-1)
+        found = -1
+        for name in names:
+            places = self._places.get(name, [])
+            k = bisect_right(places, wall)
+            if k < len(places) and (found < 0 or places[k] < found):
+                found = places[k]
+        return found
+
+    def closed_by(self, name: str) -> int:
+        """Place of the element that an end tag ends, or -1."""
+        last = self._last(name)
+        if last < 0:
+            return -1
+        walls = ("table",) if name in _TABLE else _WALLS
+        return last if all(self._last(w) <= last for w in walls) else -1
 
 
 def _stands(region: Region, total: int, elsewhere: bool) -> bool:
@@ -187,7 +211,8 @@ def read_page(page: str, hints: bool = True) -> list[Token]:
     out: list[Token] = []
     places: list[int] = []
     regions: list[Region] = []
-    opened: list[tuple[str, int]] = []
+    elements = OpenElements()
+    last_ends: dict[str, int] = {}
     at, block, links, marked, region = 0, 0, 0, 0, -1
     around, elsewhere = "other", False
     skipping, depth = "", 0
@@ -195,12 +220,11 @@ def read_page(page: str, hints: bool = True) -> list[Token]:
     def close(first: int, by: str) -> None:
         """End the open elements from a place on; the end of the whole page does not tell where an element ends."""
         nonlocal region, marked, links, around
-        for element, own in reversed(opened[first:]):
+        for element, own in elements.close(first):
             if own >= 0:
                 r = regions[own]
                 r.closed = by not in ("body", "html") or element in _OMITTED
                 region, marked, links, around = r.around, r.marked, r.links, r.context
-        del opened[first:]
 
     while True:
         m = _TOKEN.search(page, at)
@@ -228,21 +252,21 @@ def read_page(page: str, hints: bool = True) -> list[Token]:
                 at = _raw_end(page, at, name)
             continue
         if not closing:
-            ended = _find_open(opened, *_ENDS[name]) if name in _ENDS else -1
+            ended = elements.find(*_ENDS[name]) if name in _ENDS else -1
             if ended < 0 and name in _ENDS_P:
-                ended = _find_open(opened, ("p",), _AROUND_P)
+                ended = elements.find(("p",), _AROUND_P)
             if ended >= 0:
                 close(ended, name)
         kind = name in LEFT_OUT or (name == "header" and not marked)
         if kind and not closing and name != "option":
             block += 1
-            if name not in VOID and not own_end and _is_closed(page, at, name):
+            if name not in VOID and not own_end and _is_closed(page, at, name, last_ends):
                 skipping, depth = name, 1
             continue
         hint = ""
         if not closing and (hints or name == "option"):
             hint = "option" if name == "option" else _hinted(name, m[3], marked > 0)
-        ended = _closed_by(opened, name) if closing else -1
+        ended = elements.closed_by(name) if closing else -1
         if hint:
             block += 1
             if name in VOID or own_end:
@@ -253,6 +277,8 @@ def read_page(page: str, hints: bool = True) -> list[Token]:
             if region < 0:
                 elsewhere = True
             for r in _up(regions, region):
+                if r.content:
+                    break
                 r.content = True
         if name in CONTENT:
             marked = max(0, marked + (-1 if closing else 1))
@@ -270,20 +296,24 @@ def read_page(page: str, hints: bool = True) -> list[Token]:
             if name in CONTENT:
                 marked = min(marked, inner)
         elif not closing and name not in VOID and not own_end:
-            opened.append((name, region if hint else -1))
+            elements.open(name, region if hint else -1)
     if not regions:
         return out
     # The end of the page ends what may end so.
-    for name, own in opened:
+    for name, own in elements.opened:
         if own >= 0 and name in _OMITTED:
             regions[own].closed = True
     total = 0
     for token, place in zip(out, places):
-        total += token.words
-        for r in _up(regions, place):
-            r.words += token.words
-    gone = [r.kind == "option" or _stands(r, total, elsewhere) for r in regions]
+        words = token.words
+        total += words
+        if place >= 0:
+            regions[place].words += words
     # Regions are listed from the outside in.
+    for r in reversed(regions):
+        if r.around >= 0:
+            regions[r.around].words += r.words
+    gone = [r.kind == "option" or _stands(r, total, elsewhere) for r in regions]
     for k, r in enumerate(regions):
         gone[k] = gone[k] or r.around >= 0 and gone[r.around]
     return [token for token, place in zip(out, places) if place < 0 or not gone[place]]
@@ -300,9 +330,13 @@ def _raw_end(page: str, at: int, name: str) -> int:
     return m.end() if m else len(page)
 
 
-def _is_closed(page: str, at: int, name: str) -> bool:
-    """Whether the element ends at all; the end of the page does for what stands last on it."""
-    return name == "footer" or re.compile(f"</{name}\\b", re.I).search(page, at) is not None
+def _is_closed(page: str, at: int, name: str, last_ends: dict[str, int]) -> bool:
+    """Whether the element ends at all; the end of the page does for what stands last on it. ``last_ends`` keeps the last end tags found."""
+    if name == "footer":
+        return True
+    if name not in last_ends:
+        last_ends[name] = max((m.start() for m in re.finditer(f"</{name}\\b", page, re.I)), default=-1)
+    return last_ends[name] >= at
 
 
 @dataclass(frozen=True)

@@ -1,6 +1,8 @@
 """Main text of pages of several shapes."""
 
+import random
 import re
+import time
 import html as escapes
 
 from tallyloom.llm import page_text as pt
@@ -95,3 +97,53 @@ def test_registered_query(spark, tables):
         inner = re.search(r"<article>(.*?)(</article>|<footer|$)", pages[r["page_id"]], re.S)[1]
         blocks = (escapes.unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " "))) for b in re.split("</?p>|</?h1>", inner))
         assert r["text"] == "\n\n".join(b for b in (" ".join(b.split()) for b in blocks) if b)
+
+
+def test_hostile_pages_take_time_in_proportion():
+    shapes = (
+        lambda n: "<span>" * n + "</q>" * n,
+        lambda n: "<li><ul>" + "<span>" * n + "<li>" * n,
+        lambda n: "<nav>" * n,
+        lambda n: "<div class=ad>w " * n + "</div>" * n,
+    )
+    for shape in shapes:
+        start = time.process_time()
+        pt.read_page(shape(30_000))
+        # Searching the open elements from the top took minutes here.
+        assert time.process_time() - start < 10
+
+
+def test_open_elements_against_a_search_from_the_top():
+    draw = random.Random(6)
+    names = ["p", "li", "ul", "table", "td", "span", "tr"]
+
+    def found_plainly(opened, wanted, walls):
+        found = -1
+        for k in range(len(opened) - 1, -1, -1):
+            if opened[k] in wanted:
+                found = k
+            elif opened[k] in walls:
+                break
+        return found
+
+    def closed_plainly(opened, name, walls):
+        for k in range(len(opened) - 1, -1, -1):
+            if opened[k] == name:
+                return k
+            if opened[k] in walls:
+                return -1
+        return -1
+
+    elements = pt.OpenElements()
+    for _ in range(4000):
+        opened = [n for n, _ in elements.opened]
+        wanted, walls = frozenset(draw.sample(names, 2)), frozenset(draw.sample(names, 2))
+        assert elements.find(wanted, walls) == found_plainly(opened, wanted, walls)
+        name = draw.choice(names)
+        walls = {"table"} if name in pt._TABLE else pt._WALLS
+        place = elements.closed_by(name)
+        assert place == closed_plainly(opened, name, walls)
+        if place >= 0 and draw.random() < 0.4:
+            assert [n for n, _ in elements.close(place)] == opened[place:][::-1]
+        else:
+            elements.open(draw.choice(names), -1)
