@@ -13,8 +13,10 @@ A null text is empty. Offsets are code points, ends exclusive. Extra columns are
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -172,9 +174,13 @@ def fit_random_model(docs: DataFrame) -> RandomModel:
 def all_spans(text: str, model: RandomModel) -> list[Span]:
     """Pattern matches and random-looking runs that overlap none of them, by start and then kind."""
     base = base_spans(text)
+    ordered = sorted((s, e) for s, e, _ in base)
+    starts = [s for s, _ in ordered]
+    # The furthest end among the first spans by start: spans of different kinds may overlap.
+    reach = [0, *accumulate((e for _, e in ordered), max)]
     more = []
     for m in _RUN.finditer(text):
-        clear = all(m.end() <= s or e <= m.start() for s, e, _ in base)
+        clear = reach[bisect_left(starts, m.end())] <= m.start()
         if clear and model.passes(m.group().encode()):
             more.append((m.start(), m.end(), "random"))
     return sorted(base + more, key=lambda s: (s[0], KINDS.index(s[2])))

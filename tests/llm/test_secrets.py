@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from tallyloom.llm import secret_scan as sc
 from tallyloom.llm.registry import QUERIES
@@ -96,3 +97,30 @@ def test_registered_query(spark, tables):
         assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(b.startswith(k) for b in base) for k in ("assign", "access", "hex"))
         listed = r["spans"].split(",") if r["spans"] else []
         assert [s for s in listed if not s.startswith("random")] == base
+
+
+class EveryRun:
+    """A model that takes every run, so that only the rule on overlaps decides."""
+
+    def passes(self, run):
+        return True
+
+
+def test_random_runs_overlap_no_pattern():
+    for text in corpus():
+        base = sc.base_spans(text)
+        plain = [
+            (m.start(), m.end())
+            for m in sc._RUN.finditer(text)
+            if all(m.end() <= s or e <= m.start() for s, e, _ in base)
+        ]
+        assert [(s, e) for s, e, kind in sc.all_spans(text, EveryRun()) if kind == "random"] == plain
+
+
+def test_many_patterns_in_one_text():
+    text = " ".join(f"{k:016x} Run{k}xyzXYZabcdefgh0123" for k in range(40_000))
+    start = time.process_time()
+    found = sc.all_spans(text, EveryRun())
+    # Every run against every pattern took minutes here.
+    assert time.process_time() - start < 10
+    assert sum(kind == "hex" for _, _, kind in found) >= 40_000
