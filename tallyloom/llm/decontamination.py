@@ -48,13 +48,16 @@ def item_windows(items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE)
             ids = batch.column(0).to_pylist()
             for first, data, offsets in text_chunks(batch.column(1)):
                 words = split_words(data, offsets)
+                places: dict[int, dict[int, int]] = {}
                 for k, (start, n) in enumerate(zip(words.firsts, words.counts)):
                     length = min(window, int(n))
                     size = min(shingle, length)
                     if not size:
                         continue
-                    at, tokens = words.shingles(size)
-                    place = dict(zip(at.tolist(), tokens.view(np.int64).tolist()))
+                    if size not in places:
+                        at, tokens = words.shingles(size)
+                        places[size] = dict(zip(at.tolist(), tokens.view(np.int64).tolist()))
+                    place = places[size]
                     for s in range(int(start), int(start) + int(n) - length + 1):
                         named = [{"token": place[s + i], "offset": i} for i in range(length - size + 1)]
                         out.append((ids[first + k], words.join(s, s + length), length, named))

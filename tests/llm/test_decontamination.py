@@ -1,6 +1,7 @@
 """Decontamination against a plain search, and the registered query against its SQL."""
 
 import random
+import time
 
 import pytest
 
@@ -59,3 +60,12 @@ def test_empty_tables(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_and_sql(spark, tables, name):
     assert difference(QUERIES[name](spark, tables), connect(tables), ORACLES[name]) is None
+
+
+def test_many_items_in_one_chunk(spark):
+    rows = [(f"i{k}", " ".join(f"w{k}x{j}" for j in range(20))) for k in range(8000)]
+    items = spark.createDataFrame(rows, "item_id STRING, text STRING").coalesce(1)
+    start = time.monotonic()
+    # Twenty words have eight windows; shingles made anew for every item took minutes here.
+    assert dc.item_windows(items).count() == 8 * len(rows)
+    assert time.monotonic() - start < 40
