@@ -24,20 +24,24 @@ class Logistic:
         return sigmoid((x - self.mean) / self.scale @ self.weights + self.bias)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50, tolerance: float = 1e-8) -> Logistic:
-    """Newton steps on the penalised likelihood until the weights settle."""
+def fit_logistic(
+    x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50, tolerance: float = 1e-8, copies: np.ndarray | None = None
+) -> Logistic:
+    """Newton steps on the penalised likelihood until the weights settle; a row stands for ``copies`` equal ones."""
     width = x.shape[1]
+    copies = np.ones(len(x)) if copies is None else copies
     if len(x) == 0 or y.min() == y.max():
-        share = (y.sum() + 0.5) / (len(y) + 1)
+        share = (copies @ y + 0.5) / (copies.sum() + 1)
         return Logistic(np.zeros(width), np.ones(width), np.zeros(width), float(np.log(share / (1 - share))))
-    mean, scale = x.mean(axis=0), x.std(axis=0)
+    mean = np.average(x, axis=0, weights=copies)
+    scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=copies))
     scale[scale == 0] = 1.0
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
     penalty = np.diag([ridge] * width + [1e-6])
     w = np.zeros(width + 1)
     for _ in range(steps):
         p = sigmoid(z @ w)
-        move = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + penalty, z.T @ (y - p) - penalty @ w)
+        move = np.linalg.solve((z * (copies * p * (1 - p))[:, None]).T @ z + penalty, z.T @ (copies * (y - p)) - penalty @ w)
         w += move
         if np.abs(move).max() < tolerance:
             break

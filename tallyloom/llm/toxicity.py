@@ -9,12 +9,12 @@ much better toxic text explains the window.
 *Samples.* Document frequencies of windows are counted over all labelled rows. The toxic dictionary is
 trained on the windows of toxic rows that are significantly more frequent there than in
 ordinary rows (likelihood ratio), the ordinary one on the most frequent windows
-of ordinary rows. At most ``TOXIC_WINDOWS`` and ``ORDINARY_WINDOWS`` of them, the best, are
+of ordinary rows. At most ``toxic_windows`` and ``ordinary_windows`` of them, the best, are
 used, since dictionaries have a fixed size.
 
 *Threshold.* A text is described by its greatest differences and the number of windows above a
-margin. A logistic curve over them is fitted on up to ``CALIBRATION_ROWS`` labelled rows
-(least hashes of their ids), each scored by dictionaries from the other half of the rows, so
+margin. A logistic curve over them is fitted on up to ``calibration_rows`` distinct labelled rows
+(least hashes of id and text, each with its number of copies), each scored by dictionaries from the other half of the rows, so
 that no row is judged by samples taken from itself.
 
 Null and empty texts have no windows and get a low score. Rows without label, or with a
@@ -190,7 +190,9 @@ def _evidence(t: Column, n_toxic: int, o: Column, n_ordinary: int) -> Column:
     return F.when(t * n_ordinary > o * n_toxic, value).otherwise(-value)
 
 
-def _train(counted: DataFrame, n: dict[str, int], halves: tuple[str, ...]) -> WindowScorer:
+def _train(
+    counted: DataFrame, n: dict[str, int], halves: tuple[str, ...], toxic_windows: int, ordinary_windows: int
+) -> WindowScorer:
     """Dictionaries from the rows of the given halves; what comes to the driver is bounded by the two numbers of windows."""
     toxic, ordinary = (sum((F.col(k + h) for h in halves), F.lit(0)) for k in "to")
     n_toxic, n_ordinary = (sum(n[k + h] for h in halves) for k in "to")
@@ -200,10 +202,10 @@ def _train(counted: DataFrame, n: dict[str, int], halves: tuple[str, ...]) -> Wi
         .withColumn("g", _evidence(F.col("t"), n_toxic, F.col("o"), n_ordinary))
         .filter(F.col("g") >= LEAST_EVIDENCE)
         .orderBy(F.desc("g"), "word")
-        .limit(TOXIC_WINDOWS)
+        .limit(toxic_windows)
         .collect()
     )
-    common = rows.filter("o > 0").orderBy(F.desc("o"), "word").limit(ORDINARY_WINDOWS).collect()
+    common = rows.filter("o > 0").orderBy(F.desc("o"), "word").limit(ordinary_windows).collect()
     total = max(1, sum(r["o"] for r in common))
     return WindowScorer(
         train_dictionary([(bytes(r["word"]), min(r["t"], 50)) for r in telling], TOXIC_BYTES),
@@ -211,15 +213,35 @@ def _train(counted: DataFrame, n: dict[str, int], halves: tuple[str, ...]) -> Wi
     )
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """Fit on all labelled rows of ``docs``; ``labels`` has ``doc_id, toxic``."""
+def calibration_sample(rows: DataFrame, most: int) -> DataFrame:
+    """``y, half, text, copies`` of at most ``most`` distinct rows: those with the least hashes of id and text."""
+    keyed = rows.withColumn("drawn", F.xxhash64("doc_id", "text", F.lit(1)))
+    # The bound on the hash is found on hashes alone, so no texts meet in one task.
+    hashes = keyed.select("drawn").distinct().orderBy("drawn").limit(most)
+    last = hashes.agg(F.max("drawn")).first()[0]
+    taken = keyed.filter(F.col("drawn") <= last) if last is not None else keyed.limit(0)
+    listed = [F.first(c).alias(c) for c in ("y", "half", "text")]
+    return taken.groupBy("drawn").agg(*listed, F.count(F.lit(1)).alias("copies")).drop("drawn")
+
+
+def fit_toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    calibration_rows: int = CALIBRATION_ROWS,
+    toxic_windows: int = TOXIC_WINDOWS,
+    ordinary_windows: int = ORDINARY_WINDOWS,
+) -> ToxicityModel:
+    """Fit on all labelled rows of ``docs``; ``labels`` has ``doc_id, toxic``.
+
+    The three numbers bound what comes to the driver, however often a row or an id is repeated.
+    """
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")
     rows = labelled_rows(docs, labels, "toxic").withColumn("half", half)
     n = {k + h: 0 for k in "to" for h in "01"}
     for r in rows.groupBy("y", "half").count().collect():
         n[("t" if r["y"] else "o") + str(r["half"])] = r["count"]
     counted = stored(_frequencies(rows))
-    scorers = [_train(counted, n, h) for h in (("1",), ("0",), ("0", "1"))]
+    scorers = [_train(counted, n, h, toxic_windows, ordinary_windows) for h in (("1",), ("0",), ("0", "1"))]
     shared = docs.sparkSession.sparkContext.broadcast(scorers[:2])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,16 +251,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
             for h in (0, 1):
                 own = np.flatnonzero(halves == h)
                 x[own] = shared.value[h].features(batch.column(2).take(pa.array(own)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["y", "x"])
+            listed = pa.array(x.tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), listed, batch.column(3)], names=["y", "x", "copies"])
 
-    # The bound on the hash is found on hashes alone, so no texts meet in one task.
-    drawn = F.xxhash64("doc_id", F.lit(1))
-    hashes = rows.select(drawn.alias("drawn")).orderBy("drawn").limit(CALIBRATION_ROWS)
-    last = hashes.agg(F.max("drawn")).first()[0]
-    sample = rows.filter(drawn <= F.lit(last if last is not None else 0))
-    described = sample.select("y", "half", "text").mapInArrow(describe, "y INT, x ARRAY<DOUBLE>").collect()
+    sample = calibration_sample(rows, calibration_rows).select("y", "half", "text", "copies")
+    described = sample.mapInArrow(describe, "y INT, x ARRAY<DOUBLE>, copies BIGINT").collect()
     x = np.array([r["x"] for r in described], float).reshape(-1, 5)
-    return ToxicityModel(scorers[2], fit_logistic(x, np.array([float(r["y"] > 0) for r in described])))
+    y = np.array([float(r["y"] > 0) for r in described])
+    return ToxicityModel(scorers[2], fit_logistic(x, y, copies=np.array([float(r["copies"]) for r in described])))
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:

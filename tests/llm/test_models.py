@@ -135,3 +135,49 @@ def test_registered_queries(spark, tables):
             | (F.col("predicted") != (F.col("score") >= threshold).cast("int"))
         )
         assert found.count() == spark.read.parquet(f"{tables}/documents.parquet").count() and wrong.count() == 0
+
+
+def test_calibration_is_bounded_by_distinct_rows(spark):
+    # One id holds most rows; a bound by a hash of the id alone would take all of them.
+    many = [(7, 1, f"text {i}", 0) for i in range(3000)] + [(7, 1, "same", 0)] * 500 + [(8, 0, "same", 1)]
+    rows = spark.createDataFrame(many, "doc_id BIGINT, y INT, text STRING, half INT").repartition(5)
+    found = toxicity.calibration_sample(rows, 40).collect()
+    assert len(found) == 40 and len({(r["y"], r["text"]) for r in found}) == 40
+    whole = toxicity.calibration_sample(rows, 10_000).collect()
+    assert len(whole) == 3002 and sum(r["copies"] for r in whole) == len(many)
+    assert {r["copies"] for r in whole if r["y"] and r["text"] == "same"} == {500}
+    assert toxicity.calibration_sample(rows.limit(0), 40).collect() == []
+
+
+def test_copies_in_a_logistic_curve_equal_repeated_rows():
+    draw = np.random.default_rng(3)
+    x, copies = draw.normal(size=(60, 2)), draw.integers(1, 6, 60)
+    y = (x[:, 0] + draw.normal(size=60) > 0).astype(float)
+    weighted = linear.fit_logistic(x, y, copies=copies.astype(float))
+    repeated = linear.fit_logistic(np.repeat(x, copies, axis=0), np.repeat(y, copies))
+    np.testing.assert_allclose(weighted.predict(x), repeated.predict(x), rtol=1e-9)
+
+
+def test_features_against_plain_compression():
+    import zstandard
+
+    draw = random.Random(8)
+    words = ["zorkface", "grubmuck", "the", "other", "ring", "lyre", "ende", "wander"]
+    toxic = toxicity.train_dictionary([(w.encode(), 3) for w in words[:2]], 4096)
+    ordinary = toxicity.train_dictionary([(w.encode(), 3) for w in words[2:]], 4096)
+    scorer = toxicity.WindowScorer(toxic, ordinary)
+
+    def length(word, dictionary):
+        data = zstandard.ZstdCompressionDict(dictionary)
+        plain = zstandard.ZstdCompressor(dict_data=data, write_content_size=False, write_dict_id=False)
+        # Four bytes of magic number are what the compact frame leaves out.
+        return len(plain.compress(toxicity.window_code(word.encode()))) - 4
+
+    texts = [" ".join(draw.choice(words) for _ in range(draw.randint(0, 9))) for _ in range(40)] + ["", "unknownword"]
+    for text, row in zip(texts, scorer.features(pa.array(texts))):
+        found = text.split()
+        each = {w: length(w, ordinary) - length(w, toxic) for w in found}
+        top = sorted((v for v in each.values() if v > 0), reverse=True)[:3]
+        above = sum(each[w] >= toxicity.MARGIN for w in set(found))
+        expected = [*top, *[0] * (3 - len(top)), np.log1p(above), np.log1p(len(found))]
+        np.testing.assert_allclose(row, expected)
