@@ -13,7 +13,7 @@ of ordinary rows. At most ``toxic_windows`` and ``ordinary_windows`` of them, th
 used, since dictionaries have a fixed size.
 
 *Threshold.* A text is described by its greatest differences and the number of windows above a
-margin. A logistic curve over them is fitted on up to ``calibration_rows`` distinct labelled rows
+margin. A logistic curve over them, and a rising curve from its values to shares of toxic rows, are fitted on up to ``calibration_rows`` distinct labelled rows
 (least hashes of id and text, each with its number of copies), each scored by dictionaries from the other half of the rows, so
 that no row is judged by samples taken from itself.
 
@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.linear import Logistic, fit_logistic
+from tallyloom.llm.linear import Logistic, RisingCurve, fit_logistic, fit_rising_curve
 from tallyloom.llm.words import mix, split_words, text_chunks
 from tallyloom.operators.lineage import stored
 
@@ -132,9 +132,10 @@ class WindowScorer:
 class ToxicityModel:
     scorer: WindowScorer
     curve: Logistic
+    shares: RisingCurve
 
     def score(self, column: pa.Array) -> np.ndarray:
-        return self.curve.predict(self.scorer.features(column))
+        return self.shares.predict(self.curve.predict(self.scorer.features(column)))
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
@@ -258,7 +259,9 @@ def fit_toxicity(
     described = sample.mapInArrow(describe, "y INT, x ARRAY<DOUBLE>, copies BIGINT").collect()
     x = np.array([r["x"] for r in described], float).reshape(-1, 5)
     y = np.array([float(r["y"] > 0) for r in described])
-    return ToxicityModel(scorers[2], fit_logistic(x, y, copies=np.array([float(r["copies"]) for r in described])))
+    copies = np.array([float(r["copies"]) for r in described])
+    curve = fit_logistic(x, y, copies=copies)
+    return ToxicityModel(scorers[2], curve, fit_rising_curve(curve.predict(x), y, copies))
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:

@@ -181,3 +181,20 @@ def test_features_against_plain_compression():
         above = sum(each[w] >= toxicity.MARGIN for w in set(found))
         expected = [*top, *[0] * (3 - len(top)), np.log1p(above), np.log1p(len(found))]
         np.testing.assert_allclose(row, expected)
+
+
+def test_rising_curve():
+    draw = np.random.default_rng(6)
+    p = draw.random(3000)
+    y = (draw.random(3000) < p**3).astype(float)
+    curve = linear.fit_rising_curve(p, y)
+    at = np.linspace(0.05, 0.95, 19)
+    assert np.abs(curve.predict(at) - at**3).max() < 0.1
+    assert (np.diff(curve.predict(np.linspace(0, 1, 500))) > 0).all() and (np.diff(curve.shares) > 0).all()
+    copies = draw.integers(1, 4, 3000)
+    repeated = linear.fit_rising_curve(np.repeat(p, copies), np.repeat(y, copies))
+    np.testing.assert_allclose(linear.fit_rising_curve(p, y, copies.astype(float)).predict(at), repeated.predict(at))
+    for some in (np.zeros(3), np.ones(3), np.zeros(0)):
+        np.testing.assert_array_equal(linear.fit_rising_curve(some, some).predict(at), at)
+    # Falling shares are one pool.
+    assert len(linear.fit_rising_curve(np.array([0.1, 0.9]), np.array([1.0, 0.0])).places) == 1
