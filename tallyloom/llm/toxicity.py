@@ -1,7 +1,7 @@
 """Toxicity by compression distance with two zstandard dictionaries.
 
-A text is cut into windows, its words. A window is written in a wide code (four bytes for each
-pair of neighbouring letters, so that what is not in a dictionary costs far more
+A text is cut into windows, its words. A window is written in a wide code (eight bytes for each
+three neighbouring letters, so that what is not in a dictionary costs far more
 than a match) and compressed twice: with a dictionary trained on toxic text and
 with one trained on ordinary text. The difference of the two lengths says how
 much better toxic text explains the window.
@@ -39,7 +39,7 @@ from tallyloom.llm.words import mix, split_words, text_chunks
 from tallyloom.operators.lineage import stored
 
 TOXIC_WINDOWS, ORDINARY_WINDOWS = 20_000, 60_000
-TOXIC_BYTES, ORDINARY_BYTES = 32 * 1024, 200_000
+TOXIC_BYTES, ORDINARY_BYTES = 64 * 1024, 400_000
 LEAST_EVIDENCE = 12.0
 CALIBRATION_ROWS = 20_000
 # Labels up to this number go to every task; more are joined by key.
@@ -48,14 +48,14 @@ MARGIN = 8
 # Windows whose difference a worker remembers.
 REMEMBERED = 200_000
 
-_CODE = (mix(np.arange(1, 65537, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
-_CODE = _CODE.reshape(256, 256)
+_U = np.uint64
 
 
 def window_code(word: bytes) -> bytes:
     """The wide code of a window, with a blank on both sides."""
-    letters = np.frombuffer(b" " + word + b" ", np.uint8)
-    return _CODE[letters[:-1], letters[1:]].tobytes()
+    letters = np.frombuffer(b" " + word + b" ", np.uint8).astype(_U)
+    triples = letters[:-2] | letters[1:-1] << _U(8) | letters[2:] << _U(16)
+    return mix((triples + _U(1)) * _U(0x9E3779B97F4A7C15)).tobytes()
 
 
 def train_dictionary(windows: list[tuple[bytes, int]], size: int) -> bytes:
@@ -66,7 +66,7 @@ def train_dictionary(windows: list[tuple[bytes, int]], size: int) -> bytes:
     if samples:
         samples *= max(1, 3000 // len(samples))
     try:
-        return zstandard.train_dictionary(size, samples, k=32, d=8).as_bytes()
+        return zstandard.train_dictionary(size, samples, k=64, d=8).as_bytes()
     except (zstandard.ZstdError, ValueError):
         return b"".join(dict.fromkeys(samples))[-size:] or b"\0" * 8
 
