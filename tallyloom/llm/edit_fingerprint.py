@@ -13,7 +13,10 @@ likeness of two fingerprints is the share of equal bits, weighted by the steps t
 stands for and scaled so that unrelated texts are near 0 and equal ones at 1.
 
 Bands of sampled bits bring similar texts together; the likeness of the whole
-fingerprints decides.
+fingerprints decides. Every two texts that share a band end up compared or in one class: the
+members of a bucket are held against its centre first, and buckets that still hold several classes are
+compared in blocks of bounded size. A fingerprint of fewer than ``LEAST_STEPS`` samples (some seven characters) says
+too little and is like its equals only.
 
 A null text is empty. Empty texts are like each other (1) and unlike all others (0).
 Rows with one ``doc_id`` go by their text; null ids come first. Extra columns are ignored.
@@ -31,13 +34,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.components import components
 from tallyloom.llm.words import mix
-from tallyloom.operators.lineage import settled, stored
+from tallyloom.operators.lineage import stored
 
 SAMPLES = 128
 # Characters of texts that walk together; a longer text walks alone.
 TOGETHER = 20_000_000
-BANDS, BITS = 32, 24
+BANDS, BITS = 32, 20
+# Levels of a text, the last that it fills, whose samples make its bands.
+LEVELS = 3
+LEAST_STEPS = 15
+# Members of a bucket that are compared as a block, and bytes of a task's blocks.
+BLOCK, UNIT_BYTES = 512, 32 << 20
 
 _U = np.uint64
 _PERIOD = 4096
@@ -266,49 +275,161 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
 
 
 def band_numbers(bits: np.ndarray, bands: int = BANDS, width: int = BITS) -> list[int]:
-    """One number per band of ``width`` bits, drawn from the samples of the levels that the text fills.
+    """One number per band of up to ``width`` bits, drawn from the samples of the last levels that the text fills.
 
-    A band belongs to one level, so that texts of somewhat different length share the bands of all but their last level.
+    A band belongs to one level, so that texts of somewhat different length share the bands of all but their last level. Small
+    levels have narrower bands. Earlier levels are left out, since a common opening says little about two texts.
     """
-    out, first, level = [], 0, 0
-    while first + len(_level(level)) <= len(bits):
+    firsts = [0]
+    while firsts[-1] + len(_level(len(firsts) - 1)) <= len(bits):
+        firsts.append(firsts[-1] + len(_level(len(firsts) - 1)))
+    out: list[int] = []
+    if len(bits) < LEAST_STEPS:
+        return out
+    for level in range(max(3, len(firsts) - 1 - LEVELS), len(firsts) - 1):
         size = len(_level(level))
-        if size >= width:
-            picks = np.argsort(_random((bands, size), 3000 + level), axis=1)[:, :width]
-            values = (bits[first + picks].astype(np.uint64) << np.arange(width, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-            keys = mix(values + _U(level << 48) + (np.arange(bands, dtype=np.uint64) << _U(40)))
-            out += keys.view(np.int64).tolist()
-        first += size
-        level += 1
-    return out
+        used = min(width, size * 5 // 8)
+        picks = np.argsort(_random((bands, size), 3000 + level), axis=1)[:, :used]
+        values = (bits[firsts[level] + picks].astype(np.uint64) << np.arange(used, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+        keys = mix(values + _U(level << 48) + (np.arange(bands, dtype=np.uint64) << _U(40)))
+        out += keys.view(np.int64).tolist()
+    # A text that fills no level from the fourth on has its first samples as its only band.
+    return out or mix((bits[:LEAST_STEPS].astype(np.uint64) << np.arange(LEAST_STEPS, dtype=np.uint64)).sum(keepdims=True)).view(np.int64).tolist()
+
+
+def likeness_table(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """``likeness`` of every left with every right fingerprint, none of them empty."""
+    longest = max(map(len, left + right))
+    weights = _weights(longest)
+    sides = []
+    for side in (left, right):
+        table = np.zeros((len(side), longest))
+        for row, bits in zip(table, side):
+            row[: len(bits)] = np.where(bits > 0, 1.0, -1.0)
+        sides.append(table)
+    most = np.maximum.outer([len(x) for x in left], [len(x) for x in right])
+    totals = np.concatenate([[0.0], np.cumsum(weights)])
+    return np.clip((sides[0] * weights) @ sides[1].T / totals[most], 0.0, 1.0)
+
+
+def _alone(marked: DataFrame) -> DataFrame:
+    """Distinct fingerprints ``node, fingerprint, first_doc, docs``, each named by its digest."""
+    node = F.unhex(F.md5("fingerprint")).alias("node")
+    ids = marked.select(F.col("doc_id").cast("long").alias("doc_id"), "fingerprint")
+    summed = ids.groupBy("fingerprint").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("docs"))
+    return stored(summed.select(node, "fingerprint", "first_doc", "docs"))
+
+
+def _checked(pairs: DataFrame, alone: DataFrame, threshold: float) -> DataFrame:
+    """Those of the pairs ``a, b`` of nodes that are alike, with their likeness."""
 
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = ([parse_fingerprint(m) for m in batch.column(k).to_pylist()] for k in (2, 3))
+            values = np.array([likeness(x, y) for x, y in zip(left, right)], float)
+            found = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values)], names=["a", "b", "likeness"])
+            yield found.filter(pa.array(values >= threshold))
+
+    left = alone.select(F.col("node").alias("a"), F.col("fingerprint").alias("x"))
+    right = alone.select(F.col("node").alias("b"), F.col("fingerprint").alias("y"))
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
+    return joined.mapInArrow(check, "a BINARY, b BINARY, likeness DOUBLE")
 
-def similar_texts(marked: DataFrame, threshold: float = 0.7, bands: int = BANDS) -> DataFrame:
-    """Pairs ``a, b, likeness`` of ids with similar fingerprints, for a frame ``doc_id, fingerprint``.
 
-    Equal fingerprints stand as one, named by their least id. Texts that share a band are compared with the
-    least id of that band (never all with all), by the likeness of their whole fingerprints.
+def _across(several: DataFrame, alone: DataFrame, threshold: float) -> DataFrame:
+    """Links between members of different classes of one bucket: ``band, node, root, blocks`` of all members.
+
+    A member goes to as many pairs of blocks as its bucket has blocks; only fingerprints are sent, which
+    grow with the logarithm of the text.
     """
+    dealt = (
+        several.withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("blocks")))
+        .withColumn("partner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("band", "node", "root", "block", F.least("block", "partner").alias("x"), F.greatest("block", "partner").alias("y"))
+        .join(alone.select("node", "fingerprint"), "node")
+    )
+    total = dealt.agg(F.coalesce(F.sum(F.octet_length("fingerprint") + 64), F.lit(0))).first()[0]
+    unit = F.pmod(F.xxhash64("band", "x", "y"), F.lit(max(1, -(-total // UNIT_BYTES))))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("band", "ascending"), ("x", "ascending"), ("y", "ascending"), ("node", "ascending")])
+        band, x, y, block = (table[c].to_numpy() for c in ("band", "x", "y", "block"))
+        nodes, roots, marks = (table[c].to_pylist() for c in ("node", "root", "fingerprint"))
+        known: dict[bytes, np.ndarray] = {}
+        found: dict[tuple[bytes, bytes], float] = {}
+        cuts = np.flatnonzero((band[1:] != band[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1
+        for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), len(band)]):
+            here = np.arange(first, last)
+            sides = [here[block[here] == n].tolist() for n in (x[first], y[first])]
+            if not all(sides):
+                continue
+            sets = [[known.setdefault(nodes[k], parse_fingerprint(marks[k])) for k in side] for side in sides]
+            classes = [np.array([roots[k] for k in side], object) for side in sides]
+            values = likeness_table(*sets)
+            for i, j in np.argwhere((values >= threshold) & (classes[0][:, None] != classes[1][None, :])).tolist():
+                a, b = nodes[sides[0][i]], nodes[sides[1][j]]
+                found[min(a, b), max(a, b)] = float(values[i, j])
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "likeness": pa.array(found.values(), pa.float64())})
+
+    compared = dealt.withColumn("unit", unit).groupBy("unit").applyInArrow(compare, "a BINARY, b BINARY, likeness DOUBLE")
+    return compared.groupBy("a", "b").agg(F.max("likeness").alias("likeness"))
+
+
+def _links(alone: DataFrame, threshold: float, bands: int) -> DataFrame:
+    """Links ``a, b, likeness`` that join all fingerprints which share a band and are alike."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             listed = [band_numbers(parse_fingerprint(m), bands) for m in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(listed, pa.list_(pa.int64()))], names=["doc_id", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(listed, pa.list_(pa.int64()))], names=["node", "bands"])
+
+    placed = stored(alone.select("node", "fingerprint").mapInArrow(place, "node BINARY, bands ARRAY<BIGINT>"))
+    placed = placed.select("node", F.explode("bands").alias("band"))
+    buckets = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = stored(placed.join(buckets, "band"))
+    met = members.groupBy("node").agg(F.sum("n").alias("met"))
+    centres = (
+        members.select("band", "node").join(met, "node").groupBy("band").agg(F.max(F.struct("met", "node"))["node"].alias("centre"))
+    )
+    stars = members.join(centres, "band").filter("node <> centre")
+    stars = stars.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
+    links = stored(_checked(stars, alone, threshold))
+    classes = components(links)
+    labelled = members.join(classes, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    mixed = (
+        labelled.groupBy("band")
+        .agg(F.min("root").alias("one"), F.max("root").alias("other"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+        .filter("one <> other")
+        .select("band", "blocks")
+    )
+    more = _across(stored(labelled.join(mixed, "band")), alone, threshold)
+    return links.unionByName(more.join(links, ["a", "b"], "left_anti"))
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = ([parse_fingerprint(m) for m in batch.column(k).to_pylist()] for k in (2, 3))
-            values = np.array([likeness(x, y) for x, y in zip(a, b)])
-            keep = pa.array(values >= threshold)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(values).filter(keep)], names=["a", "b", "likeness"]
-            )
-
-    alone = settled(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "fingerprint"))
-    placed = alone.mapInArrow(place, "doc_id BIGINT, bands ARRAY<BIGINT>").select("doc_id", F.explode("bands").alias("band"))
-    least = placed.groupBy("band").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = placed.join(least, "band").filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
-    left = alone.select(F.col("doc_id").alias("a"), F.col("fingerprint").alias("x"))
-    right = alone.select(F.col("doc_id").alias("b"), F.col("fingerprint").alias("y"))
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return joined.mapInArrow(check, "a BIGINT, b BIGINT, likeness DOUBLE")
+
+def similar_texts(marked: DataFrame, threshold: float = 0.7, bands: int = BANDS) -> DataFrame:
+    """Links ``a, b, likeness`` between similar fingerprints, for a frame ``doc_id, fingerprint``.
+
+    Equal fingerprints stand as one, named by their least id. The links join every two fingerprints that are
+    alike and share a band, directly or through others; not every pair within a class is listed. See ``similar_classes`` for members.
+    """
+    alone = _alone(marked)
+    named = alone.select("node", "first_doc")
+    links = _links(alone, threshold, bands)
+    links = links.join(named.toDF("a", "id_a"), "a").join(named.toDF("b", "id_b"), "b")
+    return links.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), "likeness")
+
+
+def similar_classes(marked: DataFrame, threshold: float = 0.7, bands: int = BANDS) -> DataFrame:
+    """One row per row of ``marked`` (``doc_id, fingerprint``): ``doc_id, root, class_id, class_size``.
+
+    ``root`` names the class, the least digest of its fingerprints; ``class_id`` is its least ``doc_id`` (null for null ids only),
+    ``class_size`` its number of documents. Copies are never expanded into pairs.
+    """
+    alone = _alone(marked)
+    classes = components(_links(alone, threshold, bands))
+    rooted = alone.select("node", "first_doc", "docs").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    summed = rooted.groupBy("root").agg(F.min("first_doc").alias("class_id"), F.sum("docs").alias("class_size"))
+    named = rooted.select("node", "root").join(summed, "root")
+    rows = marked.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5("fingerprint")).alias("node"))
+    return rows.join(named, "node").select("doc_id", "root", "class_id", "class_size")

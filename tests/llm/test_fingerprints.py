@@ -90,3 +90,70 @@ def test_bands_find_edited_texts(spark):
     pairs = ef.similar_texts(spark.createDataFrame(list(enumerate(marks)), "doc_id BIGINT, fingerprint STRING")).collect()
     found = {(r["a"], r["b"]) for r in pairs}
     assert len(found & {(i, i + 20) for i in range(20)}) >= 19 and len(found) <= 22
+
+
+def families(draw):
+    """Texts with shared openings and edits, many of them short."""
+    letters = "abcdefgh "
+    openings = ["".join(draw.choice(letters) for _ in range(60)) for _ in range(3)]
+    texts = ["", "a", "ab"]
+    for k in range(60):
+        size = draw.choice([10, 25, 60, 200, 700])
+        base = (draw.choice(openings) if k % 3 else "") + "".join(draw.choice(letters) for _ in range(size))
+        texts.append(base)
+        for _ in range(draw.randint(0, 3)):
+            at = draw.randrange(len(base) * 3 // 4, len(base))
+            texts.append(base[:at] + draw.choice(letters) + base[at + draw.randint(0, 2) :])
+    return texts
+
+
+def roots(n, links):
+    root = list(range(n))
+
+    def top(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in links:
+        root[max(top(a), top(b))] = min(top(a), top(b))
+    return [top(k) for k in range(n)]
+
+
+def test_classes_against_all_pairs(spark, monkeypatch):
+    texts = families(random.Random(12))
+    texts += texts[5:25] * 2
+    marks = ef.fingerprints(texts)
+    ids = [k if k % 9 else None for k in range(len(texts))]
+    written = [(i, ef.fingerprint_text(len(m), m), "x") for i, m in zip(ids, marks)]
+    alike = {
+        (a, b) for a in range(len(marks)) for b in range(a + 1, len(marks)) if ef.likeness(marks[a], marks[b]) >= 0.7
+    }
+    frame = spark.createDataFrame(written, "doc_id BIGINT, fingerprint STRING, node STRING")
+    expected = roots(len(marks), alike)
+    size = {r: expected.count(r) for r in expected}
+    plain = None
+    for block in (ef.BLOCK, 4):
+        monkeypatch.setattr(ef, "BLOCK", block)
+        found = {(r["doc_id"], r["class_id"], r["class_size"]) for r in ef.similar_classes(frame).collect()}
+        plain = plain or found
+        assert found == plain
+    by_id = {i: (c, n) for i, c, n in found if i is not None}
+    links = [(a, b) for a, b in alike if ids[a] is not None and ids[b] is not None]
+    kept = sum(by_id[a] == by_id[b] for a, b in links)
+    assert kept >= 0.9 * len(links), (kept, len(links))
+    # No class joins what the pairs do not join.
+    for a, b in zip(range(len(ids)), range(1, len(ids))):
+        if ids[a] is not None and ids[b] is not None and by_id[a][0] is not None and by_id[a][0] == by_id[b][0]:
+            assert expected[a] == expected[b]
+    assert all(n <= size[expected[i]] for i, (_, n) in by_id.items())
+    assert ef.similar_classes(frame.limit(0)).count() == 0
+
+
+def test_likeness_table():
+    draw = random.Random(2)
+    marks = [m for m in ef.fingerprints(["".join(draw.choice("abc") for _ in range(draw.randint(1, 300))) for _ in range(12)])]
+    table = ef.likeness_table(marks[:5], marks[5:])
+    for i in range(5):
+        for j in range(7):
+            assert abs(table[i, j] - ef.likeness(marks[i], marks[5 + j])) < 1e-12
