@@ -312,6 +312,18 @@ def likeness_table(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
     return np.clip((sides[0] * weights) @ sides[1].T / totals[most], 0.0, 1.0)
 
 
+def mark_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, fingerprint`` of every row of ``docs``; a null text is empty."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [fingerprint_text(len(m), m) for m in fingerprints(batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.string())], names=["doc_id", "fingerprint"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInArrow(mark, "doc_id BIGINT, fingerprint STRING")
+
+
 def _alone(marked: DataFrame) -> DataFrame:
     """Distinct fingerprints ``node, fingerprint, first_doc, docs``, each named by its digest."""
     node = F.unhex(F.md5("fingerprint")).alias("node")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import collocations, decontamination, edit_fingerprint, hidden_markov, near_duplicates, packing, page_text, quality, repeated_text, secret_scan, sharding, spelling_variants, toxicity
 from tallyloom.llm.oracles import ORACLES
+from tallyloom.operators.lineage import stored
 from tallyloom.sources import read_table
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -113,6 +114,12 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprint.compare_with_next(_table(spark, sf_dir, "documents"))
 
 
+def fingerprint_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second half of operator 10, banding and verification, apart from the contract of its query."""
+    marked = stored(edit_fingerprint.mark_texts(_table(spark, sf_dir, "documents")))
+    return edit_fingerprint.similar_classes(marked).select("doc_id", "class_id", "class_size")
+
+
 def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hidden_markov.score_corpus(_table(spark, sf_dir, "documents"), _fold(7) == 2)
 
@@ -139,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_page_text,
         op9_secrets,
         op10_fingerprints,
+        fingerprint_classes,
         op11_language_model,
         op12_spelling_variants,
         op13_collocations,

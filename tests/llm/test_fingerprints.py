@@ -157,3 +157,19 @@ def test_likeness_table():
     for i in range(5):
         for j in range(7):
             assert abs(table[i, j] - ef.likeness(marks[i], marks[5 + j])) < 1e-12
+
+
+def test_registered_classes_against_all_pairs(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text").collect()
+    rows = QUERIES["fingerprint_classes"](spark, tables).collect()
+    assert len(rows) == len(docs)
+    classes = {r["doc_id"]: r["class_id"] for r in rows}
+    marks = [(r["doc_id"], m) for r, m in zip(docs, ef.fingerprints([r["text"] or "" for r in docs])) if len(m)]
+    table = ef.likeness_table([m for _, m in marks], [m for _, m in marks])
+    pairs = [(a, b) for a, b in np.argwhere(table >= 0.7).tolist() if a < b]
+    expected = roots(len(marks), pairs)
+    assert sum(classes[marks[a][0]] == classes[marks[b][0]] for a, b in pairs) >= 0.9 * len(pairs)
+    # A class holds only what links join.
+    first = {}
+    for (doc_id, _), root in zip(marks, expected):
+        assert first.setdefault(classes[doc_id], root) == root
