@@ -14,8 +14,8 @@ stands for and scaled so that unrelated texts are near 0 and equal ones at 1.
 
 Bands of sampled bits bring similar texts together; the likeness of the whole
 fingerprints decides. Every two texts that share a band end up compared or in one class: the
-members of a bucket are held against its centre first, and buckets that still hold several classes are
-compared in blocks of bounded size. A fingerprint of fewer than ``LEAST_STEPS`` samples (some seven characters) says
+members of a large bucket are held against its centre first, and buckets that still hold several classes are
+compared in blocks of bounded size, but for blocks of one class. Pairs are compared many at a time, on packed bits. A fingerprint of fewer than ``LEAST_STEPS`` samples (some seven characters) says
 too little and is like its equals only.
 
 A null text is empty. Empty texts are like each other (1) and unlike all others (0).
@@ -31,7 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
@@ -46,7 +46,9 @@ BANDS, BITS = 32, 20
 LEVELS = 3
 LEAST_STEPS = 15
 # Members of a bucket that are compared as a block, and bytes of a task's blocks.
-BLOCK, UNIT_BYTES = 512, 32 << 20
+BLOCK, UNIT_BYTES = 1024, 8 << 20
+# Members of a bucket beyond which it is held against its centre first, and pairs that are compared at once.
+STAR, TOGETHER_PAIRS = 64, 1 << 17
 
 _U = np.uint64
 _PERIOD = 4096
@@ -274,6 +276,12 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     return state.filter("kind = 0").select(*_RESULT_SCHEMA.names).unionByName(ends)
 
 
+@lru_cache(maxsize=256)
+def _picks(level: int, bands: int, used: int) -> np.ndarray:
+    """Samples of a level that each band takes."""
+    return np.argsort(_random((bands, len(_level(level))), 3000 + level), axis=1)[:, :used]
+
+
 def band_numbers(bits: np.ndarray, bands: int = BANDS, width: int = BITS) -> list[int]:
     """One number per band of up to ``width`` bits, drawn from the samples of the last levels that the text fills.
 
@@ -289,7 +297,7 @@ def band_numbers(bits: np.ndarray, bands: int = BANDS, width: int = BITS) -> lis
     for level in range(max(3, len(firsts) - 1 - LEVELS), len(firsts) - 1):
         size = len(_level(level))
         used = min(width, size * 5 // 8)
-        picks = np.argsort(_random((bands, size), 3000 + level), axis=1)[:, :used]
+        picks = _picks(level, bands, used)
         values = (bits[firsts[level] + picks].astype(np.uint64) << np.arange(used, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
         keys = mix(values + _U(level << 48) + (np.arange(bands, dtype=np.uint64) << _U(40)))
         out += keys.view(np.int64).tolist()
@@ -297,19 +305,52 @@ def band_numbers(bits: np.ndarray, bands: int = BANDS, width: int = BITS) -> lis
     return out or mix((bits[:LEAST_STEPS].astype(np.uint64) << np.arange(LEAST_STEPS, dtype=np.uint64)).sum(keepdims=True)).view(np.int64).tolist()
 
 
+def pack_samples(bits: np.ndarray) -> bytes:
+    """A fingerprint's bits behind one zero bit, so that the samples of a level fill whole words of 64 bits from the eighth on."""
+    return np.packbits(np.concatenate([np.zeros(1, np.uint8), bits])).tobytes()
+
+
+class Samples:
+    """Packed fingerprints side by side, to compare many pairs of them at once.
+
+    Weights are whole numbers, so likenesses are those of ``likeness`` to the last bit.
+    """
+
+    def __init__(self, n: np.ndarray, packed: pa.Array) -> None:
+        """Fingerprints of ``n`` samples as written by ``pack_samples``, none of them empty."""
+        sizes = (np.asarray(n, np.int64) + 8) // 8
+        most = int(n.max()) if len(n) else 1
+        words = max(4, -(-(most + 1) // 64))
+        data = np.zeros((len(n), words * 8), np.uint8)
+        offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(n) + 1]
+        at = np.arange(words * 8)
+        data[at < sizes[:, None]] = np.frombuffer(packed.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        # Bits before the end, eight at a time.
+        used = (0xFF00 >> np.clip(n[:, None] + 1 - 8 * at, 0, 8) & 0xFF).astype(np.uint8)
+        self.n, self.data, self.used = np.asarray(n, np.int64), data.view(np.uint64), used.view(np.uint64)
+        # The first four words have the levels up to the seventh, then each level has two.
+        self.weights = 2.0 ** np.maximum(0, np.arange(words) // 2 - 1)
+        self.reach = np.concatenate([[0.0], np.cumsum(_weights(most))])
+
+    def likeness(self, a: np.ndarray, b: np.ndarray, least: float = 0.0) -> np.ndarray:
+        """Likeness of the pairs of rows ``a, b``; 0 where lengths alone keep it below ``least``."""
+        out = np.zeros(len(a))
+        shorter = np.where(self.n[a] <= self.n[b], a, b)
+        ends, all_of = self.reach[self.n[shorter]], self.reach[np.maximum(self.n[a], self.n[b])]
+        possible = np.flatnonzero(ends / all_of >= least)
+        for first in range(0, len(possible), TOGETHER_PAIRS):
+            k = possible[first : first + TOGETHER_PAIRS]
+            differ = np.bitwise_count((self.data[a[k]] ^ self.data[b[k]]) & self.used[shorter[k]]) @ self.weights
+            out[k] = np.clip((ends[k] - 2 * differ) / all_of[k], 0.0, 1.0)
+        return out
+
+
 def likeness_table(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """``likeness`` of every left with every right fingerprint, none of them empty."""
-    longest = max(map(len, left + right))
-    weights = _weights(longest)
-    sides = []
-    for side in (left, right):
-        table = np.zeros((len(side), longest))
-        for row, bits in zip(table, side):
-            row[: len(bits)] = np.where(bits > 0, 1.0, -1.0)
-        sides.append(table)
-    most = np.maximum.outer([len(x) for x in left], [len(x) for x in right])
-    totals = np.concatenate([[0.0], np.cumsum(weights)])
-    return np.clip((sides[0] * weights) @ sides[1].T / totals[most], 0.0, 1.0)
+    marks = left + right
+    samples = Samples(np.array([len(m) for m in marks]), pa.array([pack_samples(m) for m in marks], pa.binary()))
+    a, b = np.divmod(np.arange(len(left) * len(right)), len(right))
+    return samples.likeness(a, len(left) + b).reshape(len(left), len(right))
 
 
 def mark_texts(docs: DataFrame) -> DataFrame:
@@ -332,60 +373,112 @@ def _alone(marked: DataFrame) -> DataFrame:
     return stored(summed.select(node, "fingerprint", "first_doc", "docs"))
 
 
-def _checked(pairs: DataFrame, alone: DataFrame, threshold: float) -> DataFrame:
+def _checked(pairs: DataFrame, placed: DataFrame, threshold: float) -> DataFrame:
     """Those of the pairs ``a, b`` of nodes that are alike, with their likeness."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = ([parse_fingerprint(m) for m in batch.column(k).to_pylist()] for k in (2, 3))
-            values = np.array([likeness(x, y) for x, y in zip(left, right)], float)
+            n = np.concatenate([batch.column(k).to_numpy() for k in (2, 4)])
+            rows = np.arange(batch.num_rows)
+            samples = Samples(n, pa.concat_arrays([batch.column(3), batch.column(5)]))
+            values = samples.likeness(rows, batch.num_rows + rows, threshold)
             found = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values)], names=["a", "b", "likeness"])
             yield found.filter(pa.array(values >= threshold))
 
-    left = alone.select(F.col("node").alias("a"), F.col("fingerprint").alias("x"))
-    right = alone.select(F.col("node").alias("b"), F.col("fingerprint").alias("y"))
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
+    left = placed.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("samples").alias("x"))
+    right = placed.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("samples").alias("y"))
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "n_a", "x", "n_b", "y")
     return joined.mapInArrow(check, "a BINARY, b BINARY, likeness DOUBLE")
 
 
-def _across(several: DataFrame, alone: DataFrame, threshold: float) -> DataFrame:
-    """Links between members of different classes of one bucket: ``band, node, root, blocks`` of all members.
+def _dealt(labelled: DataFrame) -> DataFrame:
+    """Members of buckets of several classes, once for each pair of blocks to compare: ``band, node, root, block, x, y``.
 
-    A member goes to as many pairs of blocks as its bucket has blocks; only fingerprints are sent, which
-    grow with the logarithm of the text.
+    ``labelled`` is ``band, node, root``. Blocks are cut in order of the classes, and no two blocks of one class
+    are compared, so a large class goes only to the blocks that hold others.
     """
-    dealt = (
-        several.withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("blocks")))
-        .withColumn("partner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("band", "node", "root", "block", F.least("block", "partner").alias("x"), F.greatest("block", "partner").alias("y"))
-        .join(alone.select("node", "fingerprint"), "node")
+    order = Window.partitionBy("band").orderBy("root", "node")
+    several = labelled.groupBy("band").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one <> other").select("band")
+    members = stored(
+        labelled.join(several, "band").withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int"))
     )
-    total = dealt.agg(F.coalesce(F.sum(F.octet_length("fingerprint") + 64), F.lit(0))).first()[0]
-    unit = F.pmod(F.xxhash64("band", "x", "y"), F.lit(max(1, -(-total // UNIT_BYTES))))
+    ends = members.groupBy("band", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    blocks = ends.groupBy("band").agg(F.sort_array(F.collect_list(F.struct("block", "lo", "hi"))).alias("blocks"))
+    own = F.element_at("blocks", F.col("block") + 1)
+    partners = F.filter("blocks", lambda p: (p["lo"] != p["hi"]) | (own["lo"] != own["hi"]) | (p["lo"] != own["lo"]))
+    return members.join(blocks, "band").select(
+        "band", "node", "root", "block", F.explode(F.transform(partners, lambda p: p["block"])).alias("partner")
+    ).select("band", "node", "root", "block", F.least("block", "partner").alias("x"), F.greatest("block", "partner").alias("y"))
+
+
+def _pairs_of(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows of some groups that lie one after the other."""
+    at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    n = np.repeat(first + size, size) - 1 - at
+    a = np.repeat(at, n)
+    return a, a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Numbers of links ``a, b`` that join all that these links join, without rings."""
+    top: dict[int, int] = {}
+
+    def root(k: int) -> int:
+        while (up := top.get(k, k)) != k:
+            top[k] = top.get(up, up)
+            k = up
+        return k
+
+    kept = []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = root(x), root(y)
+        if x != y:
+            top[x] = y
+            kept.append(k)
+    return kept
+
+
+def _across(labelled: DataFrame, placed: DataFrame, threshold: float) -> DataFrame:
+    """Links between members of different classes of one bucket, for ``band, node, root`` of all members.
+
+    Only samples are sent, which grow with the logarithm of the text. A task's links are without rings.
+    """
+    dealt = stored(_dealt(labelled))
+    each = placed.agg(F.coalesce(F.avg(F.octet_length("samples")), F.lit(0.0))).first()[0] + 64
+    unit = F.pmod(F.xxhash64("band", "x", "y"), F.lit(max(1, int(dealt.count() * each / UNIT_BYTES))))
 
     def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("band", "ascending"), ("x", "ascending"), ("y", "ascending"), ("node", "ascending")])
+        table = table.sort_by([("band", "ascending"), ("x", "ascending"), ("y", "ascending"), ("block", "ascending")]).combine_chunks()
         band, x, y, block = (table[c].to_numpy() for c in ("band", "x", "y", "block"))
-        nodes, roots, marks = (table[c].to_pylist() for c in ("node", "root", "fingerprint"))
-        known: dict[bytes, np.ndarray] = {}
-        found: dict[tuple[bytes, bytes], float] = {}
+        nodes = table["node"].combine_chunks().dictionary_encode()
+        node = nodes.indices.to_numpy()
+        root = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
+        _, one = np.unique(node, return_index=True)
+        samples = Samples(table["n"].to_numpy()[one], table["samples"].combine_chunks().take(pa.array(one)))
         cuts = np.flatnonzero((band[1:] != band[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1
-        for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), len(band)]):
-            here = np.arange(first, last)
-            sides = [here[block[here] == n].tolist() for n in (x[first], y[first])]
-            if not all(sides):
-                continue
-            sets = [[known.setdefault(nodes[k], parse_fingerprint(marks[k])) for k in side] for side in sides]
-            classes = [np.array([roots[k] for k in side], object) for side in sides]
-            values = likeness_table(*sets)
-            for i, j in np.argwhere((values >= threshold) & (classes[0][:, None] != classes[1][None, :])).tolist():
-                a, b = nodes[sides[0][i]], nodes[sides[1][j]]
-                found[min(a, b), max(a, b)] = float(values[i, j])
-        a, b = zip(*found) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "likeness": pa.array(found.values(), pa.float64())})
-
-    compared = dealt.withColumn("unit", unit).groupBy("unit").applyInArrow(compare, "a BINARY, b BINARY, likeness DOUBLE")
-    return compared.groupBy("a", "b").agg(F.max("likeness").alias("likeness"))
+        first = np.concatenate([[0], cuts])
+        size = np.diff(np.append(first, len(band)))
+        # Groups together, as many as make up so many pairs.
+        batch = np.cumsum(size * (size - 1) // 2) // (4 * TOGETHER_PAIRS)
+        found_a, found_b, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for some in np.split(np.arange(len(first)), np.flatnonzero(np.diff(batch)) + 1):
+            a, b = _pairs_of(first[some], size[some])
+            # Members of one block meet where the block is compared with itself.
+            wanted = (root[a] != root[b]) & ((block[a] != block[b]) | (x[a] == y[a]))
+            a, b = node[a[wanted]].astype(np.int64), node[b[wanted]].astype(np.int64)
+            values = samples.likeness(a, b, threshold)
+            alike = np.flatnonzero(values >= threshold)
+            kept = alike[_forest(a[alike], b[alike])]
+            for held, v in ((found_a, a), (found_b, b), (found, values)):
+                held.append(v[kept])
+        a, b, values = map(np.concatenate, (found_a, found_b, found))
+        kept = _forest(a, b)
+        a, b = (nodes.dictionary.take(pa.array(v[kept])) for v in (a, b))
+        return pa.table({"a": a, "b": b, "likeness": pa.array(values[kept])})
+
+    sent = dealt.join(placed.select("node", "n", "samples"), "node").withColumn("unit", unit)
+    compared = sent.groupBy("unit").applyInArrow(compare, "a BINARY, b BINARY, likeness DOUBLE")
+    return compared.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("likeness").alias("likeness"))
 
 
 def _links(alone: DataFrame, threshold: float, bands: int) -> DataFrame:
@@ -393,29 +486,28 @@ def _links(alone: DataFrame, threshold: float, bands: int) -> DataFrame:
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            listed = [band_numbers(parse_fingerprint(m), bands) for m in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(listed, pa.list_(pa.int64()))], names=["node", "bands"])
-
-    placed = stored(alone.select("node", "fingerprint").mapInArrow(place, "node BINARY, bands ARRAY<BIGINT>"))
-    placed = placed.select("node", F.explode("bands").alias("band"))
+            marks = [parse_fingerprint(m) for m in batch.column(1).to_pylist()]
+            listed = pa.array([band_numbers(m, bands) for m in marks], pa.list_(pa.int64()))
+            n, samples = pa.array([len(m) for m in marks], pa.int64()), pa.array([pack_samples(m) for m in marks], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), n, samples, listed], names=["node", "n", "samples", "bands"])
+
+    kinds = "node BINARY, n BIGINT, samples BINARY, bands ARRAY<BIGINT>"
+    marked = stored(alone.select("node", "fingerprint").mapInArrow(place, kinds))
+    placed = marked.select("node", F.explode("bands").alias("band"))
     buckets = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = stored(placed.join(buckets, "band"))
-    met = members.groupBy("node").agg(F.sum("n").alias("met"))
+    # Without its centre a large bucket of one class would be compared pair by pair.
+    large = members.filter(F.col("n") > STAR)
+    met = large.groupBy("node").agg(F.sum("n").alias("met"))
     centres = (
-        members.select("band", "node").join(met, "node").groupBy("band").agg(F.max(F.struct("met", "node"))["node"].alias("centre"))
+        large.select("band", "node").join(met, "node").groupBy("band").agg(F.max(F.struct("met", "node"))["node"].alias("centre"))
     )
-    stars = members.join(centres, "band").filter("node <> centre")
+    stars = large.join(centres, "band").filter("node <> centre")
     stars = stars.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
-    links = stored(_checked(stars, alone, threshold))
+    links = stored(_checked(stars, marked, threshold))
     classes = components(links)
     labelled = members.join(classes, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    mixed = (
-        labelled.groupBy("band")
-        .agg(F.min("root").alias("one"), F.max("root").alias("other"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-        .filter("one <> other")
-        .select("band", "blocks")
-    )
-    more = _across(stored(labelled.join(mixed, "band")), alone, threshold)
+    more = _across(labelled, marked, threshold)
     return links.unionByName(more.join(links, ["a", "b"], "left_anti"))
 
 

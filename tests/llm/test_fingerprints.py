@@ -173,3 +173,29 @@ def test_registered_classes_against_all_pairs(spark, tables):
     first = {}
     for (doc_id, _), root in zip(marks, expected):
         assert first.setdefault(classes[doc_id], root) == root
+
+
+def test_samples_are_compared_as_likeness_says():
+    draw = random.Random(7)
+    marks = ef.fingerprints(["".join(draw.choice("ab") for _ in range(draw.choice([9, 40, 63, 64, 65, 300, 5000]))) for _ in range(24)])
+    samples = ef.Samples(np.array([len(m) for m in marks]), ef.pa.array([ef.pack_samples(m) for m in marks], ef.pa.binary()))
+    a, b = ef._pairs_of(np.array([0, 5, 6]), np.array([5, 1, 18]))
+    assert sorted(zip(a.tolist(), b.tolist())) == sorted(
+        (i, j) for lo, hi in ((0, 5), (5, 6), (6, 24)) for i in range(lo, hi) for j in range(i + 1, hi)
+    )
+    plain = [ef.likeness(marks[i], marks[j]) for i, j in zip(a, b)]
+    assert samples.likeness(a, b).tolist() == plain
+    assert (samples.likeness(a, b, 0.7) >= 0.7).tolist() == [v >= 0.7 for v in plain]
+
+
+def test_blocks_of_one_class_are_not_compared(spark, monkeypatch):
+    monkeypatch.setattr(ef, "BLOCK", 4)
+    nodes = [b"%03d" % k for k in range(40)]
+    rows = [(1, n, nodes[0]) for n in nodes] + [(1, b"900", b"900")] + [(2, n, nodes[0]) for n in nodes]
+    rows += [(3, b"%03d" % k, b"%03d" % k) for k in range(9)]
+    dealt = ef._dealt(spark.createDataFrame(rows, "band BIGINT, node BINARY, root BINARY")).collect()
+    sent = {band: [(r["x"], r["y"], r["node"]) for r in dealt if r["band"] == band] for band in (1, 2, 3)}
+    # The stranger's block meets the ten others, which do not meet each other; a bucket of one class stays away.
+    assert {(x, y) for x, y, _ in sent[1]} == {(k, 10) for k in range(10)} and len(sent[1]) == 40 + 10
+    assert not sent[2]
+    assert {(x, y) for x, y, _ in sent[3]} == {(x, y) for y in range(3) for x in range(y + 1)}
