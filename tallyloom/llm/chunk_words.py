@@ -45,14 +45,19 @@ def coded(data: np.ndarray, offsets: np.ndarray, table: bytes) -> tuple[pa.Array
         # Some texts at a time, since a word is far larger as an object than as bytes.
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1)
         spaced = b"\n".join(plain[a:b] for a, b in zip(offsets[first:last], offsets[first + 1 : last + 1])) + b"\n"
-        parts.append(pa.array([t for t in spaced.replace(b"\n", b" \n ").split(b" ") if t], pa.large_binary()))
+        # Only codes and distinct words of a slice are held on to.
+        parts.append(pa.array([t for t in spaced.replace(b"\n", b" \n ").split(b" ") if t], pa.large_binary()).dictionary_encode())
         first = last
-    tokens = pa.chunked_array(parts).combine_chunks().dictionary_encode()
+    parts = pa.chunked_array(parts).unify_dictionaries().chunks
+    dictionary = parts[0].dictionary
+    at = dictionary.index(pa.scalar(_BREAK_BYTE, pa.large_binary())).as_py()
+    codes = np.concatenate([part.indices.to_numpy() for part in parts])
     del parts
-    codes = tokens.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    at = tokens.dictionary.index(pa.scalar(_BREAK_BYTE, pa.large_binary())).as_py()
-    codes = np.where(codes == at, BREAK, codes + (codes < at))
-    words = pa.concat_arrays([tokens.dictionary[:at], tokens.dictionary[at + 1 :]])
+    breaks = codes == at
+    # The break is 0, so words that were met before it move up by one.
+    codes = codes + (codes < at)
+    codes[breaks] = BREAK
+    words = pa.concat_arrays([dictionary[:at], dictionary[at + 1 :]])
     return words.cast(pa.large_string()).cast(pa.string()), codes
 
 
@@ -60,11 +65,12 @@ def packed(*columns: np.ndarray) -> bytes:
     """Arrays of small numbers, each as differences in as few bytes as hold them, compressed together."""
     out = []
     for values in columns:
-        steps = np.diff(np.asarray(values, np.int64), prepend=0)
         plain = np.asarray(values, np.int64)
+        steps = np.diff(plain, prepend=0)
         # Rising numbers are small as differences, others as they are.
-        stepped = len(steps) > 0 and np.abs(steps).max() < np.abs(plain).max()
+        stepped = len(steps) > 0 and max(steps.max(), -steps.min()) < max(plain.max(), -plain.min())
         body = steps if stepped else plain
+        del steps
         least, most = (int(body.min()), int(body.max())) if len(body) else (0, 0)
         kind = next(k for k in ("<i1", "<i2", "<i4", "<i8") if np.iinfo(k).min <= least and most <= np.iinfo(k).max)
         out.append(bytes([int(stepped), np.dtype(kind).itemsize]) + len(body).to_bytes(8, "little") + body.astype(kind).tobytes())

@@ -112,8 +112,10 @@ def _chunks(docs: DataFrame, held_out: Column) -> DataFrame:
                 words, codes = coded(data, offsets, table)
                 here = about.slice(first, len(offsets) - 1)
                 trains = ~here.field("held_out").to_numpy(zero_copy_only=False)
-                text = np.cumsum(codes == BREAK) - (codes == BREAK)
-                counts = np.bincount(codes[trains[text]], minlength=len(words) + 1)[1:]
+                ends = np.flatnonzero(codes == BREAK) + 1
+                trained = codes[np.repeat(trains, np.diff(ends, prepend=0))]
+                counts = np.bincount(trained, minlength=len(words) + 1)[1:]
+                del trained
                 yield one_row(chunk=number, docs=here, words=words, counts=counts, codes=packed(codes))
                 number += 1
 
