@@ -46,6 +46,9 @@ BLOCK_TEXTS, BLOCK_BYTES = 512, 4 * 1024 * 1024
 # Bytes of text that a task compares at once, and distinct cells of a step of a comparison.
 UNIT_BYTES, COLUMNS = 8 * 1024 * 1024, 8192
 
+# Strips of elements whose darts are thrown together.
+STRIPS = 1 << 17
+
 _U = np.uint64
 _STEP, _STRIP, _CELL = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
 
@@ -72,28 +75,37 @@ def dart_signatures(owner: np.ndarray, tokens: np.ndarray, weights: np.ndarray,
     open_ = total > 0
     while open_.any():
         chosen = np.flatnonzero(open_[owner])
-        at, strip = _repeat_count(np.ceil(reach[owner[chosen]]).astype(np.int64))
-        at = chosen[at]
-        seed = mix(cells[at] + strip.astype(np.uint64) * _STRIP)
-        who, share = owner[at], part[at]
-        base = strip.astype(np.float64)
-        top = np.minimum(reach[who] - base, 1.0)
-        gone = np.zeros(len(at))
-        flat = out.reshape(-1)
-        while len(seed):
-            seed = mix(seed + _STEP)
-            gone = gone - np.log(((seed >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53)
-            keep = np.flatnonzero(gone <= top)
-            seed, gone, top, who, share, base = (x[keep] for x in (seed, gone, top, who, share, base))
-            spot = mix(seed ^ _CELL)
-            coordinate = ((spot >> _U(32)) * _U(k) >> _U(32)).astype(np.int64)
-            inside = (spot & _U(0xFFFFFFFF)).astype(np.float64) * 2.0**-32 < share
-            np.minimum.at(flat, (who * k + coordinate)[inside], (base + gone)[inside])
+        # Short texts have as many darts as long ones, so memory is bounded by strips, not by bytes of text.
+        strips = np.ceil(reach[owner[chosen]]).astype(np.int64)
+        run = np.cumsum(strips) // STRIPS
+        for some in np.split(np.arange(len(chosen)), np.flatnonzero(np.diff(run)) + 1):
+            _throw(out, owner, cells, part, reach, chosen[some], strips[some])
         open_ = open_ & np.isinf(out).any(axis=1)
         reach[open_] *= 2
     return out
 
 
+def _throw(out: np.ndarray, owner: np.ndarray, cells: np.ndarray, part: np.ndarray, reach: np.ndarray, chosen: np.ndarray, strips: np.ndarray) -> None:
+    """Lower ``out`` to the ranks of the darts that hit the chosen elements, each in its number of ``strips``."""
+    at, strip = _repeat_count(strips)
+    at = chosen[at]
+    seed = mix(cells[at] + strip.astype(np.uint64) * _STRIP)
+    who, share = owner[at], part[at]
+    base = strip.astype(np.float64)
+    top = np.minimum(reach[who] - base, 1.0)
+    gone = np.zeros(len(at))
+    flat, k = out.reshape(-1), out.shape[1]
+    while len(seed):
+        seed = mix(seed + _STEP)
+        gone = gone - np.log(((seed >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53)
+        keep = np.flatnonzero(gone <= top)
+        seed, gone, top, who, share, base = (x[keep] for x in (seed, gone, top, who, share, base))
+        spot = mix(seed ^ _CELL)
+        coordinate = ((spot >> _U(32)) * _U(k) >> _U(32)).astype(np.int64)
+        inside = (spot & _U(0xFFFFFFFF)).astype(np.float64) * 2.0**-32 < share
+        np.minimum.at(flat, (who * k + coordinate)[inside], (base + gone)[inside])
+
+
 def weighted_shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``owner, token, weight`` of the distinct shingles of each text; the weight counts occurrences."""
     at, tokens = words.shingles(size)

@@ -1,6 +1,7 @@
 """Signatures, and classes against all pairs."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -119,3 +120,16 @@ def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     found = dict(tuple(r) for r in components(spark.createDataFrame(links, "a INT, b INT")).collect())
     assert found == {**{i: 1 for i in range(2, 41)}, **{100 + i: 100 for i in range(1, 50)}}
+
+
+def test_signatures_of_short_texts_in_bounded_memory(monkeypatch):
+    n = 4000
+    owner, tokens = np.repeat(np.arange(n), 3), np.arange(3 * n, dtype=np.uint64)
+    weights = np.tile([1.0, 2.0, 1.0], n)
+    tracemalloc.start()
+    whole = nd.dart_signatures(owner, tokens, weights, n, 24)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 16e6 + whole.nbytes, peak
+    monkeypatch.setattr(nd, "STRIPS", 50)
+    assert np.array_equal(whole[:200], nd.dart_signatures(owner[:600], tokens[:600], weights[:600], 200, 24))
