@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.chunk_words import BREAK, byte_table, coded, one_row, packed, struct_columns, unpacked
+from tallyloom.llm.chunk_words import BREAK, byte_table, coded, one_row, packed, unpacked
 from tallyloom.llm.words import text_chunks
 from tallyloom.operators.lineage import discard, stored
 
@@ -159,6 +159,34 @@ def count_words(chunks: DataFrame) -> Vocabulary:
     return Vocabulary(classed, int(class_counts.sum()), int(class_words.sum()) + (texts > 0), texts, class_counts, class_words)
 
 
+def _gathered(words: DataFrame) -> DataFrame:
+    """``chunk, found``: counts and classes of each chunk's words in their order, packed.
+
+    Sorted rows go by one batch at a time, so no task has the rows of its chunks as objects.
+    """
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, parts = None, []
+
+        def row() -> pa.RecordBatch:
+            return one_row(chunk=held, found=packed(*map(np.concatenate, zip(*parts))))
+
+        for batch in batches:
+            chunk, c, klass = (column.to_numpy() for column in batch.columns)
+            firsts = np.flatnonzero(np.diff(chunk, prepend=chunk[:1] - 1)).tolist()
+            for first, last in zip(firsts, [*firsts[1:], len(chunk)]):
+                if held is not None and held != chunk[first]:
+                    yield row()
+                    parts = []
+                held = int(chunk[first])
+                parts.append((c[first:last].copy(), klass[first:last].copy()))
+        if held is not None:
+            yield row()
+
+    rows = words.repartition("chunk").sortWithinPartitions("chunk", "at").select("chunk", "c", "class")
+    return rows.mapInArrow(gather, "chunk LONG, found BINARY")
+
+
 def encode(chunks: DataFrame, known: Vocabulary) -> DataFrame:
     """Chunks as sequences of classes, with what each text's words say without the chain: ``docs, classes``."""
     context = chunks.sparkSession.sparkContext
@@ -173,10 +201,10 @@ def encode(chunks: DataFrame, known: Vocabulary) -> DataFrame:
             for i in range(batch.num_rows):
                 docs = batch.column("docs")[i].values
                 codes = unpacked(batch.column("codes")[i].as_py())[0]
-                at, c, klass = struct_columns(batch.column("found")[i].values, ("at", "c", "class"))
-                count, number = np.zeros((2, len(at) + 1), np.int64)
-                count[at.astype(np.int64) + 1], number[at.astype(np.int64) + 1] = c, klass
-                count[BREAK], number[BREAK] = texts, END_CLASS
+                found = batch.column("found")[i].as_py()
+                # Counts and classes by code; the first stands for the end of a text.
+                count, number = (np.append(first, v) for first, v in zip((texts, END_CLASS), unpacked(found) if found else ([], [])))
+                count, number = count.astype(np.int64), number.astype(np.int64)
                 total = class_counts[number] + 1
                 within = np.log10(np.where(count > 0, count - DISCOUNT, DISCOUNT * class_words[number] + 1) / total, where=number > HEAD_WORDS, out=np.zeros(len(number)))
                 base = np.log10((count + 1) / (tokens + distinct + 1))
@@ -188,8 +216,7 @@ def encode(chunks: DataFrame, known: Vocabulary) -> DataFrame:
                 rows = pa.StructArray.from_arrays(plain + columns, names=["doc_id", "held_out", "part", *names])
                 yield one_row(docs=rows, classes=packed(number[codes]))
 
-    found = known.words.groupBy("chunk").agg(F.collect_list(F.struct("at", "c", "class")).alias("found"))
-    encoded = stored(chunks.drop("words", "counts").join(found, "chunk", "left").mapInArrow(recode, f"docs ARRAY<STRUCT<{fields}>>, classes BINARY"))
+    encoded = stored(chunks.drop("words", "counts").join(_gathered(known.words), "chunk", "left").mapInArrow(recode, f"docs ARRAY<STRUCT<{fields}>>, classes BINARY"))
     shared.destroy()
     return encoded
 

@@ -165,3 +165,15 @@ def test_query_on_the_tables(spark, tables):
     assert shaped(found) == plain([tuple(r) for r in rows])
     held = [r for r in found if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_chunk_dictionaries_from_rows_in_any_batches(spark):
+    rows = [(chunk, at, 10 * chunk + at, at % 3) for chunk in (0, 5, 7) for at in range(8)]
+    words = spark.createDataFrame(rows[::-1], "chunk LONG, at INT, c LONG, class INT")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        found = {r["chunk"]: [v.tolist() for v in hm.unpacked(bytes(r["found"]))] for r in hm._gathered(words).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert found == {n: [[10 * n + at for at in range(8)], [at % 3 for at in range(8)]] for n in (0, 5, 7)}
