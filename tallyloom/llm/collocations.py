@@ -5,10 +5,11 @@ table, which is cut into tiles: a tile that holds many occurrences is counted in
 the others as sorted coordinates. Frequent pairs are ranked anew, and a frequent phrase together with its next
 word is the pair of the next level, so the same counting gives phrases of three, four and five words.
 
-Texts stay in chunks (see ``chunk_words``). Per level a task counts the pairs of one chunk, Spark adds up the
-counts of equal pairs, and the frequent ones return to the chunks that hold them by a join. A chunk thus knows
+Texts stay in chunks (see ``chunk_words``). Per level a task counts the pairs of one chunk and deals them by hash
+into buckets; Spark brings the pairs of a bucket together from all chunks, as one packed row from each. A
+task adds up one bucket of bounded size and answers each chunk with the places of its frequent pairs. A chunk thus knows
 the counts of every part of a frequent phrase it holds; one chunk for each phrase, the one of least number, reports it with
-its parts, so neither parts nor texts are looked up again.
+its parts, so neither parts nor texts are looked up again, and no pair is ever a row of its own.
 
 Rows: a null text has no words, a null language is ``und``. Repeated rows count as often as they stand there. An
 empty table gives no rows. Other columns are not read. A document of any length is one chunk at most.
@@ -22,7 +23,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -41,6 +42,9 @@ PLACES = 2000
 # Rows and columns of a tile; a tile is counted densely if an occurrence comes to so many cells.
 TILE, CELLS_EACH = 256, 8
 
+# Places of possible phrases for each bucket of pairs, which bounds what a task adds up at once.
+BUCKET_PLACES = 1 << 20
+
 # The most frequent words that every task holds, and the most bytes of one; all other words are joined.
 HEAD_WORDS, HEAD_BYTES = 1 << 16, 64
 
@@ -49,13 +53,13 @@ PIECE_ENDS, BETWEEN = ".,;:!?\n\x0b\x0c\r", " \t"
 
 _CHUNK = "chunk LONG, lang STRING, words ARRAY<STRING>, counts ARRAY<LONG>, codes BINARY"
 _REPORTS = "ARRAY<STRUCT<phrase: STRING, a: LONG, firsts: ARRAY<LONG>, rests: ARRAY<LONG>>>"
-_STATE = f"chunk LONG, lang STRING, words ARRAY<STRING>, codes BINARY, levels ARRAY<BINARY>, reports {_REPORTS}"
+_STATE = f"chunk LONG, lang STRING, words ARRAY<STRING>, codes BINARY, levels ARRAY<BINARY>, places LONG, reports {_REPORTS}"
 _THIN = "chunk LONG, lang STRING, words ARRAY<STRING>, ids ARRAY<LONG>, f ARRAY<LONG>, codes BINARY, open ARRAY<STRUCT<at: INT, word: STRING>>"
-_PAIR = "chunk LONG, key LONG, left LONG, right LONG, n LONG"
+_PAIRS = "bucket LONG, chunk LONG, pairs BINARY"
+_MARKS = "bucket LONG, chunk LONG, marks BINARY"
 _REPORT_TYPE = pa.struct(
     [("phrase", pa.string()), ("a", pa.int64()), ("firsts", pa.list_(pa.int64())), ("rests", pa.list_(pa.int64()))]
 )
-_MARKS = ("key", "id", "f", "mine")
 
 
 def chunks_of(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -155,6 +159,20 @@ class _Levels:
         at, left, right = self.next_word()
         return at, left * len(self.ids[0]) + right
 
+    def dealt_pairs(self, buckets: int) -> tuple[np.ndarray, ...]:
+        """``bounds, keys, left, right, counts`` of the possible phrases of one more word, bucket after bucket.
+
+        Bucket ``b`` has the entries from ``bounds[b]`` to ``bounds[b + 1]``, always in the same order.
+        """
+        _, left, right = self.next_word()
+        width = max(len(self.ids[0]), 1)
+        keys, counts = count_pairs(left, right, len(self.ids[-1]), width)
+        left, right = self.ids[-1][keys // width], self.ids[0][keys % width]
+        bucket = (_token(left, right) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((keys, bucket))
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
+        return bounds, keys[order], left[order], right[order], counts[order]
+
     def count(self, size: int) -> np.ndarray:
         """Occurrences in the corpus of the phrase of ``size`` words at each place, 0 if it is not frequent."""
         rank = self.rank[size - 1]
@@ -291,12 +309,14 @@ def _start(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
                 rank = np.zeros(len(words) + 1, np.int64)
                 rank[used + 1] = np.arange(1, len(used) + 1)
                 codes = rank[unpacked(batch.column("codes")[i].as_py())[0]]
+                levels = _Levels(codes, number[used], f[used])
                 yield one_row(
                     chunk=batch.column("chunk")[i].as_py(),
                     lang=batch.column("lang")[i].as_py(),
                     words=words.take(pa.array(used)),
                     codes=packed(codes),
-                    levels=pa.array([packed(number[used], f[used])], pa.binary()),
+                    levels=pa.array(levels.level_bytes(), pa.binary()),
+                    places=len(levels.next_word()[0]),
                     reports=pa.array([], _REPORT_TYPE),
                 )
 
@@ -313,23 +333,68 @@ def _token(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(mix(left.astype(np.uint64)) + right.astype(np.uint64))
 
 
-def _pairs(state: DataFrame, bits: Broadcast | None = None) -> DataFrame:
-    """Possible phrases of one more word per chunk, with their counts there; with a bitmap, those that may be in it."""
+def _pairs(state: DataFrame, buckets: int) -> DataFrame:
+    """Possible phrases of one more word with their counts in a chunk, one packed row for each bucket and chunk."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, levels in _rows(batch):
-                _, left, right = levels.next_word()
-                width = len(levels.ids[0])
-                keys, counts = count_pairs(left, right, len(levels.ids[-1]), width)
-                left, right = levels.ids[-1][keys // max(width, 1)], levels.ids[0][keys % max(width, 1)]
-                if bits is not None:
-                    found = may_contain(bits.value, _token(left, right))
-                    keys, counts, left, right = keys[found], counts[found], left[found], right[found]
-                chunk = np.full(len(keys), row["chunk"].as_py(), np.int64)
-                yield pa.RecordBatch.from_pydict({"chunk": chunk, "key": keys, "left": left, "right": right, "n": counts})
+                bounds, _, left, right, counts = levels.dealt_pairs(buckets)
+                used = np.flatnonzero(np.diff(bounds))
+                cuts = [slice(bounds[b], bounds[b + 1]) for b in used.tolist()]
+                pairs = [packed(left[cut], right[cut], counts[cut]) for cut in cuts]
+                chunk = np.full(len(used), row["chunk"].as_py(), np.int64)
+                yield pa.RecordBatch.from_pydict({"bucket": used, "chunk": chunk, "pairs": pa.array(pairs, pa.binary())})
+
+    return state.mapInArrow(deal, _PAIRS)
 
-    return state.mapInArrow(count, _PAIR)
+
+def frequent_entries(
+    left: np.ndarray, right: np.ndarray, n: np.ndarray, chunk: np.ndarray, least: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``entries, rank, f, mine`` of those entries whose pair occurs ``least`` times in all.
+
+    ``rank`` numbers the pairs, the most frequent first; ``mine`` marks a pair's entry of the least chunk.
+    """
+    order = np.lexsort((chunk, right, left))
+    left, right = left[order], right[order]
+    new = np.concatenate([[True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])])[: len(order)]
+    first = np.flatnonzero(new)
+    f = np.add.reduceat(n[order], first) if len(first) else np.zeros(0, np.int64)
+    often = np.flatnonzero(f >= least)
+    rank = np.full(len(f), -1, np.int64)
+    rank[often[np.argsort(-f[often], kind="stable")]] = np.arange(len(often))
+    pair = np.cumsum(new) - 1
+    stay = np.flatnonzero(rank[pair] >= 0)
+    return order[stay], rank[pair[stay]], f[pair[stay]], new[stay]
+
+
+def _frequent(pairs: DataFrame, least: int, buckets: int) -> DataFrame:
+    """For each bucket and chunk its frequent pairs: place among the entries, id, count, and whether the chunk reports it.
+
+    Ids are ranks within a bucket with the buckets side by side, so they rise as counts fall, as near as hashing makes
+    buckets alike.
+    """
+
+    def add_up(table: pa.Table) -> pa.Table:
+        bucket = table["bucket"][0].as_py()
+        chunks = table["chunk"].to_numpy()
+        parts = [unpacked(row.as_py()) for row in table["pairs"]]
+        sizes = np.array([len(part[0]) for part in parts])
+        left, right, n = (np.concatenate(column) for column in zip(*parts))
+        del parts
+        owner = np.repeat(np.arange(len(chunks)), sizes)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        entries, rank, f, mine = frequent_entries(left, right, n, chunks[owner], least)
+        back = np.argsort(entries)
+        entries, rank, f, mine = (x[back] for x in (entries, rank, f, mine))
+        bounds = np.searchsorted(owner[entries], np.arange(len(chunks) + 1))
+        used = np.flatnonzero(np.diff(bounds))
+        cuts = [slice(bounds[k], bounds[k + 1]) for k in used.tolist()]
+        marks = [packed(place[entries[cut]], rank[cut] * buckets + bucket, f[cut], mine[cut]) for cut in cuts]
+        return pa.table({"bucket": np.full(len(used), bucket), "chunk": chunks[used], "marks": pa.array(marks, pa.binary())})
+
+    return pairs.groupBy("bucket").applyInArrow(add_up, _MARKS)
 
 
 def _with_phrases(state: DataFrame, least: int, last: bool) -> DataFrame:
@@ -339,12 +404,24 @@ def _with_phrases(state: DataFrame, least: int, last: bool) -> DataFrame:
     that only words in frequent phrases of the new size matter. In the ``last`` round the new ones are reported too.
     """
 
+    places = state.agg(F.coalesce(F.sum("places"), F.lit(0))).first()[0]
+    buckets = max(1, -(-places // BUCKET_PLACES))
+
+    def marked(levels: _Levels, marks: list[dict]) -> tuple[np.ndarray, ...]:
+        """Key, id, count and mark of the frequent phrases, in order of their ids."""
+        bounds, keys, *_ = levels.dealt_pairs(buckets)
+        parts = [(keys[:0],) * 4]
+        for mark in marks:
+            place, number, f, mine = unpacked(mark["marks"])
+            parts.append((keys[bounds[mark["bucket"]] + place], number, f, mine))
+        key, number, f, mine = (np.concatenate(column) for column in zip(*parts))
+        by_id = np.argsort(number)
+        return key[by_id], number[by_id], f[by_id], mine[by_id]
+
     def take_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, levels in _rows(batch):
-                key, number, f, mine = struct_columns(row["marks"].values, _MARKS)
-                by_id = np.argsort(number)
-                levels.add(key[by_id], number[by_id], f[by_id], mine[by_id])
+                levels.add(*marked(levels, row["marks"].as_py() or []))
                 size, words = len(levels.rank), np.array(row["words"].as_py(), dtype=object)
                 reports = levels.reports(words, size - 1, levels.count(size)) if size > 2 else []
                 if last:
@@ -356,25 +433,13 @@ def _with_phrases(state: DataFrame, least: int, last: bool) -> DataFrame:
                     words=row["words"].values.take(pa.array(used)),
                     codes=packed(levels.rank[0] + 1),
                     levels=pa.array(levels.level_bytes(), pa.binary()),
+                    places=len(levels.next_word()[0]),
                     reports=pa.array(reports, _REPORT_TYPE),
                 )
 
-    totals = _pairs(state).groupBy("left", "right").agg(F.sum("n").alias("f"), F.min("chunk").alias("teller"))
-    phrases = ranked(totals.filter(F.col("f") >= least), F.desc("f"), "left", "right")
-    bits = build_bitmap(_tokens(phrases, "left", "right", token=lambda a, b: _token(a.to_numpy(), b.to_numpy())), "token", phrases.count())
-    shared = state.sparkSession.sparkContext.broadcast(bits)
-    mine = (F.col("chunk") == F.col("teller")).alias("mine")
-    marks = (
-        _pairs(state, shared)
-        .select("chunk", "key", "left", "right")
-        .join(phrases, ["left", "right"])
-        .groupBy("chunk")
-        .agg(F.collect_list(F.struct("key", "id", "f", mine)).alias("marks"))
-    )
-    grown = stored(state.drop("reports").join(marks, "chunk", "left").mapInArrow(take_in, _STATE))
-    shared.destroy()
-    discard(phrases)
-    return grown
+    found = _frequent(_pairs(state, buckets), least, buckets)
+    marks = found.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "marks")).alias("marks"))
+    return stored(state.drop("reports").join(marks, "chunk", "left").mapInArrow(take_in, _STATE))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:

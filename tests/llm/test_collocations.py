@@ -94,6 +94,49 @@ def test_tiles_count_all_pairs(monkeypatch):
     assert len(keys) == len(counts) == 0
 
 
+def test_frequent_entries():
+    draw = np.random.default_rng(5)
+    left, right, n, chunk = draw.integers(0, 9, 600), draw.integers(0, 9, 600) << 40, draw.integers(1, 4, 600), np.repeat(np.arange(6), 100)
+    keys = list(zip(chunk.tolist(), left.tolist(), right.tolist()))
+    one = sorted({key: i for i, key in enumerate(keys)}.values())
+    left, right, n, chunk = (x[one] for x in (left, right, n, chunk))
+    totals, tellers = Counter(), {}
+    for c, a, b, times in zip(chunk.tolist(), left.tolist(), right.tolist(), n.tolist()):
+        totals[a, b] += times
+        tellers[a, b] = min(c, tellers.get((a, b), c))
+    entries, rank, f, mine = collocations.frequent_entries(left, right, n, chunk, 12)
+    pairs = list(zip(left[entries].tolist(), right[entries].tolist()))
+    assert sorted(set(pairs)) == sorted(p for p, c in totals.items() if c >= 12)
+    assert f.tolist() == [totals[p] for p in pairs]
+    assert mine.tolist() == [chunk[e] == tellers[p] for e, p in zip(entries.tolist(), pairs)]
+    by_rank = dict(zip(rank.tolist(), f.tolist()))
+    assert len(set(zip(rank.tolist(), pairs))) == len(by_rank) and sorted(by_rank) == list(range(len(by_rank)))
+    assert [by_rank[k] for k in sorted(by_rank)] == sorted(by_rank.values(), reverse=True)
+    none = np.zeros(0, np.int64)
+    assert [len(x) for x in collocations.frequent_entries(none, none, none, none, 1)] == [0] * 4
+
+
+def test_pairs_travel_as_packed_rows(spark, monkeypatch):
+    """Any number of buckets gives the same phrases, and rows between chunks and buckets do not grow with the pairs."""
+    rows = made_up(80, 9)
+    expected = plain(rows, 2)
+    taken = []
+    frequent = collocations._frequent
+
+    def counted(pairs, least, buckets):
+        found = frequent(pairs, least, buckets)
+        taken.append((buckets, pairs.select("chunk").distinct().count(), pairs.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(collocations, "_frequent", counted)
+    for places in (1, 50, 10**6):
+        monkeypatch.setattr(collocations, "BUCKET_PLACES", places)
+        assert found_by(spark, rows, 2) == expected
+    for buckets, chunks, dealt, marked in taken:
+        assert marked <= dealt <= buckets * chunks
+    assert [b for b, *_ in taken][:2] != [1, 1] and [b for b, *_ in taken][-4:] == [1] * 4
+
+
 def test_products_beyond_64_bits(spark):
     """The score is exact where its numerator has more than 64 bits."""
     a, n, first, rest = 10**10 + 7, 10**13 + 9, 10**10 + 9, 10**10 + 33
