@@ -9,7 +9,8 @@ Texts stay in chunks (see ``chunk_words``). Per level a task counts the pairs of
 into buckets; Spark brings the pairs of a bucket together from all chunks, as one packed row from each. A
 task adds up one bucket of bounded size and answers each chunk with the places of its frequent pairs. A chunk thus knows
 the counts of every part of a frequent phrase it holds; one chunk for each phrase, the one of least number, reports it with
-its parts, so neither parts nor texts are looked up again, and no pair is ever a row of its own.
+its parts, so neither parts nor texts are looked up again, and no pair is ever a row of its own. Chunks are stored in buckets
+of their numbers, so what comes back to them is shuffled and they are not.
 
 Rows: a null text has no words, a null language is ``und``. Repeated rows count as often as they stand there. An
 empty table gives no rows. Other columns are not read. A document of any length is one chunk at most.
@@ -31,7 +32,7 @@ from xxhash import xxh3_64_intdigest
 from tallyloom.llm.bitmap import build_bitmap, may_contain
 from tallyloom.llm.chunk_words import BREAK, CHUNK_BYTES, byte_table, coded, look_up, one_row, packed, struct_columns, unpacked
 from tallyloom.llm.words import mix, text_chunks
-from tallyloom.operators.lineage import discard, settled, stored
+from tallyloom.operators.lineage import discard, settled, stored, stored_by_key
 
 # A phrase is a candidate if it occurs so often, and has so many words at most.
 LEAST, LONGEST = 100, 5
@@ -257,7 +258,7 @@ def _start(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Chunks in which only frequent words are left, coded by rank; others are breaks.
 
     The head of the vocabulary, bounded in words and bytes, is known to every task; what may be in the rest by a
-    bitmap of bounded size is joined.
+    bitmap of bounded size is joined. The chunks given are discarded.
     """
     context = chunks.sparkSession.sparkContext
     short = F.octet_length("word") + F.octet_length("lang") <= HEAD_BYTES
@@ -320,9 +321,10 @@ def _start(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
                     reports=pa.array([], _REPORT_TYPE),
                 )
 
-    thinned = stored(chunks.drop("counts").mapInArrow(thin, _THIN))
+    thinned = stored_by_key(chunks.drop("counts").mapInArrow(thin, _THIN), "chunk")
+    discard(chunks)
     found = look_up(thinned.select("chunk", "lang", F.inline("open")), rest, ["lang", "word"], ["id", "f"])
-    state = stored(thinned.drop("open").join(found, "chunk", "left").mapInArrow(recode, _STATE))
+    state = stored_by_key(thinned.drop("open").join(found, "chunk", "left").mapInArrow(recode, _STATE), "chunk")
     shared.destroy()
     known.destroy()
     discard(thinned)
@@ -439,7 +441,8 @@ def _with_phrases(state: DataFrame, least: int, last: bool) -> DataFrame:
 
     found = _frequent(_pairs(state, buckets), least, buckets)
     marks = found.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "marks")).alias("marks"))
-    return stored(state.drop("reports").join(marks, "chunk", "left").mapInArrow(take_in, _STATE))
+    grown = state.drop("reports").join(marks, "chunk", "left").mapInArrow(take_in, _STATE)
+    return stored(grown) if last else stored_by_key(grown, "chunk")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -455,9 +458,8 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, ch
     totals = counted.groupBy("lang", F.col("words").alias("word")).agg(F.sum("counts").alias("f"))
     sizes = chunks.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda t, x: t + x).alias("n"))
     vocabulary = ranked(totals.filter(F.col("f") >= least), F.desc("f"), "lang", "word")
-    state = _start(chunks, vocabulary)
     sizes = settled(sizes.groupBy("lang").agg(F.sum("n").alias("n")))
-    discard(chunks)
+    state = _start(chunks, vocabulary)
     discard(vocabulary)
     reports = []
     for size in range(2, longest + 1):
