@@ -17,31 +17,51 @@ from tallyloom.sources import read_table
 # A document goes if it is at least so likely to be toxic.
 TOXIC_LEAST = 0.7
 
+# Most bytes of texts that go to a Python worker, or come from it, at once; a longer row goes alone.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes, unless the session sets such a bound itself.
+
+    The default of 64 MB for each batch and task lies outside the heap and once more in the worker. A stage's frame is evaluated
+    after the stage has returned, so the bounds stay.
+    """
+    given = spark.conf.getAll
+    for name in ("maxBytesPerBatch", "maxBytesPerOutputBatch"):
+        if f"spark.sql.execution.arrow.{name}" not in given:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", BATCH_BYTES)
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go; the model learns from the labels of the documents given."""
+    bound_batches(spark)
     model = toxicity.fit_toxicity(docs, read_table(spark, f"{sf_dir}/labels.parquet"))
     return toxicity.drop_toxic(docs, model, TOXIC_LEAST)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays, the one with the least id."""
+    bound_batches(spark)
     return near_duplicates.keep_one_of_each(docs, near_duplicates.near_duplicate_classes(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents contaminated by the benchmark go."""
+    bound_batches(spark)
     judged = decontamination.decontaminate(docs, read_table(spark, f"{sf_dir}/benchmark.parquet"))
     return decontamination.keep_clean(docs, judged)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; secrets in their texts are masked."""
+    bound_batches(spark)
     return secret_scan.redact_documents(docs, secret_scan.fit_random_model(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their place in a training sequence."""
+    bound_batches(spark)
     return packing.pack_documents(
         docs,
         public_tokenizers.path("byte_bpe_50k.json"),
