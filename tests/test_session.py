@@ -58,3 +58,17 @@ def test_one_rule_for_checkpoint_folders():
 def test_stored_rows_come_back(spark):
     df = spark.range(10).withColumn("x", F.array("id"))
     assert sorted(lineage.stored(df).collect()) == sorted(df.collect())
+
+
+def test_bucketed_table_is_not_shuffled(spark):
+    """Only the other side of a join moves; no name stays in the catalog, and the table can be discarded."""
+    wide = spark.createDataFrame([(k % 7, "w" * k) for k in range(40)] + [(None, "n")], "k LONG, t STRING")
+    table = lineage.stored_by_key(wide, "k")
+    assert sorted(table.collect(), key=str) == sorted(wide.collect(), key=str)
+    assert spark.sql("SHOW TABLES").filter(f"tableName LIKE '{lineage.STORED_NAME}%'").count() == 0
+    joined = table.join(spark.range(5).withColumnRenamed("id", "k").groupBy("k").count().hint("merge"), "k", "left")
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert joined.count() == 41 and joined.filter("count = 1").count() == sum(k % 7 < 5 for k in range(40))
+    lineage.discard(table)
+    empty = lineage.stored_by_key(wide.limit(0), "k")
+    assert empty.columns == ["k", "t"] and empty.collect() == []
