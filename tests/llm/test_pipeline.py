@@ -1,6 +1,7 @@
 """The pipeline stage by stage: what each keeps, and that every stage judges its own input."""
 
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -61,3 +62,27 @@ def test_rows_that_are_odd(spark, tables, tmp_path):
             stage(spark, docs, tables).write.parquet(out)
             docs = spark.read.parquet(out)
         assert docs.select("doc_id").distinct().count() == (4 if given else 0)
+
+
+def test_batches_are_bounded_by_bytes(spark, tables):
+    """Long texts go to the workers a few at a time, however many rows a batch may have; a bound that is set stays."""
+    names = [f"spark.sql.execution.arrow.{n}" for n in ("maxBytesPerBatch", "maxBytesPerOutputBatch")]
+    before = {n: spark.conf.getAll.get(n) for n in names}
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    try:
+        for n in names:
+            spark.conf.unset(n)
+        docs = spark.range(0, 60, 1, 1).selectExpr("id AS doc_id", "repeat('long text ', 100000) AS text", "'en' AS lang", "'s' AS source", "1000000L AS n_chars")
+        corpus_pipeline.mask_secrets(spark, docs.limit(0), tables)
+        found = [r["n"] for r in docs.mapInArrow(sizes, "n LONG").collect()]
+        assert len(found) > 10 and max(found) <= 2 * corpus_pipeline.BATCH_BYTES
+        spark.conf.set(names[0], 1000)
+        corpus_pipeline.bound_batches(spark)
+        assert spark.conf.get(names[0]).rstrip("b") == "1000"
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
