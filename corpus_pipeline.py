@@ -17,20 +17,21 @@ from tallyloom.sources import read_table
 # A document goes if it is at least so likely to be toxic.
 TOXIC_LEAST = 0.7
 
-# Most bytes of texts that go to a Python worker, or come from it, at once; a longer row goes alone.
+# Most bytes of texts that go to a Python worker at once; a longer row goes alone.
 BATCH_BYTES = 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Bound the session's Arrow batches by bytes, unless the session sets such a bound itself.
+    """Bound the Arrow batches that go to the session's workers by bytes, unless the session sets such a bound itself.
 
     The default of 64 MB for each batch and task lies outside the heap and once more in the worker. A stage's frame is evaluated
-    after the stage has returned, so the bounds stay.
+    after the stage has returned, so the bound stays. There is none on what comes back (``maxBytesPerOutputBatch``): the operators
+    make their batches from bounded ones, Spark would read such a batch whole before it cuts it, and Spark 4.1 fails if a batch over
+    that bound follows one below it.
     """
-    given = spark.conf.getAll
-    for name in ("maxBytesPerBatch", "maxBytesPerOutputBatch"):
-        if f"spark.sql.execution.arrow.{name}" not in given:
-            spark.conf.set(f"spark.sql.execution.arrow.{name}", BATCH_BYTES)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, BATCH_BYTES)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

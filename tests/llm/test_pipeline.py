@@ -86,3 +86,22 @@ def test_batches_are_bounded_by_bytes(spark, tables):
     finally:
         for n, value in before.items():
             spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+
+
+def test_a_large_batch_after_a_small_one(spark, tables):
+    """Ten thousand short texts fill a batch of their own; a text longer than the bound on batches comes in the next."""
+    name = "spark.sql.execution.arrow.maxBytesPer"
+    before = {n: spark.conf.getAll.get(n) for n in (f"{name}Batch", f"{name}OutputBatch")}
+    long = corpus_pipeline.BATCH_BYTES // 10 + 1000
+    text = f"IF(id % 10001 = 10000, concat('token = 0123456789abcdef0 ', repeat('long text ', {long})), 'short text')"
+    docs = spark.range(0, 30003, 1, 1).selectExpr("id AS doc_id", f"{text} AS text", "'en' AS lang", "'s' AS source", "10L AS n_chars")
+    try:
+        for n in before:
+            spark.conf.unset(n)
+        masked = corpus_pipeline.mask_secrets(spark, docs, tables).selectExpr("doc_id", "length(text) AS n", "left(text, 20) AS head").collect()
+        assert [r["doc_id"] for r in masked] == list(range(30003))
+        assert {(r["n"], r["head"]) for r in masked if r["doc_id"] % 10001 == 10000} == {(17 + 10 * long, "token = [secret] lon")}
+        assert {(r["n"], r["head"]) for r in masked if r["doc_id"] % 10001 < 10000} == {(10, "short text")}
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
