@@ -13,9 +13,11 @@ likeness of two fingerprints is the share of equal bits, weighted by the steps t
 stands for and scaled so that unrelated texts are near 0 and equal ones at 1.
 
 Bands of sampled bits bring similar texts together; the likeness of the whole
-fingerprints decides. Every two texts that share a band end up compared or in one class: the
-members of a large bucket are held against its centre first, and buckets that still hold several classes are
-compared in blocks of bounded size, but for blocks of one class. Pairs are compared many at a time, on packed bits. A fingerprint of fewer than ``LEAST_STEPS`` samples (some seven characters) says
+fingerprints decides. Every two texts that share a band end up compared or in one class. Fingerprints are
+cut by length into slabs of bounded size, and a task finds the shared bands of two slabs by itself, so what is sent are
+fingerprints and not their bands; slabs whose lengths alone keep them apart never meet. Members of a large bucket are held against
+centres first, then those of different classes against each other, many pairs at a time on packed bits. Where slabs would be sent more often than there
+are bands, fingerprints are dealt out by band instead. A fingerprint of fewer than ``LEAST_STEPS`` samples (some seven characters) says
 too little and is like its equals only.
 
 A null text is empty. Empty texts are like each other (1) and unlike all others (0).
@@ -49,6 +51,10 @@ LEAST_STEPS = 15
 BLOCK, UNIT_BYTES = 1024, 8 << 20
 # Members of a bucket beyond which it is held against its centre first, and pairs that are compared at once.
 STAR, TOGETHER_PAIRS = 64, 1 << 17
+# Slabs that a corpus is cut into, but for the least and the most bytes of one, and bytes of a row besides its samples.
+SLABS, LEAST_SLAB, MOST_SLAB, ROW_BYTES = 16, 1 << 19, 16 << 20, 64
+# Pairs that chance alone may bring together in a slab; short texts have narrow bands.
+SLAB_PAIRS = 100_000_000
 
 _U = np.uint64
 _PERIOD = 4096
@@ -276,6 +282,16 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     return state.filter("kind = 0").select(*_RESULT_SCHEMA.names).unionByName(ends)
 
 
+@lru_cache(maxsize=1)
+def _level_ends() -> np.ndarray:
+    return np.cumsum([len(_level(level)) for level in range(48)])
+
+
+def filled_levels(n: np.ndarray) -> np.ndarray:
+    """Levels that fingerprints of ``n`` samples fill."""
+    return np.searchsorted(_level_ends(), n, side="right")
+
+
 @lru_cache(maxsize=256)
 def _picks(level: int, bands: int, used: int) -> np.ndarray:
     """Samples of a level that each band takes."""
@@ -481,8 +497,8 @@ def _across(labelled: DataFrame, placed: DataFrame, threshold: float) -> DataFra
     return compared.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("likeness").alias("likeness"))
 
 
-def _links(alone: DataFrame, threshold: float, bands: int) -> DataFrame:
-    """Links ``a, b, likeness`` that join all fingerprints which share a band and are alike."""
+def _links_by_band(alone: DataFrame, threshold: float, bands: int) -> DataFrame:
+    """``_links`` by dealing out every fingerprint once for each of its bands."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -511,6 +527,222 @@ def _links(alone: DataFrame, threshold: float, bands: int) -> DataFrame:
     return links.unionByName(more.join(links, ["a", "b"], "left_anti"))
 
 
+class Slabs:
+    """Fingerprints cut by their numbers of samples into slabs of bounded size, and the pairs of slabs that may hold similar ones.
+
+    Slabs lie in order of length. Two fingerprints are alike only if the shorter one stands for enough steps of the longer
+    one, so slab ``x`` meets those from itself to ``last[x]``, each in a unit of work of its own.
+    """
+
+    def __init__(self, n: np.ndarray, count: np.ndarray, threshold: float, bands: int) -> None:
+        """For ``count`` fingerprints of ``n`` samples, ``n`` ascending from ``LEAST_STEPS`` on."""
+        first = np.maximum(3, filled_levels(n) - LEVELS)
+        chance = bands * 2.0 ** -np.minimum(BITS, np.minimum(SAMPLES, 1 << first) * 5 // 8)
+        weight = count * np.maximum(n // 8 + ROW_BYTES, (MOST_SLAB * np.sqrt(chance / SLAB_PAIRS)).astype(np.int64))
+        most = min(MOST_SLAB, max(LEAST_SLAB, int(weight.sum()) // SLABS))
+        # Many of one length are dealt out by their digests.
+        self.n, self.pieces = n, np.maximum(1, -(-weight // most))
+        self.base = np.zeros(len(n), np.int64)
+        lows: list[int] = []
+        highs: list[int] = []
+        rest = 0
+        for k, (size, w, pieces) in enumerate(zip(n.tolist(), weight.tolist(), self.pieces.tolist())):
+            if pieces > 1 or w > rest:
+                self.base[k] = len(lows)
+                lows += [size] * pieces
+                highs += [size] * pieces
+                rest = most - w if pieces == 1 else 0
+            else:
+                self.base[k] = len(lows) - 1
+                highs[-1] = size
+                rest -= w
+        reach = np.concatenate([[0.0], np.cumsum(_weights(highs[-1] if highs else 0))])
+        filled = filled_levels(np.array([lows, highs], np.int64))
+        self.last, y = np.zeros(len(lows), np.int64), 0
+        for x, high in enumerate(highs):
+            y = max(x, y)
+            while (
+                y + 1 < len(lows)
+                and reach[min(high, lows[y + 1])] / reach[lows[y + 1]] >= threshold
+                and max(3, filled[0, y + 1] - LEVELS) < filled[1, x]
+            ):
+                y += 1
+            self.last[x] = y
+        slabs = np.arange(len(lows))
+        self.first = np.searchsorted(self.last, slabs)
+        self.unit = np.cumsum(self.last + 1 - slabs) - (self.last + 1 - slabs)
+        self.units = int((self.last + 1 - slabs).sum())
+        # Rows sent, if those of one length are dealt out evenly.
+        met = np.concatenate([[0], np.cumsum(self.last - self.first + 1)])
+        self.sent = int((count * (met[self.base + self.pieces] - met[self.base]) / self.pieces).sum())
+
+    def dealt(self, n: np.ndarray, digest: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``row, unit, later``: each fingerprint once for each of its units, and whether it is of the later slab there."""
+        k = np.searchsorted(self.n, n)
+        slab = self.base[k] + (digest % self.pieces[k].astype(np.uint64)).astype(np.int64)
+        size = self.last[slab] + 1 - self.first[slab]
+        row = np.repeat(np.arange(len(n)), size)
+        own = slab[row]
+        other = self.first[own] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        x = np.minimum(own, other)
+        return row, self.unit[x] + np.maximum(own, other) - x, other < own
+
+
+def _tops(top: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Names of the classes of some rows, where ``top`` leads from each row towards that of its class."""
+    at = top[rows]
+    while not np.array_equal(at, up := top[at]):
+        at = up
+    return at
+
+
+class _Found:
+    """Links found so far in a unit, without rings, and the classes that they make."""
+
+    def __init__(self, samples: Samples, threshold: float) -> None:
+        self.samples, self.threshold = samples, threshold
+        self.top = np.arange(len(samples.n))
+        self.links: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def compare(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Hold the pairs against each other and join the alike ones; tells which are alike."""
+        values = self.samples.likeness(a, b, self.threshold)
+        alike = values >= self.threshold
+        k = np.flatnonzero(alike)
+        x, y = _tops(self.top, a[k]), _tops(self.top, b[k])
+        kept = _forest(x, y)
+        for up, low in zip(x[kept].tolist(), y[kept].tolist()):
+            while (above := int(self.top[up])) != up:
+                up = above
+            while (above := int(self.top[low])) != low:
+                low = above
+            self.top[low] = up
+        k = k[kept]
+        self.links.append((a[k], b[k], values[k]))
+        return alike
+
+    def gather(self, rows: np.ndarray) -> None:
+        """Join members of a large bucket by centres, as long as a centre joins many: the first of the largest class that had none."""
+        while True:
+            names, first, count = np.unique(_tops(self.top, rows), return_index=True, return_counts=True)
+            if len(names) < 2:
+                return
+            centre = rows[first[count.argmax()]]
+            others = rows[_tops(self.top, rows) != names[count.argmax()]]
+            alike = self.compare(np.full(len(others), centre), others)
+            rows = others[_tops(self.top, others) != _tops(self.top, centre[None])]
+            if 8 * alike.sum() < len(others):
+                return
+
+
+def _band_values(samples: Samples, rows: np.ndarray, level: int, bands: int) -> np.ndarray:
+    """For each band of a level, the number that the rows' picked samples spell, as ``band_numbers`` has it."""
+    size = len(_level(level))
+    used = min(BITS, size * 5 // 8)
+    picks = _picks(level, bands, used)
+    # Whole numbers below 2**20 are exact.
+    places = np.zeros((size, bands), np.float32)
+    places[picks.T, np.arange(bands)] = 2.0 ** np.arange(used)[:, None]
+    start = (size if size < SAMPLES else SAMPLES * (level - 6)) // 8
+    data = samples.data.view(np.uint8)[:, start : start + size // 8]
+    out = np.empty((bands, len(rows)), np.uint64)
+    for first in range(0, len(rows), 1 << 14):
+        part = np.unpackbits(data[rows[first : first + (1 << 14)]], axis=1).astype(np.float32)
+        out[:, first : first + (1 << 14)] = (part @ places).T
+    return out
+
+
+def _mixed(values: np.ndarray, rows: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the buckets of several classes, in order of bucket and class, and the ends of each row's class and bucket among them."""
+    names = _tops(top, rows).astype(np.uint64)
+    order = np.sort(values << _U(44) | names << _U(22) | np.arange(len(rows), dtype=np.uint64))
+    bucket, group = order >> _U(44), order >> _U(22)
+    cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
+    first, last = np.concatenate([[0], cuts]), np.append(cuts, len(order)) - 1
+    several = group[first] != group[last]
+    size = (last + 1 - first)[several]
+    at = np.repeat(first[several] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    group = group[at]
+    cuts = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, len(at))
+    group_end = np.repeat(cuts, np.diff(cuts, prepend=0)) if len(at) else cuts[:0]
+    return rows[(order[at] & _U((1 << 22) - 1)).astype(np.int64)], group_end, np.repeat(np.cumsum(size), size)
+
+
+def unit_links(samples: Samples, later: np.ndarray, threshold: float, bands: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links ``a, b, likeness`` without rings that join all rows which share a band and are alike.
+
+    Where some rows are ``later``, these are held against the others only; what else is found on the way is kept.
+    """
+    found, two = _Found(samples, threshold), bool(later.any())
+    filled = filled_levels(samples.n)
+    for level in range(max(3, int(filled.min()) - LEVELS), int(filled.max())):
+        rows = np.flatnonzero((filled > level) & (np.maximum(3, filled - LEVELS) <= level))
+        if len(rows) < 2:
+            continue
+        for values in _band_values(samples, rows, level, bands):
+            found.top = _tops(found.top, np.arange(len(found.top)))
+            members, group_end, end = _mixed(values, rows, found.top)
+            buckets = np.flatnonzero(np.diff(end, prepend=0))
+            large = buckets[end[buckets] - buckets > STAR]
+            if len(large):
+                for k in large:
+                    found.gather(members[k : end[k]])
+                members, group_end, end = _mixed(values, rows, found.top)
+            partners = end - group_end
+            batch = np.cumsum(partners) // (4 * TOGETHER_PAIRS)
+            for some in np.split(np.arange(len(members)), np.flatnonzero(np.diff(batch)) + 1):
+                n = partners[some]
+                a = np.repeat(some, n)
+                b = np.repeat(group_end[some] - (np.cumsum(n) - n), n) + np.arange(len(a))
+                a, b = members[a], members[b]
+                if two:
+                    across = later[a] != later[b]
+                    a, b = a[across], b[across]
+                if len(a):
+                    apart = _tops(found.top, a) != _tops(found.top, b)
+                    found.compare(a[apart], b[apart])
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    a, b, values = map(np.concatenate, zip(none, *found.links))
+    return a, b, values
+
+
+def _links(alone: DataFrame, threshold: float, bands: int) -> DataFrame:
+    """Links ``a, b, likeness`` that join all fingerprints which share a band and are alike.
+
+    Fingerprints are dealt out in slabs, unless those would be sent more often than there are bands.
+    """
+    size = F.substring_index("fingerprint", ":", 1).cast("long").alias("n")
+    # One row for each number of samples, which grows with the logarithm of the longest text.
+    sizes = alone.groupBy(size).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("n") >= LEAST_STEPS).orderBy("n").collect()
+    n, count = (np.array([r[c] for r in sizes], np.int64) for c in ("n", "rows"))
+    slabs = Slabs(n, count, threshold, bands)
+    if slabs.sent > LEVELS * bands * count.sum():
+        return _links_by_band(alone, threshold, bands)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [parse_fingerprint(m) for m in batch.column(1).to_pylist()]
+            n, samples = np.array([len(m) for m in marks], np.int64), pa.array([pack_samples(m) for m in marks], pa.binary())
+            digest = np.array([int.from_bytes(d[:8], "little") for d in batch.column(0).to_pylist()], np.uint64)
+            row, unit, later = slabs.dealt(n, digest)
+            for first in range(0, len(row), 1 << 16):
+                k = pa.array(row[first : first + (1 << 16)])
+                columns = [pa.array(v[first : first + (1 << 16)]) for v in (unit, later)]
+                columns += [v.take(k) for v in (batch.column(0), pa.array(n), samples)]
+                yield pa.RecordBatch.from_arrays(columns, names=["unit", "later", "node", "n", "samples"])
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("node").combine_chunks()
+        node, packed = (table[c].combine_chunks() for c in ("node", "samples"))
+        a, b, values = unit_links(Samples(table["n"].to_numpy(), packed), table["later"].to_numpy(), threshold, bands)
+        return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b)), "likeness": pa.array(values)})
+
+    known = alone.select("node", "fingerprint").filter(size >= LEAST_STEPS)
+    dealt = known.mapInArrow(deal, "unit BIGINT, later BOOLEAN, node BINARY, n BIGINT, samples BINARY")
+    compared = dealt.groupBy("unit").applyInArrow(compare, "a BINARY, b BINARY, likeness DOUBLE")
+    return compared.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("likeness").alias("likeness"))
+
+
 def similar_texts(marked: DataFrame, threshold: float = 0.7, bands: int = BANDS) -> DataFrame:
     """Links ``a, b, likeness`` between similar fingerprints, for a frame ``doc_id, fingerprint``.
 

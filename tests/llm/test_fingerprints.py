@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 
 from tallyloom.llm import edit_fingerprint as ef
 from tallyloom.llm.registry import QUERIES
+from tallyloom.operators.lineage import STORED, ensure_checkpoint_dir
 
 DOCS = "doc_id BIGINT, text STRING, kind INT, part STRING"
 
@@ -199,3 +201,102 @@ def test_blocks_of_one_class_are_not_compared(spark, monkeypatch):
     assert {(x, y) for x, y, _ in sent[1]} == {(k, 10) for k in range(10)} and len(sent[1]) == 40 + 10
     assert not sent[2]
     assert {(x, y) for x, y, _ in sent[3]} == {(0, 0), (0, 1), (1, 1), (0, 2), (1, 2)}
+
+
+def many_short(draw, count):
+    return ["".join(draw.choice("abcdefgh ") for _ in range(draw.randint(30, 50))) for _ in range(count)]
+
+
+def test_units_of_slabs_against_all_pairs(monkeypatch):
+    draw = random.Random(21)
+    texts = families(draw)[::2] + many_short(draw, 30)
+    texts += [texts[20][: len(texts[20]) - k] for k in range(20)] + ["".join(draw.choice("ab") for _ in range(9)) for _ in range(30)]
+    marks = list({ef.fingerprint_text(len(m), m): m for m in ef.fingerprints(texts) if len(m) >= ef.LEAST_STEPS}.values())
+    n = np.array([len(m) for m in marks])
+    banded = [set(ef.band_numbers(m)) for m in marks]
+    alike = {
+        (a, b): ef.likeness(marks[a], marks[b]) for a in range(len(marks)) for b in range(a + 1, len(marks)) if banded[a] & banded[b]
+    }
+    digest = np.array([draw.getrandbits(64) for _ in marks], np.uint64)
+    for slab, star, pairs, threshold in ((1 << 20, 2, 1 << 17, 0.7), (3000, 64, 64, 0.7), (800, 2, 1 << 17, 0.3)):
+        for name, value in (("LEAST_SLAB", slab), ("MOST_SLAB", slab), ("STAR", star), ("TOGETHER_PAIRS", pairs)):
+            monkeypatch.setattr(ef, name, value)
+        slabs = ef.Slabs(*np.unique(n, return_counts=True), threshold, ef.BANDS)
+        row, unit, later = slabs.dealt(n, digest)
+        links = []
+        for k in range(slabs.units):
+            rows, second = row[unit == k], later[unit == k]
+            if not len(rows):
+                continue
+            samples = ef.Samples(n[rows], ef.pa.array([ef.pack_samples(marks[i]) for i in rows], ef.pa.binary()))
+            a, b, values = ef.unit_links(samples, second, threshold, ef.BANDS)
+            for x, y, v in zip(rows[a].tolist(), rows[b].tolist(), values.tolist()):
+                assert alike[min(x, y), max(x, y)] == v >= threshold
+                links.append((x, y))
+        assert roots(len(marks), links) == roots(len(marks), [p for p, v in alike.items() if v >= threshold])
+        assert (slab == 1 << 20) == (slabs.units == 1)
+
+
+def test_every_two_slabs_that_may_hold_similar_texts_meet_once():
+    draw = random.Random(4)
+    n = np.array(sorted(draw.sample(range(15, 1500), 400)))
+    count = np.array([draw.choice([1, 40, 30_000]) for _ in n])
+    slabs = ef.Slabs(n, count, 0.7, ef.BANDS)
+    rows = np.repeat(np.arange(len(n)), 3)
+    digest = np.array([draw.getrandbits(64) for _ in rows], np.uint64)
+    row, unit, _ = slabs.dealt(n[rows], digest)
+    units = [set() for _ in rows]
+    for r, u in zip(row.tolist(), unit.tolist()):
+        assert u not in units[r] and 0 <= u < slabs.units
+        units[r].add(u)
+    reach = np.concatenate([[0.0], np.cumsum(ef._weights(int(n.max())))])
+    home = {}
+    for a in range(0, len(rows), 7):
+        for b in range(a, len(rows), 11):
+            both = units[a] & units[b]
+            if reach[n[rows[a]]] / reach[n[rows[b]]] >= 0.7:
+                assert both
+            # More than one unit in common only in the same slab.
+            assert len(both) <= 1 or home.setdefault(frozenset(units[a]), units[b]) == units[b]
+    assert ef.Slabs(n[:0], n[:0], 0.7, ef.BANDS).sent == 0
+
+
+def classes_of(frame):
+    rows = ef.similar_classes(frame).collect()
+    return sorted((bytes(r["root"]), str(r["doc_id"]), str(r["class_id"]), r["class_size"]) for r in rows)
+
+
+def test_slabs_and_bands_make_the_same_classes(spark, monkeypatch):
+    draw = random.Random(31)
+    texts = families(draw) + many_short(draw, 60)
+    texts += texts[3:20]
+    marks = [(k if k % 7 else None, ef.fingerprint_text(len(m), m)) for k, m in enumerate(ef.fingerprints(texts))]
+    frame = spark.createDataFrame(marks, "doc_id BIGINT, fingerprint STRING")
+    found = [classes_of(frame)]
+    monkeypatch.setattr(ef, "MOST_SLAB", 4000)
+    found.append(classes_of(frame))
+    monkeypatch.setattr(ef, "_links", ef._links_by_band)
+    found.append(classes_of(frame))
+    assert found[0] == found[1] == found[2] and len({r[0] for r in found[0]}) < len(marks) - 30
+
+
+def test_slabs_that_would_be_sent_too_often_give_way_to_bands(spark, monkeypatch):
+    marks = [(k, ef.fingerprint_text(len(m), m)) for k, m in enumerate(ef.fingerprints(many_short(random.Random(8), 40)))]
+    frame = spark.createDataFrame(marks, "doc_id BIGINT, fingerprint STRING")
+    called = []
+    monkeypatch.setattr(ef, "_links_by_band", lambda *a, f=ef._links_by_band: called.append(1) or f(*a))
+    plain = classes_of(frame)
+    assert not called
+    monkeypatch.setattr(ef, "MOST_SLAB", 100)
+    monkeypatch.setattr(ef.Slabs, "sent", property(lambda self: 10**6, lambda self, value: None), raising=False)
+    assert classes_of(frame) == plain and called
+
+
+def test_tables_on_disk_do_not_grow_with_shared_bands(spark):
+    marks = [(k, ef.fingerprint_text(len(m), m)) for k, m in enumerate(ef.fingerprints(many_short(random.Random(13), 2000)))]
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.glob(f"{STORED}*"))
+    ef.similar_classes(spark.createDataFrame(marks, "doc_id BIGINT, fingerprint STRING")).collect()
+    written = sum(f.stat().st_size for d in set(folder.glob(f"{STORED}*")) - before for f in d.rglob("*.parquet"))
+    # Fingerprints with digests and counts; some 80 bands of each were written beside them once.
+    assert 0 < written < 8 * sum(len(m) for _, m in marks), written
