@@ -645,7 +645,7 @@ def _band_values(samples: Samples, rows: np.ndarray, level: int, bands: int) ->
     places[picks.T, np.arange(bands)] = 2.0 ** np.arange(used)[:, None]
     start = (size if size < SAMPLES else SAMPLES * (level - 6)) // 8
     data = samples.data.view(np.uint8)[:, start : start + size // 8]
-    out = np.empty((bands, len(rows)), np.uint64)
+    out = np.empty((bands, len(rows)), np.uint32)
     for first in range(0, len(rows), 1 << 14):
         part = np.unpackbits(data[rows[first : first + (1 << 14)]], axis=1).astype(np.float32)
         out[:, first : first + (1 << 14)] = (part @ places).T
@@ -655,7 +655,7 @@ def _band_values(samples: Samples, rows: np.ndarray, level: int, bands: int) ->
 def _mixed(values: np.ndarray, rows: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of the buckets of several classes, in order of bucket and class, and the ends of each row's class and bucket among them."""
     names = _tops(top, rows).astype(np.uint64)
-    order = np.sort(values << _U(44) | names << _U(22) | np.arange(len(rows), dtype=np.uint64))
+    order = np.sort(values.astype(np.uint64) << _U(44) | names << _U(22) | np.arange(len(rows), dtype=np.uint64))
     bucket, group = order >> _U(44), order >> _U(22)
     cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
     first, last = np.concatenate([[0], cuts]), np.append(cuts, len(order)) - 1
@@ -737,7 +737,8 @@ def _links(alone: DataFrame, threshold: float, bands: int) -> DataFrame:
         a, b, values = unit_links(Samples(table["n"].to_numpy(), packed), table["later"].to_numpy(), threshold, bands)
         return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b)), "likeness": pa.array(values)})
 
-    known = alone.select("node", "fingerprint").filter(size >= LEAST_STEPS)
+    # A null fingerprint goes on, to fail.
+    known = alone.select("node", "fingerprint").filter(~F.coalesce(size < LEAST_STEPS, F.lit(False)))
     dealt = known.mapInArrow(deal, "unit BIGINT, later BOOLEAN, node BINARY, n BIGINT, samples BINARY")
     compared = dealt.groupBy("unit").applyInArrow(compare, "a BINARY, b BINARY, likeness DOUBLE")
     return compared.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("likeness").alias("likeness"))
